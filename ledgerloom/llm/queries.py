@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical_names, confusables, containment, format_dups, mixing, subjects
+from ledgerloom.llm import canonical_names, confusables, containment, format_dups, mixing, scan_repair, subjects
 from ledgerloom.session import table
 
 HINT_BESIDE = ["bundle_id", "source_item_id", "column_label", "value", "excerpt"]
@@ -48,6 +48,20 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("metric_key").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("written").alias("spellings"))
 
 
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    evidence = table(spark, d, "evidence").select(F.lit("evidence").alias("table_name"), F.col("evidence_id").alias("row_id"), F.col("source_text").alias("text"))
+    bundles = table(spark, d, "source_bundle").select(F.lit("source_bundle").alias("table_name"), F.col("bundle_id").alias("row_id"), F.col("text_for_llm").alias("text"))
+    return evidence.unionByName(bundles)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_repair.repair(_scanned(spark, d)).select("table_name", "row_id", F.explode("defects").alias("defect"))
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scan_repair.repair(_scanned(spark, d)).select("table_name", "row_id", "repaired")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     hints = format_dups.group_copies(table(spark, d, "metric_hint"), "hint_id", "target", HINT_BESIDE, None)
     claims = format_dups.group_copies(table(spark, d, "evidence"), "evidence_id", "claim", CLAIM_BESIDE)
@@ -85,4 +99,4 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.composition(table(spark, d, "documents"), table(spark, d, "subject_label"), table(spark, d, "subject_area"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_canonical, p2_groups, p5_found, p5_report, p7_found, p7_claims, p8_found, p8_items, p9_mix, p9_copies, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_canonical, p2_groups, p5_found, p5_report, p6_found, p6_repaired, p7_found, p7_claims, p8_found, p8_items, p9_mix, p9_copies, p10_found, p10_composition)}
