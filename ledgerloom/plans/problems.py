@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import nested, rejects
+from ledgerloom.operators import nested, rejects, units
 from ledgerloom.session import table
 
 
@@ -31,5 +31,17 @@ def p3_valid(spark: SparkSession, d: str) -> DataFrame:
     return one.select("row_id", "table_id", "cell_ord", "cell.*")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p3_found, p3_valid)}
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    return units.recorded_units(table(spark, d, "metric_hint"), table(spark, d, "ledger_metric"), table(spark, d, "canonical_metric"), table(spark, d, "unit_catalog"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _units(spark, d).where("not is_common").select("table_name", "row_id", "unit_code")
+
+
+def p4_common(spark: SparkSession, d: str) -> DataFrame:
+    return _units(spark, d).drop("name", "value")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p3_found, p3_valid, p4_found, p4_common)}
 SQL: dict[str, str] = {}
