@@ -41,6 +41,15 @@ def distance(a: str, b: str, most: int) -> int:
     return last[-1]
 
 
+def without(word: str, most: int) -> set[str]:
+    """A word without up to ``most`` of its letters: the deletion neighbourhood."""
+    found = layer = {word}
+    for _ in range(most):
+        layer = {w[:i] + w[i + 1 :] for w in layer for i in range(len(w))}
+        found = found | layer
+    return found
+
+
 class NameResolver:
     """The entry a name means: its tokens are repaired, then entries ranked by coverage.
 
@@ -61,9 +70,17 @@ class NameResolver:
         self.weight = {t: math.log(1 + len(aliases) / n) for t, n in df.items()}
         self.aliases = aliases
         self.spread = {t for _, words in aliases if len(words) > 1 for t in words}
+        self.near: dict[str, set[str]] = {}
+        for w in self.weight:
+            for part in without(w, self._reach(w)):
+                self.near.setdefault(part, set()).add(w)
         self._tokens: dict[str, dict[str, float]] = {}
         self._names: dict[str, str | None] = {}
 
+    @staticmethod
+    def _reach(word: str) -> int:
+        return 0 if len(word) < 4 else 1 if len(word) < 6 else 2
+
     def meanings(self, token: str) -> dict[str, float]:
         """Words of the vocabulary that a token may mean, with their likeness."""
         if token in self._tokens:
@@ -71,24 +88,20 @@ class NameResolver:
         if len(self._tokens) > 100_000:
             self._tokens.clear()
         out: dict[str, float] = {}
+        if 2 < len(token) < 64 and token not in self.weight:
+            for w in set().union(*(self.near.get(part, ()) for part in without(token, 1 if len(token) < 6 else 2))):
+                d = distance(token, w, self._reach(w)) if self._reach(w) else 1
+                if d <= self._reach(w):
+                    out[w] = 1 - 0.6 * d / max(len(w), len(token))
         for w in self.weight:
             if w == token:
-                like = 1.0
+                out[w] = 1.0
             elif token in (w + "s", w[:-1] if w.endswith("s") else None):
-                like = 0.98
+                out[w] = 0.98
             elif w in _FORMS.get(token, ()):
-                like = 0.95
-            elif token in self.weight:
-                continue
-            elif w in self.spread and len(token) > 1 and w.startswith(token) and 3 * len(token) <= 2 * len(w):
-                like = 0.9
-            else:
-                most = 0 if len(w) < 4 or len(token) < 3 else 1 if len(w) < 6 else 2
-                d = distance(token, w, most)
-                if d > most or not most:
-                    continue
-                like = 1 - 0.6 * d / max(len(w), len(token))
-            out[w] = like
+                out[w] = 0.95
+            elif token not in self.weight and w in self.spread and len(token) > 1 and w.startswith(token) and 3 * len(token) <= 2 * len(w):
+                out[w] = max(out.get(w, 0.0), 0.9)
         self._tokens[token] = out
         return out
 

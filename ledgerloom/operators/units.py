@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerloom.functions.names import NameResolver
-from ledgerloom.session import small_rows
+from ledgerloom.session import cut, small_rows
 
 # What one of a unit is in the common unit of its dimension, and the common
 # unit's value at the unit's zero.
@@ -275,7 +275,8 @@ def with_metric(rows: DataFrame, reference: DataFrame, name_col: str = "name") -
 
     table = rows.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in kinds.items()] or [("", "", "")], "metric_key string, quantity_kind string, family string")
     known = rows.select(F.col(name_col).alias("_name")).where("_name is not null").distinct().withColumn("metric_key", resolve("_name")).where("metric_key is not null")
-    known = known.join(F.broadcast(table), "metric_key")  # as many rows as the reference
+    # as many rows as there are names; the names are resolved once, whoever reads them
+    known = cut(known.join(F.broadcast(table), "metric_key"))
     return rows.join(known, rows[name_col] == known["_name"], "left").drop("_name")
 
 
@@ -316,12 +317,11 @@ def source_graph(named: DataFrame, catalogue: DataFrame, most_spellings: int = 2
     linked = named.select(said.alias("spelling"), entity.alias("entity"), level.alias("level"), centre.alias("x")).where("spelling is not null")
     unlinked = F.coalesce(F.col("entity"), F.lit(""))
     groups = linked.groupBy("spelling", unlinked.alias("entity"), "level").agg(F.percentile_approx("x", 0.5, 1000).alias("centre"), F.count(F.lit(1)).alias("n"))
-    known = {s for s, in groups.select("spelling").groupBy("spelling").count().select("spelling").limit(most_spellings).toLocalIterator()}
-    if len(known) >= most_spellings:
-        raise ValueError(f"more than {most_spellings} spellings of units")
-    rows = [(r["spelling"], r["entity"], r["level"], r["centre"], r["n"]) for r in groups.where("(entity <> '' and n > 2) or entity = ''").toLocalIterator()]
-    centres = [r for r in rows if r[1] and r[3] is not None]
-    alone = known - {r[0] for r in centres}
+    robust = F.when((F.col("entity") != "") & (F.col("n") > 2) & F.col("centre").isNotNull(), F.struct("entity", "level", "centre", "n"))
+    spellings = groups.groupBy("spelling").agg(F.collect_list(robust).alias("seen"))
+    rows = small_rows(spellings, most_spellings, "the list of unit spellings")
+    centres = [(r["spelling"], *x) for r in rows for x in r["seen"]]
+    alone = [r["spelling"] for r in rows if not r["seen"]]
     return settle(centres + [(s, f"alone {s}", False, 1.0, 1) for s in alone], dimension, common)
 
 
