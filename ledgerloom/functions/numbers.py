@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _N = r"([-+]?[0-9]+(?:[.,][0-9]+)?|[-+]?[.][0-9]+)"
@@ -22,34 +22,43 @@ def decimal_of(text: Column) -> Column:
     return plain.try_cast("double")
 
 
-def parse_quantity(display: Column, name: Column | None = None) -> Column:
-    """A reported display as a struct.
+def with_quantity(df: DataFrame, display: str, out: str, name: str | None = None) -> DataFrame:
+    """Add a reported display as a struct.
 
     ``kind`` is estimate_with_range, estimate_with_uncertainty, range, scalar or
     text_summary; a unit other than percent makes a display text.  A range written in
     descending order keeps its text and says so in ``parse_error``.  Null gives null.
+    The shape and the numbers are columns of their own before the struct is made, so that
+    no pattern is evaluated twice.
     """
-    text = F.trim(display)
-    part = lambda pattern, k: decimal_of(F.nullif(F.regexp_extract(text, pattern, k), F.lit("")))
-    is_ = {k: text.rlike(p) for k, p in (("er", ESTIMATE_RANGE), ("pm", UNCERTAIN), ("rg", RANGE), ("nm", NAMED), ("sc", SCALAR))}
-    low = F.when(is_["er"], part(ESTIMATE_RANGE, 3)).when(is_["rg"], part(RANGE, 1))
-    high = F.when(is_["er"], part(ESTIMATE_RANGE, 4)).when(is_["rg"], part(RANGE, 2))
-    value = F.when(is_["er"], part(ESTIMATE_RANGE, 1)).when(is_["pm"], part(UNCERTAIN, 1)).when(is_["nm"], part(NAMED, 1)).when(is_["sc"], part(SCALAR, 1))
-    kind = F.when(is_["er"], "estimate_with_range").when(is_["pm"], "estimate_with_uncertainty").when(is_["rg"], "range").when(is_["nm"] | is_["sc"], "scalar").otherwise("text_summary")
+    text = F.trim(F.col(display))
+    shapes = (("er", ESTIMATE_RANGE), ("pm", UNCERTAIN), ("rg", RANGE), ("nm", NAMED), ("sc", SCALAR))
+    code = F.coalesce(*[F.when(text.rlike(p), k) for k, p in shapes], F.lit("tx"))
+    # the dash of a range is no sign
+    found = F.regexp_extract_all(F.regexp_replace(text, rf"([0-9]){_DASH}", "$1 "), F.lit(_N), F.lit(1))
+    said = F.lower(F.concat_ws(" ", F.col(name) if name else F.lit(None).cast("string"), text))
+    wide = df.withColumns({"_code": code, "_n": F.transform(found, decimal_of), "_said": said, "_pct": text.rlike(r"(%|percent)\s*[)\]]?$")})
+    shaped = F.when(F.col(display).isNotNull(), _shaped(F.col("_code"), F.col("_n"), F.col("_said"), F.col("_pct")))
+    return wide.withColumn(out, shaped).drop("_code", "_n", "_said", "_pct")
+
+
+def _shaped(code: Column, n: Column, said: Column, percent: Column) -> Column:
+    """The struct of a display from its shape and its numbers in order."""
+    at = lambda k: F.get(n, F.lit(k))
+    low = F.when(code == "er", at(1)).when(code == "rg", at(0))
+    high = F.when(code == "er", at(2)).when(code == "rg", at(1))
+    value = F.when(code.isin("er", "pm", "nm", "sc"), at(0))
+    kind = F.when(code == "er", "estimate_with_range").when(code == "pm", "estimate_with_uncertainty").when(code == "rg", "range").when(code.isin("nm", "sc"), "scalar").otherwise("text_summary")
     bad = F.coalesce(low > high, F.lit(False))
-    said = F.lower(F.concat_ws(" ", name if name is not None else F.lit(None).cast("string"), text))
-    return F.when(
-        display.isNotNull(),
-        F.struct(
-            F.when(bad, "text_summary").otherwise(kind).alias("kind"),
-            F.when(~bad, value).alias("numeric_value"),
-            F.when(~bad, low).alias("lower_bound"),
-            F.when(~bad, high).alias("upper_bound"),
-            F.when(is_["pm"], part(UNCERTAIN, 2)).alias("uncertainty"),
-            F.when(text.rlike(r"(%|percent)\s*[)\]]?$"), "%").alias("unit_code"),
-            aggregation(said).alias("aggregation"),
-            F.when(bad, "descending_range").alias("parse_error"),
-        ),
+    return F.struct(
+        F.when(bad, "text_summary").otherwise(kind).alias("kind"),
+        F.when(~bad, value).alias("numeric_value"),
+        F.when(~bad, low).alias("lower_bound"),
+        F.when(~bad, high).alias("upper_bound"),
+        F.when(code == "pm", at(1)).alias("uncertainty"),
+        F.when(percent, "%").alias("unit_code"),
+        aggregation(said).alias("aggregation"),
+        F.when(bad, "descending_range").alias("parse_error"),
     )
 
 
@@ -63,7 +72,7 @@ def aggregation(text: Column) -> Column:
 
 def number_key(value: Column) -> Column:
     """A number's identity whatever its scale: 0.900 and 0.9 are one."""
-    text = F.format_number(value, "0.##########")
+    text = F.regexp_replace(F.regexp_replace(value.cast("decimal(38,10)").cast("string"), "0+$", ""), "[.]$", "")
     return F.when(text == "-0", "0").otherwise(text)
 
 

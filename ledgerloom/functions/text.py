@@ -16,8 +16,8 @@ CAPTION_START = r"^(Table|Tab\.|Figure|Fig\.)\s+([0-9]+|[IVXLC]+|[A-Z][0-9]+)"
 
 
 def squeezed(text: Column) -> Column:
-    """Lower case, runs of white space as one space, ends trimmed."""
-    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
+    """Lower case, runs of any white space as one space, ends trimmed."""
+    return F.lower(F.trim(F.regexp_replace(text, r"[\s\p{Z}]+", " ")))
 
 
 def tokens(text: Column) -> Column:

@@ -31,7 +31,7 @@ def paragraphs_of(lines: DataFrame, keys: list[str]) -> DataFrame:
 def sentences_of(text: Column) -> Column:
     """Sentences: pieces that end with a stop and white space, or at a line's end."""
     marked = F.regexp_replace(text, r"([.!?])\s+", "$1\n")
-    return F.filter(F.transform(F.split(marked, r"\n+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, r"\n+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def sentence_windows(df: DataFrame, keys: list[str], text: str, most: int = 1800) -> DataFrame:

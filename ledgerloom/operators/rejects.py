@@ -150,7 +150,7 @@ def judge_headers(tables: DataFrame) -> DataFrame:
         F.transform(F.col("column_types"), lambda _: F.lit("text")).alias("types"),
     )
     read = _split(lines)
-    names = F.transform(F.col("cells"), F.trim)
+    names = F.transform(F.col("cells"), lambda c: F.trim(c))
     wrong = F.exists(names, lambda n: n == "") | (F.size(F.array_distinct(names)) < F.size(names))
     return read.select("table_id", F.coalesce(F.col("reason"), F.when(wrong, "invalid_value")).alias("reason"), names.alias("names"))
 

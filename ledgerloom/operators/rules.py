@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import parse_quantity
+from ledgerloom.functions.numbers import with_quantity
 from ledgerloom.functions.text import squeezed
 from ledgerloom.operators.ledger import unique_registry, unknown_items
 
@@ -24,9 +24,7 @@ def issues(df: DataFrame, when: Column, code: str, severity: str, subject: str,
 
 def quantity_rules(ledger: DataFrame) -> list[DataFrame]:
     """Conflicts between what a metric reports and its summary."""
-    reported = parse_quantity(F.col("as_reported"))
-    shown = parse_quantity(F.col("value_or_summary"))
-    rows = ledger.select("metric_id", "as_reported", "value_or_summary", reported.alias("r"), shown.alias("s"))
+    rows = with_quantity(with_quantity(ledger.select("metric_id", "as_reported", "value_or_summary"), "as_reported", "r"), "value_or_summary", "s")
     digits = F.col("as_reported").rlike("[0-9]")
     unlike = squeezed(F.col("as_reported")) != squeezed(F.col("value_or_summary"))
     differs = [~F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("numeric_value", "lower_bound", "upper_bound")]

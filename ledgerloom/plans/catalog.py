@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import problems
+from ledgerloom.plans import problems, reference, reference_sql
 
-FLAGSHIP = "p3_found"
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+FLAGSHIP = "issue_catalogue"
+QUERIES = {**problems.QUERIES, **reference.QUERIES}
+SQL = {**problems.SQL, **reference_sql.SQL}
