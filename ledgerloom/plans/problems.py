@@ -44,4 +44,51 @@ def p4_common(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p3_found, p3_valid, p4_found, p4_common)}
-SQL: dict[str, str] = {}
+
+
+def _decoded(x: str) -> str:
+    inner = f"try_cast(({x}->>'$') AS JSON)"
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' AND json_type({inner}) IN ('ARRAY', 'OBJECT') THEN {inner} ELSE {x} END"
+
+
+def _elements(source: str, keys: str, field: str) -> str:
+    """Objects of a JSON field in any notation, with their positions."""
+    return f"""(SELECT {keys}, cast(i - 1 AS INTEGER) AS ord, {_decoded('l[i]')} AS x FROM (SELECT {keys}, l, unnest(generate_series(1, len(l))) AS i FROM
+      (SELECT {keys}, CASE json_type(d) WHEN 'ARRAY' THEN json_extract(d, '$[*]') WHEN 'OBJECT' THEN [d] ELSE [] END AS l FROM (SELECT {keys}, {_decoded('f')} AS d FROM (SELECT {keys}, {field} AS f FROM {source})))) WHERE json_type({_decoded('l[i]')}) = 'OBJECT')"""
+
+
+_VD = f"(SELECT record_id, {_decoded('v')} AS v FROM (SELECT record_id, cast(record_json AS JSON)->'$.validation_and_diagnostics' AS v FROM matrix_record))"
+_METRIC = _elements(_VD, "record_id", "v->'$.validation_metrics'")
+_PARAMETER = _elements(_VD, "record_id", "v->'$.tuning_parameters'")
+_P1 = " UNION ALL ".join(
+    [f"SELECT record_id, '{k}' AS child_kind, cast(-1 AS INTEGER) AS parent_ord, ord AS child_ord FROM {e}" for k, e in (("metric", _METRIC), ("parameter", _PARAMETER), ("section_evidence", _elements(_VD, "record_id", "v->'$.evidence'")))]
+    + [
+        f"SELECT record_id, '{k}', parent, ord FROM {_elements(f'(SELECT record_id, ord AS parent, x FROM {e})', 'record_id, parent', f)}"
+        for k, e, f in (
+            ("metric_evidence", _METRIC, "x->'$.evidence'"),
+            ("metric_point", _METRIC, "x->'$.quantitative_value.points'"),
+            ("metric_uncertainty", _METRIC, "x->'$.quantitative_value.uncertainty_components'"),
+            ("parameter_evidence", _PARAMETER, "x->'$.evidence'"),
+        )
+    ]
+)
+
+_CELL = "'(\"(?:[^\"]|\"\")*\"|[^\"' || regexp_escape(d) || '\r\n]*)' || regexp_escape(d)"
+
+
+def _judged(source: str) -> str:
+    """Reasons of records (row_id, t, d, types)."""
+    unquoted = "list_transform(cells, lambda c: CASE WHEN starts_with(c, '\"') THEN replace(substr(c, 2, length(c) - 2), '\"\"', '\"') ELSE c END)"
+    whole = "CASE types[i] WHEN 'int' THEN regexp_full_match(u[i], '[+-]?[0-9]+') WHEN 'double' THEN regexp_full_match(u[i], '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') WHEN 'date' THEN regexp_full_match(u[i], '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_cast(u[i] AS DATE) IS NOT NULL ELSE true END"
+    return f"""(SELECT row_id, u, types, CASE WHEN t IS NULL THEN 'column_count' WHEN NOT quoted THEN 'broken_quoting' WHEN len(u) <> len(types) THEN 'column_count'
+      WHEN len(list_filter(generate_series(1, len(u)), lambda i: u[i] <> '' AND NOT ({whole}))) > 0 THEN 'invalid_value' END AS reason
+      FROM (SELECT *, {unquoted} AS u FROM (SELECT row_id, t, d, types, regexp_full_match(t || d, '(?:' || {_CELL} || ')+') AS quoted, regexp_extract_all(t || d, {_CELL}, 1) AS cells FROM {source})))"""
+
+
+_ROWS = _judged("(SELECT row_id, row_text AS t, coalesce(delimiter, ',') AS d, column_types AS types FROM recovered_row JOIN recovered_table USING (table_id))")
+_HEADS = _judged("(SELECT table_id AS row_id, columns_text AS t, coalesce(delimiter, ',') AS d, list_transform(column_types, lambda x: 'text') AS types FROM recovered_table)")
+SQL: dict[str, str] = {
+    "p1_found": _P1,
+    "p3_found": f"""SELECT 'recovered_row' AS table_name, row_id, reason FROM {_ROWS} WHERE reason IS NOT NULL
+      UNION ALL SELECT 'recovered_table', row_id, coalesce(reason, 'invalid_value') FROM {_HEADS} WHERE reason IS NOT NULL OR len(list_filter(u, lambda c: trim(c) = '')) > 0 OR len(list_distinct(list_transform(u, lambda c: trim(c)))) < len(u)""",
+}
