@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import ids, metrics, numbers, text
-from ledgerloom.operators import audit, candidates, ledger, rules
+from ledgerloom.operators import audit, candidates, discovery, ledger, rejects, rules
 from ledgerloom.session import table
+from ledgerloom.sources import sinks
+from ledgerloom.streaming import events as streams
 
 
 def parse_quantity(spark: SparkSession, d: str) -> DataFrame:
@@ -303,11 +305,62 @@ def caption_matches(spark: SparkSession, d: str) -> DataFrame:
     return audit.match_captions(first, named)
 
 
+def prose_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = discovery.prose_pairs(table(spark, d, "metric_hint").where("excerpt is not null").select("hint_id", "excerpt"), "excerpt")
+    return rows.drop("excerpt")
+
+
+def table_cell_hints(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.table_cell_hints(rejects.typed_rows(table(spark, d, "recovered_row"), table(spark, d, "recovered_table")))
+
+
+def ledger_backfill(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.backfill(table(spark, d, "metric_hint"), table(spark, d, "ledger_metric"))
+
+
+def evidence_merge(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.merge_evidence(table(spark, d, "evidence"))
+
+
+def record_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Scalars of all records by their path without positions (H6)."""
+    leaves = discovery.json_leaves(table(spark, d, "matrix_record"), "record_id", "record_json")
+    return leaves.groupBy(F.regexp_replace("path", r"\[[0-9]+\]", "[]").alias("path")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("records"))
+
+
+def provenance_issues(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.provenance_rules(table(spark, d, "matrix_record"), table(spark, d, "source_bundle"))
+
+
+def recovered_markdown(spark: SparkSession, d: str) -> DataFrame:
+    """Valid rows of recovered tables rendered, as lengths and hashes."""
+    typed = rejects.typed_rows(table(spark, d, "recovered_row"), table(spark, d, "recovered_table"))
+    rows = typed.join(table(spark, d, "recovered_row").select("row_id", "row_index"), "row_id").select("table_id", "row_index", F.posexplode("cells").alias("col_ordinal", "cell"))
+    text_ = sinks.markdown_table(rows.select("table_id", "row_index", "col_ordinal", F.col("cell.name").alias("column"), F.col("cell.text").alias("value")))
+    return text_.select("table_id", F.length("markdown").alias("characters"))
+
+
+def bundle_digest(spark: SparkSession, d: str) -> DataFrame:
+    """Captions of a bundle's items as one ordered text with its hash (K8)."""
+    items = ledger.unique_registry(table(spark, d, "registry_item")).where("caption is not null")
+    return sinks.bundle_text(items.select("bundle_id", F.col("source_item_id").alias("ord"), F.col("caption").alias("text")), ["bundle_id"]).select("bundle_id", "sha256")
+
+
+def stream_last_event(spark: SparkSession, d: str) -> DataFrame:
+    return streams.run_once(streams.last_events(streams.stream_of(spark, d, "events"), "user_id", "ts", ["event_id", "event_type"]), "complete")
+
+
+def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
+    counts = streams.windowed_counts(streams.stream_of(spark, d, "events"), "ts", "event_type")
+    return streams.run_once(counts, "complete").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
     stem_document_frequency, sentence_windows, heading_context, paragraphs, candidate_ids, canonical_json_ids, caption_parse, box_overlap, table_quality, queue_dedup, last_event,
     bundle_gate, quality_summary, text_chunks, evidence_first_wins, hints_per_item, focus_groups, distinct_locations, peer_targets, portable_paths, page_statistics, terminology,
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
+    prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ledgerloom.functions import metrics, numbers, text
-from ledgerloom.operators import ledger, rules
+from ledgerloom.operators import discovery, ledger, rules
+from ledgerloom.plans import problems
 
 
 def _q(x: str) -> str:
@@ -189,4 +190,27 @@ SQL = {
         SELECT p.bundle_id, p.x AS a, q.x AS b FROM s p JOIN s q ON p.bundle_id = q.bundle_id AND p.x < q.x WHERE p.k = q.k OR (regexp_matches(p.k, '^[0-9]') AND regexp_matches(q.k, '^[0-9]') AND (starts_with(p.k, q.k || '.') OR starts_with(q.k, p.k || '.')))""",
     "caption_bodies": f"""SELECT doc_id, cast(line_no AS INTEGER) AS line_no, n AS body_lines FROM (SELECT *, count(CASE WHEN regexp_matches(line, '^\\s*\\|.*\\|\\s*$') THEN 1 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND 13 FOLLOWING) AS n
         FROM {_LINES.format(k='doc_id', t='text', s='documents')}) WHERE regexp_matches(line, '^(Table|Figure)\\s+[0-9]+\\.')""",
+    "prose_pairs": f"""SELECT hint_id, nullif(trim(regexp_extract(excerpt, {_q(discovery.PAIR)}, 1)), '') AS pair_name, nullif(trim(regexp_extract(excerpt, {_q(discovery.PAIR)}, 2)), '') AS relation,
+        nullif(trim(regexp_extract(excerpt, {_q(discovery.PAIR)}, 3)), '') AS pair_value, coalesce(nullif(trim(regexp_extract(excerpt, {_q(discovery.PAIR)}, 4)), ''), nullif(trim(regexp_extract(excerpt, {_q(discovery.PAIR)}, 5)), '')) AS pair_target,
+        regexp_matches(lower(excerpt), {_q(discovery.SUMMARY)}) AS summary FROM metric_hint WHERE excerpt IS NOT NULL""",
+    "table_cell_hints": f"""WITH h AS (SELECT row_id AS table_id, u AS names, reason IS NULL AND len(list_filter(u, lambda c: trim(c) = '')) = 0 AND len(list_distinct(list_transform(u, lambda c: trim(c)))) = len(u) AS fine FROM {problems._HEADS}),
+        r AS (SELECT row_id, table_id, u, types, CASE WHEN fine THEN list_transform(names, lambda c: trim(c)) END AS names FROM {problems._ROWS} r JOIN (SELECT row_id, table_id FROM recovered_row) USING (row_id) JOIN h USING (table_id) WHERE reason IS NULL)
+        SELECT row_id, cast(i - 1 AS INTEGER) AS cell_ord, list_filter(list_transform(generate_series(1, len(u)), lambda k: CASE WHEN types[k] = 'text' THEN nullif(u[k], '') END), lambda x: x IS NOT NULL)[1] AS target,
+        coalesce(names[i], 'c' || (i - 1)) AS column_label, u[i] AS value FROM (SELECT *, unnest(generate_series(1, len(u))) AS i FROM r) WHERE types[i] IN ('int', 'double') AND regexp_matches(u[i], '[0-9]')""",
+    "ledger_backfill": f"""WITH h AS (SELECT bundle_id, {_identity('metric_name')} AS k, {_families('metric_name')}[1] AS f, {_squeezed('value')} AS s, min(hint_id) AS hint_id FROM metric_hint WHERE metric_name IS NOT NULL AND target IS NOT NULL AND value IS NOT NULL GROUP BY ALL),
+        l AS (SELECT bundle_id, metric_id, {_identity('name')} AS k, {_families('name')}[1] AS f, {_squeezed('as_reported')} AS s, context, scope FROM ledger_metric WHERE name IS NOT NULL),
+        a AS (SELECT bundle_id, k, min(metric_id) AS id FROM l GROUP BY ALL), b AS (SELECT bundle_id, f, min(metric_id) AS id FROM l WHERE f IS NOT NULL GROUP BY ALL)
+        SELECT hint_id, h.bundle_id, h.k AS identity, CASE WHEN a.id IS NOT NULL THEN 'metric' ELSE 'family' END AS prototype, p.context, p.scope FROM h LEFT JOIN a ON a.bundle_id = h.bundle_id AND a.k = h.k LEFT JOIN b ON b.bundle_id = h.bundle_id AND b.f = h.f
+        JOIN ledger_metric p ON p.metric_id = coalesce(a.id, b.id) WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.bundle_id = h.bundle_id AND l.k = h.k AND l.s = h.s)""",
+    "evidence_merge": f"""WITH r AS (SELECT *, coalesce({_squeezed('source_text')}, 'claim:' || {_squeezed('claim')}) AS k, CASE review_status WHEN 'human_verified' THEN 10 WHEN 'human_corrected' THEN 20 ELSE 0 END AS rank,
+        {' + '.join(f'CASE WHEN {c} IS NOT NULL THEN {p} ELSE 0 END' for c, p in discovery.EVIDENCE_POINTS.items())} AS pts FROM evidence),
+        o AS (SELECT *, row_number() OVER w AS n, max(source_page) OVER g AS mp, max(source_section) OVER g AS ms, max(rank) OVER g AS mr, count(*) OVER g AS c FROM r WINDOW w AS (PARTITION BY bundle_id, source_item_id, k ORDER BY pts + rank DESC, evidence_id), g AS (PARTITION BY bundle_id, source_item_id, k))
+        SELECT evidence_id, bundle_id, coalesce(source_page, mp) AS source_page, coalesce(source_section, ms) AS source_section, mr AS review_rank, c AS merged FROM o WHERE n = 1""",
+    "record_fields": """SELECT path, count(*) AS n, count(DISTINCT record_id) AS records FROM (SELECT record_id, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path FROM matrix_record, json_tree(cast(record_json AS JSON)) t WHERE t.atom IS NOT NULL AND t.type <> 'NULL') GROUP BY ALL""",
+    "provenance_issues": """SELECT record, code FROM (SELECT record_id AS record, CASE WHEN has IS NULL THEN 'EXTRACTION_PROVENANCE_MISSING' WHEN e IS NOT NULL AND m IS NULL THEN 'CANONICAL_SOURCE_HASH_MISSING' WHEN e <> m THEN 'CANONICAL_SOURCE_HASH_MISMATCH' END AS code
+        FROM (SELECT record_id, json_extract_string(record_json, '$.extraction_provenance') AS has, json_extract_string(record_json, '$.extraction_provenance.canonical_source_sha256') AS m, CASE WHEN regexp_full_match(source_sha256, '[0-9a-f]{64}') THEN source_sha256 END AS e
+        FROM matrix_record LEFT JOIN source_bundle USING (bundle_id))) WHERE code IS NOT NULL""",
+    "bundle_digest": f"SELECT bundle_id, sha256(string_agg(caption, chr(10) || chr(10) ORDER BY source_item_id)) AS sha256 FROM {_REGISTRY} WHERE caption IS NOT NULL GROUP BY ALL",
+    "stream_last_event": "SELECT user_id, arg_max(event_id, ts) AS event_id, arg_max(event_type, ts) AS event_type FROM events GROUP BY ALL",
+    "stream_hourly_counts": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

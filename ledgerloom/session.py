@@ -42,12 +42,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
@@ -77,3 +72,13 @@ def ship(spark: SparkSession) -> None:
             packed.write(source, source.relative_to(home.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, for checkpoints and written intermediate tables."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
+    return str(shared)
