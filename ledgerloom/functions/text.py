@@ -141,4 +141,4 @@ def replaced_terms(text: Column, terms: list[tuple[str, str]]) -> Column:
 
 def markdown_cell(text: Column) -> Column:
     """A cell with bars escaped and line breaks as spaces."""
-    return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\\\|"), r"[\r\n]+", " ")
+    return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), r"[\r\n]+", " ")

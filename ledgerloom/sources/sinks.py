@@ -35,7 +35,7 @@ def markdown_table(cells: DataFrame) -> DataFrame:
     ``cells`` has (table_id, row_index, col_ordinal, column, value); bars are escaped and
     missing cells are empty.
     """
-    clean = lambda c: F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"\|", r"\\\\|"), r"[\r\n]+", " ")
+    clean = lambda c: F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"\|", r"\\|"), r"[\r\n]+", " ")
     rows = cells.groupBy("table_id", "row_index").agg(F.array_sort(F.collect_list(F.struct("col_ordinal", clean(F.col("column")).alias("c"), clean(F.col("value")).alias("v")))).alias("x"))
     line = lambda field: F.concat(F.lit("| "), F.array_join(F.transform("x", lambda e: e[field]), " | "), F.lit(" |"))
     rule = F.concat(F.lit("|"), F.array_join(F.transform("x", lambda _: F.lit(" --- ")), "|"), F.lit("|"))
