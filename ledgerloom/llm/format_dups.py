@@ -20,26 +20,29 @@ from pyspark.sql import functions as F
 FIELD_NAMES = ("metric", "value", "crop", "previous crop", "site", "phase", "year", "depth")
 
 _EDGE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-_NO_WORD = r"[^\p{L}\p{N}\p{M}.]+|(?<![0-9])\.|\.(?![0-9])"
+# one pattern for a whole run: what is no word, with points that stand in no number
+_NO_WORD = r"(?:[^\p{{L}}\p{{N}}\p{{M}}.{keep}]|(?<![0-9])\.|\.(?![0-9]))+"
 
 
-def words_of(text: Column) -> Column:
-    """Lower-case words parted by single spaces; a point inside a number stays."""
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, _NO_WORD, " ")), r"\s+", " "))
+def words_of(text: Column, keep: str = "") -> Column:
+    """Lower-case words parted by single spaces; a point inside a number stays, and the
+    characters to ``keep``."""
+    return F.lower(F.regexp_replace(text, _NO_WORD.format(keep=keep), " "))
 
 
-def fields_of(text: Column, field_names: tuple[str, ...] | None = FIELD_NAMES) -> Column:
-    """The normalised fields of a record as an array, in the order written.
+def with_fields(df: DataFrame, text_col: str, out: str, field_names: tuple[str, ...] | None = FIELD_NAMES) -> DataFrame:
+    """Add the normalised fields of a record as an array, in the order written.
 
     The separator is the first of semicolon, bar, spaced slash and comma that occurs inside
     the text.  With ``field_names`` a comma separates only if every part begins with one of
-    the names (running sentences have commas too); with None it always does.
+    the names (running sentences have commas too); with None it always does.  The text
+    without its edges is a column of its own, so that it is made once a row.
     """
-    body = F.regexp_replace(text, _EDGE, "")
+    body = F.col("_body")
     comma = body.contains(",")
     if field_names is not None:
-        name = "(?i)\\s*(" + "|".join(n.replace(" ", "[\\s\\p{P}]+") for n in field_names) + ")[\\s:=]+"
-        comma = comma & body.rlike(f"^{name}[^,]*(,{name.replace('(?i)', '')}[^,]*)+$")
+        name = "\\s*(" + "|".join(n.replace(" ", "[\\s\\p{P}]+") for n in field_names) + ")[\\s:=]+"
+        comma = comma & body.rlike(f"(?i)^{name}[^,]*(,{name}[^,]*)+$")
     parts = (
         F.when(body.contains(";"), F.split(body, ";"))
         .when(body.contains("|"), F.split(body, r"\|"))
@@ -47,19 +50,22 @@ def fields_of(text: Column, field_names: tuple[str, ...] | None = FIELD_NAMES) -
         .when(comma, F.split(body, ","))
         .otherwise(F.array(body))
     )
-    return F.filter(F.transform(parts, words_of), lambda x: x != "")
+    # the fields are normalised as one text, parted by a mark that no word has
+    joined = words_of(F.array_join(F.col("_parts"), "\x1f"), keep="\x1f")
+    fields = F.filter(F.transform(F.split(F.col("_joined"), "\x1f"), lambda x: F.trim(x)), lambda x: x != "")
+    staged = df.withColumn("_body", F.regexp_replace(F.col(text_col), _EDGE, "")).withColumn("_parts", parts).withColumn("_joined", joined)
+    return staged.withColumn(out, fields).drop("_body", "_parts", "_joined")
 
 
-def multiset_lanes(fields: Column) -> list[Column]:
-    """Two 32-bit lanes of the summed 64-bit field hashes and the number of fields.
+def multiset_lanes(hashes: Column) -> list[Column]:
+    """Two 32-bit lanes of the summed 64-bit field hashes, and their number.
 
     Each lane adds at most 2**32 per field, so the sums cannot overflow.
     """
-    hashes = F.transform(fields, lambda x: F.xxhash64(x))
     zero = F.lit(0).cast("bigint")
     low = F.aggregate(hashes, zero, lambda a, h: a + h.bitwiseAND(F.lit(0xFFFFFFFF)))
     high = F.aggregate(hashes, zero, lambda a, h: a + F.shiftrightunsigned(h, 32))
-    return [low, high, F.size(fields)]
+    return [low, high, F.size(hashes)]
 
 
 def same_multiset(a: Column, b: Column) -> Column:
@@ -91,9 +97,9 @@ def group_copies(
     """
     # ASCII unit and record separators keep (a, null) apart from (null, a)
     beside = F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("\x1e")) for c in companions])
-    fields = fields_of(F.col(text_col), field_names)
-    rows = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("row_id"), fields.alias("fields"), beside.alias("beside"))
-    low, high, size = multiset_lanes(F.col("fields"))
+    rows = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("row_id"), F.col(text_col).alias("_text"), beside.alias("beside"))
+    rows = with_fields(rows, "_text", "fields", field_names).withColumn("_hashes", F.transform("fields", lambda x: F.xxhash64(x)))
+    low, high, size = multiset_lanes(F.col("_hashes"))
     rows = rows.select("row_id", "fields", "beside", low.alias("h0"), high.alias("h1"), size.alias("n"), F.xxhash64("beside").alias("h2"))
     key = ["h0", "h1", "n", "h2"]
     groups = (
