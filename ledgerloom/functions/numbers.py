@@ -22,22 +22,27 @@ def decimal_of(text: Column) -> Column:
     return plain.try_cast("double")
 
 
+def with_shape(df: DataFrame, display: str, prefix: str) -> DataFrame:
+    """Add a display's shape ``<prefix>code`` (er, pm, rg, nm, sc or tx) and its numbers in
+    order ``<prefix>n``, as columns of their own so that no pattern is evaluated twice."""
+    text = F.trim(F.col(display))
+    shapes = (("er", ESTIMATE_RANGE), ("pm", UNCERTAIN), ("rg", RANGE), ("nm", NAMED), ("sc", SCALAR))
+    code = F.coalesce(*[F.when(text.rlike(p), k) for k, p in shapes], F.lit("tx"))
+    # the dash of a range is no sign
+    found = F.regexp_extract_all(F.regexp_replace(text, rf"([0-9]){_DASH}", "$1 "), F.lit(_N), F.lit(1))
+    return df.withColumns({f"{prefix}code": code, f"{prefix}n": F.transform(found, decimal_of)})
+
+
 def with_quantity(df: DataFrame, display: str, out: str, name: str | None = None) -> DataFrame:
     """Add a reported display as a struct.
 
     ``kind`` is estimate_with_range, estimate_with_uncertainty, range, scalar or
     text_summary; a unit other than percent makes a display text.  A range written in
     descending order keeps its text and says so in ``parse_error``.  Null gives null.
-    The shape and the numbers are columns of their own before the struct is made, so that
-    no pattern is evaluated twice.
     """
     text = F.trim(F.col(display))
-    shapes = (("er", ESTIMATE_RANGE), ("pm", UNCERTAIN), ("rg", RANGE), ("nm", NAMED), ("sc", SCALAR))
-    code = F.coalesce(*[F.when(text.rlike(p), k) for k, p in shapes], F.lit("tx"))
-    # the dash of a range is no sign
-    found = F.regexp_extract_all(F.regexp_replace(text, rf"([0-9]){_DASH}", "$1 "), F.lit(_N), F.lit(1))
     said = F.lower(F.concat_ws(" ", F.col(name) if name else F.lit(None).cast("string"), text))
-    wide = df.withColumns({"_code": code, "_n": F.transform(found, decimal_of), "_said": said, "_pct": text.rlike(r"(%|percent)\s*[)\]]?$")})
+    wide = with_shape(df, display, "_").withColumns({"_said": said, "_pct": text.rlike(r"(%|percent)\s*[)\]]?$")})
     shaped = F.when(F.col(display).isNotNull(), _shaped(F.col("_code"), F.col("_n"), F.col("_said"), F.col("_pct")))
     return wide.withColumn(out, shaped).drop("_code", "_n", "_said", "_pct")
 

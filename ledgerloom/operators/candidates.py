@@ -37,11 +37,11 @@ def sentences_of(text: Column) -> Column:
 def sentence_windows(df: DataFrame, keys: list[str], text: str, most: int = 1800) -> DataFrame:
     """Single sentences and adjacent pairs of at most ``most`` characters, in the order
     s0, s0+s1, s1, s1+s2 ... (W4)."""
-    s = sentences_of(F.col(text))
-    index = F.sequence(F.lit(0), F.size(s) - 1)
-    windows = F.flatten(F.transform(F.when(F.size(s) > 0, index), lambda i: F.array(F.get(s, i), F.concat(F.get(s, i), F.lit(" "), F.get(s, i + 1)))))
-    kept = F.filter(windows, lambda w: w.isNotNull() & (F.length(w) <= most))
-    return df.select(*keys, F.posexplode(kept).alias("window_ord", "window"))
+    s = F.col("_sentences")  # a column of its own, so that it is split once a row
+    staged = df.select(*keys, sentences_of(F.col(text)).alias("_sentences")).where(F.size("_sentences") > 0)
+    pairs = F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.array(F.get(s, i), F.concat(F.get(s, i), F.lit(" "), F.get(s, i + 1))))
+    kept = F.filter(F.flatten(F.col("_pairs")), lambda w: w.isNotNull() & (F.length(w) <= most))
+    return staged.withColumn("_pairs", pairs).select(*keys, F.posexplode(kept).alias("window_ord", "window"))
 
 
 def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import with_quantity
+from ledgerloom.functions.numbers import with_shape
 from ledgerloom.functions.text import squeezed
-from ledgerloom.operators.ledger import unique_registry, unknown_items
+from ledgerloom.operators.ledger import unique_registry
 
 SEVERITIES = ("error", "warning", "info")
 #: Scopes that speak of one target, and words that speak of all.
@@ -17,60 +15,70 @@ TARGET_SCOPES = ("crop", "crop_phase", "phase", "phase_year", "class", "region",
 ALL_WORDS = r"\b(all|overall|every|across|pooled)\b"
 
 
-def issues(df: DataFrame, when: Column, code: str, severity: str, subject: str, field: str) -> DataFrame:
-    """Rows for which a condition holds, as issues ``(record, code, severity, field)``."""
-    return df.where(F.coalesce(when, F.lit(False))).select(F.col(subject).cast("bigint").alias("record"), F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit(field).alias("field"))
+def issues(df: DataFrame, subject: str, rules: list[tuple[Column, str, str, str]]) -> DataFrame:
+    """All issues of a frame in one pass: ``(record, code, severity, field)``.
+
+    A rule is (condition, code, severity, field); a condition that is null didn't fire.
+    """
+    fired = F.array(*[F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit(field).alias("field"))) for when, code, severity, field in rules])
+    found = df.select(F.col(subject).cast("bigint").alias("record"), F.filter(fired, lambda x: x.isNotNull()).alias("_fired"))
+    return found.where(F.size("_fired") > 0).select("record", F.inline("_fired"))
 
 
-def quantity_rules(ledger: DataFrame) -> list[DataFrame]:
-    """Conflicts between what a metric reports and its summary."""
-    rows = with_quantity(with_quantity(ledger.select("metric_id", "as_reported", "value_or_summary"), "as_reported", "r"), "value_or_summary", "s")
-    digits = F.col("as_reported").rlike("[0-9]")
+def quantity_rules(ledger: DataFrame) -> tuple[DataFrame, list[tuple]]:
+    """Conflicts between what a metric reports and its summary: the rows to ask, the rules."""
+    rows = with_shape(with_shape(ledger, "as_reported", "_r"), "value_or_summary", "_s")
+    at = lambda p, k: F.get(F.col(f"{p}n"), F.lit(k))
+    # a range in descending order is text; other shapes compare by number and bounds
+    text = lambda p: (F.col(f"{p}code") == "tx") | ((F.col(f"{p}code") == "rg") & (at(p, 0) > at(p, 1))) | ((F.col(f"{p}code") == "er") & (at(p, 1) > at(p, 2)))
+    key = lambda p: F.when(F.col(f"{p}code") == "rg", F.concat(F.lit("range "), F.array_join(F.col(f"{p}n").cast("array<string>"), " "))).when(F.col(f"{p}code") == "er", F.array_join(F.col(f"{p}n").cast("array<string>"), " ")).otherwise(at(p, 0).cast("string"))
     unlike = squeezed(F.col("as_reported")) != squeezed(F.col("value_or_summary"))
-    differs = [~F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("numeric_value", "lower_bound", "upper_bound")]
-    both = (F.col("r.kind") != "text_summary") & (F.col("s.kind") != "text_summary")
-    return [
-        issues(rows, digits & (F.col("r.kind") == "text_summary"), "QUANTITATIVE_VALUE_NOT_STRUCTURED", "warning", "metric_id", "as_reported"),
-        issues(rows, unlike, "QUANTITATIVE_AS_REPORTED_MISMATCH", "error", "metric_id", "value_or_summary"),
-        issues(rows, both & (differs[0] | differs[1] | differs[2]), "QUANTITATIVE_VALUE_DISPLAY_CONFLICT", "error", "metric_id", "value_or_summary"),
+    return rows, [
+        (F.col("as_reported").rlike("[0-9]") & text("_r"), "QUANTITATIVE_VALUE_NOT_STRUCTURED", "warning", "as_reported"),
+        (unlike, "QUANTITATIVE_AS_REPORTED_MISMATCH", "error", "value_or_summary"),
+        (~text("_r") & ~text("_s") & (key("_r") != key("_s")), "QUANTITATIVE_VALUE_DISPLAY_CONFLICT", "error", "value_or_summary"),
     ]
 
 
-def scope_rules(ledger: DataFrame) -> list[DataFrame]:
+def scope_rules() -> list[tuple]:
     """Contradictions between a metric's scope and the label of its target."""
     label, scope = F.trim("scope_label"), F.col("scope")
     blank = label.isNull() | (label == "")
     target = scope.isin(*TARGET_SCOPES)
     year = label.rlike(r"\b(19|20)[0-9]{2}\b")
     return [
-        issues(ledger, ~blank & label.rlike("[;|]"), "METRIC_SCOPE_LABEL_MULTIPLE_TARGETS", "error", "metric_id", "scope_label"),
-        issues(ledger, ~blank & target & F.lower(label).rlike(ALL_WORDS), "METRIC_SCOPE_LABEL_CONTRADICTS_SCOPE", "error", "metric_id", "scope_label"),
-        issues(ledger, blank & target, "METRIC_SCOPE_LABEL_MISSING", "warning", "metric_id", "scope_label"),
-        issues(ledger, (scope == "phase_year") & ~F.coalesce(year, F.lit(False)), "PHASE_YEAR_SCOPE_WITHOUT_YEAR", "warning", "metric_id", "scope_label"),
-        issues(ledger, (F.col("evaluation_support") == "unknown") & F.lower("name").rlike(r"\b(interval|picp|piw|coverage)\b"), "INTERVAL_METRIC_EVALUATION_SUPPORT_UNKNOWN", "warning", "metric_id", "evaluation_support"),
+        (~blank & label.rlike("[;|]"), "METRIC_SCOPE_LABEL_MULTIPLE_TARGETS", "error", "scope_label"),
+        (~blank & target & F.lower(label).rlike(ALL_WORDS), "METRIC_SCOPE_LABEL_CONTRADICTS_SCOPE", "error", "scope_label"),
+        (blank & target, "METRIC_SCOPE_LABEL_MISSING", "warning", "scope_label"),
+        ((scope == "phase_year") & ~F.coalesce(year, F.lit(False)), "PHASE_YEAR_SCOPE_WITHOUT_YEAR", "warning", "scope_label"),
+        ((F.col("evaluation_support") == "unknown") & F.lower("name").rlike(r"\b(interval|picp|piw|coverage)\b"), "INTERVAL_METRIC_EVALUATION_SUPPORT_UNKNOWN", "warning", "evaluation_support"),
     ]
 
 
-def locator_rules(evidence: DataFrame, registry: DataFrame) -> list[DataFrame]:
-    """Evidence whose locators contradict its authored item, or whose item is unknown."""
-    items = unique_registry(registry).select("bundle_id", "source_item_id", "item_type", *[F.col(c).alias(f"_{c}") for c in ("source_page", "source_location", "section_hint")])
-    rows = evidence.join(items, ["bundle_id", "source_item_id"])
-    own = F.when(F.col("item_type") == "table", "author_table").when(F.col("item_type") == "figure", "author_figure").when(F.col("item_type") == "formula", "author_formula")
+def locator_rules(evidence: DataFrame, registry: DataFrame) -> tuple[DataFrame, list[tuple]]:
+    """Evidence whose locators contradict its authored item, or whose item is unknown; a
+    bundle without any registry is not judged for unknown items."""
+    fields = ("item_type", "source_page", "source_location", "section_hint")
+    items = unique_registry(registry).select("bundle_id", "source_item_id", *[F.col(c).alias(f"_{c}") for c in fields])
+    some = registry.select("bundle_id").distinct().withColumn("_some", F.lit(True))
+    rows = evidence.join(items, ["bundle_id", "source_item_id"], "left").join(some, "bundle_id", "left")
+    known = F.col("_item_type").isNotNull()
     about = F.col("source_modality").isin("author_table", "author_figure", "author_formula")
-    return [
-        issues(unknown_items(evidence, registry), F.lit(True), "SOURCE_ITEM_ID_UNKNOWN", "error", "evidence_id", "source_item_id"),
-        issues(rows, about & (F.col("source_modality") != own), "SOURCE_ITEM_MODALITY_MISMATCH", "error", "evidence_id", "source_modality"),
-        issues(rows, F.col("source_page") != F.col("_source_page"), "SOURCE_ITEM_PAGE_MISMATCH", "error", "evidence_id", "source_page"),
-        issues(rows, F.col("source_location") != F.col("_source_location"), "SOURCE_ITEM_LOCATION_MISMATCH", "error", "evidence_id", "source_location"),
-        issues(rows, F.col("source_section") != F.col("_section_hint"), "SOURCE_ITEM_SECTION_MISMATCH", "error", "evidence_id", "source_section"),
-        issues(evidence, (F.col("evidence_type") == "explicit") & F.coalesce(F.col("source_page").cast("string"), "source_item_id", "source_section").isNull(), "EXPLICIT_EVIDENCE_WEAK_LOCATOR", "warning", "evidence_id", "source_page"),
+    return rows, [
+        (F.col("source_item_id").isNotNull() & F.col("_some") & ~known, "SOURCE_ITEM_ID_UNKNOWN", "error", "source_item_id"),
+        (about & (F.col("source_modality") != F.concat(F.lit("author_"), F.col("_item_type"))), "SOURCE_ITEM_MODALITY_MISMATCH", "error", "source_modality"),
+        (F.col("source_page") != F.col("_source_page"), "SOURCE_ITEM_PAGE_MISMATCH", "error", "source_page"),
+        (F.col("source_location") != F.col("_source_location"), "SOURCE_ITEM_LOCATION_MISMATCH", "error", "source_location"),
+        (F.col("source_section") != F.col("_section_hint"), "SOURCE_ITEM_SECTION_MISMATCH", "error", "source_section"),
+        ((F.col("evidence_type") == "explicit") & F.coalesce(F.col("source_page").cast("string"), "source_item_id", "source_section").isNull(), "EXPLICIT_EVIDENCE_WEAK_LOCATOR", "warning", "source_page"),
     ]
 
 
 def all_issues(ledger: DataFrame, evidence: DataFrame, registry: DataFrame) -> DataFrame:
-    """Every rule in its order, or one info row if none fired."""
-    rules = quantity_rules(ledger) + scope_rules(ledger) + locator_rules(evidence, registry)
-    found = reduce(DataFrame.unionByName, [r.withColumn("rule_ord", F.lit(k)) for k, r in enumerate(rules)])
+    """Every rule in one pass over each relation, or one info row if none fired."""
+    rows, quantity = quantity_rules(ledger)
+    placed, locators = locator_rules(evidence, registry)
+    found = issues(rows, "metric_id", quantity + scope_rules()).unionByName(issues(placed, "evidence_id", locators))
     none = found.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
-    clean = none.select(F.lit(None).cast("bigint").alias("record"), F.lit("NO_DETERMINISTIC_ISSUES").alias("code"), F.lit("info").alias("severity"), F.lit(None).cast("string").alias("field"), F.lit(len(rules)).alias("rule_ord"))
+    clean = none.select(F.lit(None).cast("bigint").alias("record"), F.lit("NO_DETERMINISTIC_ISSUES").alias("code"), F.lit("info").alias("severity"), F.lit(None).cast("string").alias("field"))
     return found.unionByName(clean)

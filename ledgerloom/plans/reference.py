@@ -21,8 +21,8 @@ def parse_quantity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quantity_conflict_issues(spark: SparkSession, d: str) -> DataFrame:
-    found = rules.quantity_rules(table(spark, d, "ledger_metric"))
-    return found[0].unionByName(found[1]).unionByName(found[2]).groupBy("code", "severity").agg(F.count(F.lit(1)).alias("issues"))
+    rows, checks = rules.quantity_rules(table(spark, d, "ledger_metric"))
+    return rules.issues(rows, "metric_id", checks).groupBy("code", "severity").agg(F.count(F.lit(1)).alias("issues"))
 
 
 def number_identity(spark: SparkSession, d: str) -> DataFrame:
@@ -60,11 +60,7 @@ def issue_catalogue(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scope_issues(spark: SparkSession, d: str) -> DataFrame:
-    frames = rules.scope_rules(table(spark, d, "ledger_metric"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("record", "code")
+    return rules.issues(table(spark, d, "ledger_metric"), "metric_id", rules.scope_rules()).select("record", "code")
 
 
 def table_unpivot(spark: SparkSession, d: str) -> DataFrame:
