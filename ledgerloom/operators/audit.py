@@ -6,7 +6,6 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -34,9 +33,10 @@ def table_quality(tables: DataFrame) -> DataFrame:
 
 def strongest(queue: DataFrame, keys: list[str], strength: dict[str, int], status: str, order: str) -> DataFrame:
     """The strongest entry of each key, the first of equals (D3)."""
-    rank = F.create_map(*[F.lit(x) for kv in strength.items() for x in kv])[F.col(status)]
-    w = W.partitionBy(*keys).orderBy(F.desc(F.coalesce(rank, F.lit(0))), order)
-    return queue.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    rank = F.coalesce(F.create_map(*[F.lit(x) for kv in strength.items() for x in kv])[F.col(status)], F.lit(0))
+    rest = [c for c in queue.columns if c not in keys]
+    best = F.min_by(F.struct(*rest), F.struct(-rank, F.col(order)))
+    return queue.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*queue.columns)
 
 
 def similarity(a: str | None, b: str | None) -> float:
@@ -88,3 +88,39 @@ def match_captions(captions: DataFrame, items: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["doc_id", "caption_ord", "item_id", "score", "reason"])
 
     return captions.groupBy("doc_id").cogroup(items.groupBy("doc_id")).applyInPandas(assign, _MATCH)
+
+
+#: Order of priorities in a queue.
+PRIORITY_RANK = {"high": 0, "medium": 1, "low": 2}
+STRENGTH = {"required": 3, "recommended": 2, "review": 1}
+
+
+def recovery_queue(registry: DataFrame) -> DataFrame:
+    """What of a registry asks for recovery (J14): one producer each for items without a
+    caption, page or section, united and reduced to the strongest entry of an item (D3)."""
+    entry = lambda when, status, priority, reason: F.when(when, F.struct(F.lit(status).alias("status"), F.lit(priority).alias("priority"), F.lit(reason).alias("reason")))
+    table_ = F.col("item_type") == "table"
+    entries = F.array(
+        entry(table_ & F.col("caption").isNull(), "required", "high", "table_without_caption"),
+        entry(~table_ & F.col("caption").isNull(), "recommended", "medium", "item_without_caption"),
+        entry(F.col("source_page").isNull(), "review", "medium", "page_unknown"),
+        entry(F.col("section_hint").isNull(), "review", "low", "section_unknown"),
+    )
+    asked = registry.select("bundle_id", "source_item_id", "item_type", F.posexplode(F.filter(entries, lambda e: e.isNotNull())).alias("ord", "e")).select("bundle_id", "source_item_id", "item_type", "ord", "e.*")
+    return strongest(asked, ["bundle_id", "source_item_id"], STRENGTH, "status", "ord").drop("ord")
+
+
+def selected_items(queue: DataFrame, ids: list[str] | None = None, statuses: list[str] | None = None, priorities: list[str] | None = None, types: list[str] | None = None) -> DataFrame:
+    """Queue items to recover (F1): named ids go past every other filter."""
+    if ids:
+        return queue.where(F.col("source_item_id").isin(*ids))
+    for column, wanted in (("status", statuses), ("priority", priorities), ("item_type", types)):
+        if wanted:
+            queue = queue.where(F.col(column).isin(*wanted))
+    return queue
+
+
+def in_queue_order(queue: DataFrame) -> DataFrame:
+    """A queue by priority, type and id."""
+    rank = F.create_map(*[F.lit(x) for kv in PRIORITY_RANK.items() for x in kv])[F.col("priority")]
+    return queue.orderBy(rank, "item_type", "bundle_id", "source_item_id")

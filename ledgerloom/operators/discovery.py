@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.metrics import family, identity
-from ledgerloom.functions.text import squeezed
+from ledgerloom.functions.text import squeezed, stems
 from ledgerloom.operators.nested import read_record
 
 #: A name, a relation and what it relates to; the name is what stands before the relation.
@@ -130,3 +130,19 @@ def with_cached(items: DataFrame, cache: DataFrame, keys: list[str]) -> tuple[Da
     """Items already answered, with their answer, and those still to send (an adapter's
     cache): keys decide, null keys are never cached."""
     return items.join(cache, keys), items.join(cache.select(*keys).distinct(), keys, "left_anti")
+
+
+def guardrail_coverage(items: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Whether statements are taken up by the text of their key.
+
+    ``items`` has the keys, ``item_id`` and ``text``; ``texts`` the keys and ``text``.  Of
+    an item's stems those count that no other item of the key has, if there are two or
+    more, else all; covered are items of which two counting stems occur in the text.
+    """
+    mine = items.select(*keys, "item_id", F.explode(stems(F.col("text"))).alias("stem"))
+    df = mine.groupBy(*keys, "stem").agg(F.count(F.lit(1)).alias("df"))
+    theirs = texts.select(*keys, F.explode(stems(F.col("text"))).alias("stem")).distinct().withColumn("there", F.lit(1))
+    joined = mine.join(df, [*keys, "stem"]).join(theirs, [*keys, "stem"], "left")
+    hit, rare = F.col("there").isNotNull(), F.col("df") == 1
+    counted = joined.groupBy(*keys, "item_id").agg(F.count_if(rare).alias("rare"), F.count_if(rare & hit).alias("rare_hits"), F.count_if(hit).alias("hits"))
+    return counted.select(*keys, "item_id", (F.when(F.col("rare") >= 2, F.col("rare_hits")).otherwise(F.col("hits")) >= 2).alias("covered"))

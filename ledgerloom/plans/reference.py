@@ -351,6 +351,16 @@ def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
     return streams.run_once(counts, "complete").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
+def recovery_queue(spark: SparkSession, d: str) -> DataFrame:
+    return audit.in_queue_order(audit.recovery_queue(ledger.unique_registry(table(spark, d, "registry_item"))))
+
+
+def guardrail_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Quotations of a bundle taken up by its documents."""
+    items = table(spark, d, "evidence").where("source_text is not null").select("bundle_id", F.col("evidence_id").alias("item_id"), F.col("source_text").alias("text"))
+    return discovery.guardrail_coverage(items, table(spark, d, "documents").select("bundle_id", "text"), ["bundle_id"])
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -358,5 +368,6 @@ NAMES = [
     bundle_gate, quality_summary, text_chunks, evidence_first_wins, hints_per_item, focus_groups, distinct_locations, peer_targets, portable_paths, page_statistics, terminology,
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
+    recovery_queue, guardrail_coverage,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

@@ -112,6 +112,7 @@ def _portable(path: str) -> str:
     return f"""CASE WHEN {path} IS NULL OR trim({path}) = '' THEN {path} WHEN NOT regexp_matches({plain}, '^(/|[A-Za-z]:/)') THEN {plain}
       WHEN starts_with({plain}, {home}) THEN substr({plain}, length({home}) + 1) ELSE regexp_extract({plain}, '([^/]*)/*$', 1) END"""
 
+_STEMS = "list_distinct(list_transform(list_filter(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+'), lambda w: length(w) >= 5), lambda w: substr(w, 1, 7)))"
 
 SQL = {
     "parse_quantity": f"SELECT * FROM {_quantity('ledger_metric', 'metric_id', 'as_reported', 'name')}",
@@ -213,4 +214,13 @@ SQL = {
     "bundle_digest": f"SELECT bundle_id, sha256(string_agg(caption, chr(10) || chr(10) ORDER BY source_item_id)) AS sha256 FROM {_REGISTRY} WHERE caption IS NOT NULL GROUP BY ALL",
     "stream_last_event": "SELECT user_id, arg_max(event_id, ts) AS event_id, arg_max(event_type, ts) AS event_type FROM events GROUP BY ALL",
     "stream_hourly_counts": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+    "recovery_queue": f"""SELECT bundle_id, source_item_id, item_type, status, priority, reason FROM (SELECT *, row_number() OVER (PARTITION BY bundle_id, source_item_id ORDER BY k) AS n FROM (
+        SELECT *, 0 AS k, 'required' AS status, 'high' AS priority, 'table_without_caption' AS reason FROM {_REGISTRY} WHERE item_type = 'table' AND caption IS NULL
+        UNION ALL SELECT *, 1, 'recommended', 'medium', 'item_without_caption' FROM {_REGISTRY} WHERE item_type <> 'table' AND caption IS NULL
+        UNION ALL SELECT *, 2, 'review', 'medium', 'page_unknown' FROM {_REGISTRY} WHERE source_page IS NULL
+        UNION ALL SELECT *, 3, 'review', 'low', 'section_unknown' FROM {_REGISTRY} WHERE section_hint IS NULL)) WHERE n = 1""",
+    "guardrail_coverage": f"""WITH m AS (SELECT bundle_id, evidence_id AS item_id, unnest({_STEMS.format(x='source_text')}) AS stem FROM evidence WHERE source_text IS NOT NULL),
+        d AS (SELECT bundle_id, stem, count(*) AS df FROM m GROUP BY ALL), t AS (SELECT DISTINCT bundle_id, unnest({_STEMS.format(x='text')}) AS stem FROM documents),
+        c AS (SELECT bundle_id, item_id, count(*) FILTER (df = 1) AS rare, count(*) FILTER (df = 1 AND t.stem IS NOT NULL) AS rare_hits, count(*) FILTER (t.stem IS NOT NULL) AS hits FROM m JOIN d USING (bundle_id, stem) LEFT JOIN t USING (bundle_id, stem) GROUP BY ALL)
+        SELECT bundle_id, item_id, CASE WHEN rare >= 2 THEN rare_hits ELSE hits END >= 2 AS covered FROM c""",
 }
