@@ -142,3 +142,10 @@ def replaced_terms(text: Column, terms: list[tuple[str, str]]) -> Column:
 def markdown_cell(text: Column) -> Column:
     """A cell with bars escaped and line breaks as spaces."""
     return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), r"[\r\n]+", " ")
+
+
+def single_target(label: Column) -> Column:
+    """A scope label without what is listed after it (X17): the tail after a semicolon, bar
+    or comma, and a tail that only names metrics."""
+    head = F.trim(F.regexp_replace(label, r"\s*(;|\||,).*$", ""))
+    return F.trim(F.regexp_replace(head, r"(?i)\s+and\s+(mae|rmse|bias|error|accuracy)s?$", ""))

@@ -62,3 +62,28 @@ def compact_groups(hints: DataFrame, keys: list[str], name: str, order: str, lea
     """Hints of one item and target together, their names in order."""
     names = F.transform(F.array_sort(F.collect_list(F.struct(order, name))), lambda x: x[name])
     return hints.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_join(names, "; ").alias("names")).where(F.col("n") >= least)
+
+
+def registry_of(tables: DataFrame) -> DataFrame:
+    """Registry rows of recovered tables (C1), their location from the caption's number."""
+    number = F.regexp_extract("caption", r"^Table ([0-9]+)", 1)
+    place = F.when(number != "", F.concat(F.lit("Table "), number)).otherwise(F.regexp_replace("source_item_id", "^tbl_0*", "Table "))
+    return tables.select("bundle_id", "source_item_id", F.lit("table").alias("item_type"), F.col("source_page").cast("int").alias("source_page"), place.alias("source_location"), "caption")
+
+
+def prose_hints(windows: DataFrame, text: str, pattern: str) -> DataFrame:
+    """Windows that name a metric and hold a number (C4), and whether they sum up."""
+    low = F.lower(F.col(text))
+    return windows.where(low.rlike(pattern) & low.rlike("[0-9]")).withColumn("summary", low.rlike(r"\b(median|mean|average|overall|respectively)\b|±"))
+
+
+def sections_under(lines: DataFrame, keys: list[str], pattern: str) -> DataFrame:
+    """Sections whose heading matches (W2, C6): each runs to the next heading of its level
+    or a higher one; nested matches give a section each.
+
+    ``(keys, start, title, end)`` by line numbers, end exclusive and null at the text's end.
+    """
+    heads = lines.where(F.col("line").rlike(r"^#+ ")).select(*keys, "line_no", F.length(F.regexp_extract("line", "^(#+)", 1)).alias("level"), F.trim(F.regexp_replace("line", r"^#+ ", "")).alias("title"))
+    mine = heads.where(F.lower("title").rlike(pattern)).select(*keys, F.col("line_no").alias("start"), F.col("level").alias("own"), "title")
+    after = F.when((F.col("line_no") > F.col("start")) & (F.col("level") <= F.col("own")), F.col("line_no"))
+    return mine.join(heads.select(*keys, "line_no", "level"), keys).groupBy(*keys, "start", "title").agg(F.min(after).alias("end"))

@@ -174,3 +174,27 @@ def token_overlap_pairs(df: DataFrame, keys: list[str], id_col: str, token_col:
     score = F.size(F.array_intersect("ta", "tb")) / F.size(F.array_union("ta", "tb"))
     scored = pairs.withColumn("jaccard", score).where(F.col("jaccard") >= least)
     return scored.groupBy(*keys, "a", "b").agg(F.max("jaccard").alias("jaccard"))
+
+
+def filled_by_consensus(df: DataFrame, keys: list[str], field: str, id_col: str) -> DataFrame:
+    """Gaps of a field filled where its key agrees on one value (M13); ``filled`` says so.
+
+    The consensus is one row a key, joined back; stated values are never changed.
+    """
+    agreed = df.where(F.col(field).isNotNull()).groupBy(*keys).agg(F.countDistinct(field).alias("_n"), F.min(field).alias("_v")).where("_n = 1").drop("_n")
+    joined = df.join(agreed, keys, "left")
+    return joined.select(id_col, F.coalesce(F.col(field), F.col("_v")).alias(field), (F.col(field).isNull() & F.col("_v").isNotNull()).alias("filled"))
+
+
+def unrepresented(hints: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Hints that no row of their key with a shared target token and the same identity
+    represents (J5).
+
+    Both sides have the keys, ``identity`` and ``words`` (the target's tokens); tokens are
+    exploded and joined on equality.  A hint without tokens is compared by identity alone.
+    """
+    words = lambda df: F.explode(F.when(F.size("words") > 0, F.col("words")).otherwise(F.array(F.lit(""))))
+    there = rows.select(*keys, "identity", words(rows).alias("word")).unionByName(rows.select(*keys, "identity", F.lit("").alias("word"))).distinct()
+    mine = hints.select(*keys, "hint_id", "identity", words(hints).alias("word"))
+    met = mine.join(there, [*keys, "identity", "word"], "left_semi").select("hint_id").distinct()
+    return hints.join(met, "hint_id", "left_anti")

@@ -361,6 +361,58 @@ def guardrail_coverage(spark: SparkSession, d: str) -> DataFrame:
     return discovery.guardrail_coverage(items, table(spark, d, "documents").select("bundle_id", "text"), ["bundle_id"])
 
 
+METRIC_WORDS = r"\b(mae|rmse|bias|accuracy|correlation|coverage|likelihood|confidence band|estimator bias)\b"
+
+
+def registry_build(spark: SparkSession, d: str) -> DataFrame:
+    return candidates.registry_of(table(spark, d, "recovered_table"))
+
+
+def prose_hints(spark: SparkSession, d: str) -> DataFrame:
+    """Sentence windows of documents that speak of a metric with a number (C4)."""
+    windows = candidates.sentence_windows(table(spark, d, "documents"), ["doc_id"], "text")
+    return candidates.prose_hints(windows, "window", METRIC_WORDS).groupBy("doc_id").agg(F.count(F.lit(1)).alias("hints"), F.count_if("summary").alias("summaries"))
+
+
+def guardrail_sections(spark: SparkSession, d: str) -> DataFrame:
+    lines = candidates.lines_of(table(spark, d, "source_bundle").select("bundle_id", "text_for_llm"), ["bundle_id"], "text_for_llm")
+    return candidates.sections_under(lines, ["bundle_id"], "limitation|quality|discussion")
+
+
+def scope_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "ledger_metric").where("scope_label is not null")
+    return rows.select(text.single_target(F.col("scope_label")).alias("target"), "scope").groupBy("target", "scope").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unit_consensus(spark: SparkSession, d: str) -> DataFrame:
+    """Missing units filled where a bundle's metric agrees on one."""
+    rows = table(spark, d, "ledger_metric").where("name is not null").select("metric_id", "bundle_id", metrics.identity(F.col("name")).alias("identity"), "unit")
+    return ledger.filled_by_consensus(rows, ["bundle_id", "identity"], "unit", "metric_id")
+
+
+def batch_summary(spark: SparkSession, d: str) -> DataFrame:
+    """One row a package with the counts of its parts."""
+    out = table(spark, d, "source_bundle").select("bundle_id", "source_fidelity_status", "page_count")
+    for name in ("registry_item", "metric_hint", "evidence", "ledger_metric"):
+        counts = table(spark, d, name).groupBy("bundle_id").agg(F.count(F.lit(1)).alias(f"{name}s"))
+        out = out.join(counts, "bundle_id", "left").fillna(0, [f"{name}s"])
+    return out
+
+
+def metric_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Column names of recovered tables that look like metrics."""
+    names = rejects.judge_headers(table(spark, d, "recovered_table")).where("reason is null").select("table_id", F.explode("names").alias("name"))
+    return names.where(F.size(metrics.families(F.col("name"))) > 0).groupBy("name").agg(F.count(F.lit(1)).alias("tables"))
+
+
+def prose_unrepresented(spark: SparkSession, d: str) -> DataFrame:
+    """Prose hints without a ledger row of their metric that shares a word of the target."""
+    words = lambda c: F.array_distinct(text.tokens(F.coalesce(F.col(c), F.lit(""))))
+    hints = table(spark, d, "metric_hint").where("kind = 'prose_metric_candidate' and metric_name is not null").select("bundle_id", "hint_id", metrics.identity(F.col("metric_name")).alias("identity"), words("target").alias("words"))
+    rows = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", metrics.identity(F.col("name")).alias("identity"), words("scope_label").alias("words"))
+    return ledger.unrepresented(hints, rows, ["bundle_id"]).select("hint_id", "bundle_id", "identity")
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -368,6 +420,6 @@ NAMES = [
     bundle_gate, quality_summary, text_chunks, evidence_first_wins, hints_per_item, focus_groups, distinct_locations, peer_targets, portable_paths, page_statistics, terminology,
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
-    recovery_queue, guardrail_coverage,
+    recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

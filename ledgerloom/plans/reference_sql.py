@@ -223,4 +223,21 @@ SQL = {
         d AS (SELECT bundle_id, stem, count(*) AS df FROM m GROUP BY ALL), t AS (SELECT DISTINCT bundle_id, unnest({_STEMS.format(x='text')}) AS stem FROM documents),
         c AS (SELECT bundle_id, item_id, count(*) FILTER (df = 1) AS rare, count(*) FILTER (df = 1 AND t.stem IS NOT NULL) AS rare_hits, count(*) FILTER (t.stem IS NOT NULL) AS hits FROM m JOIN d USING (bundle_id, stem) LEFT JOIN t USING (bundle_id, stem) GROUP BY ALL)
         SELECT bundle_id, item_id, CASE WHEN rare >= 2 THEN rare_hits ELSE hits END >= 2 AS covered FROM c""",
+    "registry_build": """SELECT bundle_id, source_item_id, 'table' AS item_type, cast(source_page AS INTEGER) AS source_page, CASE WHEN regexp_matches(caption, '^Table [0-9]+') THEN 'Table ' || regexp_extract(caption, '^Table ([0-9]+)', 1)
+        ELSE regexp_replace(source_item_id, '^tbl_0*', 'Table ') END AS source_location, caption FROM recovered_table""",
+    "prose_hints": f"""WITH s AS (SELECT doc_id, {_SENTENCES} AS s FROM documents), w AS (SELECT doc_id, unnest(generate_series(1, len(s))) AS i, s FROM s),
+        v AS (SELECT doc_id, lower(s[i]) AS w FROM w UNION ALL SELECT doc_id, lower(s[i] || ' ' || s[i + 1]) FROM w WHERE i < len(s))
+        SELECT doc_id, count(*) AS hints, count(*) FILTER (regexp_matches(w, '\\b(median|mean|average|overall|respectively)\\b|±')) AS summaries FROM v
+        WHERE length(w) <= 1800 AND regexp_matches(w, '\\b(mae|rmse|bias|accuracy|correlation|coverage|likelihood|confidence band|estimator bias)\\b') AND regexp_matches(w, '[0-9]') GROUP BY doc_id""",
+    "guardrail_sections": f"""WITH h AS (SELECT bundle_id, line_no, length(regexp_extract(line, '^(#+)', 1)) AS level, trim(regexp_replace(line, '^#+ ', '')) AS title FROM {_LINES.format(k='bundle_id', t='text_for_llm', s='source_bundle')} WHERE regexp_matches(line, '^#+ '))
+        SELECT a.bundle_id, cast(a.line_no AS INTEGER) AS start, a.title, cast((SELECT min(b.line_no) FROM h b WHERE b.bundle_id = a.bundle_id AND b.line_no > a.line_no AND b.level <= a.level) AS INTEGER) AS end FROM h a WHERE regexp_matches(lower(a.title), 'limitation|quality|discussion')""",
+    "scope_labels": r"""SELECT trim(regexp_replace(trim(regexp_replace(scope_label, '\s*(;|\||,).*$', '')), '(?i)\s+and\s+(mae|rmse|bias|error|accuracy)s?$', '')) AS target, scope, count(*) AS n FROM ledger_metric WHERE scope_label IS NOT NULL GROUP BY ALL""",
+    "unit_consensus": f"""WITH r AS (SELECT metric_id, bundle_id, {_identity('name')} AS k, unit FROM ledger_metric WHERE name IS NOT NULL), c AS (SELECT bundle_id, k, min(unit) AS v FROM r WHERE unit IS NOT NULL GROUP BY ALL HAVING count(DISTINCT unit) = 1)
+        SELECT metric_id, coalesce(unit, v) AS unit, unit IS NULL AND v IS NOT NULL AS filled FROM r LEFT JOIN c USING (bundle_id, k)""",
+    "batch_summary": "SELECT bundle_id, source_fidelity_status, page_count, " + ", ".join(f"(SELECT count(*) FROM {t} x WHERE x.bundle_id = b.bundle_id) AS {t}s" for t in ("registry_item", "metric_hint", "evidence", "ledger_metric")) + " FROM source_bundle b",
+    "metric_headers": f"""SELECT name, count(*) AS tables FROM (SELECT unnest(list_transform(u, lambda c: trim(c))) AS name FROM {problems._HEADS} WHERE reason IS NULL AND len(list_filter(u, lambda c: trim(c) = '')) = 0
+        AND len(list_distinct(list_transform(u, lambda c: trim(c)))) = len(u)) WHERE len({_families('name')}) > 0 GROUP BY ALL""",
+    "prose_unrepresented": f"""WITH h AS (SELECT bundle_id, hint_id, {_identity('metric_name')} AS identity, {_tokens("coalesce(target, '')")} AS w FROM metric_hint WHERE kind = 'prose_metric_candidate' AND metric_name IS NOT NULL),
+        r AS (SELECT bundle_id, {_identity('name')} AS identity, {_tokens("coalesce(scope_label, '')")} AS w FROM ledger_metric WHERE name IS NOT NULL)
+        SELECT hint_id, bundle_id, identity FROM h WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.bundle_id = h.bundle_id AND r.identity = h.identity AND (len(h.w) = 0 OR list_has_any(r.w, h.w)))""",
 }
