@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerloom.functions.names import NameResolver
-from ledgerloom.session import cut, small_rows
+from ledgerloom.session import cut, small_rows, spread
 
 # What one of a unit is in the common unit of its dimension, and the common
 # unit's value at the unit's zero.
@@ -280,6 +280,10 @@ def with_metric(rows: DataFrame, reference: DataFrame, name_col: str = "name") -
     return rows.join(known, rows[name_col] == known["_name"], "left").drop("_name")
 
 
+HINT_COLUMNS = ("hint_id", "metric_name", "value", "unit_hint", "column_label", "excerpt", "caption")
+LEDGER_COLUMNS = ("metric_id", "name", "as_reported", "unit", "interpretation", "scope_label")
+
+
 def quantities(hints: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of both tables in one shape."""
     none = F.lit(None).cast("string")
@@ -332,7 +336,7 @@ def recorded_units(hints: DataFrame, ledger: DataFrame, reference: DataFrame, ca
     lower_bound, upper_bound, spread)``; the unit columns are null for rows without any.
     """
     spark = hints.sparkSession
-    named = named_units(with_metric(quantities(hints, ledger), reference))
+    named = named_units(with_metric(quantities(spread(hints.select(*HINT_COLUMNS)), spread(ledger.select(*LEDGER_COLUMNS))), reference))
     settled = source_graph(named, catalogue)
     codes = {r["unit_code"]: (r["dimension"], r["is_common"]) for r in small_rows(catalogue.where("unit_code is not null"), 5000, "the catalogue of units")}
     common = {d: c for c, (d, is_common) in codes.items() if is_common}

@@ -82,3 +82,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
     return str(shared)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer pieces than there are cores, as a table
+    in one small file has; at scale, where scans have many pieces, nothing is moved."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
