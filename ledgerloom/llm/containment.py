@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 _WORD = re.compile(r"[^\W_]+")
 _ids: dict[str, int] = {}
 
@@ -254,7 +256,7 @@ def leaked(docs: DataFrame, items: DataFrame, search: Search = Search()) -> Data
                 columns = [pa.array([r[k] for r in rows], pa.int64() if k < 2 else pa.float64()) for k in range(4)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "containment", "share"])
 
-        texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+        texts = spread(docs.select(F.col("doc_id").cast("bigint"), "text"))
         parts.append(texts.mapInArrow(run, "doc_id bigint, item_id bigint, containment double, share double"))
     if not parts:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, containment double, share double")

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 #: The field names of the records of this project's data.  Only a text whose
 #: comma-separated parts all begin with one of them is split at its commas.
 FIELD_NAMES = ("metric", "value", "crop", "previous crop", "site", "phase", "year", "depth")
@@ -98,7 +100,7 @@ def group_copies(
     # ASCII unit and record separators keep (a, null) apart from (null, a)
     beside = F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("\x1e")) for c in companions])
     rows = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("row_id"), F.col(text_col).alias("_text"), beside.alias("beside"))
-    rows = with_fields(rows, "_text", "fields", field_names).withColumn("_hashes", F.transform("fields", lambda x: F.xxhash64(x)))
+    rows = with_fields(spread(rows), "_text", "fields", field_names).withColumn("_hashes", F.transform("fields", lambda x: F.xxhash64(x)))
     low, high, size = multiset_lanes(F.col("_hashes"))
     rows = rows.select("row_id", "fields", "beside", low.alias("h0"), high.alias("h1"), size.alias("n"), F.xxhash64("beside").alias("h2"))
     key = ["h0", "h1", "n", "h2"]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerloom.session import cut, small_rows
+from ledgerloom.session import cut, small_rows, spread
 
 #: Where the vocabulary of the tokenizer is; a parameter, never copied.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -169,15 +169,15 @@ def draw_copies(docs: DataFrame, targets: DataFrame, total: float | None = None,
     asked = [(r["source"], float(r["target_share"]), int(r["max_repeats"])) for r in small_rows(targets.where("source is not null and target_share is not null"), most_sources, "the table of targets")]
     plan_of = docs.sparkSession.createDataFrame(asked or [("", 0.0, 0)], "source string, target_share double, max_repeats int")
     named = docs.join(F.broadcast(plan_of.select("source")), "source", "left_semi")  # as many rows as targets
-    counted = cut(count_tokens(named.select("source", "doc_id", "text"), vocabulary=vocabulary).select("source", "doc_id", "tokens"))
+    counted = cut(count_tokens(spread(named.select("source", "doc_id", "text")), vocabulary=vocabulary).select("source", "doc_id", "tokens"))
     available = {r[0]: r[1] for r in counted.groupBy("source").agg(F.sum("tokens")).collect()}  # one row a source
     plan = plan_shares(available, asked, total)
     copies = docs.sparkSession.createDataFrame([(s, float(p["copies"])) for s, p in plan.items()] or [("", 0.0)], "source string, x double")
-    spread = counted.join(F.broadcast(copies), "source").withColumn("copies", F.floor(F.col("x") + 1e-9).cast("bigint"))
-    spread = spread.withColumn("p", F.greatest(F.col("x") - F.col("copies"), F.lit(0.0)))
+    wide = counted.join(F.broadcast(copies), "source").withColumn("copies", F.floor(F.col("x") + 1e-9).cast("bigint"))
+    wide = wide.withColumn("p", F.greatest(F.col("x") - F.col("copies"), F.lit(0.0)))
     open_ = (F.col("p") > 1e-9) & (F.col("tokens") > 0)
-    whole = spread.where(~open_).select("source", "doc_id", "copies")
-    step = spread.where(open_).select("source", "doc_id", "tokens", "p", "copies", F.spark_partition_id().cast("bigint").alias("part"))
+    whole = wide.where(~open_).select("source", "doc_id", "copies")
+    step = wide.where(open_).select("source", "doc_id", "tokens", "p", "copies", F.spark_partition_id().cast("bigint").alias("part"))
     width = max(1, counted.rdd.getNumPartitions())
     parts, level = [whole], 0
     while True:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import small_rows
+from ledgerloom.session import small_rows, spread
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+|\s*\|\s*")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -222,7 +222,7 @@ def subjects_of(docs: DataFrame, labels: DataFrame, areas: DataFrame, fit: Fit =
                     shares.append(float(share[c]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(shares, pa.float64())], names=["doc_id", "subject", "share"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, subject string, share double")
+    return spread(docs.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(run, "doc_id bigint, subject string, share double")
 
 
 def composition(docs: DataFrame, labels: DataFrame, areas: DataFrame, fit: Fit = Fit()) -> DataFrame:
