@@ -116,17 +116,33 @@ def named_in_value(value: Column) -> Column:
 
 
 def named_in_label(label: Column) -> Column:
-    """A unit in brackets, after a comma or after ``in`` at a label's end."""
-    return spelling(F.regexp_extract(label, r"(?:\[|\(|, | in )([^\[\](),]+?)[\])]?\s*$", 1))
+    """A unit in brackets, after a comma or after ``in`` at a label's end; an ordinal in
+    round brackets after that is no part of it."""
+    bare = F.regexp_replace(label, r"(?:\s*\(\d+\))+\s*$", "")
+    return spelling(F.regexp_extract(bare, r"(?:\[|\(|, | in )([^\[\](),]+?)[\])]?\s*$", 1))
+
+
+#: The word is the unit, not a preposition, where no object can follow it.
+_INCH = r"in(?=\.|\s*(?:[(;,]|$)|\s+(?:was|were|is|are|for|in|on|at(?!\s+(?:least|most)\b))\s)"
+_AFTER = rf"^\s*+(?!(?:was|were|is|are|for|at|on)\b|(?!{_INCH})in\b)([^\s(;,.].*?)(?=\s+(?:was|were|is|are|for|in|at|on)\b|\s*[(;,]|\.?\s*$)"
 
 
 def named_in_excerpt(excerpt: Column, value: Column) -> Column:
-    """What follows the value in its sentence, or the value's first number if the unit
-    stands between that and its bounds."""
+    """What follows each occurrence of the value in its sentence, or of the value's first
+    number if the unit stands between that and its bounds; an array in their order.
+
+    An occurrence within another number or word is none.
+    """
     head = F.substring_index(value, " (", 1)
     told = F.when(excerpt.contains(value), value).when(excerpt.contains(head), head)
-    after = F.when(F.length(told) > 0, F.call_function("substring_index", excerpt, told, F.lit(-1)))
-    return spelling(F.regexp_extract(after, r"^\s*+(?!(?:was|were|is|are|for|in|at|on)\b)([^\s(;,.].*?)(?=\s+(?:was|were|is|are|for|in|at|on)\b|\s*[(;,]|\.?\s*$)", 1))
+    pieces = F.split(F.when(F.length(told) > 0, F.replace(excerpt, told, F.lit("\x01"))), "\x01")
+
+    def after(piece: Column, k: Column) -> Column:
+        apart = (k > 0) & ~F.get(pieces, k - 1).rlike(r"[\p{L}\d]$|\d[.,]$")
+        rest = F.when(k < F.size(pieces) - 1, F.concat(piece, told)).otherwise(piece)
+        return F.when(apart, spelling(F.regexp_extract(rest, _AFTER, 1)))
+
+    return F.transform(pieces, after)
 
 
 def named_in_text(text: Column) -> Column:
@@ -143,17 +159,19 @@ _PLAUSIBLE = r"^[\p{L}%‰°\"][\p{L}%‰°\"/.^ ·*\-0-9]{0,30}$"
 
 
 def named_units(rows: DataFrame) -> DataFrame:
-    """Add the spelling of each place a unit may be named in: ``at_value`` ... ``at_caption``."""
+    """Add the spelling of each place a unit may be named in: ``at_value`` ... ``at_caption``;
+    an excerpt may name several, ``at_excerpt`` is an array or null."""
 
     def plausible(c: Column) -> Column:
         return F.when(c.rlike(_PLAUSIBLE), c)
 
+    told = F.filter(named_in_excerpt(F.col("excerpt"), F.col("value")), lambda c: F.coalesce(c.rlike(_PLAUSIBLE), F.lit(False)))
     return rows.select(
         "*",
         plausible(named_in_value(F.col("value"))).alias("at_value"),
         plausible(spelling(F.col("unit"))).alias("at_unit"),
         plausible(named_in_label(F.col("label"))).alias("at_label"),
-        plausible(named_in_excerpt(F.col("excerpt"), F.col("value"))).alias("at_excerpt"),
+        F.when(F.size(told) > 0, told).alias("at_excerpt"),
         plausible(named_in_text(F.col("interpretation"))).alias("at_text"),
         plausible(named_in_caption(F.col("caption"))).alias("at_caption"),
     )
@@ -312,13 +330,14 @@ def source_graph(named: DataFrame, catalogue: DataFrame, most_spellings: int = 2
     codes = small_rows(catalogue.where("unit_code is not null"), 5000, "the catalogue of units")
     dimension = {r["unit_code"]: r["dimension"] for r in codes}
     common = {r["dimension"]: r["unit_code"] for r in codes if r["is_common"]}
-    said = F.coalesce(*[F.col(p) for p in PLACES], F.when(F.col("quantity_kind") == "variable", F.col("at_caption")))
+    one = lambda c: F.when(c.isNotNull(), F.array(c))
+    said = F.coalesce(*[F.col(p) if p == "at_excerpt" else one(F.col(p)) for p in PLACES], one(F.when(F.col("quantity_kind") == "variable", F.col("at_caption"))))
     values = parsed(F.col("value"))
     centre = F.coalesce(values["number"], (values["lower_bound"] + values["upper_bound"]) / 2)
     level = F.coalesce(F.col("family") == "level", F.lit(False))
     # a fraction has the same scale whatever its variable is
     entity = F.when(F.col("quantity_kind") == "variable", F.concat_ws("|", "metric_key", "variable")).when(F.col("quantity_kind") == "fraction", F.col("metric_key"))
-    linked = named.select(said.alias("spelling"), entity.alias("entity"), level.alias("level"), centre.alias("x")).where("spelling is not null")
+    linked = named.select(F.explode(said).alias("spelling"), entity.alias("entity"), level.alias("level"), centre.alias("x"))
     unlinked = F.coalesce(F.col("entity"), F.lit(""))
     groups = linked.groupBy("spelling", unlinked.alias("entity"), "level").agg(F.percentile_approx("x", 0.5, 1000).alias("centre"), F.count(F.lit(1)).alias("n"))
     robust = F.when((F.col("entity") != "") & (F.col("n") > 2) & F.col("centre").isNotNull(), F.struct("entity", "level", "centre", "n"))
@@ -344,6 +363,8 @@ def recorded_units(hints: DataFrame, ledger: DataFrame, reference: DataFrame, ca
     known = F.create_map(*[F.lit(v) for r in rows for v in (r[0], r[1])]) if rows else F.create_map().cast("map<string,string>")
 
     def code(c: str) -> Column:
+        if c == "at_excerpt":  # the first that is a unit
+            return F.get(F.filter(F.transform(c, lambda x: known[x]), lambda x: x.isNotNull()), F.lit(0))
         return known[F.col(c)]
 
     unit = F.coalesce(*[code(p) for p in PLACES], F.when(F.col("quantity_kind") == "variable", code("at_caption")))

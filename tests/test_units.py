@@ -54,6 +54,21 @@ def test_first_place_that_names_a_unit_wins(spark, frames):
     assert [got[k]["unit_code"] for k in range(12)] == ["h", "d", "min", "h", "wk", None, None, None, "wk", None, None, "h"]
 
 
+def test_inches_ordinals_and_repeated_numbers(spark, frames):
+    got = run(
+        spark, frames,
+        {"metric_name": "MAE", "value": "6.5", "excerpt": "MAE of 6.5 in. was found for oat mixture."},
+        {"metric_name": "MAE", "value": "1.80", "excerpt": "We obtain MAE = 1.80 in. (oat mixture)."},
+        {"metric_name": "MAE", "value": "0.72 (0.53–0.92)", "excerpt": "MAE reached 0.72 in (0.53–0.92) for faba bean."},
+        {"metric_name": "MAE", "value": "5", "excerpt": "MAE of 5 in 5 fields."},
+        {"metric_name": "MAE", "value": "5", "column_label": "Result (weeks) (3)"},
+        {"metric_name": "MAE", "value": "5", "column_label": "All sites [hours] (2)"},
+        {"metric_name": "MAE", "value": "0.08", "excerpt": "MAE of 0.08 metres (0.06-0.08) was found."},
+        {"metric_name": "MAE", "value": "5", "excerpt": "MAE of 5 hours was found at 15 d."},
+    )
+    assert [got[k]["unit_code"] for k in range(8)] == ["in", "in", "in", None, "wk", "h", "m", "h"]
+
+
 def test_values_in_the_common_unit(spark, frames):
     got = run(
         spark, frames,
