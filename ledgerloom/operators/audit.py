@@ -39,12 +39,15 @@ def strongest(queue: DataFrame, keys: list[str], strength: dict[str, int], statu
     return queue.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*queue.columns)
 
 
+def _plain(text: str) -> str:
+    return " ".join("".join(c if c.isalnum() else " " for c in text.lower()).split())
+
+
 def similarity(a: str | None, b: str | None) -> float:
     """Ratcliff-Obershelp ratio of two squeezed captions; null is like nothing."""
     if a is None or b is None:
         return 0.0
-    x, y = (" ".join("".join(c if c.isalnum() else " " for c in t.lower()).split()) for t in (a, b))
-    return SequenceMatcher(None, x, y).ratio()
+    return SequenceMatcher(None, _plain(a), _plain(b)).ratio()
 
 
 @F.pandas_udf(DoubleType())
@@ -52,42 +55,73 @@ def caption_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b)])
 
 
-_MATCH = "doc_id bigint, caption_ord int, item_id string, score double, reason string"
-
-
 def match_captions(captions: DataFrame, items: DataFrame) -> DataFrame:
     """One-to-one matches of captions to items of a document (J10), greedy in order.
 
     Captions (doc_id, caption_ord, number, page, caption) take, of the items (doc_id,
-    item_id, number, page, caption) still free, the one of their number; else the only one
-    on their page; else the most similar on their page (0.35 or more); else the most
-    similar of all (0.82 or more).  Different explicit numbers never match.  Documents
-    are co-grouped; a document is one package and fits a task.
+    item_id, number, page, caption) still free, the one of their number, of several the one
+    on their page and most similar; else the only one on their page; else the most similar
+    on their page (0.35 or more); else the most similar of all (0.82 or more).  Different
+    explicit numbers never match, an unknown page is nobody's page.  If both sides have a
+    ``kind``, only items of the caption's kind are its; if captions have a ``line_no``, it
+    is part of their order and of the result.  Documents are co-grouped; a document is one
+    package and fits a task.
     """
+    keys = ["doc_id"] + [c for c in ("kind",) if c in captions.columns and c in items.columns]
+    order = ["caption_ord"] + [c for c in ("line_no",) if c in captions.columns]
+    kinds = dict(captions.dtypes)
+    schema = ", ".join(["doc_id bigint", *[f"{c} {kinds[c]}" for c in order], "item_id string", "score double", "reason string"])
 
     def assign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        free = right.sort_values("item_id").to_dict("records")
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=["doc_id", *order, "item_id", "score", "reason"])
+        known = lambda v: None if pd.isna(v) else v
+        rows = right.sort_values("item_id").to_dict("records")
+        plain = [None if pd.isna(i["caption"]) else _plain(i["caption"]) for i in rows]
+        free = dict.fromkeys(range(len(rows)))
+        unnumbered = dict.fromkeys(k for k, i in enumerate(rows) if pd.isna(i["number"]))
+        by_number: dict = {}
+        by_page: dict = {}
+        for k, i in enumerate(rows):
+            by_number.setdefault(known(i["number"]), []).append(k)
+            by_page.setdefault(known(i["page"]), []).append(k)
+
+        def best(caption: str | None, among: list[int], least: float) -> tuple[float, int] | None:
+            found = None
+            for k in among if caption is not None else ():
+                if plain[k] is None:
+                    continue
+                m = SequenceMatcher(None, caption, plain[k])
+                # both are bounds from above, and cheap
+                if min(m.real_quick_ratio(), m.quick_ratio()) >= (found[0] if found else least):
+                    r = m.ratio()
+                    if r >= least and (found is None or r > found[0]):
+                        found = r, k
+            return found
+
         out = []
-        for c in left.sort_values("caption_ord").to_dict("records"):
-            number = None if pd.isna(c["number"]) else c["number"]
-            able = [i for i in free if pd.isna(i["number"]) or number is None or i["number"] == number]
-            exact = [i for i in able if number is not None and i["number"] == number]
-            page = [i for i in able if i["page"] == c["page"]]
+        for c in left.sort_values(order).to_dict("records"):
+            number, page = known(c["number"]), known(c["page"])
+            text = None if pd.isna(c["caption"]) else _plain(c["caption"])
+            exact = [k for k in by_number.get(number, ()) if k in free] if number is not None else []
+            able = free if number is None else unnumbered
+            near = [k for k in by_page.get(page, ()) if k in able] if page is not None else []
             if exact:
-                pick = exact[0], 1.0, "number"
-            elif len(page) == 1:
-                pick = page[0], 0.9, "only_on_page"
+                here = [k for k in exact if page is not None and known(rows[k]["page"]) == page] or exact
+                pick = here[0] if len(here) == 1 else (best(text, here, 0.0) or (0.0, here[0]))[1], 1.0, "number"
+            elif len(near) == 1:
+                pick = near[0], 0.9, "only_on_page"
             else:
-                scored = sorted(((-similarity(c["caption"], i["caption"]), k) for k, i in enumerate(able)))
-                near = [(s, k) for s, k in scored if able[k]["page"] == c["page"] and -s >= 0.35] or [(s, k) for s, k in scored if -s >= 0.82]
-                if not near:
+                found = best(text, near, 0.35) or best(text, list(able), 0.82)
+                if found is None:
                     continue
-                pick = able[near[0][1]], -near[0][0], "similar"
-            out.append((c["doc_id"], c["caption_ord"], pick[0]["item_id"], pick[1], pick[2]))
-            free.remove(pick[0])
-        return pd.DataFrame(out, columns=["doc_id", "caption_ord", "item_id", "score", "reason"])
+                pick = found[1], found[0], "similar"
+            out.append((c["doc_id"], *[c[o] for o in order], rows[pick[0]]["item_id"], pick[1], pick[2]))
+            free.pop(pick[0])
+            unnumbered.pop(pick[0], None)
+        return pd.DataFrame(out, columns=["doc_id", *order, "item_id", "score", "reason"])
 
-    return captions.groupBy("doc_id").cogroup(items.groupBy("doc_id")).applyInPandas(assign, _MATCH)
+    return captions.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(assign, schema)
 
 
 #: Order of priorities in a queue.

@@ -291,14 +291,18 @@ def metric_dedup_fold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def caption_matches(spark: SparkSession, d: str) -> DataFrame:
-    """Captions of documents matched one to one to the items of their bundle."""
-    docs = table(spark, d, "documents").where(F.col("text").rlike(text.CAPTION_START))
-    captions = docs.select(F.col("bundle_id").alias("doc_id"), F.col("doc_id").cast("int").alias("caption_ord"), text.caption_number(F.col("text")).alias("number"), F.lit(0).alias("page"), F.substring("text", 1, 200).alias("caption"))
-    items = ledger.unique_registry(table(spark, d, "registry_item")).where("item_type = 'table'")
-    named = items.select(F.col("bundle_id").alias("doc_id"), F.col("source_item_id").alias("item_id"), text.caption_number(F.col("caption")).alias("number"), F.coalesce(F.col("source_page"), F.lit(-1)).cast("int").alias("page"), "caption")
-    # one caption a number and bundle is asked; repeats and unnumbered ones find nothing new
-    first = ledger.first_wins(captions.where("number is not null"), ["doc_id", "number"], ["caption_ord"])
-    return audit.match_captions(first, named)
+    """Captions of documents matched one to one to the items of their bundle.
+
+    A caption is any line that begins with a kind, a number and a delimiter ("Figure 5
+    shows" is prose), and is compared with the tables or figures of its bundle.  Documents
+    have no pages, so the page of a caption is unknown.
+    """
+    lines = candidates.lines_of(table(spark, d, "documents").select("bundle_id", "doc_id", "text"), ["bundle_id", "doc_id"], "text")
+    found = lines.withColumn("caption", F.trim(F.regexp_replace("line", r"[\s\p{Z}]+", " "))).where(F.col("caption").rlike(text.CAPTION))
+    captions = found.select(F.col("bundle_id").alias("doc_id"), F.col("doc_id").alias("caption_ord"), "line_no", text.caption_parts(F.col("caption"))["kind"].alias("kind"), text.caption_number(F.col("caption")).alias("number"), F.lit(None).cast("int").alias("page"), "caption")
+    items = ledger.unique_registry(table(spark, d, "registry_item")).where("item_type in ('table', 'figure')")
+    named = items.select(F.col("bundle_id").alias("doc_id"), F.col("source_item_id").alias("item_id"), F.col("item_type").alias("kind"), text.caption_number(F.col("caption")).alias("number"), F.col("source_page").cast("int").alias("page"), "caption")
+    return audit.match_captions(captions, named)
 
 
 def prose_pairs(spark: SparkSession, d: str) -> DataFrame:

@@ -120,6 +120,16 @@ def test_caption_matching_is_one_to_one(spark):
     assert rows(audit.match_captions(captions, items).select("caption_ord", "item_id", "reason")) == [(0, "a", "number"), (1, "b", "only_on_page"), (2, "c", "similar")]
 
 
+def test_captions_of_all_lines_match_items_of_their_kind(spark, tmp_path):
+    late = "Intro.\n\nTable 4.  Yield at  the sites, " + "x " * 150 + "\nFigure 2 is missing from the copy.\n"
+    docs = [(7, late, 1), (8, "Figure 2. Rain", 1), (9, "Table 4. Rain again", 1), (10, "Table 3. Elsewhere", 2)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, bundle_id bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(1, "t4", "table", "Table 4. Yield"), (1, "t4b", "table", "Table 4. Rain again"), (1, "t2", "table", "Table 2. Soil"), (1, "f2", "figure", "Figure 2. Rain"), (1, "t3", "table", "Table 3. Elsewhere")]
+    spark.createDataFrame([(b, i, t, 1, None, None, c) for b, i, t, c in items], "bundle_id bigint, source_item_id string, item_type string, source_page int, source_location string, section_hint string, caption string").write.parquet(f"{tmp_path}/registry_item.parquet")
+    got = rows(catalog.QUERIES["caption_matches"](spark, str(tmp_path)).select("doc_id", "caption_ord", "line_no", "item_id"))
+    assert got == [(1, 7, 2, "t4"), (1, 8, 0, "f2"), (1, 9, 0, "t4b")]
+
+
 def test_quality_and_queue(spark):
     t = spark.createDataFrame([(1, 1, 5, 1.0, True), (2, 5, 5, 0.3, False), (3, 5, 5, 0.5, True), (4, 5, 5, 1.0, True)], "id int, rows int, columns int, non_empty double, has_header boolean")
     assert [r["status"] for r in audit.table_quality(t).orderBy("id").collect()] == ["required", "required", "review", "not_needed"]
