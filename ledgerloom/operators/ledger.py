@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.metrics import identity
-from ledgerloom.functions.text import squeezed, token_key
+from ledgerloom.functions.numbers import number_key, with_quantity
+from ledgerloom.functions.text import squeezed, token_key, tokens
 
 #: Contexts whose metrics make up the producer's fitness view.
 PRODUCER_CONTEXTS = ("out_of_sample_validation", "cross_validated_interval", "spatial_uncertainty_summary")
@@ -119,20 +120,42 @@ def subset_targets(targets: DataFrame, keys: list[str], token_col: str, id_col:
     return pairs.where(proper).select(*keys, "parent", "child")
 
 
-_FOLD = "bundle_id bigint, identity string, metric_id bigint, aggregation string, unit string, interpretation string, members int"
+_FOLD = "bundle_id bigint, identity string, metric_id bigint, primary_id bigint, display string, aggregation string, unit string, population string, interpretation string, members int"
+#: Words that say nothing about a metric's target.
+TARGET_STOP_WORDS = ("the", "a", "an", "of", "for", "in", "on", "at", "to")
+#: What a stated field adds to a record's richness.
+RICHNESS = {"aggregation": 5, "unit": 1, "population": 2, "interpretation": 2}
+
+
+def value_key(display: Column, quantity: Column) -> Column:
+    """Kind, numbers and unit of a structured quantity, else the squeezed display."""
+    numbers_ = [F.coalesce(number_key(quantity[k]), F.lit("")) for k in ("numeric_value", "lower_bound", "upper_bound", "uncertainty")]
+    structured = F.concat_ws(";", quantity["kind"], *numbers_, F.coalesce(quantity["unit_code"], F.lit("")))
+    return F.when(quantity["kind"] != "text_summary", structured).otherwise(squeezed(F.coalesce(display, F.lit(""))))
 
 
 def deduplicate_metrics(metrics: DataFrame) -> DataFrame:
     """Merge repeated metrics of one identity in their order.
 
     ``metrics`` has (bundle_id, metric_id, name, display, aggregation, unit,
-    interpretation).  Rows of one identity and display are visited by ``metric_id``; each
-    joins the first survivor it doesn't contradict: two stated aggregations must agree.
-    A survivor takes the fields it lacks, so that later rows see what it has become.  The
-    relation isn't transitive, hence the fold; a group is one metric's sightings in one
-    bundle.  Null displays are one display.
+    interpretation) and may have (context, scope, target, support), which are then parts of
+    the identity, and population.  Rows of one identity and value are visited by
+    ``metric_id``; each joins the first survivor it doesn't contradict: two stated
+    aggregations must agree.  The richer of the two is the primary record, ``primary_id``,
+    and takes the fields it lacks from the other, so that later rows see what it has
+    become; ``metric_id`` is the survivor's first sighting.  The relation isn't transitive,
+    hence the fold; a group is one metric's sightings in one bundle.  Null displays are one
+    display.
     """
-    keyed = metrics.withColumn("identity", F.concat_ws("|", identity(F.col("name")), squeezed(F.coalesce("display", F.lit("")))))
+    none = F.lit(None).cast("string")
+    has = lambda c: F.col(c) if c in metrics.columns else none
+    words = F.filter(tokens(F.coalesce(has("target"), F.lit(""))), lambda t: ~t.isin(*TARGET_STOP_WORDS))
+    parts = [identity(F.col("name")), *[F.coalesce(has(c), F.lit("")) for c in ("context", "scope", "support")], F.array_join(F.array_sort(words), " ")]
+    keyed = with_quantity(metrics, "display", "_q").withColumns({"identity": F.concat_ws("|", *parts, F.coalesce(value_key(F.col("display"), F.col("_q")), F.lit(""))), "population": has("population")}).drop("_q")
+    stated = ["display", *RICHNESS]
+
+    def richness(row: dict) -> int:
+        return min(len((row["display"] or "").strip()), 40) + sum(n for k, n in RICHNESS.items() if row[k])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         survivors: list[dict] = []
@@ -140,20 +163,27 @@ def deduplicate_metrics(metrics: DataFrame) -> DataFrame:
             row = {k: (None if pd.isna(v) else v) for k, v in row.items()}
             home = next((s for s in survivors if not (s["aggregation"] and row["aggregation"] and s["aggregation"] != row["aggregation"])), None)
             if home is None:
-                survivors.append({k: row[k] for k in ("bundle_id", "identity", "metric_id", "aggregation", "unit", "interpretation")} | {"members": 1})
+                survivors.append(row | {"primary_id": row["metric_id"], "members": 1})
                 continue
-            for k in ("aggregation", "unit", "interpretation"):
-                home[k] = home[k] if home[k] is not None else row[k]
-            home["members"] += 1
-        return pd.DataFrame(survivors, columns=["bundle_id", "identity", "metric_id", "aggregation", "unit", "interpretation", "members"])
+            richer = richness(row) > richness(home)
+            first, second = (row, home) if richer else (home, row)
+            home.update({k: first[k] or second[k] for k in stated}, members=home["members"] + 1)
+            if richer:
+                home["primary_id"] = row["metric_id"]
+        return pd.DataFrame(survivors, columns=["bundle_id", "identity", "metric_id", "primary_id", *stated, "members"])
 
     # rows that repeat in every field that matters are one row first: a hot group shrinks
     # to its different rows before it is folded
-    fields = ["bundle_id", "identity", "aggregation", "unit", "interpretation"]
+    fields = ["bundle_id", "identity", *stated]
     distinct = keyed.groupBy(*fields).agg(F.min("metric_id").alias("metric_id"), F.count(F.lit(1)).alias("n"))
-    folded = distinct.drop("n").groupBy("bundle_id", "identity").applyInPandas(fold, _FOLD)
-    total = distinct.groupBy("bundle_id", "identity").agg(F.sum("n").alias("rows"))
-    return folded.join(total, ["bundle_id", "identity"])
+    groups = distinct.groupBy("bundle_id", "identity").agg(F.sum("n").alias("rows"), F.collect_list(F.struct("metric_id", *stated)).alias("seen"))
+    out = ["bundle_id", "identity", "metric_id", "primary_id", *stated, "members"]
+    # most groups are one row, which is its own survivor
+    alone = groups.where(F.size("seen") == 1).select("bundle_id", "identity", "rows", F.inline("seen")).withColumns({"primary_id": F.col("metric_id"), "members": F.lit(1)})
+    several = groups.where(F.size("seen") > 1)
+    folded = several.select("bundle_id", "identity", F.inline("seen")).groupBy("bundle_id", "identity").applyInPandas(fold, _FOLD)
+    merged = folded.join(several.select("bundle_id", "identity", "rows"), ["bundle_id", "identity"])
+    return alone.select(*out, "rows").unionByName(merged.select(*out, "rows"))
 
 
 def token_overlap_pairs(df: DataFrame, keys: list[str], id_col: str, token_col: str, least: float) -> DataFrame:

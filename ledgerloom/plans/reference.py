@@ -286,7 +286,10 @@ def caption_bodies(spark: SparkSession, d: str) -> DataFrame:
 def metric_dedup_fold(spark: SparkSession, d: str) -> DataFrame:
     """Repeated metrics merged in order where they don't contradict."""
     m = table(spark, d, "ledger_metric").where("name is not null")
-    rows = m.select("bundle_id", "metric_id", "name", F.col("as_reported").alias("display"), numbers.aggregation(F.lower(F.concat_ws(" ", "name", "as_reported"))).alias("aggregation"), "unit", "interpretation")
+    rows = m.select(
+        "bundle_id", "metric_id", "name", F.col("as_reported").alias("display"), numbers.aggregation(F.lower(F.concat_ws(" ", "name", "as_reported"))).alias("aggregation"), "unit", "interpretation",
+        "context", "scope", F.col("scope_label").alias("target"), F.col("evaluation_support").alias("support"), F.col("evaluation_population").alias("population"),
+    )
     return ledger.deduplicate_metrics(rows)
 
 

@@ -101,6 +101,17 @@ def test_merge_is_not_transitive(spark):
     assert survivors(None, "mean", "median") == [(0, "mean", 2), (2, "median", 1)]
 
 
+def test_metrics_of_other_targets_or_contexts_stay_apart(spark):
+    base = {"bundle_id": 1, "name": "RMSE", "display": "5.0", "aggregation": None, "unit": None, "interpretation": None, "context": "c", "scope": "s", "target": "rain at the site", "support": "grid", "population": None}
+    rows_ = [{}, {"context": "d"}, {"scope": "t"}, {"target": "snow"}, {"support": "region"}, {"display": "5", "target": "site, rain", "unit": "mm", "population": "9 sites"}, {"display": "5", "interpretation": "as given"}]
+    kinds = ", ".join(f"{k} {'bigint' if k == 'bundle_id' else 'string'}" for k in base)
+    df = spark.createDataFrame([(*(base | r).values(), k) for k, r in enumerate(rows_)], f"{kinds}, metric_id bigint")
+    got = {r["metric_id"]: r for r in ledger.deduplicate_metrics(df).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4] and got[0]["members"] == 3
+    # the sixth is richer than the first, and takes what it lacks from the seventh
+    assert (got[0]["primary_id"], got[0]["display"], got[0]["unit"], got[0]["population"], got[0]["interpretation"]) == (5, "5", "mm", "9 sites", "as given")
+
+
 def test_subsets_and_overlap_by_brute_force(spark):
     import itertools
     import random
