@@ -146,15 +146,18 @@ def schema_graph(df: DataFrame, json_col: str, root: str = "record", most: int =
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()
+        seen: dict[tuple[str, str], tuple[bool, bool, bool]] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if (record := read_record(text)) is not None:
-                    seen |= edges_of(record, root)
-            if len(seen) > most:
+                    for parent, name, *shape in edges_of(record, root):
+                        before = seen.get((parent, name), (False, False, False))
+                        seen[parent, name] = tuple(x or y for x, y in zip(before, shape))
+            if len(seen) > most:  # as many merged edges: refused below
                 break
         names = ["parent", "name", "many", "object", "scalar"]
-        yield pa.RecordBatch.from_pydict({n: pa.array([e[k] for e in seen], pa.string() if k < 2 else pa.bool_()) for k, n in enumerate(names)})
+        edges = [(*edge, *shape) for edge, shape in seen.items()]
+        yield pa.RecordBatch.from_pydict({n: pa.array([e[k] for e in edges], pa.string() if k < 2 else pa.bool_()) for k, n in enumerate(names)})
 
     parts = df.select(F.col(json_col)).mapInArrow(walk, _EDGES)
     merged = parts.groupBy("parent", "name").agg(F.max("many").alias("many"), F.max("object").alias("object"), F.max("scalar").alias("scalar"))

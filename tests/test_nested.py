@@ -65,3 +65,16 @@ def test_schema_graph_is_bounded(spark):
 
     with pytest.raises(ValueError):
         nested.schema_graph(frame(spark, {f"k{i}": 1 for i in range(30)}), "record_json", most=10)
+
+
+def test_fields_of_many_shapes_do_not_end_the_walk(spark):
+    bodies = ['{"a": 1}', '{"a": null}', '{"a": [1]}', '{"a": {"x": 1}}', '{"a": {"x": null}}', '{"a": {"x": [1]}}', '{"late": [{"y": 1}]}']
+    df = spark.createDataFrame([(b,) for b in bodies], "record_json string").coalesce(1)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(batch)
+    spark.conf.set(batch, 1)
+    try:
+        edges = {e[:2]: e[2] for e in nested.schema_graph(df, "record_json", most=5)}
+    finally:
+        spark.conf.set(batch, old)
+    assert edges == {("record", "a"): True, ("a", "x"): True, ("record", "late"): True, ("late", "y"): False}
