@@ -99,6 +99,12 @@ def related_sections(a: Column, b: Column) -> Column:
     return (x == y) | (numbered & (F.startswith(x, F.concat(y, F.lit("."))) | F.startswith(y, F.concat(x, F.lit(".")))))
 
 
+def compatible_sections(a: Column, b: Column) -> Column:
+    """Related sections, or one text within the other (J6); a blank one is compatible with none."""
+    x, y = squeezed(F.coalesce(a, F.lit(""))), squeezed(F.coalesce(b, F.lit("")))
+    return (x != "") & (y != "") & (F.contains(x, y) | F.contains(y, x) | related_sections(x, y))
+
+
 def portable_path(path: Column, package: Column) -> Column:
     """A path without its machine: relative ones keep, those inside the package become
     relative, others keep their last part.  Null and blank stay; applied twice it is the

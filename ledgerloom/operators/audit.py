@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ledgerloom.functions.numbers import box_iou
+
 #: Points of risk at which a table's recovery is required, recommended, reviewed.
 LEVELS = ((4, "required"), (2, "recommended"), (1, "review"))
 
@@ -55,6 +57,20 @@ def caption_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b)])
 
 
+def alike_pairs(boxes: DataFrame, least_iou: float = 0.45, least_similar: float = 0.92) -> DataFrame:
+    """Pairs of boxes of a page that lie on one another or say the same.
+
+    ``boxes`` has (doc_id, page, ord, l, r, t, b, text); a pair counts by its IoU or by the
+    similarity of its texts, blank texts being like nothing.
+    """
+    a, b = boxes.alias("a"), boxes.alias("b")
+    same = (F.col("a.doc_id") == F.col("b.doc_id")) & F.col("a.page").eqNullSafe(F.col("b.page")) & (F.col("a.ord") < F.col("b.ord"))
+    box = lambda x: {k: F.col(f"{x}.{k}") for k in "lrtb"}
+    said = F.when(F.trim("a.text") != "", F.col("a.text"))
+    pairs = a.join(b, same).select(F.col("a.doc_id"), F.col("a.page"), F.col("a.ord").alias("a"), F.col("b.ord").alias("b"), F.coalesce(box_iou(box("a"), box("b")), F.lit(0.0)).alias("iou"), caption_similarity(said, F.col("b.text")).alias("similarity"))
+    return pairs.where((F.col("iou") >= least_iou) | (F.col("similarity") >= least_similar))
+
+
 def match_captions(captions: DataFrame, items: DataFrame) -> DataFrame:
     """One-to-one matches of captions to items of a document (J10), greedy in order.
 

@@ -141,6 +141,17 @@ def test_captions_of_all_lines_match_items_of_their_kind(spark, tmp_path):
     assert got == [(1, 7, 2, "t4"), (1, 8, 0, "f2"), (1, 9, 0, "t4b")]
 
 
+def test_boxes_alike_by_place_or_text(spark):
+    boxes = [(1, 1, 0, 0.0, 10.0, 0.0, 10.0, "y = a x + b"), (1, 1, 1, 1.0, 11.0, 0.0, 10.0, "other"), (1, 1, 2, 50.0, 60.0, 50.0, 60.0, "Y = a x + b"), (1, 2, 3, 0.0, 10.0, 0.0, 10.0, "y = a x + b"), (1, 1, 4, 90.0, 95.0, 90.0, 95.0, ""), (1, 1, 5, 70.0, 75.0, 90.0, 95.0, " "), (1, 1, 6, None, None, None, None, None)]
+    df = spark.createDataFrame(boxes, "doc_id int, page int, ord int, l double, r double, t double, b double, text string")
+    assert rows(audit.alike_pairs(df).select("a", "b")) == [(0, 1), (0, 2)]
+
+
+def test_sections_within_one_another_are_compatible(spark):
+    for a, b, want in (("Results", "Main results", True), ("4 Results", "4.2 Validation", True), ("Data", "Methods", False), ("", "Data", False), (None, "Data", False)):
+        assert one(spark, text.compatible_sections(F.col("a"), F.col("b")), a=a, b=b) is want, (a, b)
+
+
 def test_quality_and_queue(spark):
     t = spark.createDataFrame([(1, 1, 5, 1.0, True), (2, 5, 5, 0.3, False), (3, 5, 5, 0.5, True), (4, 5, 5, 1.0, True)], "id int, rows int, columns int, non_empty double, has_header boolean")
     assert [r["status"] for r in audit.table_quality(t).orderBy("id").collect()] == ["required", "required", "review", "not_needed"]
