@@ -8,12 +8,15 @@
    table above it.
 3. *Shredding.*  A second walk writes one row for each object of a table element with its
    own key, its parent's table, key and position, and its own position; the flat tables
-   are selections from that one pass.
+   are selections from that one pass.  A row names the objects inlined into it.
 
 Notation: a list counts the same whether it is delivered as a list, as one object standing
 alone (element 0) or as a string holding either.  Null elements keep their position and
-give no row.  A record that is null or no JSON object gives no rows; of repeated keys
-within an object the last one counts; unknown fields become columns or tables like others.
+give no row.  Scalars in a list that also holds objects stay as a list of their own, in
+which the objects' places are null.  A record that is null or no JSON object gives no
+rows; of repeated keys within an object the last one counts; unknown fields become columns
+or tables like others.  A plan that would inline several objects into one row is refused,
+as their columns would overwrite one another.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _EDGES = "parent string, name string, many boolean, object boolean, scalar boolean"
-_ROWS = "element string, record_id bigint, row_key string, parent_element string, parent_key string, parent_field string, parent_ord int, child_ord int, path string, body map<string,string>"
+_ROWS = "element string, record_id bigint, row_key string, parent_element string, parent_key string, parent_field string, parent_ord int, child_ord int, path string, inlined array<string>, body map<string,string>"
 
 
 def decode(value):
@@ -114,6 +117,20 @@ def plan_of(edges: list[tuple[str, str, bool, bool, bool]], root: str) -> Plan:
     return Plan(root, tables, children)
 
 
+def scalars_of(value) -> str | None:
+    """What a field holds besides objects, as text: a scalar, or a list with the objects'
+    places null; None if there is nothing."""
+    plain = decode(value)
+    if plain is None or isinstance(plain, dict) or plain == []:
+        return None
+    if isinstance(plain, list):
+        kept = [None if isinstance(decode(x), dict) else x for x in plain]
+        if all(x is None for x in kept):
+            return None
+        return value if kept == plain and isinstance(value, str) else json.dumps(kept, ensure_ascii=False)
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
 def shred_record(record_id: int, record: dict, plan: Plan) -> Iterator[tuple]:
     """Rows of one record, parents before children."""
     todo = [(plan.root, record, None, None, None, None, -1, "$")]
@@ -124,18 +141,23 @@ def shred_record(record_id: int, record: dict, plan: Plan) -> Iterator[tuple]:
         serial += 1
         body: dict[str, str] = {}
         below: list[tuple] = []
-        inline = [("", obj)]
+        inlined: list[str] = []
+        inline = [("", obj, path)]
         while inline:
-            prefix, part = inline.pop()
+            prefix, part, at = inline.pop()
             for name, value in part.items():
                 held = places(value)
                 if held and plan.is_table(name):
-                    below += [(name, x, element, key, prefix + name, ord_, k, f"{path}.{prefix}{name}[{k}]") for k, x in held]
+                    below += [(name, x, element, key, prefix + name, ord_, k, f"{at}.{name}[{k}]") for k, x in held]
                 elif held:
-                    inline += [(f"{prefix}{name}.", x) for _, x in held]
-                elif value is not None and decode(value) not in ([], {}):
-                    body[prefix + name] = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
-        yield element, record_id, key, up, up_key, up_field, up_ord, ord_, path, list(body.items())
+                    if len(held) > 1:
+                        raise ValueError(f"the plan inlines {name!r}, but record {record_id} holds {len(held)} of it in one place")
+                    (k, x), = held
+                    inline.append((f"{prefix}{name}.", x, f"{at}.{name}[{k}]"))
+                    inlined.append(f"{at}.{name}[{k}]")
+                if (text := scalars_of(value)) is not None:
+                    body[prefix + name] = text
+        yield element, record_id, key, up, up_key, up_field, up_ord, ord_, path, inlined, list(body.items())
         todo += reversed(below)
 
 
@@ -172,13 +194,14 @@ def shred(df: DataFrame, id_col: str, json_col: str, plan: Plan) -> DataFrame:
 
     Columns: ``element`` (the table), ``record_id``, ``row_key``, ``parent_element``,
     ``parent_key``, ``parent_field`` (with the path inlined above it), ``parent_ord``,
-    ``child_ord``, ``path`` and ``body`` (inlined scalar fields by their path).
+    ``child_ord``, ``path``, ``inlined`` (paths of the objects inlined into the row) and
+    ``body`` (scalar fields by their path below the row).
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["element", "record_id", "row_key", "parent_element", "parent_key", "parent_field", "parent_ord", "child_ord", "path", "body"]
+        names = ["element", "record_id", "row_key", "parent_element", "parent_key", "parent_field", "parent_ord", "child_ord", "path", "inlined", "body"]
         text, short = pa.string(), pa.int32()
-        kinds = [text, pa.int64(), text, text, text, text, short, short, text, pa.map_(text, text)]
+        kinds = [text, pa.int64(), text, text, text, text, short, short, text, pa.list_(text), pa.map_(text, text)]
         for batch in batches:
             rows: list[tuple] = []
             for record_id, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -192,48 +215,63 @@ def shred(df: DataFrame, id_col: str, json_col: str, plan: Plan) -> DataFrame:
     return df.select(F.col(id_col).cast("bigint"), F.col(json_col)).mapInArrow(walk, _ROWS)
 
 
+KEYS = ("record_id", "row_key", "parent_element", "parent_key", "parent_field", "parent_ord", "child_ord", "path")
+
+
 def flat_table(rows: DataFrame, element: str, columns: list[str]) -> DataFrame:
     """One flat table of a shredded collection: keys, positions and the named fields."""
-    keys = ["record_id", "row_key", "parent_element", "parent_key", "parent_field", "parent_ord", "child_ord"]
-    return rows.where(F.col("element") == element).select(*keys, *[F.col("body")[c].alias(c.replace(".", "_")) for c in columns])
+    return rows.where(F.col("element") == element).select(*KEYS, *[F.col("body")[c].alias(c.replace(".", "_")) for c in columns])
+
+
+def shredded(df: DataFrame, id_col: str = "record_id", json_col: str = "record_json", root: str = "record") -> tuple[DataFrame, Plan]:
+    """All rows of a column of records under the plan of its own schema graph."""
+    plan = plan_of(schema_graph(df, json_col, root), root)
+    return shred(df, id_col, json_col, plan), plan
+
+
+def links(rows: DataFrame) -> DataFrame:
+    """Foreign keys checked: ``(element, parent_element, rows, lost, misplaced)``.
+
+    ``lost`` rows name a parent that is no row of the parent's table, ``misplaced`` ones
+    another position of it than it has; both are 0 in a right shredding.
+    """
+    above = rows.select(F.col("element").alias("_e"), F.col("record_id").alias("_r"), F.col("row_key").alias("_k"), F.col("child_ord").alias("_o"))
+    here = (F.col("parent_element") == F.col("_e")) & (F.col("record_id") == F.col("_r")) & (F.col("parent_key") == F.col("_k"))
+    joined = rows.where("parent_key is not null").join(above, here, "left")
+    return joined.groupBy("element", "parent_element").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_k").isNull()).alias("lost"), F.count_if(F.col("parent_ord") != F.col("_o")).alias("misplaced")
+    )
 
 
-#: Kinds of the objects below the section, by field and element above.
+#: Kinds of the objects below the section, by their path without positions.
 SECTION = "validation_and_diagnostics"
 KINDS = {
-    ("validation_metrics", SECTION): "metric",
-    ("tuning_parameters", SECTION): "parameter",
-    ("evidence", SECTION): "section_evidence",
-    ("evidence", "validation_metrics"): "metric_evidence",
-    ("points", "validation_metrics"): "metric_point",
-    ("uncertainty_components", "validation_metrics"): "metric_uncertainty",
-    ("evidence", "tuning_parameters"): "parameter_evidence",
+    "validation_metrics": "metric",
+    "tuning_parameters": "parameter",
+    "evidence": "section_evidence",
+    "validation_metrics.evidence": "metric_evidence",
+    "validation_metrics.quantitative_value.points": "metric_point",
+    "validation_metrics.quantitative_value.uncertainty_components": "metric_uncertainty",
+    "tuning_parameters.evidence": "parameter_evidence",
 }
 
 
 def section_children(df: DataFrame, id_col: str = "record_id", json_col: str = "record_json") -> DataFrame:
     """One row for each object in a list under the validation section.
 
-    ``(record_id, child_kind, parent_ord, child_ord, row_key, parent_key, body)``.  The
-    elements this section is known to repeat are tables whatever the data at hand holds, so
-    the result of a record doesn't depend on which other records are present.
+    ``(record_id, child_kind, parent_ord, child_ord, row_key, parent_key, body)``.  Which
+    objects are rows of a table and which are inlined is the schema graph's doing; an
+    object inlined into a row is a child too, with that row's key and body.  Positions are
+    those of the path, so a record's result is the same under every plan.
     """
-    edges = schema_graph(df, json_col)
-    plan = plan_of(edges, "record")
-    plan.tables |= {name for name, _ in KINDS} | {SECTION}
-    plan.tables.discard("quantitative_value")  # one a metric: its lists hang on the metric
-    rows = shred(df, id_col, json_col, plan)
-    # what stands between the section and a child is inlined, so its parent field tells it
-    parent = F.col("parent_element")
-    kind = F.lit(None).cast("string")
-    for (name, above), label in KINDS.items():
-        allowed = [f"quantitative_value.{name}"] if label in ("metric_point", "metric_uncertainty") else [name]
-        kind = F.when((F.col("element") == name) & (parent == above) & F.col("parent_field").isin(allowed), label).otherwise(kind)
-    direct = F.col("path").rlike(r"^\$\." + SECTION + r"\[0\]\.")
+    rows, _ = shredded(df, id_col, json_col)
+    objects = rows.select("record_id", "row_key", "parent_key", "body", F.explode(F.concat(F.array("path"), "inlined")).alias("at"))
+    below = F.regexp_extract("at", r"^\$\." + SECTION + r"\[0\]\.(.+)$", 1)
+    kind = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.regexp_replace(below, r"\[\d+\]", "")]
+    first, last = (F.regexp_extract(below, p, 1).try_cast("int") for p in (r"^\w+\[(\d+)\]", r"\[(\d+)\]$"))
     top = F.col("child_kind").isin("metric", "parameter", "section_evidence")
     return (
-        rows.where(direct)
-        .withColumn("child_kind", kind)
+        objects.withColumn("child_kind", kind)
         .where("child_kind is not null")
-        .select("record_id", "child_kind", F.when(top, F.lit(-1)).otherwise(F.col("parent_ord")).alias("parent_ord"), "child_ord", "row_key", "parent_key", "body")
+        .select("record_id", "child_kind", F.when(top, F.lit(-1)).otherwise(first).alias("parent_ord"), last.alias("child_ord"), "row_key", "parent_key", "body")
     )

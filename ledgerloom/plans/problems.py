@@ -13,11 +13,41 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.section_children(table(spark, d, "matrix_record")).select("record_id", "child_kind", "parent_ord", "child_ord")
 
 
+def _flat(spark: SparkSession, d: str, element: str, columns: list[str]) -> DataFrame:
+    rows, _ = nested.shredded(table(spark, d, "matrix_record"))
+    return nested.flat_table(rows, element, columns)
+
+
 def p1_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """The metric table of the shredded records with its inlined value."""
-    rows = nested.section_children(table(spark, d, "matrix_record")).where("child_kind = 'metric'")
-    fields = ["name", "context", "scope_label", "quantitative_value.kind", "quantitative_value.as_reported", "quantitative_value.unit_code"]
-    return rows.select("record_id", "row_key", "child_ord", *[F.col("body")[c].alias(c.replace(".", "_")) for c in fields])
+    """The table of metrics, with the quantitative value inlined."""
+    return _flat(spark, d, "validation_metrics", ["name", "context", "scope_label", "quantitative_value.kind", "quantitative_value.as_reported", "quantitative_value.unit_code"])
+
+
+def p1_parameters(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "tuning_parameters", ["name", "value", "unit"])
+
+
+def p1_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """The table of evidence, shared by sections, metrics and parameters."""
+    return _flat(spark, d, "evidence", ["claim", "evidence_type", "source_section", "source_text", "source_page", "source_item_id", "review_status"])
+
+
+def p1_points(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "points", ["label", "value"])
+
+
+def p1_components(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "uncertainty_components", ["name", "value"])
+
+
+def p1_records(spark: SparkSession, d: str) -> DataFrame:
+    """The table of the records themselves, singletons inlined."""
+    return _flat(spark, d, "record", ["document_metadata.title", "document_metadata.document_status", "dataset_characteristics.spatial.coverage", "dataset_characteristics.temporal.start"])
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each child table, and how many of them don't find their parent."""
+    return nested.links(nested.shredded(table(spark, d, "matrix_record"))[0])
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +73,7 @@ def p4_common(spark: SparkSession, d: str) -> DataFrame:
     return _units(spark, d).drop("name", "value")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p3_found, p3_valid, p4_found, p4_common)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p1_parameters, p1_evidence, p1_points, p1_components, p1_records, p1_links, p3_found, p3_valid, p4_found, p4_common)}
 
 
 def _decoded(x: str) -> str:

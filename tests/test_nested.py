@@ -53,7 +53,32 @@ def test_shredding_inlines_singletons_and_links_children():
     plan = nested.plan_of(list(nested.edges_of(record, "root")), "root")
     out = list(nested.shred_record(7, record, plan))
     assert [(r[0], r[4], r[7]) for r in out] == [("root", None, -1), ("items", "7/0", 0), ("items", "7/0", 1)]
-    assert dict(out[0][9]) == {"a.x": "1"}
+    assert dict(out[0][10]) == {"a.x": "1"} and out[0][9] == ["$.a[0]"]
+
+
+def test_the_plan_decides_the_rows(spark, monkeypatch):
+    """Without the schema graph nothing is a table, and the lists can't be shredded."""
+    import pytest
+
+    record = vd(validation_metrics=[{"name": "a"}, {"name": "b"}])
+    assert len(children(spark, record)) == 2
+    monkeypatch.setattr(nested, "schema_graph", lambda *a, **k: [])
+    with pytest.raises(Exception, match="inlines 'validation_metrics'"):
+        children(spark, record)
+
+
+def test_scalars_of_mixed_lists_stay():
+    record = {"a": ["x", {"b": 1}, None, "y"], "c": "[1]", "d": [], "e": [None]}
+    plan = nested.plan_of(list(nested.edges_of(record, "root")), "root")
+    root, child = nested.shred_record(1, record, plan)
+    assert dict(root[10]) == {"a": '["x", null, null, "y"]', "c": "[1]"}
+    assert child[7] == 1 and dict(child[10]) == {"b": "1"}
+
+
+def test_every_child_finds_its_parent(spark):
+    df = frame(spark, vd(evidence=[{"claim": "c"}], validation_metrics=[None, {"name": "m", "evidence": [{"claim": "x"}], "quantitative_value": {"points": [{"label": "p"}, {"label": "q"}]}}]))
+    got = rows(nested.links(nested.shredded(df)[0]))
+    assert got == [("evidence", "record", 1, 0, 0), ("evidence", "validation_metrics", 1, 0, 0), ("points", "validation_metrics", 2, 0, 0), ("validation_metrics", "record", 1, 0, 0)]
 
 
 def test_empty_table(spark):
