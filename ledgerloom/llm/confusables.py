@@ -1,9 +1,12 @@
 """One consistent form for text that looks the same: confusables skeletons.
 
 ``skeleton`` decomposes a text, replaces every character by the prototype of its
-look-alikes and decomposes again; originals with equal skeletons look alike.
-``canonical`` writes the readable consistent form: the prototypes are applied only where a
-character stands for another one, and accents are composed.
+look-alikes and decomposes again; originals with equal skeletons look alike.  The readable
+form is the plain writing of that skeleton: where a character stands for another, the plain
+letter of the same prototype and case takes its place, and accents are composed.
+
+The prototypes are the public look-alike table of Unicode (UTS 39), read once from the ICU
+library that comes with Spark.
 
 Rules for the readable form
 * width and presentation variants of letters, digits and punctuation become plain;
@@ -23,49 +26,81 @@ import unicodedata
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Letters of other scripts that look like a Latin letter, and that letter.
-LOOK_ALIKES = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТУХԌԚԜҮ" "аесоурхѕіјһԁԛԝүгпктмнв" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "οναιυρκχ" "ՕՏՍօսոհ",
-        "ABESIJKMHOPCTYXGQWY" "aecoypxsijhdqwyrnktmhb" "ABEZHIKMNOPTYX" "ovaiupkx" "OSUounh",
-    )
-)
-# Letters above that only resemble their Latin letter in upright print; they are folded in
-# skeletons, where equality is asked for, and in words that are Latin otherwise.
-
-# Plain characters that are taken for one another, for skeletons only.
-PLAIN_ALIKE = {"0": "O", "1": "l", "I": "l", "|": "l"}
-PLAIN_PAIRS = (("rn", "m"), ("vv", "w"))
-
 # Ranges of characters, in a syntax that Java and Python share.
 _INVISIBLE = r"\u00AD\u034F\u061C\u115F\u1160\u17B4\u17B5\u180B-\u180E\u200B-\u200F\u202A-\u202E\u2060-\u206F\uFEFF\uFE00-\uFE0F"
 _SPACES = r"\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-_VARIED = r"\u0300-\u036F\u0370-\u058F\u1AB0-\u1AFF\u1C80-\u1C8F\u1DC0-\u1DFF\u1F00-\u1FFF\u20D0-\u20FF\u2100-\u214F\u2460-\u24FF\uA640-\uA69F\uFB00-\uFB4F\uFE10-\uFE6F\uFF00-\uFFEF"
+#: Latin letters with their accents, plain punctuation, signs: never changed by themselves.
+_HARMLESS = r"\u0000-\u0084\u0086-\u009F\u00A1-\u00AC\u00AE-\u024F\u1E00-\u1EFF\u2010-\u2027\u2030-\u205E\u2070-\u209C\u20A0-\u20BF\u2190-\u23FF"
 #: Nothing to do unless a text has one of these.
-SUSPECT = rf"[{_INVISIBLE}{_SPACES}{_VARIED}]|[^\u0000-\uFFFF]"
+SUSPECT = rf"[^{_HARMLESS}]"
 
 _KINDS = ("<wide>", "<narrow>", "<font>", "<compat>", "<circle>", "<vertical>", "<small>", "<isolated>", "<final>", "<initial>", "<medial>")
 _invisible = regex.compile(f"[{_INVISIBLE}]")
 _space = regex.compile(f"[{_SPACES}]")
+_harmless = regex.compile(f"[{_HARMLESS}]")
 _apart = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}]\p{Mn}+")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _latin = regex.compile(r"\p{Latin}")
-_alike = regex.compile("[" + "".join(LOOK_ALIKES) + "]")
-_alike_table = str.maketrans(LOOK_ALIKES)
+_other = regex.compile(r"[\p{L}--\p{Latin}]", regex.V1)
+
+
+class LookAlikes:
+    """The look-alike table: ``prototype`` of every character that has another one, and
+    ``plain``, the Latin letter that a letter of another script is typed for."""
+
+    def __init__(self, prototype: dict[int, str]):
+        self.prototype = prototype
+        self.plain: dict[int, str] = {}
+        # plain letters by prototype and case: capital I has the prototype l
+        own = {(prototype.get(ord(c), c), c.isupper()): c for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"}
+        for code, proto in prototype.items():
+            ch = chr(code)
+            if len(proto) != 1 or not _other.match(ch):
+                continue
+            upper = unicodedata.category(ch) != "Ll"  # letters without case look like capitals
+            shape = _small_capital(proto)
+            if letter := own.get((proto, upper)) or own.get((proto, not upper)) or shape:
+                self.plain[code] = letter.upper() if upper else letter.lower()
+
+
+def _small_capital(ch: str) -> str | None:
+    """The plain letter of a small capital; kra is the small capital of k."""
+    name = unicodedata.name(ch, "")
+    if name == "LATIN SMALL LETTER KRA":
+        return "k"
+    last = name.removeprefix("LATIN LETTER SMALL CAPITAL ")
+    return last.lower() if last != name and len(last) == 1 else None
+
+
+_tables: dict[str, LookAlikes] = {}
+
+
+def look_alikes(spark: SparkSession) -> LookAlikes:
+    """The table, built once an application; a few thousand entries, shipped to workers."""
+    app = spark.sparkContext.applicationId
+    if app not in _tables:
+        # written ideographs and syllables have no prototypes among other scripts
+        skip = ((0x3400, 0xA000), (0xAC00, 0xD7B0), (0x17000, 0x1B300))
+        chars = [chr(c) for c in range(0x21, 0x20000) if unicodedata.category(chr(c))[0] in "LNPS" and not any(a <= c < b for a, b in skip)]
+        checker = getattr(spark._jvm, "com.ibm.icu.text.SpoofChecker$Builder")().build()
+        protos = checker.getSkeleton("\x01".join(chars)).split("\x01")
+        _tables[app] = LookAlikes({ord(c): p for c, p in zip(chars, protos) if p != unicodedata.normalize("NFD", c)})
+    return _tables[app]
 
 
 def variant(ch: str) -> str:
     """The plain writing of a width or presentation variant; other characters unchanged.
 
     Read from the compatibility decompositions of the Unicode database.  Of the general
-    ``<compat>`` ones only letters count (ligatures); the micro sign is a symbol.
+    ``<compat>`` ones only letters count (ligatures), and no letters of Latin alphabets;
+    the micro sign is a symbol.
     """
     kind, _, _ = unicodedata.decomposition(ch).partition(" ")
-    if kind not in _KINDS or ch in "µ " or unicodedata.category(ch) == "Zs":
+    if kind not in _KINDS or _harmless.match(ch) or unicodedata.category(ch) == "Zs":
         return ch
     if kind == "<compat>" and not (unicodedata.category(ch)[0] == "L"):
         return ch
@@ -84,41 +119,38 @@ class _Variants(dict):
 _variants = _Variants()
 
 
-def _latinise(match) -> str:
-    word = match[0]
-    return word.translate(_alike_table) if _alike.search(word) and _latin.search(word) else word
-
-
-def canonical_text(text: str) -> str:
+def canonical_text(text: str, table: LookAlikes) -> str:
     """The consistent readable form of one text."""
     if text.isascii():
         return text
+
+    def latinised(match) -> str:
+        word = match[0]
+        if not (_other.search(word) and _latin.search(word)):
+            return word
+        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(table.plain))
+
     text = _invisible.sub("", text)
     text = _space.sub(" ", text)
     text = text.translate(_variants)
     text = _apart.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
-    return _word.sub(_latinise, text)
+    return _word.sub(latinised, text)
 
 
-def skeleton_text(text: str) -> str:
+def skeleton_text(text: str, table: LookAlikes) -> str:
     """Decompose, replace every character by its prototype, decompose again."""
     text = unicodedata.normalize("NFD", _space.sub(" ", _invisible.sub("", text)).translate(_variants))
-    text = text.translate(_alike_table)
-    for a, b in PLAIN_ALIKE.items():
-        text = text.replace(a, b)
-    for a, b in PLAIN_PAIRS:
-        text = text.replace(a, b)
-    return unicodedata.normalize("NFD", text)
+    return unicodedata.normalize("NFD", text.translate(table.prototype))
 
 
-@F.pandas_udf(StringType())
-def _canonical(texts: pd.Series) -> pd.Series:
-    return texts.map(canonical_text, na_action="ignore")
+def _applied(spark: SparkSession, change):
+    table = look_alikes(spark)
 
+    @F.pandas_udf(StringType())
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: change(t, table), na_action="ignore")
 
-@F.pandas_udf(StringType())
-def _skeleton(texts: pd.Series) -> pd.Series:
-    return texts.map(skeleton_text, na_action="ignore")
+    return run
 
 
 def suspect(text: Column) -> Column:
@@ -126,32 +158,37 @@ def suspect(text: Column) -> Column:
     return text.rlike(SUSPECT)
 
 
+def readable(spark: SparkSession, text: Column) -> Column:
+    """The readable form of a column.  Only suspect texts travel to Python."""
+    return F.coalesce(_applied(spark, canonical_text)(F.when(suspect(text), text)), text)
+
+
 def canonicalise(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """Add the readable form of a column.  Only suspect texts reach Python."""
-    text = F.col(text_col)
-    seen = F.coalesce(suspect(text), F.lit(False))
-    plain = df.where(~seen).withColumn(out_col, text)
-    return plain.unionByName(df.where(seen).withColumn(out_col, _canonical(text)))
+    """Add the readable form of a column, in one scan."""
+    return df.withColumn(out_col, readable(df.sparkSession, F.col(text_col)))
 
 
 def changed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows whose text holds characters that stand for others: ``(row_id, canonical)``.
 
-    One scan, no shuffle; rows without a suspect character end in the scan's filter.
+    Such a text differs from the plain writing of its skeleton.  One scan, no shuffle; rows
+    without a suspect character end in the scan's filter.
     """
     some = df.where(suspect(F.col(text_col))).select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
-    return some.withColumn("canonical", _canonical("text")).where("canonical <> text").select("row_id", "canonical")
+    return some.withColumn("canonical", _applied(df.sparkSession, canonical_text)("text")).where("canonical <> text").select("row_id", "canonical")
 
 
-def skeleton_groups(df: DataFrame, text_col: str) -> DataFrame:
-    """Originals grouped by equal skeleton: ``(skeleton, canonical, rows, forms)``.
+def skeleton_groups(texts: DataFrame) -> DataFrame:
+    """Originals grouped by equal skeleton: ``(table_name, skeleton, canonical, rows, forms)``.
 
-    ``rows`` counts all rows, ``forms`` the different writings and ``canonical`` is the most
-    frequent readable form (the least of equals).  Rows are first counted by writing, so
-    the skeleton is computed once for each and hot names shuffle as one row a task.
+    ``texts`` has ``(table_name, text)``.  ``rows`` counts all rows, ``forms`` the different
+    writings and ``canonical`` is the most frequent readable form (the least of equals).
+    Rows are first counted by writing, so the skeleton is computed once for each and hot
+    names shuffle as one row a task.
     """
-    writings = df.where(F.col(text_col).isNotNull()).groupBy(F.col(text_col).alias("text")).agg(F.count(F.lit(1)).alias("rows"))
-    forms = writings.select("rows", _skeleton("text").alias("skeleton"), _canonical("text").alias("canonical"))
-    by_form = forms.groupBy("skeleton", "canonical").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("forms"))
+    spark = texts.sparkSession
+    writings = texts.where("text is not null").groupBy("table_name", "text").agg(F.count(F.lit(1)).alias("rows"))
+    forms = writings.select("table_name", "rows", _applied(spark, skeleton_text)("text").alias("skeleton"), readable(spark, F.col("text")).alias("canonical"))
+    by_form = forms.groupBy("table_name", "skeleton", "canonical").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("forms"))
     best = F.min(F.struct((-F.col("rows")).alias("r"), F.col("canonical").alias("canonical")))["canonical"]
-    return by_form.groupBy("skeleton").agg(best.alias("canonical"), F.sum("rows").alias("rows"), F.sum("forms").alias("forms"))
+    return by_form.groupBy("table_name", "skeleton").agg(best.alias("canonical"), F.sum("rows").alias("rows"), F.sum("forms").alias("forms"))

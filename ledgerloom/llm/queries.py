@@ -29,7 +29,9 @@ def p2_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    return confusables.skeleton_groups(table(spark, d, "metric_hint"), "metric_name")
+    names = table(spark, d, "metric_hint").select(F.lit("metric_hint").alias("table_name"), F.col("metric_name").alias("text"))
+    texts = table(spark, d, "evidence").select(F.lit("evidence").alias("table_name"), F.col("source_text").alias("text"))
+    return confusables.skeleton_groups(names.unionByName(texts))
 
 
 def _named(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -388,7 +388,7 @@ class Repairer:
 
     def analyse(self, text: str) -> tuple[set[str], str]:
         """Defects of a text, and its continuous readable paragraphs."""
-        lines = page_lines(canonical_text(text))
+        lines = page_lines(canonical_text(text, self.table))
         page = self.furniture(lines)
         found = set(page.values())
         paragraphs: list[str] = []

@@ -7,14 +7,14 @@ labels in ``tests/llm``.
 
 from __future__ import annotations
 
-from ledgerloom.llm.confusables import LOOK_ALIKES
 from ledgerloom.llm.format_dups import FIELD_NAMES
 
 # the same ranges as in the operator, in the syntax of the second engine
 _INVISIBLE = r"\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FEFF}\x{FE00}-\x{FE0F}"
 _SPACES = r"\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 _WIDTH = r"\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{FFE0}-\x{FFE6}\x{2460}-\x{24FF}\x{FE50}-\x{FE6F}\x{1D400}-\x{1D7FF}"
-_ALIKE = "".join(LOOK_ALIKES)
+# letters of scripts whose letters are typed for Latin ones
+_ALIKE = r"\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Lisu}"
 
 
 def _stands_for_others(x: str) -> str:

@@ -2,17 +2,32 @@ from conftest import rows
 from ledgerloom.llm import confusables, format_dups
 
 
-def test_readable_form():
-    same = ["naïve café", "m² at 3 °C ± 0.5 ‰", "“quoted” – dash — … § 1½", "почва", "ποτάμι", "土壌", "Δ σ ≤ 2 µm", "a\tb\nc\r\n", "", "x" * 10_000, "Größe"]
+def test_readable_form(spark):
+    table = confusables.look_alikes(spark)
+    same = ["naïve café", "m² at 3 °C ± 0.5 ‰", "“quoted” – dash — … § 1½", "почва", "ποτάμι", "土壌", "Δ σ ≤ 2 µm", "a\tb\nc\r\n", "", "x" * 10_000, "Größe", "\u0133s \u017f"]
     for t in same:
-        assert confusables.canonical_text(t) == t
-    for t, want in (("ｃａｓｅｓ．", "cases."), ("ﬁeld", "field"), ("Südra", "Südra"), ("ti​tle", "title"), ("a b c　d", "a b c d"), ("аccuracy", "accuracy"), ("ΝO3", "NO3"), ("b-eνen", "b-even"), ("soft­hyphen", "softhyphen"), ("𝐀𝟏", "A1"), ("﻿x", "x")):
-        assert confusables.canonical_text(t) == want, t
-        assert confusables.canonical_text(want) == want
+        assert confusables.canonical_text(t, table) == t
+    for t, want in (("ｃａｓｅｓ．", "cases."), ("ﬁeld", "field"), ("Südra", "Südra"), ("ti​tle", "title"), ("a b c　d", "a b c d"), ("аccuracy", "accuracy"), ("ΝO3", "NO3"), ("b-eνen", "b-even"), ("soft­hyphen", "softhyphen"), ("𝐀𝟏", "A1"), ("﻿x", "x"), ("Ꭺccuracy", "Accuracy"), ("ꓐias", "Bias"), ("ⲟverall", "overall"), ("ѵalue", "value"), ("ԍain", "gain"), ("Іnterval", "Interval")):
+        assert confusables.canonical_text(t, table) == want, t
+        assert confusables.canonical_text(want, table) == want
 
 
-def test_skeletons_join_what_looks_alike():
-    s = confusables.skeleton_text
+def test_the_table_decides(spark):
+    """Without prototypes letters of other scripts stay, and skeletons keep them apart."""
+    empty = confusables.LookAlikes({})
+    assert confusables.canonical_text("аccuracy", empty) == "аccuracy" and confusables.skeleton_text("аb", empty) != confusables.skeleton_text("ab", empty)
+
+
+def test_the_readable_form_has_the_same_skeleton(spark):
+    table = confusables.look_alikes(spark)
+    for t in ("ｃａｓｅｓ．", "аccuracy", "Ꭺccuracy ꓐias", "М​AE", "ԝidth", "ⲟverall", "ѵalue"):
+        plain = confusables.canonical_text(t, table)
+        assert plain.isascii() and confusables.skeleton_text(plain, table) == confusables.skeleton_text(t, table)
+
+
+def test_skeletons_join_what_looks_alike(spark):
+    table = confusables.look_alikes(spark)
+    s = lambda t: confusables.skeleton_text(t, table)
     assert s("scope") == s("ѕсоре") and s("MAE") == s("МАЕ") and s("l0") == s("1O") and s("café") == s("café")
     assert s("mae") != s("mbe") and s("") == ""
 
@@ -20,7 +35,7 @@ def test_skeletons_join_what_looks_alike():
 def test_changed_and_groups(spark):
     df = spark.createDataFrame([(1, "MAE", "c"), (2, "МАE", "c"), (3, None, "c"), (4, "", "c"), (5, "MAE", "c"), (6, "почва", "c"), (6, "М​AE", "c")], "id bigint, name string, canonical string")
     assert rows(confusables.changed(df, "id", "name").select("row_id", "canonical")) == [(2, "MAE"), (6, "MAE")]
-    assert rows(confusables.skeleton_groups(df.select("id", "name"), "name").where("rows > 1").select("canonical", "rows", "forms")) == [("MAE", 4, 3)]
+    assert rows(confusables.skeleton_groups(df.selectExpr("'t' AS table_name", "name AS text")).where("rows > 1").select("canonical", "rows", "forms")) == [("MAE", 4, 3)]
     assert confusables.canonicalise(df, "name", "plain").count() == 7
     assert confusables.changed(df.limit(0), "id", "name").count() == 0
 
