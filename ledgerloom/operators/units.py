@@ -1,13 +1,20 @@
 """Quantities recorded in different units, brought to the common unit of their dimension.
 
-Sources are the spellings of units.  Values of the same entity, a metric of a variable, are
-linked across sources; for every source the robust centre of its values in each entity is
-compared with the centres of sources whose unit is already settled, and the scale and
-offset that this asks for are snapped to the known conversions.  Settled sources settle
-others in turn, so that the conversions propagate through the graph of sources that share
-entities.  Catalogue codes are the graph's anchors.  Where several known conversions fit
-the links, or there are too few links, the exact check is the spelling's own words, read
-with a small grammar of unit names.
+Sources are the spellings of units, entities the metrics of a variable, which many sources
+record.  Every spelling that is a catalogue code anchors the graph of sources.  In each
+round the settled sources, in the common unit, give every entity a robust centre (a median
+of decimal logarithms; of plain values for levels, which a conversion may also shift), and
+every other source is paired with the centres of the entities it shares:
+
+* its *scale* is the median gap of logarithms, with the spread of the gaps for its error,
+* its *offset*, where the dimension's conversions have any, is what is left of the gap of
+  levels under each conversion,
+* both are snapped to the known conversions; a source is settled if exactly one fits.
+
+Settled sources join the centres of the next round, so conversions propagate through the
+graph until nothing more is settled.  What the values leave open (too few links, or several
+conversions that fit) is left to the spelling's own words, read with a small grammar of
+unit names; a unique snap of enough links overrules the name.
 
 Which unit a row has: the one named in the value; failing that in the unit field; failing
 that in the label, excerpt or interpretation; failing that in the caption, which speaks
@@ -19,9 +26,8 @@ number as recorded; null fields name nothing; a number beyond a double is null.
 
 from __future__ import annotations
 
-import math
 import re
-from statistics import median
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -154,8 +160,8 @@ def named_in_caption(caption: Column) -> Column:
     return spelling(F.regexp_extract(caption, r"(?:: | in )([^:(),]+?)\)?\.?\s*$", 1))
 
 
-#: A spelling has at least one letter or sign of a unit, few words, no long number.
-_PLAUSIBLE = r"^[\p{L}%‰°\"][\p{L}%‰°\"/.^ ·*\-0-9]{0,30}$"
+#: A spelling begins with a letter or sign of a unit and has no number of three digits.
+_PLAUSIBLE = r"^(?!.*[0-9]{3})[\p{L}%‰°\"][\p{L}%‰°\"/.^ ·*\-0-9]{0,80}$"
 
 
 def named_units(rows: DataFrame) -> DataFrame:
@@ -204,75 +210,107 @@ def parsed(value: Column) -> dict[str, Column]:
 # --- settling the spellings ------------------------------------------------------------
 
 
-def settle(centres: list[tuple[str, str, bool, float, int]], catalogue: dict[str, str], common: dict[str, str], least: int = 3, tolerance: float = 0.35) -> dict[str, dict]:
-    """Units of spellings from the centres of their values in each entity.
+@dataclass(frozen=True)
+class Graph:
+    """Parameters of the graph of sources."""
 
-    ``centres`` has (spelling, entity, whether it is a level, centre, rows);
-    ``catalogue`` maps codes to dimensions, ``common`` dimensions to their common unit.
-    A spelling that is a catalogue code anchors the graph.  In each round every unsettled
-    spelling is compared, under every known conversion, with the settled centres of the
-    entities it shares; the conversions whose robust gap is within ``tolerance`` (decimal
-    orders) fit, and the spelling with the most links is settled first.
+    least: int = 8  # links of a source
+    unnamed: int = 20  # links of a source whose name says nothing
+    purity: float = 0.8  # of its links in one dimension
+    tolerance: float = 0.125  # decimal orders; the nearest two conversions are 0.25 apart
+    errors: float = 3.0  # standard errors
+    rounds: int = 8
+    names: bool = True  # whether the grammar may settle what links leave open
+
+
+@F.pandas_udf(StringType())
+def _reading(spellings: pd.Series) -> pd.Series:
+    return spellings.map(read_unit, na_action="ignore")
+
+
+def conversions(catalogue: DataFrame) -> DataFrame:
+    """``(unit_code, dimension, is_common, common_unit, scale, shift)`` of the catalogue's
+    units with a known conversion: at most as many as ``CONVERSIONS``."""
+    codes = [r for r in small_rows(catalogue.where("unit_code is not null"), 5000, "the catalogue of units") if r["unit_code"] in CONVERSIONS]
+    common = {r["dimension"]: r["unit_code"] for r in codes if r["is_common"]}
+    rows = [(r["unit_code"], r["dimension"], bool(r["is_common"]), common.get(r["dimension"]), *CONVERSIONS[r["unit_code"]]) for r in codes]
+    return catalogue.sparkSession.createDataFrame(rows, "unit_code string, dimension string, is_common boolean, common_unit string, scale double, shift double")
+
+
+def centres(counts: DataFrame, settled: DataFrame, known: DataFrame) -> DataFrame:
+    """``(entity, dimension, level, hub)``: robust centres of what settled sources record."""
+    log = F.col("b") + F.log10("scale")
+    y = F.round(F.when(F.col("level"), F.col("b") * F.col("scale") + F.col("shift")).otherwise(log), 2)
+    rows = counts.join(F.broadcast(settled.join(F.broadcast(known), "unit_code")), "spelling")
+    return rows.groupBy("entity", "dimension", "level").agg(F.percentile(y, 0.5, F.col("n")).alias("hub"))
+
+
+def estimates(counts: DataFrame, hubs: DataFrame, known: DataFrame, graph: Graph) -> DataFrame:
+    """Scale and offset of every source against the centres, snapped to each conversion:
+    ``(spelling, dimension, unit_code, links, gap, scale_order, fits)``."""
+    linked = counts.join(hubs, ["entity", "level"])
+    quartiles = F.lit([0.25, 0.5, 0.75])
+    error = 1.25 * 1.4826 * F.greatest((F.col("q")[2] - F.col("q")[0]) / 2, F.col("floor")) / F.sqrt("links")
+    order = linked.where("not level").groupBy("spelling", "dimension").agg(F.percentile(F.round(F.col("hub") - F.col("b"), 2), quartiles, F.col("n")).alias("q"), F.sum("n").alias("links"))
+    gap = F.abs(F.col("q")[1] - F.log10("scale"))
+    by_scale = order.withColumn("floor", F.lit(0.05)).join(F.broadcast(known), "dimension").select(
+        "spelling", "dimension", "unit_code", "links", gap.alias("gap"), F.col("q")[1].alias("scale_order"), (gap <= F.greatest(F.lit(graph.tolerance), graph.errors * error)).alias("fits")
+    )
+    # levels tell conversions apart that share a scale; only dimensions with offsets need them
+    shifted = known.join(F.broadcast(known.where("shift <> 0").select("dimension").distinct()), "dimension", "left_semi")
+    left = F.round(F.col("hub") - F.col("b") * F.col("scale") - F.col("shift"), 1)
+    level = linked.where("level").join(F.broadcast(shifted), "dimension").groupBy("spelling", "dimension", "unit_code").agg(F.percentile(left, quartiles, F.col("n")).alias("q"), F.sum("n").alias("links"))
+    rest, spread_ = F.abs(F.col("q")[1]), (F.col("q")[2] - F.col("q")[0]) / 2
+    by_level = level.withColumn("floor", F.lit(1e-3)).select(
+        "spelling", "dimension", "unit_code", "links", rest.alias("gap"), F.lit(None).cast("double").alias("scale_order"), (rest <= F.greatest(spread_, graph.errors * error)).alias("fits")
+    )
+    both = by_scale.unionByName(by_level).groupBy("spelling", "dimension", "unit_code")
+    # evidence of fewer links than asked for does not speak against a conversion
+    strong = F.col("links") >= graph.least
+    return both.agg(
+        F.sum("links").alias("links"), F.max("scale_order").alias("scale_order"), F.min("gap").alias("gap"),
+        F.coalesce(F.bool_and(F.when(strong, F.col("fits"))), F.lit(False)).alias("fits"),
+    )
+
+
+def snapped(found: DataFrame, readings: DataFrame, graph: Graph) -> DataFrame:
+    """Sources that exactly one conversion of their dimension fits:
+    ``(spelling, unit_code, how, links, scale_order)``."""
+    best = F.max(F.struct(F.col("links"), F.col("dimension"))).alias("best")
+    dims = found.groupBy("spelling", "dimension").agg(
+        F.max("links").alias("links"), F.count_if("fits").alias("fitting"), F.max(F.when(F.col("fits"), F.col("unit_code"))).alias("unit_code"), F.max("scale_order").alias("scale_order")
+    )
+    one = dims.groupBy("spelling").agg(best, F.sum("links").alias("all_links")).select("spelling", "best.links", "best.dimension", "all_links")
+    chosen = one.join(dims.drop("links"), ["spelling", "dimension"]).join(readings, "spelling", "left")
+    asked = F.when(F.col("reading").isNull(), graph.unnamed).otherwise(graph.least)
+    sure = (F.col("fitting") == 1) & (F.col("links") >= asked) & (F.col("links") >= graph.purity * F.col("all_links"))
+    return chosen.where(sure).select("spelling", "unit_code", F.lit("links").alias("how"), F.col("links").cast("bigint").alias("links"), "scale_order")
+
+
+def source_graph(counts: DataFrame, spellings: DataFrame, catalogue: DataFrame, graph: Graph = Graph()) -> DataFrame:
+    """Units of spellings: ``(spelling, unit_code, how, links, scale_order)``.
+
+    ``counts`` has ``(spelling, entity, level, b, n)``: how often a source records a value
+    of about 10**b (for levels b) of an entity.  ``spellings`` lists all spellings.
+    Everything stays distributed; a round's result is a row a spelling, cut by checkpoint.
     """
-    by_spelling: dict[str, list[tuple[str, bool, float, int]]] = {}
-    for s, entity, level, centre, n in centres:
-        by_spelling.setdefault(s, []).append((entity, level, centre, n))
-    reading = {s: read_unit(s) for s in by_spelling}
-    usable = {c: d for c, d in catalogue.items() if c in CONVERSIONS}
-
-    def in_common(code: str, centre: float, level: bool) -> float:
-        scale, shift = CONVERSIONS[code]
-        return centre * scale + (shift if level else 0.0)
-
-    settled: dict[str, dict] = {}
-    ground: dict[tuple[str, str], list[tuple[float, int]]] = {}
-
-    def add(s: str, code: str, links: int, gap: float | None, how: str) -> None:
-        settled[s] = {"unit_code": code, "links": links, "gap": gap, "how": how}
-        for entity, level, centre, n in by_spelling[s]:
-            ground.setdefault((usable[code], entity), []).append((in_common(code, centre, level), n))
-
-    for s in sorted(by_spelling):
-        if s in usable:
-            add(s, s, 0, None, "anchor")
-    todo = {s for s in by_spelling if s not in settled}
-    while todo:
-        fits: dict[str, list[tuple[float, str, int]]] = {}
-        for s in todo:
-            for code, dimension in usable.items():
-                gaps = []
-                for entity, level, centre, n in by_spelling[s]:
-                    known = ground.get((dimension, entity))
-                    here = in_common(code, centre, level)
-                    if known:
-                        there = sum(v * w for v, w in known) / sum(w for _, w in known)
-                        if here > 0 and there > 0:
-                            gaps += [abs(math.log10(here / there))] * min(n, 50)
-                        elif level:
-                            gaps += [min(2.0, abs(here - there) / 20)] * min(n, 50)
-                if len(gaps) >= least:
-                    gap = median(gaps)
-                    if gap <= tolerance:
-                        fits.setdefault(s, []).append((gap, code, len(gaps)))
-        # the best linked spelling first; a fitting reading decides between conversions
-        done = None
-        for s in sorted(fits, key=lambda s: (-max(n for _, _, n in fits[s]), s)):
-            said = [f for f in fits[s] if f[1] == reading[s]]
-            if said:
-                done = (s, said[0], "links and name")
-            elif reading[s] is None and len({f[1] for f in fits[s]}) == 1 and fits[s][0][2] >= 20:
-                done = (s, fits[s][0], "links")
-            if done:
-                break
-        if done is None:
+    known = conversions(catalogue)
+    counts = cut(counts)
+    readings = cut(spellings.select("spelling", _reading("spelling").alias("reading")))
+    empty = [F.lit(0).cast("bigint").alias("links"), F.lit(None).cast("double").alias("scale_order")]
+    codes = F.broadcast(known.select("unit_code"))
+    settled = cut(readings.join(codes, F.col("spelling") == F.col("unit_code")).select("spelling", "unit_code", F.lit("anchor").alias("how"), *empty))
+    for _ in range(graph.rounds):
+        hubs = centres(counts, settled, known)
+        todo = counts.join(settled.select("spelling"), "spelling", "left_anti")
+        new = cut(snapped(estimates(todo, hubs, known, graph), readings, graph))
+        if new.isEmpty():
             break
-        s, (gap, code, links), how = done
-        add(s, code, links, gap, how)
-        todo.discard(s)
-    for s in sorted(todo):  # too few or contradicting links: the name alone
-        if reading[s] in usable:
-            add(s, reading[s], 0, None, "name")
-    return settled
+        settled = settled.unionByName(new)
+    if graph.names:
+        left = readings.join(settled.select("spelling"), "spelling", "left_anti").join(codes, F.col("reading") == F.col("unit_code"))
+        settled = settled.unionByName(left.select("spelling", "unit_code", F.lit("name").alias("how"), *empty))
+    return cut(settled)
 
 
 def metric_kinds(reference: DataFrame, most: int = 5000) -> tuple[NameResolver, dict[str, tuple[str, str]]]:
@@ -292,9 +330,10 @@ def with_metric(rows: DataFrame, reference: DataFrame, name_col: str = "name") -
         return names.map(lambda n: resolver.resolve(n) if isinstance(n, str) else None)
 
     table = rows.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in kinds.items()] or [("", "", "")], "metric_key string, quantity_kind string, family string")
-    known = rows.select(F.col(name_col).alias("_name")).where("_name is not null").distinct().withColumn("metric_key", resolve("_name")).where("metric_key is not null")
-    # as many rows as there are names; the names are resolved once, whoever reads them
-    known = cut(known.join(F.broadcast(table), "metric_key"))
+    names = rows.select(F.col(name_col).alias("_name")).where("_name is not null").distinct()
+    # a name costs far more to resolve than to move: all cores, however small the list is
+    names = names.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    known = names.withColumn("metric_key", resolve("_name")).where("metric_key is not null").join(F.broadcast(table), "metric_key")
     return rows.join(known, rows[name_col] == known["_name"], "left").drop("_name")
 
 
@@ -317,66 +356,66 @@ def quantities(hints: DataFrame, ledger: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-PLACES = ("at_value", "at_unit", "at_label", "at_excerpt", "at_text")
+def read_quantities(hints: DataFrame, ledger: DataFrame, reference: DataFrame) -> DataFrame:
+    """Every row of both tables with what it says: ``(table_name, row_id, entity, level,
+    said, first, number, lower_bound, upper_bound, spread)``.
+
+    ``said`` lists the spellings a row names as units in the order of their places,
+    ``first`` those of its first place; ``entity`` is the metric of a variable, or a
+    fraction, which has the same scale whatever its variable is.
+    """
+    rows = with_metric(quantities(spread(hints.select(*HINT_COLUMNS)), spread(ledger.select(*LEDGER_COLUMNS))), reference)
+    one = lambda c: F.when(F.col(c).isNotNull(), F.array(c))
+    caption = F.when((F.col("quantity_kind") == "variable") & F.col("at_caption").isNotNull(), F.array("at_caption"))
+    places = [one("at_value"), one("at_unit"), one("at_label"), F.col("at_excerpt"), one("at_text"), caption]
+    none = F.array().cast("array<string>")
+    variable = F.when(F.col("variable") != "", F.concat_ws("|", "metric_key", "variable"))
+    entity = F.when(F.col("quantity_kind") == "variable", variable).when(F.col("quantity_kind") == "fraction", F.col("metric_key"))
+    return named_units(rows).select(
+        "table_name", "row_id", entity.alias("entity"), F.coalesce(F.col("family") == "level", F.lit(False)).alias("level"),
+        F.concat(*[F.coalesce(p, none) for p in places]).alias("said"), F.coalesce(*places, none).alias("first"), *[v.alias(k) for k, v in parsed(F.col("value")).items()],
+    )
+
+
+def source_counts(read: DataFrame) -> DataFrame:
+    """How often each source records about which value of which entity."""
+    x = F.coalesce(F.col("number"), (F.col("lower_bound") + F.col("upper_bound")) / 2)
+    b = F.when(F.col("level"), F.round(x, 1)).when(x > 0, F.round(F.log10(x), 2))
+    rows = read.where("entity is not null").select(F.explode("first").alias("spelling"), "entity", "level", b.alias("b"))
+    return rows.where("b is not null").groupBy("spelling", "entity", "level", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def settled_spellings(read: DataFrame, catalogue: DataFrame, graph: Graph = Graph()) -> DataFrame:
+    return source_graph(source_counts(read), read.select(F.explode("said").alias("spelling")).distinct(), catalogue, graph)
 
 
-def source_graph(named: DataFrame, catalogue: DataFrame, most_spellings: int = 20_000) -> dict[str, dict]:
-    """Settle the spellings of a table of named quantities.
+def with_unit(read: DataFrame, settled: DataFrame, most: int = 2000) -> DataFrame:
+    """Add ``unit_code``, that of the first spelling a row says that is a unit.
 
-    What reaches the driver is a centre for each spelling in each entity.  Entities are
-    metric names as typed in a variable's population, so there are as many as common names
-    and variables; rare ones (fewer than 3 rows) say nothing robust and are not linked.
+    Up to ``most`` settled spellings are a map in the plan, more are joined by spelling.
     """
-    codes = small_rows(catalogue.where("unit_code is not null"), 5000, "the catalogue of units")
-    dimension = {r["unit_code"]: r["dimension"] for r in codes}
-    common = {r["dimension"]: r["unit_code"] for r in codes if r["is_common"]}
-    one = lambda c: F.when(c.isNotNull(), F.array(c))
-    said = F.coalesce(*[F.col(p) if p == "at_excerpt" else one(F.col(p)) for p in PLACES], one(F.when(F.col("quantity_kind") == "variable", F.col("at_caption"))))
-    values = parsed(F.col("value"))
-    centre = F.coalesce(values["number"], (values["lower_bound"] + values["upper_bound"]) / 2)
-    level = F.coalesce(F.col("family") == "level", F.lit(False))
-    # a fraction has the same scale whatever its variable is
-    entity = F.when(F.col("quantity_kind") == "variable", F.concat_ws("|", "metric_key", "variable")).when(F.col("quantity_kind") == "fraction", F.col("metric_key"))
-    linked = named.select(F.explode(said).alias("spelling"), entity.alias("entity"), level.alias("level"), centre.alias("x"))
-    unlinked = F.coalesce(F.col("entity"), F.lit(""))
-    groups = linked.groupBy("spelling", unlinked.alias("entity"), "level").agg(F.percentile_approx("x", 0.5, 1000).alias("centre"), F.count(F.lit(1)).alias("n"))
-    robust = F.when((F.col("entity") != "") & (F.col("n") > 2) & F.col("centre").isNotNull(), F.struct("entity", "level", "centre", "n"))
-    spellings = groups.groupBy("spelling").agg(F.collect_list(robust).alias("seen"))
-    rows = small_rows(spellings, most_spellings, "the list of unit spellings")
-    centres = [(r["spelling"], *x) for r in rows for x in r["seen"]]
-    alone = [r["spelling"] for r in rows if not r["seen"]]
-    return settle(centres + [(s, f"alone {s}", False, 1.0, 1) for s in alone], dimension, common)
-
-
-def recorded_units(hints: DataFrame, ledger: DataFrame, reference: DataFrame, catalogue: DataFrame) -> DataFrame:
+    rows = settled.select("spelling", "unit_code").limit(most + 1).collect()
+    if len(rows) <= most:
+        known = F.create_map(*[F.lit(v) for r in rows for v in r]) if rows else F.create_map().cast("map<string,string>")
+        return read.withColumn("unit_code", F.get(F.filter(F.transform("said", lambda x: known[x]), lambda x: x.isNotNull()), F.lit(0)))
+    said = read.select("table_name", "row_id", F.posexplode("said").alias("at", "spelling")).join(settled.select("spelling", "unit_code"), "spelling")
+    first = said.groupBy("table_name", "row_id").agg(F.min(F.struct("at", "unit_code")).alias("m")).select("table_name", "row_id", "m.unit_code")
+    return read.join(first, ["table_name", "row_id"], "left")
+
+
+def recorded_units(hints: DataFrame, ledger: DataFrame, reference: DataFrame, catalogue: DataFrame, graph: Graph = Graph()) -> DataFrame:
     """Every row of both tables with its unit and its values in the common unit.
 
-    ``(table_name, row_id, name, value, unit_code, is_common, common_unit, number,
-    lower_bound, upper_bound, spread)``; the unit columns are null for rows without any.
+    ``(table_name, row_id, unit_code, is_common, common_unit, number, lower_bound,
+    upper_bound, spread)``; the unit columns are null for rows without any.
     """
-    spark = hints.sparkSession
-    named = named_units(with_metric(quantities(spread(hints.select(*HINT_COLUMNS)), spread(ledger.select(*LEDGER_COLUMNS))), reference))
-    settled = source_graph(named, catalogue)
-    codes = {r["unit_code"]: (r["dimension"], r["is_common"]) for r in small_rows(catalogue.where("unit_code is not null"), 5000, "the catalogue of units")}
-    common = {d: c for c, (d, is_common) in codes.items() if is_common}
-    rows = [(s, x["unit_code"], codes[x["unit_code"]][1], common.get(codes[x["unit_code"]][0]), *CONVERSIONS[x["unit_code"]]) for s, x in sorted(settled.items())]
-    known = F.create_map(*[F.lit(v) for r in rows for v in (r[0], r[1])]) if rows else F.create_map().cast("map<string,string>")
-
-    def code(c: str) -> Column:
-        if c == "at_excerpt":  # the first that is a unit
-            return F.get(F.filter(F.transform(c, lambda x: known[x]), lambda x: x.isNotNull()), F.lit(0))
-        return known[F.col(c)]
-
-    unit = F.coalesce(*[code(p) for p in PLACES], F.when(F.col("quantity_kind") == "variable", code("at_caption")))
-    units = spark.createDataFrame([(c, bool(k), common.get(d), *CONVERSIONS[c]) for c, (d, k) in codes.items() if c in CONVERSIONS] or [("", False, "", 1.0, 0.0)], "unit_code string, is_common boolean, common_unit string, scale double, shift double")
-    parts = parsed(F.col("value"))
-    wide = named.select("table_name", "row_id", "name", "value", "family", unit.alias("unit_code"), *[v.alias(k) for k, v in parts.items()])
-    wide = wide.join(F.broadcast(units), "unit_code", "left")  # one row a catalogue unit
-    shift = F.when(F.col("family") == "level", F.col("shift")).otherwise(0.0)
+    read = cut(read_quantities(hints, ledger, reference))  # the graph and the result both need it
+    wide = with_unit(read, settled_spellings(read, catalogue, graph)).join(F.broadcast(conversions(catalogue)), "unit_code", "left")
+    shift = F.when(F.col("level"), F.col("shift")).otherwise(0.0)
     some = F.coalesce(F.col("number"), F.col("lower_bound")).isNotNull()
 
     def turned(c: str, moved: bool = True) -> Column:
         return F.coalesce(F.col(c) * F.col("scale") + (shift if moved else F.lit(0.0)), F.col(c)).alias(c)
 
-    out = ["table_name", "row_id", "name", "value"]
-    return wide.select(*out, *[F.when(some, F.col(c)).alias(c) for c in ("unit_code", "is_common", "common_unit")], turned("number"), turned("lower_bound"), turned("upper_bound"), turned("spread", False))
+    units = [F.when(some, F.col(c)).alias(c) for c in ("unit_code", "is_common", "common_unit")]
+    return wide.select("table_name", "row_id", *units, turned("number"), turned("lower_bound"), turned("upper_bound"), turned("spread", False))

@@ -70,7 +70,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_common(spark: SparkSession, d: str) -> DataFrame:
-    return _units(spark, d).drop("name", "value")
+    return _units(spark, d)
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_metrics, p1_parameters, p1_evidence, p1_points, p1_components, p1_records, p1_links, p3_found, p3_valid, p4_found, p4_common)}

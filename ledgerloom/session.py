@@ -84,8 +84,15 @@ def shared_folder(spark: SparkSession) -> str:
     return str(shared)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has fewer pieces than there are cores, as a table
-    in one small file has; at scale, where scans have many pieces, nothing is moved."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+#: Estimated bytes of input below which rows are spread over the cores.
+SPREAD_BYTES = 64 << 20
+
+
+def spread(df: DataFrame, most_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Rows over all cores where the input is estimated to be at most ``most_bytes``.
+
+    A table in one small file is one piece, and what follows it would run on one core.
+    Larger inputs, by the optimizer's own estimate, are never moved.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= most_bytes else df

@@ -90,19 +90,55 @@ def test_values_in_the_common_unit(spark, frames):
     assert near(6, number=-3500)
 
 
-def test_links_settle_a_spelling_no_grammar_knows():
-    dims = {c: d for c, d, _ in CATALOGUE}
-    common = {d: c for c, d, k in CATALOGUE if k}
-    # "fortnightish" measures entities in weeks, by its values alone
-    centres = [("d", f"e{k}", False, 10.0 + k, 30) for k in range(4)] + [("sennights", f"e{k}", False, (10.0 + k) / 7, 30) for k in range(4)]
-    assert units.settle(centres, dims, common)["sennights"]["unit_code"] == "wk"
-
-
-def test_contradicting_links_leave_the_name():
-    dims = {c: d for c, d, _ in CATALOGUE}
-    centres = [("mm", "e", False, 10.0, 30), ("inches", "e", False, 10.0, 30)]
-    got = units.settle(centres, dims, {"length": "mm"})["inches"]
-    assert (got["unit_code"], got["how"]) == ("in", "name")
+def counted(spark, *sources):
+    """Counts of sources ``(spelling, entity, level, values)``."""
+    rows_ = [(s, e, level, round(v if level else math.log10(v), 2), 3) for s, e, level, values in sources for v in values]
+    return spark.createDataFrame(rows_, "spelling string, entity string, level boolean, b double, n bigint")
+
+
+def settled(spark, frames, counts, **options):
+    spellings = counts.select("spelling").distinct()
+    return {r["spelling"]: (r["unit_code"], r["how"]) for r in units.source_graph(counts, spellings, frames[1], units.Graph(**options)).collect()}
+
+
+def test_links_settle_what_no_grammar_knows_and_propagate(spark, frames):
+    days = [8.0, 10.0, 12.0, 14.0]
+    week, hour = [x / 7 for x in days], [x * 24 for x in days]
+    counts = counted(spark, ("d", "a", False, days), ("d", "b", False, days), ("sennights", "a", False, week), ("sennights", "b", False, week), ("sennights", "c", False, week), ("glasses", "c", False, hour), ("glasses", "c", False, hour), ("strange", "c", False, [1.0, 5.0]))
+    # "c" has no anchor: its centre comes from a source that was settled in the round before
+    assert settled(spark, frames, counts, names=False) == {"d": ("d", "anchor"), "sennights": ("wk", "links"), "glasses": ("h", "links")}
+
+
+def test_offsets_tell_degrees_apart(spark, frames):
+    celsius = [5.0, 9.0, 13.0, 17.0, 21.0, 25.0, 29.0]
+    counts = counted(spark, ("K", "t", True, [x + 273.15 for x in celsius]), ("grad", "t", True, celsius), ("heat", "t", True, [x * 1.8 + 32 for x in celsius]))
+    assert settled(spark, frames, counts, names=False) == {"K": ("K", "anchor"), "grad": ("Cel", "links"), "heat": ("degF", "links")}
+
+
+def test_a_unique_snap_overrules_the_name(spark, frames):
+    counts = counted(spark, ("mm", "e", False, [10.0, 12.0, 14.0]), ("inches", "e", False, [1.0, 1.2, 1.4]), ("metres", "f", False, [1.0]))
+    assert settled(spark, frames, counts) == {"mm": ("mm", "anchor"), "inches": ("cm", "links"), "metres": ("m", "name")}
+    assert "metres" not in settled(spark, frames, counts, names=False)
+
+
+def test_values_alone_settle_nearly_all_units(spark, data):
+    """With the grammar of names off, links still give most rows of the data their unit."""
+    from pathlib import Path
+
+    from ledgerloom.session import table
+
+    d = str(Path(data).parent / "sf0.01")
+    tables = [table(spark, d, t) for t in ("metric_hint", "ledger_metric", "canonical_metric", "unit_catalog")]
+    want, got = (rows(units.recorded_units(*tables, units.Graph(**o)).where("not is_common").select("table_name", "row_id", "unit_code")) for o in ({}, {"names": False, "least": 4}))
+    assert len(set(got) & set(want)) >= 0.8 * len(want) and len(set(got) - set(want)) <= 0.01 * len(want)
+
+
+def test_many_spellings_are_joined(spark, frames):
+    rows_ = ({"metric_name": "MAE", "value": "5 hours"}, {"metric_name": "MAE", "value": "5", "unit_hint": "x", "column_label": "Value [wk]"}, {"metric_name": "MAE", "value": "5"})
+    read = units.read_quantities(hints(spark, *rows_), spark.createDataFrame([], LEDGER), frames[0])
+    known = units.settled_spellings(read, frames[1])
+    by_map, by_join = (rows(units.with_unit(read, known, most).select("row_id", "unit_code")) for most in (100, 0))
+    assert by_map == by_join == [(0, "h"), (1, "wk"), (2, None)]
 
 
 def test_name_resolver():
