@@ -1,22 +1,21 @@
 """Noise in text from scanned pages: cut words, misread characters, page furniture.
 
-Three averaged perceptrons are trained here, on the texts themselves:
-
-* a *character editor* that reads a word character by character and predicts what each one
-  should be: itself (keep), another character (replace), nothing (delete) or several
-  (insert).  It learns from pairs of a rare and a common word that differ in one place by
-  a substitution which many such pairs share;
-* a *line joiner* that predicts whether a hyphen at a line's end was put there by the line
-  break, learnt from known words cut anywhere and known compounds parted at their hyphen;
-* a *line classifier* with features of shape and page position that finds page numbers and
-  page headings, learnt from lines that repeat their own document's title, from lines that
-  the corpus repeats with other numbers, and from running text.
+Two averaged perceptrons are trained here, on the texts themselves:
+
+* a *character editor* that reads a text's doubtful places and predicts an operation for
+  each: a character of a word is kept, replaced, deleted or has others inserted, and a hyphen
+  at a line's end is taken out (the line-join operation) or kept.  It learns the characters
+  from pairs of a rare and a common word that differ in one place by a substitution which
+  many such pairs share, and joins from known words cut anywhere and known compounds
+  parted at their hyphen;
+* a *line classifier* with features of shape and page position that tells page numbers and
+  page headings from text, learnt from lines that repeat a document's title, from lines that the corpus repeats with other numbers, and from running text.
 
 What the editor proposes is accepted only if it is a known word.  Known words are counted
-over all texts; the ``Fit.lexicon`` most frequent ones are kept, a bound that is a
-parameter, and among them those that a common substitution turns into a far more frequent
-word are struck out as frequent misreadings.  Fits use a bounded sample of lines, words and
-pairs; every text is processed whole.
+over all texts and kept as a table, as are the repairs of the distinct unknown words: both
+are broadcast below a checked size and joined to each text's words beyond it.  Word pairs
+are mined by an equality join on words with a hole, over all words.  Fits use a bounded
+sample of lines and pairs; every text is processed whole.
 
 Defined results: null texts have no defects and stay null; a text of one line has no
 furniture; equal texts get equal results.
@@ -27,35 +26,34 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.confusables import canonical_text
-from ledgerloom.session import spread
-
-# Characters that a scanner takes for others by their shape, as read and as
-# meant; of these, two words that share one are evidence enough.
-SHAPES = {
-    ("0", "o"), ("1", "i"), ("1", "l"), ("5", "s"), ("8", "b"), ("6", "b"), ("9", "g"), ("2", "z"), ("c", "e"), ("e", "c"), ("b", "h"), ("h", "b"), ("q", "g"), ("l", "i"), ("i", "l"),
-    ("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("ii", "u"), ("u", "ii"), ("vv", "w"), ("h", "li"), ("li", "h"), ("ff", "tt"), ("tt", "ff"), ("f", "t"), ("ri", "n"), ("n", "ri"),
-}
+from ledgerloom.llm.confusables import LookAlikes, canonical_text, look_alikes, readable
+from ledgerloom.session import cut, spread
 
 DEFECTS = ("hyphenation", "misread", "header", "page_number")
+JOIN, KEEP = "<join>", "<keep>"
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Parameters; the first three bound what reaches the driver."""
+    """Parameters; the first four bound the labelled samples of the fits."""
 
-    lexicon: int = 200_000
     lines: int = 40_000
+    texts: int = 3000
+    longest: int = 20_000  # characters of a sampled text
     pairs: int = 6000
     least: int = 4  # occurrences of a known word
     ratio: int = 15  # how much more frequent the right word is than its misreading
+    support: int = 3  # words that share a substitution, and of all words with a partner one in
+    of_words: int = 300
+    places: int = 4  # characters of a word that may be edited
+    broadcast: int = 500_000  # words and repairs; more are joined
     epochs: int = 4
     seed: int = 5
 
@@ -108,41 +106,6 @@ class Perceptron:
 # --- the character editor -------------------------------------------------------------
 
 
-def holes(word: str) -> Iterator[tuple[str, str]]:
-    """A word with one place of one or two characters taken out, and what was there."""
-    for size in (1, 2):
-        for i in range(len(word) - size + 1):
-            yield word[:i] + "\0" + word[i + size :], word[i : i + size]
-
-
-def mine_pairs(counts: dict[str, int], fit: Fit) -> tuple[list[tuple[str, str]], dict[tuple[str, str], int]]:
-    """Pairs (misread, right) of words, and the substitutions that many of them share."""
-    ranked = sorted(counts, key=lambda w: (-counts[w], w))
-    common = [w for w in ranked[:20_000] if len(w) > 3 and w.isalpha() and counts[w] >= fit.ratio * 2]
-    at: dict[str, list[tuple[str, str]]] = defaultdict(list)
-    for w in common:
-        for key, part in holes(w):
-            at[key].append((w, part))
-    found: list[tuple[str, str, tuple[str, str]]] = []
-    support: Counter = Counter()
-    rare = [w for w in ranked if len(w) > 3 and counts[w] * fit.ratio <= counts[common[0]]][:60_000] if common else []
-    for w in rare:
-        best: dict[tuple[str, str], str] = {}
-        for key, part in holes(w):
-            for right, there in at.get(key, ()):
-                if counts[right] >= fit.ratio * counts[w] and part != there and part[0] != there[0] and (len(part) == 1 or len(there) == 1 or part[-1] != there[-1]):
-                    swap = (part, there)
-                    if swap not in best or counts[right] > counts[best[swap]]:
-                        best[swap] = right
-        for swap, right in best.items():
-            found.append((w, right, swap))
-            support[swap] += 1
-    least = max(6, len({w for w, _, _ in found}) // 100)
-    swaps = {s: n for s, n in support.items() if n >= (2 if s in SHAPES else least)}
-    pairs = [(w, r) for w, r, s in found if s in swaps]
-    return pairs[: fit.pairs], swaps
-
-
 def edits(wrong: str, right: str) -> list[str]:
     """For each character of the wrong word what it should be."""
     i = 0
@@ -171,7 +134,11 @@ def char_features(word: str, i: int) -> list[str]:
 
 _BREAK = re.compile(r"\r\n|\r|\n|\f")
 _NUMBER = re.compile(r"^\W*(?:page|p|pp|seite|s|pg)?\W*\d{1,5}(?:\s*(?:of|/|von|out of)\s*\d{1,5})?\W*$", re.I)
-_MARKS = {"caps", "of", "dots", "no", "repeats"}
+_OF = re.compile(r"\b(?:of|OF)\s\S+(?:\s\S+)?:")
+_GAP = re.compile(r"\s{2,}\d+$|^\d+\s{2,}")
+_ISSUE = re.compile(r"\b(?:no|vol|nr)\.\s*\d", re.I)
+_TOLD = ("stop", "lower", "few", "of", "caps", "number", "short")
+_MARKS = ("caps", "of", "dots", "gap", "no", "number", "repeats")
 _FIXED = ("Title:", "#", "===")
 _TOKEN = re.compile(r"[^\W_]+")
 _PART = re.compile(r"([^\W\d_][^\W_]*)[-¬]$")
@@ -183,254 +150,293 @@ def masked(line: str) -> str:
     return re.sub(r"\d+", "0", re.sub(r"^\s*\d+\s+|\s+\d+\s*$", "", line.strip())).casefold()
 
 
+def page_lines(text: str) -> list[str]:
+    return _BREAK.split(text)
+
+
+def may_be_furniture(line: str) -> bool:
+    """Whether the classifier is asked: no blank line, heading mark or cut word."""
+    x = line.strip()
+    return bool(x) and not x.startswith(_FIXED) and (x[-1] not in "-¬," or bool(_NUMBER.match(x)))
+
+
+def page_of(lines: list[str]) -> tuple[dict[str, int], int]:
+    """How often each line recurs, and the width of the page."""
+    return Counter(masked(x) for x in lines if may_be_furniture(x)), max((len(x) for x in lines), default=0)
+
+
 def line_features(lines: list[str], k: int, width: int, repeats: dict[str, int]) -> list[str]:
     """Shape and page position of a line."""
     x = lines[k].strip()
     before = next((y.strip() for y in reversed(lines[:k]) if y.strip()), "")
     after = next((y.strip() for y in lines[k + 1 :] if y.strip()), "")
-    words = x.split()
     letters = [c for c in x if c.isalpha()]
-    caps = sum(c.isupper() for c in letters) / max(1, len(letters))
-    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "0", x))[:12]
+    caps = len(letters) > 6 and sum(c.isupper() for c in letters) > 0.8 * len(letters)
+    first, last = x[:1], x[-1:]
     ends = "none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open"
+    words = x.count(" ") + 1
     base = {
-        "number": bool(_NUMBER.match(x)) and not x.endswith("."),
+        "number": bool(_NUMBER.match(x)) and last != ".",
         "only0": not letters,
-        "caps": caps > 0.8 and len(letters) > 6,
-        "stop": x[-1:] in ".!?",
+        "caps": caps,
+        "stop": last in ".!?" and not x.endswith("..."),
         "dots": x.rstrip("0123456789 ").endswith("..."),
-        "of": bool(re.search(r"\b(?:of|OF)\s\S+(?:\s\S+)?:", x)),
-        "num_end": bool(re.search(r"\s\d+$", x)),
-        "num_begin": bool(re.match(r"\d+\s", x)),
-        "gap": bool(re.search(r"\s{2,}\d+$|^\d+\s{2,}", x)),
-        "no": bool(re.search(r"\b(?:no|vol|nr)\.\s*\d", x, re.I)),
+        "of": bool(_OF.search(x)),
+        "num_end": last.isdigit() and bool(letters),
+        "num_begin": first.isdigit(),
+        "gap": bool(_GAP.search(x)),
+        "no": bool(_ISSUE.search(x)),
         "short": len(x) < 0.8 * width,
-        "few": len(words) <= 8,
+        "few": words <= 8,
         "alone": (k == 0 or not lines[k - 1].strip()) and (k + 1 >= len(lines) or not lines[k + 1].strip()),
         "edge": k == 0 or k + 1 == len(lines),
-        "lower": x[:1].islower(),
+        "lower": first.islower(),
         "after_lower": after[:1].islower(),
-        "repeats": repeats.get(masked(x), 0) > 1 and len(x) > 8,
+        "repeats": len(x) > 8 and repeats.get(masked(x), 0) > 1,
     }
     on = [n for n, v in base.items() if v]
-    off = [f"!{n}" for n in ("stop", "lower", "few", "of", "caps", "number") if not base[n]]
-    feats = ["bias", *on, *off, f"ends={ends}", f"words={min(len(words), 12)}"]
+    feats = ["bias", *on, *["!" + n for n in _TOLD if not base[n]], "ends=" + ends, f"words={min(words, 12)}", f"top={min(k, 4)}", f"bottom={min(len(lines) - 1 - k, 4)}"]
     if len(x) < 14:
-        feats.append(f"shape={shape}")
-    pairs = [n for n in on if n in ("caps", "of", "dots", "gap", "no", "number", "repeats")]
-    return feats + [f"{a}&{b}" for a in pairs for b in on + off if a != b]
+        feats.append("shape=" + re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "0", x)))
+    # a heading is told by what goes together with its marks
+    marks = [n for n in on if n in _MARKS]
+    return feats + [f"{m}&{n}" for m in marks for n in on + ["ends=" + ends] if m != n] + (["unmarked"] if not marks else [])
 
 
-def page_lines(text: str) -> list[str]:
-    return _BREAK.split(text)
+# --- the editor and the classifier ------------------------------------------------------
 
 
-def may_be_furniture(line: str) -> bool:
-    x = line.strip()
-    return bool(x) and len(x) <= 120 and not x.startswith(_FIXED) and (x[-1] not in "-¬," or bool(_NUMBER.match(x)))
-
-
-class Repairer:
-    """The three perceptrons and the known words."""
+class Model:
+    """The two perceptrons."""
 
-    def __init__(self, counts: dict[str, int], samples: list[str], fit: Fit = Fit()):
+    def __init__(self, fit: Fit = Fit()):
         self.fit = fit
-        words = {w: n for w, n in counts.items() if n >= min(fit.least, max(2, max(counts.values(), default=1) // 50))}
-        pairs, self.swaps = mine_pairs(counts, fit)
-        self.known = self._cleaned(words)
-        self._fixes: dict[str, str | None] = {}
-        self.editor, self.joiner, self.liner = Perceptron(), Perceptron(), Perceptron()
-        self._teach_editor(pairs)
-        self._teach_joiner()
-        self.common_lines = Counter(m for t in samples for m in {masked(x) for x in page_lines(t) if may_be_furniture(x)})
-        self._teach_liner(samples)
+        self.editor, self.liner = Perceptron(), Perceptron()
+        self.options: dict[str, set[str]] = {}  # what the editor has learnt of each character
+        self.margin = 0.0
 
-    def _cleaned(self, words: dict[str, int]) -> dict[str, int]:
-        """Known words without frequent misreadings and without broken pieces."""
-        out = {}
-        for w, n in words.items():
-            better = any(words.get(v, 0) >= self.fit.ratio * n for v in self._variants(w))
-            if not better:
-                out[w] = n
-        return out
-
-    def _variants(self, w: str) -> Iterator[str]:
-        for a, b in self.swaps:
-            i = w.find(a)
-            while i >= 0:
-                yield w[:i] + b + w[i + len(a) :]
-                i = w.find(a, i + 1)
-
-    # training
-
-    def _teach_editor(self, pairs: list[tuple[str, str]]) -> None:
-        rows = [(char_features(w, i), e) for w, r in pairs for i, e in enumerate(edits(w, r))]
-        right = sorted(self.known, key=lambda w: (-self.known[w], w))[: max(500, len(pairs) // 2)]
-        rows += [(char_features(w, i), c) for w in right if "-" not in w for i, c in enumerate(w)]
-        self.editor.train(rows, self.fit.epochs, self.fit.seed)
-
-    def join_features(self, left: str, right: str, mark: str) -> list[str]:
-        whole, compound = left + right, f"{left}-{right}"
-        k, c = self.known.get(whole, 0), self.known.get(compound, 0)
-        fixable = not k and self.fix(whole) is not None
-        parts = left in self.known and right in self.known
-        return ["bias", f"k{k > 0}", f"c{c > 0}", f"f{fixable}", f"p{parts}", f"k{k > 0}c{c > 0}more{k > c}", f"k{k > 0}f{fixable}c{c > 0}p{parts}", f"mark{mark}", f"l{left[-2:]}", f"r{right[:2]}"]
-
-    def _teach_joiner(self) -> None:
+    def teach(self, pairs: list[tuple[str, str]], known: dict[str, int], samples: list[str]) -> Model:
+        """Fit on word pairs (misread, right), frequent known words and sampled texts."""
         rng = random.Random(self.fit.seed)
-        words = sorted(self.known, key=lambda w: (-self.known[w], w))
+        words = sorted(known, key=lambda w: (-known[w], w))
+        rows = [(char_features(w, i), e) for w, r in pairs for i, e in enumerate(edits(w, r))]
+        rows += [(char_features(w, i), c) for w in [w for w in words if "-" not in w][: max(500, len(pairs) // 2)] for i, c in enumerate(w)]
+        for w, r in pairs:
+            for c, e in zip(w, edits(w, r)):
+                if c != e:
+                    self.options.setdefault(c, set()).add(e)
+        lexicon = Lexicon(known, {}, self)
         plain = [w for w in words if w.isalpha() and len(w) > 4][:3000]
-        compounds = [w for w in words if "-" in w and w.count("-") == 1][:3000]
-        rows = []
+        compounds = [w for w in words if w.count("-") == 1][:3000]
         for w in plain:
             i = rng.randrange(2, len(w) - 1)
-            rows.append((self.join_features(w[:i], w[i:], "¬" if rng.random() < 0.4 else "-"), "join"))
+            rows.append((join_features(lexicon, w[:i], w[i:], "¬" if rng.random() < 0.4 else "-"), JOIN))
         for k in range(len(plain) if compounds else 0):
             a, _, b = compounds[k % len(compounds)].partition("-")
-            rows.append((self.join_features(a, b, "-"), "keep"))
-        self.joiner.train(rows, self.fit.epochs, self.fit.seed)
+            rows.append((join_features(lexicon, a, b, "-"), KEEP))
+        self.editor.train(rows, self.fit.epochs, self.fit.seed)
+        gains = sorted(self.gain(w, edits(w, r)) for w, r in pairs)
+        # what nearly all pairs of the fit reach
+        self.margin = min(0.0, gains[len(gains) // 50]) if gains else 0.0
+        self._teach_liner(samples)
+        return self
+
+    def gain(self, word: str, ops: list[str]) -> float:
+        """How much better the editor likes operations than to keep the word."""
+        total = 0.0
+        for i, (c, e) in enumerate(zip(word, ops)):
+            if e != c:
+                s = self.editor.scores(char_features(word, i))
+                total += s.get(e, 0.0) - s.get(c, 0.0)
+        return total
+
+    def readings(self, word: str) -> dict[str, float]:
+        """Everything the editor may make of a word with a gain above the margin, by up to
+        ``Fit.places`` edited characters."""
+        if word.isdigit() or len(word) < 2 or (len(word) < 4 and word.isalpha()):
+            return {}
+        options: list[tuple[float, int, str]] = []
+        best = [0.0] * len(word)
+        for i, c in enumerate(word):
+            if seen := self.options.get(c):
+                s = self.editor.scores(char_features(word, i))
+                stay = s.get(c, 0.0)
+                for e in seen:
+                    g = s.get(e, 0.0) - stay
+                    options.append((g, i, e))
+                    best[i] = max(best[i], g)
+        # what the other places can still add
+        hope = sum(sorted(best, reverse=True)[: self.fit.places - 1])
+        options = sorted((o for o in options if o[0] + hope >= self.margin), key=lambda o: -o[0])
+        found: dict[str, float] = {}
+        todo: list[tuple[float, int, dict[int, str]]] = [(0.0, 0, {})]
+        while todo:
+            total, start, done = todo.pop()
+            left = self.fit.places - len(done)
+            for k in range(start, len(options)):
+                g, i, e = options[k]
+                now = total + g
+                # options come best first: neither this nor a later one reaches the margin
+                if now + max(0.0, g) * (left - 1) < self.margin:
+                    break
+                if i in done:
+                    continue
+                more = {**done, i: e}
+                if now >= self.margin:
+                    out = "".join(more.get(j, c) for j, c in enumerate(word))
+                    if out and now > found.get(out, float("-inf")):
+                        found[out] = now
+                if left > 1:
+                    todo.append((now, k + 1, more))
+        found.pop(word, None)
+        return found
+
+    def joins(self, lexicon: Lexicon, left: str, right: str, mark: str) -> bool:
+        """The editor's operation for a mark at a line's end."""
+        s = self.editor.scores(join_features(lexicon, left, right, mark))
+        return s.get(JOIN, 0.0) > s.get(KEEP, 0.0)
 
     def _teach_liner(self, samples: list[str]) -> None:
-        rows: list[tuple[list[str], str]] = []
+        common = Counter(m for t in samples for m in {masked(x) for x in page_lines(t) if may_be_furniture(x)})
         often = max(3, len(samples) // 100)
+        titles = {masked(x[6:]) for t in samples for x in page_lines(t) if x.startswith("Title:")}
+        rows: list[tuple[list[str], str]] = []
         for text in samples:
             lines = page_lines(text)
             if len(lines) < 2:
                 continue
             title = next((x[6:].strip().casefold() for x in lines if x.startswith("Title:")), "")
-            repeats, width = self._page(lines)
+            repeats, width = page_of(lines)
             for k, x in enumerate(lines):
                 if not may_be_furniture(x):
                     continue
-                y = masked(x)
-                cut = y.rstrip(". ")
-                if _NUMBER.match(x.strip()) and not x.strip().endswith("."):
+                x, y = x.strip(), masked(x)
+                short = y.rstrip(". ")
+                if _NUMBER.match(x) and not x.endswith("."):
                     label = "page_number"
-                elif title and len(cut) > 8 and (y == re.sub(r"\d+", "0", title) or (y.endswith("...") and title.startswith(cut))):
+                elif len(short) > 8 and (y in titles or (title and y.endswith("...") and title.startswith(short))):
                     label = "header"
-                elif self.common_lines[y] >= often and len(y) > 8 and "0" in y and not x.strip().endswith((".", "?", "!")):
+                elif common[y] >= often and len(y) > 8 and "0" in y and not x.endswith((".", "?", "!")):
                     label = "header"
-                elif x.strip()[:1].islower() or (not x.strip().endswith("...") and (title or (x.strip()[-1:] in ".!?" and k + 1 == len(lines)))):
+                elif x[:1].islower() or (k == 0 and lines[1].strip()[:1].islower()) or (not x.endswith("...") and (title or (x[-1:] in ".!?" and k + 1 == len(lines)))):
                     label = "text"
                 else:
                     continue
                 rows.append((line_features(lines, k, width, repeats), label))
         self.liner.train(rows[: self.fit.lines], self.fit.epochs, self.fit.seed)
 
-    # use
-
-    @staticmethod
-    def _page(lines: list[str]) -> tuple[dict[str, int], int]:
-        repeats = Counter(masked(x) for x in lines if may_be_furniture(x))
-        return repeats, max((len(x) for x in lines), default=0)
-
     def furniture(self, lines: list[str]) -> dict[int, str]:
         """Lines that are page furniture, by what they are."""
-        if len(lines) < 2:
-            return {}
-        out, page = {}, None
-        for k, x in enumerate(lines):
-            if may_be_furniture(x) and (x.strip()[-1] not in ".!?" or x.strip().endswith("...")):
-                page = page or self._page(lines)
-                label = self.liner.best(line_features(lines, k, page[1], page[0]), "text")
-                # exact check: a page number is nothing else, a heading has a heading's marks
-                number = bool(_NUMBER.match(x.strip()))
-                marked = label == "header" and any(c.isalpha() for c in x) and not _MARKS.isdisjoint(line_features(lines, k, page[1], page[0]))
-                if label != "text" and (number or marked):
-                    out[k] = "page_number" if number else label
+        out: dict[int, str] = {}
+        if len(lines) > 1:
+            page = None
+            for k, x in enumerate(lines):
+                if may_be_furniture(x):
+                    repeats, width = page = page or page_of(lines)
+                    label = self.liner.best(line_features(lines, k, width, repeats), "text")
+                    if label != "text":
+                        out[k] = label
         return out
 
+
+class Lexicon:
+    """Known words with their counts, and the repairs of unknown ones."""
+
+    def __init__(self, known: dict[str, int], fixes: dict[str, str], model: Model):
+        self.known, self.fixes, self.model = known, fixes, model
+        self._others: dict[str, str | None] = {}
+
     def fix(self, word: str) -> str | None:
         """The known word that a lower-case word is a misreading of, or None."""
-        if word in self.known or len(word) < 2:
-            return None
-        if word in self._fixes:
-            return self._fixes[word]
-        if len(self._fixes) > 300_000:
-            self._fixes.clear()
-        self._fixes[word] = found = self._edit(word)
-        return found
-
-    def _edit(self, word: str) -> str | None:
-        if word.isdigit() or len(word) > 60:
+        if word in self.known:
             return None
-        options = []
-        for i, c in enumerate(word):
-            s = self.editor.scores(char_features(word, i))
-            stay = s.get(c, 0.0)
-            options.append(sorted(((v - stay, e) for e, v in s.items() if e != c), reverse=True)[:4])
-        likely = [o[0][1] if o and o[0][0] > 0 else c for o, c in zip(options, word)]
-        whole = "".join(likely)
-        if whole != word and whole in self.known:
-            return whole
-        # one place at a time, the most likely first; a two-letter source deletes its mate
-        tries = sorted(((gain, i, e) for i, o in enumerate(options) for gain, e in o), reverse=True)[:24]
-        for _, i, e in tries:
-            for end in (i + 1, i + 2):
-                source = word[i:end]
-                if (source, e) in self.swaps:
-                    once = word[:i] + e + word[end:]
-                    if once in self.known and (len(word) > 3 or not word.isalpha()):
-                        return once
-        # several of the shared substitutions in one word
-        todo, seen = [word], {word}
-        for _ in range(3):
-            later = []
-            for w in todo:
-                for v in self._variants(w):
-                    if v in self.known and (len(word) > 3 or not word.isalpha()):
-                        return v
-                    if v not in seen and len(seen) < 400:
-                        seen.add(v)
-                        later.append(v)
-            todo = later
-        return None
-
-    def analyse(self, text: str) -> tuple[set[str], str]:
-        """Defects of a text, and its continuous readable paragraphs."""
-        lines = page_lines(canonical_text(text, self.table))
-        page = self.furniture(lines)
-        found = set(page.values())
-        paragraphs: list[str] = []
-        held, gap, page_break = "", False, False
-        for k, line in enumerate(lines):
-            if k in page:
-                page_break = True
-                continue
-            x = line.strip()
-            if not x:
-                gap = True
-                continue
-            fixed = x.startswith(_FIXED)
-            cut = _PART.search(held)
-            head = _HEAD.match(x)
-            if held and not fixed and cut and head and (not gap or page_break or k + 1 < len(lines)) and head[0][0].isalpha():
-                left, right, mark = cut[1].lower(), head[0].lower(), held[-1]
-                if self.joiner.best(self.join_features(left, right, mark), "join") == "join" or (mark == "¬" and f"{left}-{right}" not in self.known):
-                    found.add("hyphenation")
-                    held = held[:-1] + x
-                else:
-                    held += x
-            elif held and not fixed and not held.startswith(_FIXED) and (not gap or (page_break and held[-1] not in ".!?:")):
-                held += " " + x
+        if word in self.fixes:
+            return self.fixes[word]
+        if word not in self._others:  # no word of the corpus: two parts put together
+            if len(self._others) > 100_000:
+                self._others.clear()
+            self._others[word] = self.best(self.model.readings(word))
+        return self._others[word]
+
+    def best(self, readings: dict[str, float]) -> str | None:
+        return max(((g, self.known[w], w) for w, g in readings.items() if w in self.known), default=(0, 0, None))[2]
+
+
+def join_features(lexicon: Lexicon, left: str, right: str, mark: str) -> list[str]:
+    whole, compound = left + right, f"{left}-{right}"
+    k, c = lexicon.known.get(whole, 0), lexicon.known.get(compound, 0)
+    fixable = not k and lexicon.fix(whole) is not None
+    parts = left in lexicon.known and right in lexicon.known
+    return ["join", f"k{k > 0}", f"c{c > 0}", f"f{fixable}", f"p{parts}", f"k{k > 0}c{c > 0}more{k > c}", f"k{k > 0}f{fixable}c{c > 0}p{parts}", f"mark{mark}", f"jl{left[-2:]}", f"jr{right[:2]}", f"mark{mark}c{c > 0}", f"mark{mark}k{k > 0}"]
+
+
+def assembled(lines: list[str], page: dict[int, str], joins: Callable[[str, str, str], bool]) -> tuple[bool, list[str]]:
+    """Paragraphs without furniture, cut words joined as ``joins`` says; and whether any was."""
+    joined = False
+    paragraphs: list[str] = []
+    held, gap, page_break = "", False, False
+    for k, line in enumerate(lines):
+        if k in page:
+            page_break = True
+            continue
+        x = line.strip()
+        if not x:
+            gap = True
+            continue
+        fixed = x.startswith(_FIXED)
+        cut_ = _PART.search(held)
+        head = _HEAD.match(x)
+        if held and not fixed and cut_ and head and (not gap or page_break or k + 1 < len(lines)) and head[0][0].isalpha():
+            if joins(cut_[1].lower(), head[0].lower(), held[-1]):
+                joined = True
+                held = held[:-1] + x
             else:
-                if held:
-                    paragraphs.append(held)
-                held = x
-            gap = page_break = False
-        if held:
-            paragraphs.append(held)
-        repaired = []
-        for p in paragraphs:
-            out, at = [], 0
-            for m in _TOKEN.finditer(p):
-                word = m[0].lower()
-                if word not in self.known and (better := self.fix(word)) is not None:
-                    found.add("misread")
-                    out += [p[at : m.start()], _cased(m[0], better)]
-                    at = m.end()
-            repaired.append("".join(out) + p[at:])
-        return found, "\n\n".join(repaired)
+                held += x
+        elif held and not fixed and not held.startswith(_FIXED) and (not gap or (page_break and held[-1] not in ".!?:")):
+            held += " " + x
+        else:
+            if held:
+                paragraphs.append(held)
+            held = x
+        gap = page_break = False
+    if held:
+        paragraphs.append(held)
+    return joined, paragraphs
+
+
+def analyse(text: str, model: Model, lexicon: Lexicon) -> tuple[set[str], str]:
+    """Defects of a readable text, and its continuous paragraphs."""
+    lines = page_lines(text)
+    page = model.furniture(lines)
+    found = set(page.values())
+    joined, paragraphs = assembled(lines, page, lambda a, b, mark: model.joins(lexicon, a, b, mark))
+    if joined:
+        found.add("hyphenation")
+    whole = "\n\n".join(paragraphs)
+    better: dict[str, str] = {}
+    for word in set(_TOKEN.findall(whole.lower())) - lexicon.known.keys():
+        if (right := lexicon.fix(word)) is not None:
+            better[word] = right
+    if better:
+        found.add("misread")
+        whole = _TOKEN.sub(lambda m: _cased(m[0], better[m[0].lower()]) if m[0].lower() in better else m[0], whole)
+    return found, whole
+
+
+def needed(text: str, model: Model) -> list[str]:
+    """Words whose count or repair an analysis of a text may ask for."""
+    lines = page_lines(text)
+    asked: set[str] = set()
+
+    def ask(left: str, right: str, mark: str) -> bool:
+        asked.update((left, right, left + right, f"{left}-{right}", *model.readings(left + right)))
+        return True
+
+    # joined or kept, each word of either text is asked for
+    for joins in (ask, lambda *_: False):
+        for p in assembled(lines, model.furniture(lines), joins)[1]:
+            asked.update(_TOKEN.findall(p.lower()))
+    return sorted(asked)
 
 
 def _cased(before: str, after: str) -> str:
@@ -443,34 +449,139 @@ def _cased(before: str, after: str) -> str:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, n)`` over all texts: words, and compounds with their hyphens."""
-    low = F.lower(F.col("text"))
+    """``(word, n)`` over all texts: words, and compounds with their hyphens.
+
+    What stands on both sides of a mark at a line's end may be pieces and is not counted.
+    """
+    low = F.regexp_replace(F.lower(readable(texts.sparkSession, F.col("text"))), r"[\p{L}\p{N}]+[-¬][ \t]*[\r\n\f]\s*[\p{L}\p{N}]+", " ")
     whole = F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     joined = F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)+"), F.lit(0))
     words = texts.where("text is not null").select(F.explode(F.concat(whole, joined)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.where(~F.col("word").rlike("^[0-9]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def holes(words: DataFrame) -> DataFrame:
+    """``(word, n, key, part)``: each word with one place of one or two characters out."""
+    word, size = F.col("word"), F.length("word")
+
+    def out(width: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), size - (width - 1)), lambda i: F.struct(
+            F.concat(F.substring(word, F.lit(1), i - 1), F.lit("\x01"), F.substring(word, i + width, size)).alias("key"), F.substring(word, i, F.lit(width)).alias("part")
+        ))
+
+    return words.select("word", "n", F.explode(F.concat(out(1), out(2))).alias("h")).select("word", "n", "h.*")
+
+
+def word_pairs(counts: DataFrame, fit: Fit) -> DataFrame:
+    """``(wrong, n, right, m, a, b)``: rare words and the common one that differs in one
+    place, read ``a`` for ``b``.  An equality join on holes: no word meets all others."""
+    words = holes(counts.where(F.length("word") > 3))
+    rare = words.select(F.col("word").alias("wrong"), "n", "key", F.col("part").alias("a"))
+    common = words.where((F.col("n") >= 2 * fit.ratio) & F.col("word").rlike(r"^\p{L}+$")).select(F.col("word").alias("right"), F.col("n").alias("m"), "key", F.col("part").alias("b"))
+    first, last = lambda c: F.substring(c, 1, 1), lambda c: F.substring(c, -1, 1)
+    apart = (F.col("m") >= fit.ratio * F.col("n")) & (first("a") != first("b")) & ((F.length("a") == 1) | (F.length("b") == 1) | (last("a") != last("b")))
+    pairs = rare.join(common, "key").where(apart)
+    return pairs.groupBy("wrong", "n", "a", "b").agg(F.max(F.struct("m", "right")).alias("best")).select("wrong", "n", "best.right", "best.m", "a", "b")
+
+
+@dataclass
+class Words:
+    """What all texts say about words, as tables."""
+
+    counts: DataFrame  # (word, n)
+    known: DataFrame  # (word, n)
+    pairs: DataFrame  # (wrong, right) of shared substitutions
+
 
+def corpus_words(texts: DataFrame, fit: Fit) -> Words:
+    counts = cut(word_counts(texts))
+    pairs = cut(word_pairs(counts, fit))
+    swaps = pairs.groupBy("a", "b").agg(F.countDistinct("wrong").alias("words"), F.percentile(F.col("n") / F.col("m"), 0.5).alias("rate"))
+    size = pairs.agg(F.countDistinct("wrong").alias("all_words"))
+    shared = F.col("words") >= F.greatest(F.lit(fit.support), F.col("all_words") / fit.of_words)
+    swaps = swaps.join(F.broadcast(size)).where(shared).select("a", "b", "rate")  # one row
+    shared_pairs = cut(pairs.join(F.broadcast(swaps), ["a", "b"]))  # as many as substitutions of two characters
+    # a frequent misreading is as frequent as the substitution lets expect, a word is not
+    expected = F.col("n") <= fit.least + 8 * F.col("rate") * F.col("m")
+    struck = shared_pairs.where(expected).select(F.col("wrong").alias("word")).distinct()
+    most = counts.agg(F.max("n")).first()[0] or 1
+    known = counts.where(F.col("n") >= min(fit.least, max(2, most // 50))).join(struck, "word", "left_anti")
+    return Words(counts, cut(known), shared_pairs.select("wrong", "right"))
 
-def fit_repairer(texts: DataFrame, fit: Fit = Fit()) -> Repairer:
-    """Fit on the word counts of all texts and a sample of texts by the hash of their id."""
-    top = word_counts(texts).where(~F.col("word").rlike("^[0-9]+$") & (F.length("word") <= 60)).orderBy(F.desc("n"), "word").limit(fit.lexicon)  # a bounded top-k
-    counts = {r["word"]: r["n"] for r in top.collect()}
-    many = texts.where("text is not null and instr(text, '\n') > 0")
-    taken = many.orderBy(F.xxhash64("table_name", "row_id"), "row_id").limit(max(1, fit.lines // 12)).collect()
-    return Repairer(counts, [canonical_text(r["text"]) for r in taken], fit)
+
+def learn(texts: DataFrame, words: Words, fit: Fit, table: LookAlikes) -> Model:
+    """Fit on bounded samples: of pairs and texts by a hash, of known words the most frequent."""
+    pairs = words.pairs.distinct().orderBy(F.xxhash64("wrong", "right"), "wrong", "right").limit(fit.pairs).collect()
+    top = words.known.where(F.length("word") <= 60).orderBy(F.desc("n"), "word").limit(2 * fit.pairs).collect()
+    many = texts.where((F.length("text") <= fit.longest) & F.col("text").contains("\n"))
+    taken = many.orderBy(F.xxhash64("table_name", "row_id"), "row_id").limit(fit.texts).collect()  # a top-k
+    return Model(fit).teach([(r["wrong"], r["right"]) for r in pairs], {r["word"]: r["n"] for r in top}, [canonical_text(r["text"], table) for r in taken])
+
+
+def repairs(words: Words, model) -> DataFrame:
+    """``(word, fix)`` for the distinct unknown words that the editor turns into a known one."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(w, r, g) for w in batch.column(0).to_pylist() for r, g in model.value.readings(w).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.float64() if k == 2 else pa.string()) for k in range(3)], names=["wrong", "word", "gain"])
+
+    unknown = words.counts.join(words.known, "word", "left_anti").where(F.length("word") > 1).select("word")
+    unknown = unknown.repartition(unknown.sparkSession.sparkContext.defaultParallelism)
+    proposed = unknown.mapInArrow(read, "wrong string, word string, gain double").join(words.known, "word")
+    best = proposed.groupBy("wrong").agg(F.max(F.struct("gain", "n", "word")).alias("best"))
+    return best.select(F.col("wrong").alias("word"), F.col("best.word").alias("fix"))
+
+
+_OUT = "table_name string, row_id bigint, defects array<string>, repaired string"
 
 
 def repair(texts: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """``(table_name, row_id, defects, repaired)`` for ``(table_name, row_id, text)``."""
-    shared = texts.sparkSession.sparkContext.broadcast(fit_repairer(texts, fit))  # bounded by the fit's parameters
+    spark = texts.sparkSession
+    table = look_alikes(spark)
+    rows = spread(texts.select("table_name", F.col("row_id").cast("bigint"), "text"))
+    words = corpus_words(rows, fit)
+    model = spark.sparkContext.broadcast(learn(rows, words, fit, table))  # bounded by the fit's samples
+    fixes = cut(repairs(words, model))
+    said = words.known.select("word", "n", F.lit(None).cast("string").alias("fix")).unionByName(fixes.select("word", F.lit(0).cast("bigint").alias("n"), "fix"))
+    listed = said.limit(fit.broadcast + 1).collect()
+    if len(listed) > fit.broadcast:
+        return _by_join(rows, said, model, table)
+    shared = spark.sparkContext.broadcast(({r["word"]: r["n"] for r in listed if r["fix"] is None}, {r["word"]: r["fix"] for r in listed if r["fix"] is not None}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        lexicon = Lexicon(*shared.value, model.value)
         for batch in batches:
-            names, ids, texts_ = (c.to_pylist() for c in batch.columns)
-            done = [model.analyse(t) if t is not None else (set(), None) for t in texts_]
-            columns = [pa.array(names, pa.string()), pa.array(ids, pa.int64()), pa.array([sorted(d) for d, _ in done], pa.list_(pa.string())), pa.array([t for _, t in done], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["table_name", "row_id", "defects", "repaired"])
+            yield _analysed(batch, table, model.value, lambda _, lexicon=lexicon: lexicon)
 
-    rows = spread(texts.select("table_name", F.col("row_id").cast("bigint"), "text"))
-    return rows.mapInArrow(run, "table_name string, row_id bigint, defects array<string>, repaired string")
+    return rows.mapInArrow(run, _OUT)
+
+
+def _analysed(batch: pa.RecordBatch, table: LookAlikes, model: Model, lexicon: Callable[[int], Lexicon]) -> pa.RecordBatch:
+    texts = batch.column(2).to_pylist()
+    done = [analyse(canonical_text(t, table), model, lexicon(k)) if t is not None else (set(), None) for k, t in enumerate(texts)]
+    columns = [batch.column(0), batch.column(1), pa.array([sorted(d) for d, _ in done], pa.list_(pa.string())), pa.array([t for _, t in done], pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["table_name", "row_id", "defects", "repaired"])
+
+
+def _by_join(rows: DataFrame, said: DataFrame, model, table: LookAlikes) -> DataFrame:
+    """Each text with the part of the lexicon that its own words need."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = [needed(canonical_text(t, table), model.value) if t is not None else [] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(asked, pa.list_(pa.string()))], names=["table_name", "row_id", "words"])
+
+    asked = rows.mapInArrow(ask, "table_name string, row_id bigint, words array<string>").select("table_name", "row_id", F.explode("words").alias("word"))
+    own = asked.join(said, "word").groupBy("table_name", "row_id").agg(F.collect_list(F.struct("word", "n", "fix")).alias("own"))  # words of one text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for own_ in batch.column(3).to_pylist():
+                own_ = own_ or []
+                parts.append(Lexicon({o["word"]: o["n"] for o in own_ if o["fix"] is None}, {o["word"]: o["fix"] for o in own_ if o["fix"] is not None}, model.value))
+            yield _analysed(batch, table, model.value, parts.__getitem__)
+
+    return rows.join(own, ["table_name", "row_id"], "left").select("table_name", "row_id", "text", "own").mapInArrow(run, _OUT)
