@@ -134,7 +134,7 @@ def canonical_text(text: str, table: LookAlikes) -> str:
     text = _space.sub(" ", text)
     text = text.translate(_variants)
     text = _apart.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
-    return _word.sub(latinised, text)
+    return _word.sub(latinised, text) if _other.search(text) else text
 
 
 def skeleton_text(text: str, table: LookAlikes) -> str:

@@ -134,6 +134,7 @@ def char_features(word: str, i: int) -> list[str]:
 
 _BREAK = re.compile(r"\r\n|\r|\n|\f")
 _NUMBER = re.compile(r"^\W*(?:page|p|pp|seite|s|pg)?\W*\d{1,5}(?:\s*(?:of|/|von|out of)\s*\d{1,5})?\W*$", re.I)
+_LETTER = re.compile(r"[^\W\d_]")
 _OF = re.compile(r"\b(?:of|OF)\s\S+(?:\s\S+)?:")
 _GAP = re.compile(r"\s{2,}\d+$|^\d+\s{2,}")
 _ISSUE = re.compile(r"\b(?:no|vol|nr)\.\s*\d", re.I)
@@ -170,19 +171,18 @@ def line_features(lines: list[str], k: int, width: int, repeats: dict[str, int])
     x = lines[k].strip()
     before = next((y.strip() for y in reversed(lines[:k]) if y.strip()), "")
     after = next((y.strip() for y in lines[k + 1 :] if y.strip()), "")
-    letters = [c for c in x if c.isalpha()]
-    caps = len(letters) > 6 and sum(c.isupper() for c in letters) > 0.8 * len(letters)
+    letters = bool(_LETTER.search(x))
     first, last = x[:1], x[-1:]
     ends = "none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open"
     words = x.count(" ") + 1
     base = {
         "number": bool(_NUMBER.match(x)) and last != ".",
         "only0": not letters,
-        "caps": caps,
+        "caps": len(x) > 6 and x.isupper(),
         "stop": last in ".!?" and not x.endswith("..."),
         "dots": x.rstrip("0123456789 ").endswith("..."),
         "of": bool(_OF.search(x)),
-        "num_end": last.isdigit() and bool(letters),
+        "num_end": last.isdigit() and letters,
         "num_begin": first.isdigit(),
         "gap": bool(_GAP.search(x)),
         "no": bool(_ISSUE.search(x)),
