@@ -329,6 +329,7 @@ def with_metric(rows: DataFrame, reference: DataFrame, name_col: str = "name") -
     def resolve(names: pd.Series) -> pd.Series:
         return names.map(lambda n: resolver.resolve(n) if isinstance(n, str) else None)
 
+    resolve = resolve.asNondeterministic()  # else a filter on its result moves below the distinct
     table = rows.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in kinds.items()] or [("", "", "")], "metric_key string, quantity_kind string, family string")
     names = rows.select(F.col(name_col).alias("_name")).where("_name is not null").distinct()
     # a name costs far more to resolve than to move: all cores, however small the list is

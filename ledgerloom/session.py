@@ -89,10 +89,12 @@ SPREAD_BYTES = 64 << 20
 
 
 def spread(df: DataFrame, most_bytes: int = SPREAD_BYTES) -> DataFrame:
-    """Rows over all cores where the input is estimated to be at most ``most_bytes``.
+    """Rows over all cores where the input is estimated to be at most ``most_bytes`` and
+    lies in fewer files than there are cores.
 
     A table in one small file is one piece, and what follows it would run on one core.
     Larger inputs, by the optimizer's own estimate, are never moved.
     """
+    cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= most_bytes else df
+    return df.repartition(cores) if size <= most_bytes and len(df.inputFiles()) < cores else df
