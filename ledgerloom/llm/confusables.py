@@ -42,6 +42,7 @@ _KINDS = ("<wide>", "<narrow>", "<font>", "<compat>", "<circle>", "<vertical>",
 _invisible = regex.compile(f"[{_INVISIBLE}]")
 _space = regex.compile(f"[{_SPACES}]")
 _harmless = regex.compile(f"[{_HARMLESS}]")
+_suspect = regex.compile(SUSPECT)
 _apart = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}]\p{Mn}+")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _latin = regex.compile(r"\p{Latin}")
@@ -121,7 +122,7 @@ _variants = _Variants()
 
 def canonical_text(text: str, table: LookAlikes) -> str:
     """The consistent readable form of one text."""
-    if text.isascii():
+    if text.isascii() or not _suspect.search(text):
         return text
 
     def latinised(match) -> str:

@@ -135,6 +135,7 @@ def char_features(word: str, i: int) -> list[str]:
 _BREAK = re.compile(r"\r\n|\r|\n|\f")
 _NUMBER = re.compile(r"^\W*(?:page|p|pp|seite|s|pg)?\W*\d{1,5}(?:\s*(?:of|/|von|out of)\s*\d{1,5})?\W*$", re.I)
 _LETTER = re.compile(r"[^\W\d_]")
+_DIGIT = re.compile(r"\d")
 _OF = re.compile(r"\b(?:of|OF)\s\S+(?:\s\S+)?:")
 _GAP = re.compile(r"\s{2,}\d+$|^\d+\s{2,}")
 _ISSUE = re.compile(r"\b(?:no|vol|nr)\.\s*\d", re.I)
@@ -142,13 +143,16 @@ _TOLD = ("stop", "lower", "few", "of", "caps", "number", "short")
 _MARKS = ("caps", "of", "dots", "gap", "no", "number", "repeats")
 _FIXED = ("Title:", "#", "===")
 _TOKEN = re.compile(r"[^\W_]+")
-_PART = re.compile(r"([^\W\d_][^\W_]*)[-¬]$")
+_PART = re.compile(r"(?<![^\W_])([^\W\d_][^\W_]*)[-¬]\Z")
 _HEAD = re.compile(r"^[^\W_]+")
 
 
 def masked(line: str) -> str:
     """A line without case and numbers at its ends, numbers inside masked."""
-    return re.sub(r"\d+", "0", re.sub(r"^\s*\d+\s+|\s+\d+\s*$", "", line.strip())).casefold()
+    line = line.strip()
+    if _DIGIT.search(line):
+        line = re.sub(r"\d+", "0", re.sub(r"^\s*\d+\s+|\s+\d+\s*$", "", line))
+    return line.casefold()
 
 
 def page_lines(text: str) -> list[str]:
@@ -171,21 +175,21 @@ def line_features(lines: list[str], k: int, width: int, repeats: dict[str, int])
     x = lines[k].strip()
     before = next((y.strip() for y in reversed(lines[:k]) if y.strip()), "")
     after = next((y.strip() for y in lines[k + 1 :] if y.strip()), "")
-    letters = bool(_LETTER.search(x))
+    letters, digits = bool(_LETTER.search(x)), bool(_DIGIT.search(x))
     first, last = x[:1], x[-1:]
     ends = "none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open"
     words = x.count(" ") + 1
     base = {
-        "number": bool(_NUMBER.match(x)) and last != ".",
+        "number": digits and last != "." and bool(_NUMBER.match(x)),
         "only0": not letters,
         "caps": len(x) > 6 and x.isupper(),
         "stop": last in ".!?" and not x.endswith("..."),
         "dots": x.rstrip("0123456789 ").endswith("..."),
-        "of": bool(_OF.search(x)),
+        "of": ":" in x and bool(_OF.search(x)),
         "num_end": last.isdigit() and letters,
         "num_begin": first.isdigit(),
-        "gap": bool(_GAP.search(x)),
-        "no": bool(_ISSUE.search(x)),
+        "gap": digits and bool(_GAP.search(x)),
+        "no": digits and bool(_ISSUE.search(x)),
         "short": len(x) < 0.8 * width,
         "few": words <= 8,
         "alone": (k == 0 or not lines[k - 1].strip()) and (k + 1 >= len(lines) or not lines[k + 1].strip()),
@@ -332,7 +336,8 @@ class Model:
             page = None
             for k, x in enumerate(lines):
                 if may_be_furniture(x):
-                    repeats, width = page = page or page_of(lines)
+                    page = page or page_of(lines)
+                    repeats, width = page
                     label = self.liner.best(line_features(lines, k, width, repeats), "text")
                     if label != "text":
                         out[k] = label
@@ -384,7 +389,7 @@ def assembled(lines: list[str], page: dict[int, str], joins: Callable[[str, str,
             gap = True
             continue
         fixed = x.startswith(_FIXED)
-        cut_ = _PART.search(held)
+        cut_ = _PART.search(held) if held[-1:] in ("-", "¬") else None
         head = _HEAD.match(x)
         if held and not fixed and cut_ and head and (not gap or page_break or k + 1 < len(lines)) and head[0][0].isalpha():
             if joins(cut_[1].lower(), head[0].lower(), held[-1]):
@@ -453,10 +458,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     What stands on both sides of a mark at a line's end may be pieces and is not counted.
     """
-    low = F.regexp_replace(F.lower(readable(texts.sparkSession, F.col("text"))), r"[\p{L}\p{N}]+[-¬][ \t]*[\r\n\f]\s*[\p{L}\p{N}]+", " ")
-    whole = F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    joined = F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)+"), F.lit(0))
-    words = texts.where("text is not null").select(F.explode(F.concat(whole, joined)).alias("word"))
+    low = F.lower(readable(texts.sparkSession, F.col("text")))
+    low = F.when(low.rlike(r"[-¬][ \t]*[\r\n\f]"), F.regexp_replace(low, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++[-¬][ \t]*[\r\n\f]\s*+[\p{L}\p{N}]++", " ")).otherwise(low)
+    tokens = F.regexp_extract_all(low, F.lit(r"[a-z0-9\p{L}\p{N}]++(?:-[a-z0-9\p{L}\p{N}]++)*+"), F.lit(0))
+    # a compound counts as a whole and by its parts
+    parts = F.split(F.array_join(tokens, "-"), "-")
+    words = texts.where("text is not null").select(F.explode(F.concat(parts, F.filter(tokens, lambda t: t.contains("-")))).alias("word")).where("word <> ''")
     return words.where(~F.col("word").rlike("^[0-9]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
