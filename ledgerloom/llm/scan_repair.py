@@ -458,12 +458,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     What stands on both sides of a mark at a line's end may be pieces and is not counted.
     """
-    low = F.lower(readable(texts.sparkSession, F.col("text")))
-    low = F.when(low.rlike(r"[-¬][ \t]*[\r\n\f]"), F.regexp_replace(low, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++[-¬][ \t]*[\r\n\f]\s*+[\p{L}\p{N}]++", " ")).otherwise(low)
-    tokens = F.regexp_extract_all(low, F.lit(r"[a-z0-9\p{L}\p{N}]++(?:-[a-z0-9\p{L}\p{N}]++)*+"), F.lit(0))
+    low, tokens = F.col("low"), F.col("tokens")
+    whole = F.when(low.rlike(r"[-¬][ \t]*[\r\n\f]"), F.regexp_replace(low, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++[-¬][ \t]*[\r\n\f]\s*+[\p{L}\p{N}]++", " ")).otherwise(low)
+    # each step is a column of its own, so that no pattern is matched twice
+    read = texts.where("text is not null").select(F.lower(readable(texts.sparkSession, F.col("text"))).alias("low")).select(whole.alias("low"))
+    read = read.select(F.regexp_extract_all(low, F.lit(r"[a-z0-9\p{L}\p{N}]++(?:-[a-z0-9\p{L}\p{N}]++)*+"), F.lit(0)).alias("tokens"))
     # a compound counts as a whole and by its parts
     parts = F.split(F.array_join(tokens, "-"), "-")
-    words = texts.where("text is not null").select(F.explode(F.concat(parts, F.filter(tokens, lambda t: t.contains("-")))).alias("word")).where("word <> ''")
+    words = read.select(F.explode(F.concat(parts, F.filter(tokens, lambda t: t.contains("-")))).alias("word")).where("word <> ''")
     return words.where(~F.col("word").rlike("^[0-9]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
