@@ -32,10 +32,30 @@ def test_values_by_type(spark):
 
 
 def test_special_delimiters(spark):
-    for d in ("|", "\t", ";", ".", "^"):
+    for d in ("|", "\t", ";", ".", "^", "§", "→", "\x1f"):
         assert reasons(spark, [f"a{d}1", f'"a{d}b"{d}1', f"a{d}1{d}2"], d, ("text", "int")) == [None, None, "column_count"]
 
 
+def test_delimiters_that_separate_nothing(spark):
+    for d in ('"', "\n", "", "||"):
+        assert reasons(spark, ["a", f"a{d}1", None], d, ("text", "int")) == ["broken_quoting", "broken_quoting", "column_count"]
+
+
+def test_days_of_the_calendar():
+    import datetime
+
+    import pyarrow as pa
+
+    def is_day(text):
+        try:
+            return bool(datetime.date.fromisoformat(text))
+        except ValueError:
+            return False
+
+    days = [f"{y:04}-{m:02}-{d:02}" for y in (0, 1, 1900, 2000, 2023, 2024) for m in range(14) for d in range(33)]
+    assert rejects.real_days(pa.array(days)).tolist() == [is_day(x) for x in days]
+
+
 def test_headers(spark):
     t = tables(spark, (",", "a,b", ["text"] * 2), (",", "a,a", ["text"] * 2), (",", "a,", ["text"] * 2), (",", "a", ["text"] * 2), (",", 'a,"b', ["text"] * 2), (",", '"a",a', ["int"] * 2), (None, "a,b", ["int"] * 2), (",", None, ["int"]), (",", "10,0", ["int"] * 2))
     got = {r["table_id"]: r["reason"] for r in rejects.judge_headers(t).collect()}
