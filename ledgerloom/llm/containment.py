@@ -8,9 +8,10 @@ signatures over word shingles, and every candidate is verified exactly.
   many hash functions as the containment threshold needs for a window of that size (an
   item makes up a smaller share of a larger window's signature).  So a long item costs
   the search for short ones nothing.
-* A window is signed only if it holds as many shingles of any item as the partition's
-  least item must share with it; a table of bits tells that for a whole batch at once, and
-  no pair can be lost by it.
+* A window is signed by those of its shingles that may be any item's, if they are as many
+  as the partition's least item must share with it; a table of bits tells that for a whole
+  batch at once.  Other shingles can only hide an agreement, so no pair is lost by it and
+  fewer functions do.
 * A pair is a candidate if enough of the functions agree.  With ``expected`` agreements at
   the threshold and ``needed`` asked for, the chance to miss a pair at the threshold is
   the lower tail of a Poisson law (12 and 5: below one percent, and vanishing above it).
@@ -216,7 +217,9 @@ class Partition:
             end = min(len(hashes), at + self.window)
             if total[end] - total[at] < self.need:
                 continue
-            part = np.unique(hashes[at:end])
+            part = np.unique(hashes[at:end][hit[at:end]])
+            if len(part) < self.need:
+                continue
             count = min(functions_for(len(part), self.least, self.search), self.family[0].shape[0])
             asked = (np.arange(count, dtype=np.uint64) << np.uint64(32)) | signature(part, self.family, count)
             left, right = np.searchsorted(self.keys, asked, "left"), np.searchsorted(self.keys, asked, "right")
@@ -259,16 +262,14 @@ class Index:
 
     def leaks(self, text: str) -> list[tuple[int, float, float]]:
         """Items that a text reproduces: (item, shingle containment, share of words)."""
-        return self.leaks_of(word_ids(words(text)))
+        return [hit[1:] for hit in self.leaks_in([(0, text)])]
 
-    def leaks_of(self, ids: np.ndarray) -> list[tuple[int, float, float]]:
-        if not len(ids):
-            return []
+    def leaks_of(self, ids: np.ndarray, read: dict[int, tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, float, float]]:
+        """The same of a document's words and, by run, its shingles and which are hits."""
         found: set[int] = set()
         mine: dict[int, set[int]] = {}
         for run in self.runs:
-            hashes = shingles(ids, run) if len(ids) >= run else ids[:0]
-            hit = self.hits(hashes, run)
+            hashes, hit = read[run]
             mine[run] = set(hashes[hit].tolist())
             for p in self.partitions:
                 if p.run == run:
@@ -300,16 +301,22 @@ class Index:
         ends = np.cumsum(lengths)
         owner = np.repeat(np.arange(len(held)), lengths)
         enough = np.zeros(len(held), bool)
+        flat: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for run in self.runs:
             if len(ids) < run:
+                flat[run] = (ids[:0], np.zeros(0, bool))
                 continue
-            hit = self.hits(shingles(ids, run), run)
+            hashes = shingles(ids, run)
+            hit = self.hits(hashes, run)
+            flat[run] = (hashes, hit)
             own = owner[: len(hit)]
             inside = own == owner[run - 1 :]  # no run over the end of a document
             counts = np.bincount(own[hit & inside], minlength=len(held))
             enough |= counts >= min(p.need for p in self.partitions if p.run == run)
         for k in np.flatnonzero(enough):
-            for hit_ in self.leaks_of(ids[ends[k] - lengths[k] : ends[k]]):
+            a, b = ends[k] - lengths[k], ends[k]
+            read = {run: (h[a : max(a, b - run + 1)], hit[a : max(a, b - run + 1)]) for run, (h, hit) in flat.items()}
+            for hit_ in self.leaks_of(ids[a:b], read):
                 yield (held[k][0], *hit_)
 
 
