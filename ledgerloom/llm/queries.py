@@ -65,7 +65,7 @@ def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    hints = format_dups.group_copies(table(spark, d, "metric_hint"), "hint_id", "target", HINT_BESIDE, None)
+    hints = format_dups.group_copies(table(spark, d, "metric_hint"), "hint_id", "target", HINT_BESIDE, named=False)
     claims = format_dups.group_copies(table(spark, d, "evidence"), "evidence_id", "claim", CLAIM_BESIDE)
     both = _labelled(hints, "metric_hint").unionByName(_labelled(claims, "evidence"))
     return both.where("row_id <> keep_id").select("table_name", "keep_id", F.col("row_id").alias("copy_id"))
@@ -76,6 +76,11 @@ def p7_claims(spark: SparkSession, d: str) -> DataFrame:
     return format_dups.collapse(evidence, "evidence_id", "claim", CLAIM_BESIDE).select("evidence_id", "copies")
 
 
+def p7_targets(spark: SparkSession, d: str) -> DataFrame:
+    hints = table(spark, d, "metric_hint").select("hint_id", "target", *HINT_BESIDE)
+    return format_dups.collapse(hints, "hint_id", "target", HINT_BESIDE, named=False).select("hint_id", "copies")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return containment.leaked(table(spark, d, "documents"), table(spark, d, "eval_item")).select("doc_id", "item_id")
 
@@ -101,4 +106,4 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.composition(table(spark, d, "documents"), table(spark, d, "subject_label"), table(spark, d, "subject_area"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_canonical, p2_groups, p5_found, p5_report, p6_found, p6_repaired, p7_found, p7_claims, p8_found, p8_items, p9_mix, p9_copies, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_canonical, p2_groups, p5_found, p5_report, p6_found, p6_repaired, p7_found, p7_claims, p7_targets, p8_found, p8_items, p9_mix, p9_copies, p10_found, p10_composition)}

@@ -7,7 +7,8 @@ labels in ``tests/llm``.
 
 from __future__ import annotations
 
-from ledgerloom.llm.format_dups import FIELD_NAMES
+# The field names of this project's records; the operator learns its own.
+FIELD_NAMES = ("metric", "value", "crop", "previous crop", "site", "phase", "year", "depth")
 
 # the same ranges as in the operator, in the syntax of the second engine
 _INVISIBLE = r"\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FEFF}\x{FE00}-\x{FE0F}"
@@ -45,6 +46,7 @@ def _copies(name: str, source: str, key: str, text: str, beside: list[str], name
       (SELECT {key} AS row_id, {', '.join(beside)}, {_record(text, names)} AS k FROM {source} WHERE {text} IS NOT NULL)) WHERE row_id <> keep_id"""
 
 
+_TARGETS = f"(SELECT hint_id, bundle_id, source_item_id, column_label, value, excerpt, {_record('target', False)} AS k FROM metric_hint WHERE target IS NOT NULL)"
 _CLAIMS = f"(SELECT evidence_id, bundle_id, source_item_id, {_record('claim', True)} AS k FROM evidence WHERE claim IS NOT NULL)"
 SQL: dict[str, str] = {
     "p2_found": f"""SELECT 'metric_hint' AS table_name, hint_id AS row_id FROM metric_hint WHERE {_stands_for_others('metric_name')}
@@ -54,4 +56,6 @@ SQL: dict[str, str] = {
     + _copies("evidence", "evidence", "evidence_id", "claim", ["bundle_id", "source_item_id"], True),
     "p7_claims": f"""SELECT min(evidence_id) AS evidence_id, count(*) AS copies FROM {_CLAIMS} GROUP BY bundle_id, source_item_id, k
       UNION ALL SELECT evidence_id, 1 FROM evidence WHERE claim IS NULL""",
+    "p7_targets": f"""SELECT min(hint_id) AS hint_id, count(*) AS copies FROM {_TARGETS} GROUP BY bundle_id, source_item_id, column_label, value, excerpt, k
+      UNION ALL SELECT hint_id, 1 FROM metric_hint WHERE target IS NULL""",
 }

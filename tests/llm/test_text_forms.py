@@ -40,10 +40,10 @@ def test_changed_and_groups(spark):
     assert confusables.changed(df.limit(0), "id", "name").count() == 0
 
 
-def copies(spark, texts, names=format_dups.FIELD_NAMES, beside=None):
+def copies(spark, texts, named=True, beside=None):
     data = [(k, t, (beside or [None] * len(texts))[k], "clash", 0) for k, t in enumerate(texts)]
     df = spark.createDataFrame(data, "id bigint, text string, beside string, fields string, copies int")
-    return rows(format_dups.group_copies(df, "id", "text", ["beside"], names).where("row_id <> keep_id").select("keep_id", "row_id"))
+    return rows(format_dups.group_copies(df, "id", "text", ["beside"], named).where("row_id <> keep_id").select("keep_id", "row_id"))
 
 
 def test_formatting_is_ignored(spark):
@@ -52,7 +52,7 @@ def test_formatting_is_ignored(spark):
 
 
 def test_words_stay_in_their_field_and_order(spark):
-    assert copies(spark, ["crop: rye; previous crop: oat", "crop: oat; previous crop: rye", "crop: rye oat", "crop: oat rye", "value: 1.5", "value: 15", "value: 1 5", "a; a; b", "a; b; b"], None) == []
+    assert copies(spark, ["crop: rye; previous crop: oat", "crop: oat; previous crop: rye", "crop: rye oat", "crop: oat rye", "value: 1.5", "value: 15", "value: 1 5", "a; a; b", "a; b; b"], False) == []
 
 
 def test_sentences_keep_their_commas(spark):
@@ -64,6 +64,25 @@ def test_companions_nulls_and_empty(spark):
     assert copies(spark, []) == []
 
 
+def test_names_are_learnt(spark):
+    df = spark.createDataFrame([(t,) for t in ["colour: red; size: 5", "size = 4 | colour = blue", "Colour: a, SIZE: 3", "Once: said, never again"]], "t string")
+    assert format_dups.learnt_names(df, "t") == ("colour", "size")
+    other = ["colour: red; size: 5", "size: 4; colour: blue", "colour: x; size: 1", "size 5, colour red", "weight 5, colour red", "colour red weight 5"]
+    assert copies(spark, other) == [(0, 3)]
+
+
+def test_nothing_is_sorted(spark):
+    df = spark.createDataFrame([(1, "A b", None)], "id bigint, text string, beside string")
+    for got in (format_dups.group_copies(df, "id", "text", ["beside"]), format_dups.collapse(df, "id", "text", ["beside"])):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "HashAggregate" in plan, plan
+
+
+def test_repeated_ids_count_once(spark):
+    df = spark.createDataFrame([(1, "A b", None), (1, "A b", None), (2, "a B", None)], "id bigint, text string, beside string")
+    assert rows(format_dups.group_copies(df, "id", "text", ["beside"])) == [(1, 1, 3), (2, 1, 3)]
+
+
 def test_brute_force(spark, data):
     import re
 
