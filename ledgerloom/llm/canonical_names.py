@@ -10,6 +10,9 @@
    full name, full name without spaces) that shares a token.  The best alias wins if it is
    covered well enough, else the name is unmatched.
 
+Distinct names, distinct tokens and their repairs are each worked out once and cut from what
+they came from, so a table is read once for its names and once for the result.
+
 Sizes: the reference list and its aliases are small and broadcast below a checked bound;
 names and tokens are joined by shuffles on their keys.
 
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.confusables import canonicalise
-from ledgerloom.session import small_rows
+from ledgerloom.session import cut, small_rows
 
 # Abbreviations that are no prefix of what they stand for.
 SHORT_FORMS = {"avg": ["mean"], "average": ["mean"], "std": ["standard"], "stdev": ["standard", "deviation"], "pct": ["percentage", "percent"], "sqrt": ["root"]}
@@ -86,7 +89,7 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     ``name`` (a short name or joined name, which nothing abbreviates).
     """
     exact = tokens.join(vocabulary, tokens["token"] == vocabulary["word"]).select("token", "word", F.lit(1.0).alias("likeness"))
-    unknown = tokens.join(vocabulary, tokens["token"] == vocabulary["word"], "left_anti").where(F.col("token").rlike("^[a-z0-9]+$"))
+    unknown = tokens.join(vocabulary, tokens["token"] == vocabulary["word"], "left_anti")
     around = unknown.select("token", F.explode(near(F.col("token"), reach_of(F.col("token")))).alias("part"))
     words = vocabulary.where(F.length("word") > 3).select("word", F.explode(near(F.col("word"), reach_of(F.col("word")))).alias("part"))
     pairs = around.join(words, "part").select("token", "word").distinct()
@@ -122,13 +125,14 @@ def rank_names(names: DataFrame, aliases: list[tuple[str, int, dict[str, float]]
     listed = sorted(spread | joined)
     vocabulary = F.broadcast(spark.createDataFrame([(t, t not in spread) for t in listed], "word string, name boolean"))
     parts = names.select("name", F.posexplode(F.array_distinct(F.split("name", " "))).alias("at", "token")).where((F.col("token") != "") & ~F.col("token").isin(*EMPTY_WORDS))
-    fixed = repair_tokens(parts.select("token").distinct(), vocabulary)
+    fixed = cut(repair_tokens(cut(parts.select("token").distinct()), vocabulary))
     found = parts.join(fixed, "token").join(entries, "word")
     # a token speaks for one word of an alias, a word is covered by its best token
-    by_token = found.groupBy("name", "metric_key", "alias", "norm", "token").agg(F.max(F.struct("likeness", "word", "weight", "at")).alias("m"))
+    strength = F.max(F.col("weight") * F.col("likeness")).alias("strength")
+    by_token = cut(found.groupBy("name", "metric_key", "alias", "norm", "token").agg(F.max(F.struct("likeness", "word", "weight", "at")).alias("m"), strength))
     by_word = by_token.groupBy("name", "metric_key", "alias", "norm", F.col("m.word").alias("word")).agg(F.max("m.likeness").alias("likeness"), F.max("m.weight").alias("weight"), F.min("m.at").alias("at"))
     # what a name says in all: each of its tokens by its heaviest meaning
-    said = found.groupBy("name", "token").agg(F.max(F.col("weight") * F.col("likeness")).alias("w")).groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("said"))
+    said = by_token.groupBy("name", "token").agg(F.max("strength").alias("w")).groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("said"))
     square = F.col("weight") * F.col("weight")
     scored = by_word.groupBy("name", "metric_key", "alias", "norm").agg(F.sum(square * F.col("likeness")).alias("dot"), (F.count(F.lit(1)) - F.max("at") + F.min("at")).alias("close"))
     full = scored.join(said, "name").withColumn("covered", F.col("dot") / (F.col("norm") * F.col("norm"))).withColumn("cosine", F.col("dot") / (F.col("norm") * F.greatest("said", F.lit(1e-9))))
@@ -144,7 +148,7 @@ def map_names(names: DataFrame, name_col: str, reference: DataFrame, most: int =
     blank; ``metric_key`` is ``unmatched`` where no entry is meant."""
     rows = [tuple(r) for r in small_rows(reference.where("metric_key is not null").select("metric_key", "short_name", "full_name"), most, "the reference list")]
     written = names.select(F.col(name_col).alias("written")).where(F.col("written").isNotNull() & ~F.col("written").rlike(r"^(?U)\s*$")).distinct()
-    clean = canonicalise(written, "written", "plain").select("written", clean_name(F.col("plain")).alias("name"))
+    clean = cut(canonicalise(written, "written", "plain").select("written", clean_name(F.col("plain")).alias("name")))
     ranked = rank_names(clean.select("name").where("name <> ''").distinct(), reference_aliases(rows))
     return clean.join(ranked, "name", "left").select("written", F.coalesce("metric_key", F.lit("unmatched")).alias("metric_key"), "score")
 

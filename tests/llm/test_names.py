@@ -54,3 +54,10 @@ def test_rows_come_with_their_entry(spark, data):
     all_rows = names.mapped_rows([("metric_hint", hints, "hint_id", "metric_name")], ref)
     assert all_rows.count() == hints.where("trim(metric_name) <> ''").count()
     assert rows(names.not_verbatim(all_rows, ref).where("written in ('MAE', 'mean absolute error')")) == []
+
+
+def test_names_are_read_once_and_once_for_the_result(spark, data):
+    from ledgerloom.llm import queries
+
+    plan = queries.p5_found(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # the rows of the two tables; names come from a cut
