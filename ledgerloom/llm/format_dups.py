@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import small_rows, spread
+from ledgerloom.session import cut, small_rows, spread
 
 _EDGE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 # one pattern for a whole run: what is no word, with points that stand in no number
@@ -110,10 +110,11 @@ def group_copies(df: DataFrame, id_col: str, text_col: str, companions: list[str
     names = learnt_names(rows, "_text") if named else None
     rows = with_fields(spread(rows), "_text", "fields", names).withColumn("_hashes", F.transform("fields", lambda x: F.xxhash64(x)))
     low, high, size = multiset_lanes(F.col("_hashes"))
-    rows = rows.select("row_id", "fields", "beside", low.alias("h0"), high.alias("h1"), size.alias("n"), F.xxhash64("beside").alias("h2"))
+    # the texts are normalised once; groups and members both read what that gave
+    rows = cut(rows.select("row_id", "fields", "beside", low.alias("h0"), high.alias("h1"), size.alias("n"), F.xxhash64("beside").alias("h2")))
     key = ["h0", "h1", "n", "h2"]
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.min("row_id").alias("keep_id")).where("copies > 1")
-    members = rows.join(groups.hint("shuffle_hash"), key).select("row_id", "keep_id", "copies", "fields", "beside")
+    members = cut(rows.join(groups.hint("shuffle_hash"), key).select("row_id", "keep_id", "copies", "fields", "beside"))
     kept = members.where("row_id = keep_id").select(F.col("keep_id").alias("_keep"), F.col("fields").alias("_fields"), F.col("beside").alias("_beside"))
     proven = (F.col("beside") == F.col("_beside")) & same_multiset(F.col("fields"), F.col("_fields"))
     keep = F.when(proven, F.col("keep_id")).otherwise(F.raise_error(F.lit("fingerprint collision: use another hash")).cast("bigint"))

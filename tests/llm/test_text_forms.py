@@ -71,11 +71,16 @@ def test_names_are_learnt(spark):
     assert copies(spark, other) == [(0, 3)]
 
 
-def test_nothing_is_sorted(spark):
+def test_nothing_is_sorted(spark, monkeypatch):
+    from ledgerloom.session import cut
+
     df = spark.createDataFrame([(1, "A b", None)], "id bigint, text string, beside string")
+    steps = []
+    monkeypatch.setattr(format_dups, "cut", lambda d: steps.append(d._jdf.queryExecution().executedPlan().toString()) or cut(d))
     for got in (format_dups.group_copies(df, "id", "text", ["beside"]), format_dups.collapse(df, "id", "text", ["beside"])):
         plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "Sort" not in plan and "HashAggregate" in plan, plan
+        assert "Sort" not in plan and "ShuffledHashJoin" in plan, plan
+    assert len(steps) == 4 and not any("Sort" in s for s in steps) and any("HashAggregate" in s for s in steps)
 
 
 def test_repeated_ids_count_once(spark):
