@@ -9,7 +9,8 @@ classified and a document's share of them is compared with a calibrated threshol
   sentence of a document with one label or none at its word, a second and third fit take
   the labels the model itself gives the sentences of all labelled documents, as far as the
   document's labels allow them.
-* Thresholds: for each subject the share that separates the labelled documents best.
+* Thresholds: for each subject the share that separates labelled documents outside the fit
+  best.  Every subject is decided for itself, one against the rest.
 
 The fit uses at most ``Fit.documents`` labelled documents, chosen by a hash of their id;
 that bound is a parameter.  Everything else covers all documents in one scan.
@@ -49,7 +50,9 @@ class Fit:
     batch: int = 2048
     rate: float = 0.3
     l2: float = 1e-5
-    lowest: float = 0.125
+    sure: float = 0.5  # logit of a sentence that deals with a subject
+    calibrating: int = 40  # held-out documents needed to calibrate thresholds, else the middle
+    lowest: float = 0.125  # shares between these two don't occur
     highest: float = 0.2
     seed: int = 11
 
@@ -140,10 +143,7 @@ class Model:
         rows = [features(s, self.fit.bits) for s in sentences(text)]
         if not rows:
             return np.zeros(len(self.subjects))
-        s = self.scores(rows)
-        best = s.argmax(1)
-        sure = s[np.arange(len(s)), best] > 0
-        return np.bincount(best[sure], minlength=len(self.subjects)) / len(rows)
+        return (self.scores(rows) > self.fit.sure).mean(0)  # each subject against the rest
 
     def calibrate(self, texts: list[str], truth: np.ndarray) -> None:
         """Thresholds between the stated bounds that give the best F1; of equals the middle."""
@@ -162,7 +162,21 @@ class Model:
 
 
 def learn(labelled: list[tuple[str, set[str]]], described: list[tuple[str, str]], fit: Fit = Fit()) -> Model:
-    """Fit on labelled documents ``(text, subjects)`` and descriptions ``(subject, text)``."""
+    """Fit on labelled documents ``(text, subjects)`` and descriptions ``(subject, text)``.
+
+    Thresholds come from every fifth document, classified by a fit on the others; the
+    model itself is then fitted on all.
+    """
+    model = _fitted(labelled, described, fit)
+    held = labelled[::5]
+    if len(held) >= fit.calibrating and model.subjects:
+        trial = _fitted([x for k, x in enumerate(labelled) if k % 5], described, fit)
+        trial.calibrate([t for t, _ in held], np.array([[s in have for s in model.subjects] for _, have in held]))
+        model.limits = trial.limits
+    return model
+
+
+def _fitted(labelled: list[tuple[str, set[str]]], described: list[tuple[str, str]], fit: Fit) -> Model:
     subjects = sorted({s for s, _ in described})
     at = {s: k for k, s in enumerate(subjects)}
     model = Model(subjects, fit)
@@ -190,9 +204,6 @@ def learn(labelled: list[tuple[str, set[str]]], described: list[tuple[str, str]]
                     best = inside if inside >= 0 and s[inside] > -1 else -1
                 again.append((r, best))
         model.train(*matrix(again))
-    if labelled:
-        truth = np.array([[s in have for s in subjects] for _, have in labelled]).reshape(len(labelled), len(subjects))
-        model.calibrate([t for t, _ in labelled], truth)
     return model
 
 
