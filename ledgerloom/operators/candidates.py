@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.metrics import Names
 
 def lines_of(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row a line with its number from 0; null texts have none."""
@@ -71,10 +72,10 @@ def registry_of(tables: DataFrame) -> DataFrame:
     return tables.select("bundle_id", "source_item_id", F.lit("table").alias("item_type"), F.col("source_page").cast("int").alias("source_page"), place.alias("source_location"), "caption")
 
 
-def prose_hints(windows: DataFrame, text: str, pattern: str) -> DataFrame:
+def prose_hints(windows: DataFrame, text: str, names: Names) -> DataFrame:
     """Windows that name a metric and hold a number (C4), and whether they sum up."""
     low = F.lower(F.col(text))
-    return windows.where(low.rlike(pattern) & low.rlike("[0-9]")).withColumn("summary", low.rlike(r"\b(median|mean|average|overall|respectively)\b|±"))
+    return windows.where(low.rlike("[0-9]") & names.named(F.col(text))).withColumn("summary", low.rlike(r"\b(median|mean|average|overall|respectively)\b|±"))
 
 
 def sections_under(lines: DataFrame, keys: list[str], pattern: str) -> DataFrame:

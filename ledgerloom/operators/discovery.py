@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.metrics import family, identity
+from ledgerloom.functions.metrics import Names
 from ledgerloom.functions.text import squeezed, stems
 from ledgerloom.operators.nested import read_record
 
@@ -47,16 +47,16 @@ def table_cell_hints(typed: DataFrame) -> DataFrame:
     return numeric.select("row_id", "cell_ord", "target", F.col("cell.name").alias("column_label"), F.col("cell.text").alias("value"))
 
 
-def backfill(hints: DataFrame, ledger: DataFrame) -> DataFrame:
+def backfill(hints: DataFrame, ledger: DataFrame, names: Names) -> DataFrame:
     """Hints whose metric and value a bundle's ledger lacks, with the context and scope of a
     prototype (J19): the bundle's first row of the same metric, else of the same family.
 
     Hints without a name, target or value are skipped; repeats give one row.
     """
     asked = hints.where("metric_name is not null and target is not null and value is not null")
-    keyed = asked.select("bundle_id", identity(F.col("metric_name")).alias("identity"), family(F.col("metric_name")).alias("family"), squeezed(F.col("value")).alias("shown"), "hint_id")
+    keyed = asked.select("bundle_id", names.identity(F.col("metric_name")).alias("identity"), names.family(F.col("metric_name")).alias("family"), squeezed(F.col("value")).alias("shown"), "hint_id")
     once = keyed.groupBy("bundle_id", "identity", "family", "shown").agg(F.min("hint_id").alias("hint_id"))
-    rows = ledger.where("name is not null").select("bundle_id", "metric_id", identity(F.col("name")).alias("identity"), family(F.col("name")).alias("family"), squeezed(F.col("as_reported")).alias("shown"), "context", "scope")
+    rows = ledger.where("name is not null").select("bundle_id", "metric_id", names.identity(F.col("name")).alias("identity"), names.family(F.col("name")).alias("family"), squeezed(F.col("as_reported")).alias("shown"), "context", "scope")
     missing = once.join(rows.select("bundle_id", "identity", "shown").distinct(), ["bundle_id", "identity", "shown"], "left_anti")
     first = lambda keys, p: rows.where(F.col(keys[-1]).isNotNull()).groupBy(*keys).agg(F.min(F.struct("metric_id", "context", "scope")).alias(p))
     same = missing.join(first(["bundle_id", "identity"], "by_metric"), ["bundle_id", "identity"], "left").join(first(["bundle_id", "family"], "by_family"), ["bundle_id", "family"], "left")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.metrics import identity
+from ledgerloom.functions.metrics import Names
 from ledgerloom.functions.numbers import number_key, with_quantity
 from ledgerloom.functions.text import squeezed, token_key, tokens
 
@@ -97,9 +95,9 @@ def outer_merge(initial: DataFrame, repair: DataFrame, keys: list[str], fields:
     return both.select(*keys, *[F.coalesce(f"_b_{c}", f"_a_{c}").alias(c) for c in fields], origin.alias("origin"))
 
 
-def ledger_identity(df: DataFrame, name: str, target: str) -> DataFrame:
+def ledger_identity(df: DataFrame, name: str, target: str, names: Names) -> DataFrame:
     """Add the parts of a ledger row's identity: metric identity and target tokens."""
-    return df.withColumn("identity", identity(F.col(name))).withColumn("target_key", token_key(F.col(target)))
+    return df.withColumn("identity", names.identity(F.col(name))).withColumn("target_key", token_key(F.col(target)))
 
 
 def subset_targets(targets: DataFrame, keys: list[str], token_col: str, id_col: str) -> DataFrame:
@@ -134,7 +132,7 @@ def value_key(display: Column, quantity: Column) -> Column:
     return F.when(quantity["kind"] != "text_summary", structured).otherwise(squeezed(F.coalesce(display, F.lit(""))))
 
 
-def deduplicate_metrics(metrics: DataFrame) -> DataFrame:
+def deduplicate_metrics(metrics: DataFrame, names: Names) -> DataFrame:
     """Merge repeated metrics of one identity in their order.
 
     ``metrics`` has (bundle_id, metric_id, name, display, aggregation, unit,
@@ -150,7 +148,7 @@ def deduplicate_metrics(metrics: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     has = lambda c: F.col(c) if c in metrics.columns else none
     words = F.filter(tokens(F.coalesce(has("target"), F.lit(""))), lambda t: ~t.isin(*TARGET_STOP_WORDS))
-    parts = [identity(F.col("name")), *[F.coalesce(has(c), F.lit("")) for c in ("context", "scope", "support")], F.array_join(F.array_sort(words), " ")]
+    parts = [names.identity(F.col("name")), *[F.coalesce(has(c), F.lit("")) for c in ("context", "scope", "support")], F.array_join(F.array_sort(words), " ")]
     keyed = with_quantity(metrics, "display", "_q").withColumns({"identity": F.concat_ws("|", *parts, F.coalesce(value_key(F.col("display"), F.col("_q")), F.lit(""))), "population": has("population")}).drop("_q")
     stated = ["display", *RICHNESS]
 

@@ -15,6 +15,17 @@ from ledgerloom.sources import sinks
 from ledgerloom.streaming import events as streams
 
 
+def _names(spark: SparkSession, d: str) -> metrics.Names:
+    """The reference list of metric names of a data folder, read once an application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _lists:
+        _lists[key] = metrics.Names.of(table(spark, d, "canonical_metric"))
+    return _lists[key]
+
+
+_lists: dict[tuple[str, str], metrics.Names] = {}
+
+
 def parse_quantity(spark: SparkSession, d: str) -> DataFrame:
     rows = numbers.with_quantity(table(spark, d, "ledger_metric").select("metric_id", "as_reported", "name"), "as_reported", "q", "name")
     return rows.select("metric_id", "q.*")
@@ -32,7 +43,7 @@ def number_identity(spark: SparkSession, d: str) -> DataFrame:
 
 def metric_families(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "ledger_metric")
-    return rows.select("metric_id", F.array_join(metrics.families(F.col("name")), ",").alias("families"), metrics.identity(F.col("name")).alias("identity"))
+    return rows.select("metric_id", F.array_join(_names(spark, d).families(F.col("name")), ",").alias("families"), _names(spark, d).identity(F.col("name")).alias("identity"))
 
 
 def target_token_key(spark: SparkSession, d: str) -> DataFrame:
@@ -70,15 +81,15 @@ def table_unpivot(spark: SparkSession, d: str) -> DataFrame:
 
 def sibling_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Families that a bundle's hints show and its ledger lacks."""
-    hint = table(spark, d, "metric_hint").select("bundle_id", metrics.family(F.col("metric_name")).alias("family")).where("family is not null").distinct()
-    have = table(spark, d, "ledger_metric").select("bundle_id", metrics.family(F.col("name")).alias("family")).where("family is not null").distinct()
+    hint = table(spark, d, "metric_hint").select("bundle_id", _names(spark, d).family(F.col("metric_name")).alias("family")).where("family is not null").distinct()
+    have = table(spark, d, "ledger_metric").select("bundle_id", _names(spark, d).family(F.col("name")).alias("family")).where("family is not null").distinct()
     return hint.join(have.select("bundle_id").distinct(), "bundle_id", "left_semi").join(have, ["bundle_id", "family"], "left_anti")
 
 
 def table_target_rows(spark: SparkSession, d: str) -> DataFrame:
     """Tables with several targets and families, with the counts of both."""
     rows = table(spark, d, "metric_hint").where("source_item_id is not null and target is not null")
-    keyed = rows.select("bundle_id", "source_item_id", text.token_key(F.col("target")).alias("t"), metrics.family(F.col("metric_name")).alias("f"))
+    keyed = rows.select("bundle_id", "source_item_id", text.token_key(F.col("target")).alias("t"), _names(spark, d).family(F.col("metric_name")).alias("f"))
     counted = keyed.groupBy("bundle_id", "source_item_id").agg(F.countDistinct("t").alias("targets"), F.countDistinct("f").alias("families"))
     return counted.where("targets >= 2 and families >= 2")
 
@@ -97,8 +108,8 @@ def fitness_views(spark: SparkSession, d: str) -> DataFrame:
 
 def ledger_outer_merge(spark: SparkSession, d: str) -> DataFrame:
     """Candidates and ledger of a bundle as one, by metric identity."""
-    hints = table(spark, d, "metric_hint").where("metric_name is not null").select("bundle_id", metrics.identity(F.col("metric_name")).alias("identity"), F.col("hint_id").alias("ord"), "value")
-    mine = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", metrics.identity(F.col("name")).alias("identity"), F.col("metric_id").alias("ord"), F.col("as_reported").alias("value"))
+    hints = table(spark, d, "metric_hint").where("metric_name is not null").select("bundle_id", _names(spark, d).identity(F.col("metric_name")).alias("identity"), F.col("hint_id").alias("ord"), "value")
+    mine = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", _names(spark, d).identity(F.col("name")).alias("identity"), F.col("metric_id").alias("ord"), F.col("as_reported").alias("value"))
     initial = ledger.first_wins(hints, ["bundle_id", "identity"], ["ord"])
     repair = ledger.first_wins(mine, ["bundle_id", "identity"], ["ord"])
     return ledger.outer_merge(initial, repair, ["bundle_id", "identity"], ["value"])
@@ -106,7 +117,7 @@ def ledger_outer_merge(spark: SparkSession, d: str) -> DataFrame:
 
 def composite_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Metrics that name several families though their siblings name each."""
-    rows = table(spark, d, "ledger_metric").select("metric_id", "bundle_id", "context", metrics.families(F.col("name")).alias("f"))
+    rows = table(spark, d, "ledger_metric").select("metric_id", "bundle_id", "context", _names(spark, d).families(F.col("name")).alias("f"))
     single = rows.where(F.size("f") == 1).groupBy("bundle_id", "context").agg(F.collect_set(F.get("f", F.lit(0))).alias("have"))
     return rows.where(F.size("f") > 1).join(single, ["bundle_id", "context"], "left").select("metric_id", F.coalesce(F.size(F.array_except("f", F.coalesce("have", F.array().cast("array<string>")))) == 0, F.lit(False)).alias("redundant"))
 
@@ -247,7 +258,7 @@ def distinct_locations(spark: SparkSession, d: str) -> DataFrame:
 def peer_targets(spark: SparkSession, d: str) -> DataFrame:
     """Prose hints of a section with the same metric and value, with their targets."""
     rows = table(spark, d, "metric_hint").where("kind = 'prose_metric_candidate'")
-    keyed = rows.select("bundle_id", "section_hint", metrics.identity(F.col("metric_name")).alias("identity"), "value", text.token_key(F.col("target")).alias("t"))
+    keyed = rows.select("bundle_id", "section_hint", _names(spark, d).identity(F.col("metric_name")).alias("identity"), "value", text.token_key(F.col("target")).alias("t"))
     return keyed.groupBy("bundle_id", "section_hint", "identity", "value").agg(F.countDistinct("t").alias("targets"), F.count(F.lit(1)).alias("hints"))
 
 
@@ -290,7 +301,7 @@ def metric_dedup_fold(spark: SparkSession, d: str) -> DataFrame:
         "bundle_id", "metric_id", "name", F.col("as_reported").alias("display"), numbers.aggregation(F.lower(F.concat_ws(" ", "name", "as_reported"))).alias("aggregation"), "unit", "interpretation",
         "context", "scope", F.col("scope_label").alias("target"), F.col("evaluation_support").alias("support"), F.col("evaluation_population").alias("population"),
     )
-    return ledger.deduplicate_metrics(rows)
+    return ledger.deduplicate_metrics(rows, _names(spark, d))
 
 
 def caption_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -318,7 +329,7 @@ def table_cell_hints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ledger_backfill(spark: SparkSession, d: str) -> DataFrame:
-    return discovery.backfill(table(spark, d, "metric_hint"), table(spark, d, "ledger_metric"))
+    return discovery.backfill(table(spark, d, "metric_hint"), table(spark, d, "ledger_metric"), _names(spark, d))
 
 
 def evidence_merge(spark: SparkSession, d: str) -> DataFrame:
@@ -368,17 +379,14 @@ def guardrail_coverage(spark: SparkSession, d: str) -> DataFrame:
     return discovery.guardrail_coverage(items, table(spark, d, "documents").select("bundle_id", "text"), ["bundle_id"])
 
 
-METRIC_WORDS = r"\b(mae|rmse|bias|accuracy|correlation|coverage|likelihood|confidence band|estimator bias)\b"
-
-
 def registry_build(spark: SparkSession, d: str) -> DataFrame:
     return candidates.registry_of(table(spark, d, "recovered_table"))
 
 
 def prose_hints(spark: SparkSession, d: str) -> DataFrame:
-    """Sentence windows of documents that speak of a metric with a number (C4)."""
-    windows = candidates.sentence_windows(table(spark, d, "documents"), ["doc_id"], "text")
-    return candidates.prose_hints(windows, "window", METRIC_WORDS).groupBy("doc_id").agg(F.count(F.lit(1)).alias("hints"), F.count_if("summary").alias("summaries"))
+    """Sentence windows of statements that speak of a metric with a number (C4)."""
+    windows = candidates.sentence_windows(table(spark, d, "evidence"), ["evidence_id"], "claim")
+    return candidates.prose_hints(windows, "window", _names(spark, d)).groupBy("evidence_id").agg(F.count(F.lit(1)).alias("hints"), F.count_if("summary").alias("summaries"))
 
 
 def guardrail_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -393,7 +401,7 @@ def scope_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def unit_consensus(spark: SparkSession, d: str) -> DataFrame:
     """Missing units filled where a bundle's metric agrees on one."""
-    rows = table(spark, d, "ledger_metric").where("name is not null").select("metric_id", "bundle_id", metrics.identity(F.col("name")).alias("identity"), "unit")
+    rows = table(spark, d, "ledger_metric").where("name is not null").select("metric_id", "bundle_id", _names(spark, d).identity(F.col("name")).alias("identity"), "unit")
     return ledger.filled_by_consensus(rows, ["bundle_id", "identity"], "unit", "metric_id")
 
 
@@ -409,14 +417,14 @@ def batch_summary(spark: SparkSession, d: str) -> DataFrame:
 def metric_headers(spark: SparkSession, d: str) -> DataFrame:
     """Column names of recovered tables that look like metrics."""
     names = rejects.judge_headers(table(spark, d, "recovered_table")).where("reason is null").select("table_id", F.explode("names").alias("name"))
-    return names.where(F.size(metrics.families(F.col("name"))) > 0).groupBy("name").agg(F.count(F.lit(1)).alias("tables"))
+    return names.where(F.size(_names(spark, d).families(F.col("name"))) > 0).groupBy("name").agg(F.count(F.lit(1)).alias("tables"))
 
 
 def prose_unrepresented(spark: SparkSession, d: str) -> DataFrame:
     """Prose hints without a ledger row of their metric that shares a word of the target."""
     words = lambda c: F.array_distinct(text.tokens(F.coalesce(F.col(c), F.lit(""))))
-    hints = table(spark, d, "metric_hint").where("kind = 'prose_metric_candidate' and metric_name is not null").select("bundle_id", "hint_id", metrics.identity(F.col("metric_name")).alias("identity"), words("target").alias("words"))
-    rows = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", metrics.identity(F.col("name")).alias("identity"), words("scope_label").alias("words"))
+    hints = table(spark, d, "metric_hint").where("kind = 'prose_metric_candidate' and metric_name is not null").select("bundle_id", "hint_id", _names(spark, d).identity(F.col("metric_name")).alias("identity"), words("target").alias("words"))
+    rows = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", _names(spark, d).identity(F.col("name")).alias("identity"), words("scope_label").alias("words"))
     return ledger.unrepresented(hints, rows, ["bundle_id"]).select("hint_id", "bundle_id", "identity")
 
 

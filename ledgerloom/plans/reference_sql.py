@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.functions import metrics, numbers, text
+from ledgerloom.functions import numbers, text
 from ledgerloom.operators import discovery, ledger, rules
 from ledgerloom.plans import problems
 
@@ -23,10 +23,19 @@ def _token_key(x: str) -> str:
     return f"array_to_string(list_sort({_tokens(f'coalesce({x}, {_q(str())})')}), '|')"
 
 
+def _phrase(x: str) -> str:
+    return f"(' ' || array_to_string({_tokens(f"coalesce({x}, '')")}, ' ') || ' ')"
+
+
+_LISTED = f"""(SELECT DISTINCT {_phrase('n')} AS p, metric_key AS k FROM (SELECT metric_key, short_name AS n FROM canonical_metric UNION ALL SELECT metric_key, full_name FROM canonical_metric)
+    WHERE n IS NOT NULL AND metric_key IS NOT NULL)"""
+_WIDER = f"(SELECT a.p, a.k, b.p AS wider FROM {_LISTED} a LEFT JOIN {_LISTED} b ON b.p <> a.p AND contains(b.p, a.p))"
+
+
 def _families(x: str) -> str:
-    name = _squeezed(f"coalesce({x}, '')")
-    cases = ", ".join(f"CASE WHEN regexp_matches({name}, {_q(p)}) THEN {_q(f)} END" for f, p in metrics.FAMILIES)
-    return f"list_filter([{cases}], lambda f: f IS NOT NULL)"
+    """Keys of the entries a name mentions, mentions inside longer ones left out."""
+    of_alias = f"(SELECT k, p, list(wider) FILTER (wider IS NOT NULL) AS wider FROM {_WIDER} GROUP BY ALL)"
+    return f"coalesce((SELECT list(DISTINCT l.k ORDER BY l.k) FROM {of_alias} l WHERE contains({_phrase(x)}, l.p) AND len(list_filter(coalesce(l.wider, []), lambda w: contains({_phrase(x)}, w))) = 0), [])"
 
 
 def _identity(x: str) -> str:
@@ -225,10 +234,10 @@ SQL = {
         SELECT bundle_id, item_id, CASE WHEN rare >= 2 THEN rare_hits ELSE hits END >= 2 AS covered FROM c""",
     "registry_build": """SELECT bundle_id, source_item_id, 'table' AS item_type, cast(source_page AS INTEGER) AS source_page, CASE WHEN regexp_matches(caption, '^Table [0-9]+') THEN 'Table ' || regexp_extract(caption, '^Table ([0-9]+)', 1)
         ELSE regexp_replace(source_item_id, '^tbl_0*', 'Table ') END AS source_location, caption FROM recovered_table""",
-    "prose_hints": f"""WITH s AS (SELECT doc_id, {_SENTENCES} AS s FROM documents), w AS (SELECT doc_id, unnest(generate_series(1, len(s))) AS i, s FROM s),
-        v AS (SELECT doc_id, lower(s[i]) AS w FROM w UNION ALL SELECT doc_id, lower(s[i] || ' ' || s[i + 1]) FROM w WHERE i < len(s))
-        SELECT doc_id, count(*) AS hints, count(*) FILTER (regexp_matches(w, '\\b(median|mean|average|overall|respectively)\\b|±')) AS summaries FROM v
-        WHERE length(w) <= 1800 AND regexp_matches(w, '\\b(mae|rmse|bias|accuracy|correlation|coverage|likelihood|confidence band|estimator bias)\\b') AND regexp_matches(w, '[0-9]') GROUP BY doc_id""",
+    "prose_hints": f"""WITH s AS (SELECT evidence_id, {_SENTENCES.replace('text', 'claim')} AS s FROM evidence), w AS (SELECT evidence_id, unnest(generate_series(1, len(s))) AS i, s FROM s),
+        v AS (SELECT evidence_id, lower(s[i]) AS w FROM w UNION ALL SELECT evidence_id, lower(s[i] || ' ' || s[i + 1]) FROM w WHERE i < len(s))
+        SELECT evidence_id, count(*) AS hints, count(*) FILTER (regexp_matches(w, '\\b(median|mean|average|overall|respectively)\\b|±')) AS summaries FROM v
+        WHERE length(w) <= 1800 AND EXISTS (SELECT 1 FROM {_LISTED} l WHERE contains({_phrase('w')}, l.p)) AND regexp_matches(w, '[0-9]') GROUP BY evidence_id""",
     "guardrail_sections": f"""WITH h AS (SELECT bundle_id, line_no, length(regexp_extract(line, '^(#+)', 1)) AS level, trim(regexp_replace(line, '^#+ ', '')) AS title FROM {_LINES.format(k='bundle_id', t='text_for_llm', s='source_bundle')} WHERE regexp_matches(line, '^#+ '))
         SELECT a.bundle_id, cast(a.line_no AS INTEGER) AS start, a.title, cast((SELECT min(b.line_no) FROM h b WHERE b.bundle_id = a.bundle_id AND b.line_no > a.line_no AND b.level <= a.level) AS INTEGER) AS end FROM h a WHERE regexp_matches(lower(a.title), 'limitation|quality|discussion')""",
     "scope_labels": r"""SELECT trim(regexp_replace(trim(regexp_replace(scope_label, '\s*(;|\||,).*$', '')), '(?i)\s+and\s+(mae|rmse|bias|error|accuracy)s?$', '')) AS target, scope, count(*) AS n FROM ledger_metric WHERE scope_label IS NOT NULL GROUP BY ALL""",

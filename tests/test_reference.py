@@ -40,6 +40,9 @@ def test_both_engines_agree(spark, data, duck, name):
     assert ordered(df.columns, [tuple(r) for r in df.collect()]) == ordered([c[0] for c in cursor.description], cursor.fetchall())
 
 
+NAMES = metrics.Names(((" mae ", "mae"), (" mean absolute error ", "mae"), (" rmse ", "rmse")))
+
+
 def one(spark, column, **values):
     kinds = {str: "string", int: "bigint", float: "double", list: "array<string>", type(None): "string"}
     df = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in values.items()))
@@ -57,8 +60,12 @@ def test_displays(spark):
 
 def test_identities(spark):
     assert [one(spark, numbers.number_key(F.col("v")), v=v) for v in (0.9, 100.0, -0.0, 12.5)] == ["0.9", "100", "0", "12.5"]
-    assert one(spark, metrics.identity(F.col("n")), n="Maximum  RMSE") == "rmse+maximum"
-    assert one(spark, F.array_join(metrics.families(F.col("n")), ","), n="root mean squared error") == "rmse,mse"
+    listed = [("rmse", "RMSE", "root mean squared error"), ("ubrmse", None, "unbiased root mean squared error"), ("mae", "MAE", "mean absolute error")]
+    names = metrics.Names.of(spark.createDataFrame(listed, "metric_key string, short_name string, full_name string"))
+    keys = lambda n: one(spark, F.array_join(names.families(F.col("n")), ","), n=n)
+    assert one(spark, names.identity(F.col("n")), n="Maximum  RMSE") == "rmse+maximum" and one(spark, names.identity(F.col("n")), n="Snow  depth") == "snow depth"
+    assert (keys("root mean squared error"), keys("unbiased Root-mean squared error"), keys("RMSE and MAE"), keys("maes"), keys("")) == ("rmse", "ubrmse", "mae,rmse", "", "")
+    assert one(spark, names.named(F.col("n")), n="an MAE of 3") and not one(spark, metrics.Names(()).named(F.col("n")), n="MAE")
     assert one(spark, text.token_key(F.col("n")), n="b a, A") == "a|a|b"
     assert one(spark, ids.candidate_id(F.col("a"), F.lit(None).cast("string")), a="x") == __import__("hashlib").sha256(b"x\n").hexdigest()[:16]
     assert one(spark, ids.canonical_json(b=F.col("b"), a=F.col("a")), a='q"ü/', b=None) == json.dumps({"a": 'q"ü/', "b": None}, ensure_ascii=False, separators=(",", ":"))
@@ -95,7 +102,7 @@ def test_sentence_windows(spark):
 def test_merge_is_not_transitive(spark):
     def survivors(*stats):
         df = spark.createDataFrame([(1, k, "RMSE", "5", a, None, None) for k, a in enumerate(stats)], "bundle_id bigint, metric_id bigint, name string, display string, aggregation string, unit string, interpretation string")
-        return rows(ledger.deduplicate_metrics(df).select("metric_id", "aggregation", "members"))
+        return rows(ledger.deduplicate_metrics(df, NAMES).select("metric_id", "aggregation", "members"))
 
     assert survivors("median", None, "mean") == [(0, "median", 2), (2, "mean", 1)]
     assert survivors(None, "mean", "median") == [(0, "mean", 2), (2, "median", 1)]
@@ -106,7 +113,7 @@ def test_metrics_of_other_targets_or_contexts_stay_apart(spark):
     rows_ = [{}, {"context": "d"}, {"scope": "t"}, {"target": "snow"}, {"support": "region"}, {"display": "5", "target": "site, rain", "unit": "mm", "population": "9 sites"}, {"display": "5", "interpretation": "as given"}]
     kinds = ", ".join(f"{k} {'bigint' if k == 'bundle_id' else 'string'}" for k in base)
     df = spark.createDataFrame([(*(base | r).values(), k) for k, r in enumerate(rows_)], f"{kinds}, metric_id bigint")
-    got = {r["metric_id"]: r for r in ledger.deduplicate_metrics(df).collect()}
+    got = {r["metric_id"]: r for r in ledger.deduplicate_metrics(df, NAMES).collect()}
     assert sorted(got) == [0, 1, 2, 3, 4] and got[0]["members"] == 3
     # the sixth is richer than the first, and takes what it lacks from the seventh
     assert (got[0]["primary_id"], got[0]["display"], got[0]["unit"], got[0]["population"], got[0]["interpretation"]) == (5, "5", "mm", "9 sites", "as given")
