@@ -1,19 +1,41 @@
-"""Numbers as reported: parsing, identity, shape, geometry."""
+"""Numbers as reported: parsing, identity, shape, geometry.
+
+A display is read in two steps.  It is cut into tokens and each token becomes one letter:
+``n`` a number, ``t`` a dash or *to*, ``u`` a plus-minus, ``o`` and ``e`` brackets, ``p`` a
+percent, ``m`` *median* or *mean*, ``r`` *range*, ``s`` a comma or semicolon, ``w`` any other
+word, ``x`` anything else; colons, equals signs and the signs of numbers have none.  The
+word of those letters then tells the shape and which number is which.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_N = r"([-+]?[0-9]+(?:[.,][0-9]+)?|[-+]?[.][0-9]+)"
-_DASH = r"\s*(?:[-–—]|to)\s*"
-_PCT = r"\s*(%|percent)?"
-#: The shapes of a display, tried in this order.
-ESTIMATE_RANGE = rf"^{_N}{_PCT}\s*[(\[]\s*{_N}{_DASH}{_N}{_PCT}\s*[)\]]$"
-UNCERTAIN = rf"^{_N}\s*(?:±|\+/-)\s*{_N}{_PCT}$"
-RANGE = rf"^{_N}{_DASH}{_N}{_PCT}$"
-NAMED = rf"^(?:median|mean)\s+{_N}{_PCT}$"
-SCALAR = rf"^{_N}{_PCT}$"
+TOKEN = r"\+/-|[0-9]+(?:[.,][0-9]*)?(?:[eE][-+]?[0-9]+)?|[.][0-9]+(?:[eE][-+]?[0-9]+)?|[\p{L}°][\p{L}\p{N}°/._]*|\S"
+#: Shapes by their letters, with the places of value, lower bound, upper bound and spread
+#: among the numbers; -1 where a shape has none.
+SHAPES = (
+    ("range_named", r"^ntn[wp]?[so]?mn[wp]?e?$", (2, 0, 1, -1)),
+    ("named_range", r"^mn[wp]?[so]?rntn[wp]?e?$", (0, 1, 2, -1)),
+    ("estimate_range", r"^np?ontnp?ep?$", (0, 1, 2, -1)),
+    ("plus_minus", r"^nunp?$", (0, -1, -1, 1)),
+    ("range", r"^ntnp?$", (-1, 0, 1, -1)),
+    ("scalar", r"^np?$", (0, -1, -1, -1)),
+)
+#: What a shape is called, and what its range is said to rest on.
+KIND = {"range_named": "estimate_with_range", "named_range": "estimate_with_range", "estimate_range": "estimate_with_range", "plus_minus": "estimate_with_uncertainty", "range": "range", "scalar": "scalar"}
+BASIS = {
+    "range_named": "reported min-max or across-group range",
+    "named_range": "reported min-max or across-group range",
+    "estimate_range": "reported interval or range (type not stated)",
+    "range": "reported range (basis not stated)",
+}
+#: Codes of the units that are typed beside metrics.
+UNIT_CODES = {
+    "%": "%", "percent": "%", "percentage": "%", "d": "d", "day": "d", "days": "d", "h": "h", "hour": "h", "hours": "h", "a": "a", "yr": "a", "year": "a", "years": "a",
+    "mm": "mm", "cm": "cm", "m": "m", "km": "km", "g": "g", "kg": "kg", "t": "t", "°c": "Cel", "degrees c": "Cel",
+}
 
 
 def decimal_of(text: Column) -> Column:
@@ -22,62 +44,95 @@ def decimal_of(text: Column) -> Column:
     return plain.try_cast("double")
 
 
-def with_shape(df: DataFrame, display: str, prefix: str) -> DataFrame:
-    """Add a display's shape ``<prefix>code`` (er, pm, rg, nm, sc or tx) and its numbers in
-    order ``<prefix>n``, as columns of their own so that no pattern is evaluated twice."""
-    text = F.trim(F.col(display))
-    shapes = (("er", ESTIMATE_RANGE), ("pm", UNCERTAIN), ("rg", RANGE), ("nm", NAMED), ("sc", SCALAR))
-    code = F.coalesce(*[F.when(text.rlike(p), k) for k, p in shapes], F.lit("tx"))
-    # the dash of a range is no sign
-    found = F.regexp_extract_all(F.regexp_replace(text, rf"([0-9]){_DASH}", "$1 "), F.lit(_N), F.lit(1))
-    return df.withColumns({f"{prefix}code": code, f"{prefix}n": F.transform(found, decimal_of)})
+def _letter(token: Column, before: Column, earlier: Column, after: Column) -> Column:
+    """A token's letter; a dash is a sign where a number follows and none stands before."""
+    low = F.lower(token)
+    number = lambda c: F.coalesce(c.rlike("^[.]?[0-9]"), F.lit(False))
+    sign = number(after) & ~number(before) & ~F.coalesce(before.isin("%", ")", "]"), F.lit(False))
+    return (
+        F.when(number(token), "n")
+        .when(token.isin("-", "−") & sign, "-")
+        .when(token == "+", "")
+        .when(token.isin("-", "–", "—", "−") | (low == "to"), "t")
+        .when(token.isin("±", "+/-"), "u")
+        .when(token.isin("(", "["), "o")
+        .when(token.isin(")", "]"), "e")
+        .when(low.isin("%", "percent"), "p")
+        .when(low.isin("median", "mean"), "m")
+        .when(low == "range", "r")
+        .when(token.isin(",", ";"), "s")
+        .when(token.isin(":", "="), "")
+        .when(low.rlike(r"^[\p{L}°]"), "w")
+        .otherwise("x")
+    )
 
 
-def with_quantity(df: DataFrame, display: str, out: str, name: str | None = None) -> DataFrame:
-    """Add a reported display as a struct.
+def with_shape(df: DataFrame, display: str, prefix: str) -> DataFrame:
+    """Add a display's shape ``<prefix>code`` (of ``SHAPES``, else text) and its
+    ``<prefix>value``, ``low``, ``high``, ``spread`` and ``tokens``.
+
+    Each step is a column of its own, so that no pattern is evaluated twice.  A range in
+    descending order has the code ``descending``.
+    """
+    t, c, code, n = (F.col(prefix + k) for k in ("tokens", "letters", "code", "numbers"))
+    df = df.withColumn(prefix + "tokens", F.regexp_extract_all(F.trim(F.col(display)), F.lit(TOKEN), F.lit(0)))
+    near = lambda i, by: F.when((i + by >= 0), F.get(t, i + by))
+    df = df.withColumn(prefix + "letters", F.transform(t, lambda x, i: _letter(x, near(i, -1), near(i, -2), near(i, 1))))
+    signed = F.transform(t, lambda x, i: F.when(F.get(c, i) == "n", decimal_of(x) * F.when((i > 0) & (F.get(c, i - 1) == "-"), -1).otherwise(1)))
+    word = F.replace(F.array_join(c, ""), F.lit("-"))
+    shape = F.coalesce(*[F.when(word.rlike(p), k) for k, p, _ in SHAPES], F.lit("text"))
+    df = df.withColumns({prefix + "code": shape, prefix + "numbers": F.filter(signed, lambda x: x.isNotNull())})
+    place = lambda k: F.coalesce(*[F.when(code == s, F.get(n, F.lit(at[k]))) for s, _, at in SHAPES if at[k] >= 0])
+    df = df.withColumns({prefix + k: place(i) for i, k in enumerate(("value", "low", "high", "spread"))})
+    falls = F.coalesce(F.col(prefix + "low") > F.col(prefix + "high"), F.lit(False))
+    return df.withColumns({prefix + "code": F.when(falls, "descending").otherwise(code), **{prefix + k: F.when(~falls, F.col(prefix + k)) for k in ("value", "low", "high")}}).drop(prefix + "numbers")
+
+
+def with_quantity(df: DataFrame, display: str, out: str, name: str | None = None, unit: str | None = None) -> DataFrame:
+    """Add a reported display as a struct.
 
     ``kind`` is estimate_with_range, estimate_with_uncertainty, range, scalar or
-    text_summary; a unit other than percent makes a display text.  A range written in
-    descending order keeps its text and says so in ``parse_error``.  Null gives null.
+    text_summary.  The unit is that of the unit column, else percent where the display ends
+    on it.  A text that states a confidence or prediction level has it as ``nominal_level``.
+    A range in descending order keeps its text and says so in ``parse_error``.  Null gives
+    null.
     """
-    text = F.trim(F.col(display))
-    said = F.lower(F.concat_ws(" ", F.col(name) if name else F.lit(None).cast("string"), text))
-    wide = with_shape(df, display, "_").withColumns({"_said": said, "_pct": text.rlike(r"(%|percent)\s*[)\]]?$")})
-    shaped = F.when(F.col(display).isNotNull(), _shaped(F.col("_code"), F.col("_n"), F.col("_said"), F.col("_pct")))
-    return wide.withColumn(out, shaped).drop("_code", "_n", "_said", "_pct")
-
-
-def _shaped(code: Column, n: Column, said: Column, percent: Column) -> Column:
-    """The struct of a display from its shape and its numbers in order."""
-    at = lambda k: F.get(n, F.lit(k))
-    low = F.when(code == "er", at(1)).when(code == "rg", at(0))
-    high = F.when(code == "er", at(2)).when(code == "rg", at(1))
-    value = F.when(code.isin("er", "pm", "nm", "sc"), at(0))
-    kind = F.when(code == "er", "estimate_with_range").when(code == "pm", "estimate_with_uncertainty").when(code == "rg", "range").when(code.isin("nm", "sc"), "scalar").otherwise("text_summary")
-    bad = F.coalesce(low > high, F.lit(False))
-    return F.struct(
-        F.when(bad, "text_summary").otherwise(kind).alias("kind"),
-        F.when(~bad, value).alias("numeric_value"),
-        F.when(~bad, low).alias("lower_bound"),
-        F.when(~bad, high).alias("upper_bound"),
-        F.when(code == "pm", at(1)).alias("uncertainty"),
-        F.when(percent, "%").alias("unit_code"),
-        aggregation(said).alias("aggregation"),
-        F.when(bad, "descending_range").alias("parse_error"),
+    code, t, c = F.col("_code"), F.col("_tokens"), F.col("_letters")
+    said = F.lower(F.concat_ws(" ", F.col(name) if name else F.lit(None).cast("string"), F.trim(F.col(display))))
+    wide = with_shape(df, display, "_").withColumn("_said", said)
+    named = lambda names: F.coalesce(*[F.when(code == k, v) for k, v in names.items()])
+    own = F.lower(F.trim(F.col(unit))) if unit else F.lit(None).cast("string")
+    typed = F.coalesce(own, F.lit(""))
+    unit_code = F.when(typed != "", F.create_map(*[F.lit(x) for pair in UNIT_CODES.items() for x in pair])[typed]).otherwise(F.when(F.element_at(c, -1) == "p", "%"))
+    levels = F.transform(t, lambda x, i: F.when((F.get(c, i) == "n") & (F.get(c, i + 1) == "p") & F.lower(F.get(t, i + 2)).rlike("^(ci|confidence|pi|prediction)"), decimal_of(x) / 100))
+    level = F.get(F.filter(levels, lambda x: x.isNotNull()), F.lit(0))
+    central = F.when(code.isin("range_named", "named_range"), F.lower(F.get(F.filter(t, lambda x: F.lower(x).isin("median", "mean")), F.lit(0))))
+    struct = F.struct(
+        F.coalesce(named(KIND), F.lit("text_summary")).alias("kind"),
+        F.col("_value").alias("numeric_value"),
+        F.col("_low").alias("lower_bound"),
+        F.col("_high").alias("upper_bound"),
+        F.abs("_spread").alias("uncertainty"),
+        F.when(F.size(t) > 0, unit_code).alias("unit_code"),
+        F.coalesce(central, aggregation(F.col("_said"))).alias("aggregation"),
+        named(BASIS).alias("range_basis"),
+        F.when((code == "text") & level.between(0, 1), level).alias("nominal_level"),
+        F.when(code == "descending", "descending_range").alias("parse_error"),
     )
+    return wide.withColumn(out, F.when(F.col(display).isNotNull(), struct)).drop(*[f"_{k}" for k in ("code", "value", "low", "high", "spread", "tokens", "letters", "said")])
 
 
 def aggregation(text: Column) -> Column:
-    """The statistic a lower-case text names, the first of a fixed order."""
-    out = F.lit(None).cast("string")
-    for word in ("proportion", "count", "maximum", "minimum", "mean", "median"):
-        out = F.when(text.rlike(rf"\b{word}\b"), word).otherwise(out)
-    return out
+    """The statistic a lower-case text names, the first of a fixed order; a percent speaks
+    of a proportion."""
+    words = ("median", "mean", "minimum", "maximum", "count")
+    share = F.when(text.rlike(r"%|\bpercent(age)?\b|\bproportion\b"), "proportion")
+    return F.coalesce(*[F.when(text.rlike(rf"\b{w}\b"), w) for w in words], share)
 
 
 def number_key(value: Column) -> Column:
     """A number's identity whatever its scale: 0.900 and 0.9 are one."""
-    text = F.regexp_replace(F.regexp_replace(value.cast("decimal(38,10)").cast("string"), "0+$", ""), "[.]$", "")
+    text = F.regexp_replace(F.regexp_replace(value.cast("decimal(38,18)").cast("string"), "0+$", ""), "[.]$", "")
     return F.when(text == "-0", "0").otherwise(text)
 
 

@@ -28,10 +28,9 @@ def issues(df: DataFrame, subject: str, rules: list[tuple[Column, str, str, str]
 def quantity_rules(ledger: DataFrame) -> tuple[DataFrame, list[tuple]]:
     """Conflicts between what a metric reports and its summary: the rows to ask, the rules."""
     rows = with_shape(with_shape(ledger, "as_reported", "_r"), "value_or_summary", "_s")
-    at = lambda p, k: F.get(F.col(f"{p}n"), F.lit(k))
     # a range in descending order is text; other shapes compare by number and bounds
-    text = lambda p: (F.col(f"{p}code") == "tx") | ((F.col(f"{p}code") == "rg") & (at(p, 0) > at(p, 1))) | ((F.col(f"{p}code") == "er") & (at(p, 1) > at(p, 2)))
-    key = lambda p: F.when(F.col(f"{p}code") == "rg", F.concat(F.lit("range "), F.array_join(F.col(f"{p}n").cast("array<string>"), " "))).when(F.col(f"{p}code") == "er", F.array_join(F.col(f"{p}n").cast("array<string>"), " ")).otherwise(at(p, 0).cast("string"))
+    text = lambda p: F.col(f"{p}code").isin("text", "descending")
+    key = lambda p: F.concat_ws("|", *[F.coalesce(F.col(p + k).cast("string"), F.lit("")) for k in ("value", "low", "high")])
     unlike = squeezed(F.col("as_reported")) != squeezed(F.col("value_or_summary"))
     return rows, [
         (F.col("as_reported").rlike("[0-9]") & text("_r"), "QUANTITATIVE_VALUE_NOT_STRUCTURED", "warning", "as_reported"),

@@ -27,7 +27,7 @@ _lists: dict[tuple[str, str], metrics.Names] = {}
 
 
 def parse_quantity(spark: SparkSession, d: str) -> DataFrame:
-    rows = numbers.with_quantity(table(spark, d, "ledger_metric").select("metric_id", "as_reported", "name"), "as_reported", "q", "name")
+    rows = numbers.with_quantity(table(spark, d, "ledger_metric").select("metric_id", "as_reported", "name", "unit"), "as_reported", "q", "name", "unit")
     return rows.select("metric_id", "q.*")
 
 

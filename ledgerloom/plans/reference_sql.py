@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.functions import numbers, text
+from ledgerloom.functions import text
 from ledgerloom.operators import discovery, ledger, rules
 from ledgerloom.plans import problems
 
@@ -49,30 +49,51 @@ def _decimal(x: str) -> str:
 
 
 def _aggregation(x: str) -> str:
-    cases = " ".join(f"WHEN regexp_matches({x}, '\\b{w}\\b') THEN '{w}'" for w in ("median", "mean", "minimum", "maximum", "count", "proportion"))
-    return f"CASE {cases} END"
-
-
-def _quantity(source: str, key: str, display: str, name: str | None = None) -> str:
-    """A relation (key, kind, numeric_value, lower_bound, upper_bound, uncertainty, unit_code, aggregation, parse_error)."""
-    shapes = (("er", numbers.ESTIMATE_RANGE), ("pm", numbers.UNCERTAIN), ("rg", numbers.RANGE), ("nm", numbers.NAMED), ("sc", numbers.SCALAR))
-    code = "CASE " + " ".join(f"WHEN regexp_matches(t, {_q(p)}) THEN '{c}'" for c, p in shapes) + " ELSE 'tx' END"
+    cases = " ".join(f"WHEN regexp_matches({x}, '\\b{w}\\b') THEN '{w}'" for w in ("median", "mean", "minimum", "maximum", "count"))
+    return f"CASE {cases} WHEN regexp_matches({x}, '%|\\bpercent(age)?\\b|\\bproportion\\b') THEN 'proportion' END"
+
+
+_NUMBER = "([0-9]+([.,][0-9]*)?|[.][0-9]+)([eE][-+]?[0-9]+)?"
+_SIGNED = f"([-+−]?{_NUMBER})"
+_TO = "\\s*([-–—−]|\\bto\\b)\\s*"
+_UNIT = "(\\s*[a-zA-Z°%][a-zA-Z0-9°%./_]*)?"
+_P = "\\s*(%|percent)?\\s*"
+
+
+def _quantity(source: str, key: str, display: str, name: str | None = None, unit: str | None = None) -> str:
+    """A relation of the shapes, read with one pattern each."""
+    central = "(?:median|mean)\\s*[:=]?\\s*"
+    shapes = {
+        "rn": f"{_SIGNED}{_TO}{_SIGNED}{_UNIT}\\s*[;,(\\[]?\\s*{central}{_SIGNED}{_UNIT}\\s*[)\\]]?",
+        "nr": f"{central}{_SIGNED}{_UNIT}\\s*[;,(\\[]?\\s*range\\s*[:=]?\\s*{_SIGNED}{_TO}{_SIGNED}{_UNIT}\\s*[)\\]]?",
+        "er": f"{_SIGNED}{_P}[(\\[]\\s*{_SIGNED}{_TO}{_SIGNED}{_P}[)\\]]{_P}",
+        "pm": f"{_SIGNED}\\s*(?:±|\\+/-)\\s*{_SIGNED}{_P}",
+        "rg": f"{_SIGNED}{_TO}{_SIGNED}{_P}",
+        "sc": f"{_SIGNED}{_P}",
+    }
+    code = "CASE " + " ".join(f"WHEN regexp_full_match(t, {_q('(?i)' + p)}) THEN '{c}'" for c, p in shapes.items()) + " ELSE 'tx' END"
     said = f"lower(concat_ws(' ', {name}, t))" if name else "lower(t)"
+    own = f"lower(trim({unit}))" if unit else "NULL"
+    codes = {"%": ("%", "percent", "percentage"), "d": ("d", "day", "days"), "h": ("h", "hour", "hours"), "a": ("a", "yr", "year", "years"), "Cel": ("°c", "degrees c")} | {u: (u,) for u in ("mm", "cm", "m", "km", "g", "kg", "t")}
+    known = "CASE " + " ".join(f"WHEN own IN ({', '.join(map(_q, names))}) THEN {_q(c)}" for c, names in codes.items()) + " END"
+    level = "try_cast(regexp_extract(t, '([0-9]+(?:[.][0-9]+)?)\\s*%\\s*(?i:ci|confidence|pi|prediction)', 1) AS DOUBLE) / 100"
     return f"""(
-      WITH a AS (SELECT {key}, {name + ',' if name else ''} trim({display}) AS t FROM {source}),
-      b AS (SELECT *, {code} AS code, list_transform(regexp_extract_all(regexp_replace(t, {_q('([0-9])' + numbers._DASH)}, '\\1 ', 'g'), {_q(numbers._N)}, 1), lambda x: {_decimal('x')}) AS n FROM a),
-      c AS (SELECT *, CASE WHEN code = 'er' THEN n[2] WHEN code = 'rg' THEN n[1] END AS lo, CASE WHEN code = 'er' THEN n[3] WHEN code = 'rg' THEN n[2] END AS hi FROM b)
+      WITH a AS (SELECT {key}, {name + ',' if name else ''} trim({display}) AS t, coalesce({own}, '') AS own FROM {source}),
+      b AS (SELECT *, {code} AS code, list_transform(regexp_extract_all(regexp_replace(t, {_q('([0-9.%])' + _TO)}, '\\1 ', 'g'), {_q(_SIGNED)}, 1), lambda x: {_decimal("replace(x, '−', '-')")}) AS n FROM a),
+      c AS (SELECT *, CASE WHEN code IN ('er', 'nr') THEN n[2] WHEN code IN ('rg', 'rn') THEN n[1] END AS lo, CASE WHEN code IN ('er', 'nr') THEN n[3] WHEN code IN ('rg', 'rn') THEN n[2] END AS hi FROM b),
+      d AS (SELECT *, coalesce(lo > hi, false) AS falls FROM c)
       SELECT {key},
-        CASE WHEN t IS NULL THEN NULL WHEN coalesce(lo > hi, false) THEN 'text_summary' WHEN code = 'er' THEN 'estimate_with_range' WHEN code = 'pm' THEN 'estimate_with_uncertainty'
-             WHEN code = 'rg' THEN 'range' WHEN code IN ('nm', 'sc') THEN 'scalar' ELSE 'text_summary' END AS kind,
-        CASE WHEN NOT coalesce(lo > hi, false) AND code IN ('er', 'pm', 'nm', 'sc') THEN n[1] END AS numeric_value,
-        CASE WHEN NOT coalesce(lo > hi, false) THEN lo END AS lower_bound,
-        CASE WHEN NOT coalesce(lo > hi, false) THEN hi END AS upper_bound,
-        CASE WHEN code = 'pm' THEN n[2] END AS uncertainty,
-        CASE WHEN regexp_matches(t, '(%|percent)\\s*[)\\]]?$') THEN '%' END AS unit_code,
-        {_aggregation(said)} AS aggregation,
-        CASE WHEN coalesce(lo > hi, false) THEN 'descending_range' END AS parse_error
-      FROM c)"""
+        CASE WHEN t IS NULL THEN NULL WHEN falls OR code = 'tx' THEN 'text_summary' WHEN code IN ('er', 'rn', 'nr') THEN 'estimate_with_range' WHEN code = 'pm' THEN 'estimate_with_uncertainty' WHEN code = 'rg' THEN 'range' ELSE 'scalar' END AS kind,
+        CASE WHEN NOT falls THEN CASE WHEN code IN ('er', 'nr', 'pm', 'sc') THEN n[1] WHEN code = 'rn' THEN n[3] END END AS numeric_value,
+        CASE WHEN NOT falls THEN lo END AS lower_bound,
+        CASE WHEN NOT falls THEN hi END AS upper_bound,
+        CASE WHEN code = 'pm' THEN abs(n[2]) END AS uncertainty,
+        CASE WHEN t IS NULL OR t = '' THEN NULL WHEN own <> '' THEN {known} WHEN regexp_matches(t, '(?i)(%|\\bpercent)$') THEN '%' END AS unit_code,
+        CASE WHEN t IS NULL THEN NULL WHEN NOT falls AND code IN ('rn', 'nr') THEN lower(regexp_extract(t, '(?i)(median|mean)', 1)) ELSE {_aggregation(said)} END AS aggregation,
+        CASE WHEN falls THEN NULL WHEN code IN ('rn', 'nr') THEN 'reported min-max or across-group range' WHEN code = 'er' THEN 'reported interval or range (type not stated)' WHEN code = 'rg' THEN 'reported range (basis not stated)' END AS range_basis,
+        CASE WHEN code = 'tx' AND {level} BETWEEN 0 AND 1 THEN {level} END AS nominal_level,
+        CASE WHEN falls THEN 'descending_range' END AS parse_error
+      FROM d)"""
 
 
 _REGISTRY = """(SELECT bundle_id, source_item_id, max(item_type) AS item_type, max(source_page) AS source_page, max(source_location) AS source_location, max(section_hint) AS section_hint, max(caption) AS caption
@@ -124,9 +145,9 @@ def _portable(path: str) -> str:
 _STEMS = "list_distinct(list_transform(list_filter(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+'), lambda w: length(w) >= 5), lambda w: substr(w, 1, 7)))"
 
 SQL = {
-    "parse_quantity": f"SELECT * FROM {_quantity('ledger_metric', 'metric_id', 'as_reported', 'name')}",
+    "parse_quantity": f"SELECT * FROM {_quantity('ledger_metric', 'metric_id', 'as_reported', 'name', 'unit')}",
     "quantity_conflict_issues": f"SELECT code, severity, count(*) AS issues FROM ({_QUANTITY_ISSUES}) GROUP BY ALL",
-    "number_identity": "SELECT key, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM (SELECT regexp_replace(regexp_replace(cast(cast(l_discount AS DECIMAL(38,10)) AS VARCHAR), '0+$', ''), '[.]$', '') AS key, l_quantity FROM lineitem) GROUP BY ALL",
+    "number_identity": "SELECT key, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM (SELECT regexp_replace(regexp_replace(cast(cast(cast(l_discount AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '0+$', ''), '[.]$', '') AS key, l_quantity FROM lineitem) GROUP BY ALL",
     "metric_families": f"SELECT metric_id, array_to_string({_families('name')}, ',') AS families, {_identity('name')} AS identity FROM ledger_metric",
     "target_token_key": f"SELECT {_token_key('target')} AS target_key, count(*) AS n FROM metric_hint WHERE target IS NOT NULL GROUP BY ALL",
     "content_tokens": f"""SELECT token, count(*) AS n FROM (SELECT unnest(list_distinct(list_transform(list_filter({_tokens('caption')}, lambda t: length(t) >= 3 AND t NOT IN ({', '.join(_q(w) for w in text.STOP_WORDS)})),

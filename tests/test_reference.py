@@ -50,16 +50,24 @@ def one(spark, column, **values):
 
 
 def test_displays(spark):
-    shown = ["5.7", "5.7 days", "3.9-7.5", "3.9 – 7.5", "0.900 (0.888–0.920)", "16.3 ± 2.3", "0.7 to 1.3", "7-3", "-0.5", "1,234", "12 %", "median 4", ".5", "", None, "text"]
-    df = numbers.with_quantity(spark.createDataFrame([(k, s) for k, s in enumerate(shown)], "k int, s string"), "s", "q")
-    got = {r["k"]: r["q"] for r in df.collect()}
-    assert [got[k] and got[k]["kind"] for k in range(len(shown))] == ["scalar", "text_summary", "range", "range", "estimate_with_range", "estimate_with_uncertainty", "range", "text_summary", "scalar", "scalar", "scalar", "scalar", "scalar", "text_summary", None, "text_summary"]
-    assert (got[4]["numeric_value"], got[4]["lower_bound"], got[4]["upper_bound"]) == (0.9, 0.888, 0.92)
-    assert (got[7]["parse_error"], got[8]["numeric_value"], got[9]["numeric_value"], got[10]["unit_code"], got[11]["aggregation"]) == ("descending_range", -0.5, 1.234, "%", "median")
+    shown = {
+        "5.7": "scalar", "5.7 days": "text_summary", "3.9-7.5": "range", "3.9 – 7.5": "range", "0.900 (0.888–0.920)": "estimate_with_range", "16.3 ± 2.3": "estimate_with_uncertainty",
+        "0.7 to 1.3": "range", "7-3": "text_summary", "-0.5": "scalar", "1,234": "scalar", "12 %": "scalar", "median 4": "text_summary", ".5": "scalar", "": "text_summary", "text": "text_summary",
+        "2.8-5.1 days (median 3.9 days)": "estimate_with_range", "mean: 3.9 d; range 2.8 to 5.1": "estimate_with_range", "-5 - -3": "range", "-5–3": "range", "1e-11": "scalar", "1.5e3 +/- -2": "estimate_with_uncertainty",
+        "1,234.5": "text_summary", "about 95% CI": "text_summary", "5-": "text_summary",
+    }
+    df = numbers.with_quantity(spark.createDataFrame([*enumerate(shown), (99, None)], "k int, s string"), "s", "q")
+    got = {r["s"]: r["q"] for r in df.collect()}
+    assert {s: got[s]["kind"] for s in shown} == shown and got[None] is None
+    three = lambda s: (got[s]["numeric_value"], got[s]["lower_bound"], got[s]["upper_bound"])
+    assert three("0.900 (0.888–0.920)") == (0.9, 0.888, 0.92) and three("2.8-5.1 days (median 3.9 days)") == three("mean: 3.9 d; range 2.8 to 5.1") == (3.9, 2.8, 5.1)
+    assert three("-5 - -3") == (None, -5, -3) and three("-5–3") == (None, -5, 3) and got["1e-11"]["numeric_value"] == 1e-11 and got["1.5e3 +/- -2"]["uncertainty"] == 2
+    assert (got["7-3"]["parse_error"], got["-0.5"]["numeric_value"], got["1,234"]["numeric_value"], got["12 %"]["unit_code"], got["median 4"]["aggregation"]) == ("descending_range", -0.5, 1.234, "%", "median")
+    assert (got["about 95% CI"]["nominal_level"], got["mean: 3.9 d; range 2.8 to 5.1"]["aggregation"], got["0.7 to 1.3"]["range_basis"]) == (0.95, "mean", "reported range (basis not stated)")
 
 
 def test_identities(spark):
-    assert [one(spark, numbers.number_key(F.col("v")), v=v) for v in (0.9, 100.0, -0.0, 12.5)] == ["0.9", "100", "0", "12.5"]
+    assert [one(spark, numbers.number_key(F.col("v")), v=v) for v in (0.9, 100.0, -0.0, 12.5, 1e-11)] == ["0.9", "100", "0", "12.5", "0.00000000001"]
     listed = [("rmse", "RMSE", "root mean squared error"), ("ubrmse", None, "unbiased root mean squared error"), ("mae", "MAE", "mean absolute error")]
     names = metrics.Names.of(spark.createDataFrame(listed, "metric_key string, short_name string, full_name string"))
     keys = lambda n: one(spark, F.array_join(names.families(F.col("n")), ","), n=n)
