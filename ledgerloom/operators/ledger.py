@@ -118,11 +118,11 @@ def subset_targets(targets: DataFrame, keys: list[str], token_col: str, id_col:
     return pairs.where(proper).select(*keys, "parent", "child")
 
 
-_FOLD = "bundle_id bigint, identity string, metric_id bigint, primary_id bigint, display string, aggregation string, unit string, population string, interpretation string, members int"
+_FOLD = "bundle_id bigint, identity string, metric_id bigint, primary_id bigint, display string, aggregation string, nominal_level double, unit string, unit_code string, population string, interpretation string, members int"
 #: Words that say nothing about a metric's target.
 TARGET_STOP_WORDS = ("the", "a", "an", "of", "for", "in", "on", "at", "to")
 #: What a stated field adds to a record's richness.
-RICHNESS = {"aggregation": 5, "unit": 1, "population": 2, "interpretation": 2}
+RICHNESS = {"aggregation": 5, "nominal_level": 4, "unit": 1, "unit_code": 2, "population": 2, "interpretation": 2}
 
 
 def value_key(display: Column, quantity: Column) -> Column:
@@ -139,7 +139,7 @@ def deduplicate_metrics(metrics: DataFrame, names: Names) -> DataFrame:
     interpretation) and may have (context, scope, target, support), which are then parts of
     the identity, and population.  Rows of one identity and value are visited by
     ``metric_id``; each joins the first survivor it doesn't contradict: two stated
-    aggregations must agree.  The richer of the two is the primary record, ``primary_id``,
+    aggregations must agree, and so must two nominal levels.  The richer of the two is the primary record, ``primary_id``,
     and takes the fields it lacks from the other, so that later rows see what it has
     become; ``metric_id`` is the survivor's first sighting.  The relation isn't transitive,
     hence the fold; a group is one metric's sightings in one bundle.  Null displays are one
@@ -149,7 +149,7 @@ def deduplicate_metrics(metrics: DataFrame, names: Names) -> DataFrame:
     has = lambda c: F.col(c) if c in metrics.columns else none
     words = F.filter(tokens(F.coalesce(has("target"), F.lit(""))), lambda t: ~t.isin(*TARGET_STOP_WORDS))
     parts = [names.identity(F.col("name")), *[F.coalesce(has(c), F.lit("")) for c in ("context", "scope", "support")], F.array_join(F.array_sort(words), " ")]
-    keyed = with_quantity(metrics, "display", "_q").withColumns({"identity": F.concat_ws("|", *parts, F.coalesce(value_key(F.col("display"), F.col("_q")), F.lit(""))), "population": has("population")}).drop("_q")
+    keyed = with_quantity(metrics, "display", "_q").withColumns({"identity": F.concat_ws("|", *parts, F.coalesce(value_key(F.col("display"), F.col("_q")), F.lit(""))), "population": has("population"), "nominal_level": F.col("_q.nominal_level"), "unit_code": F.col("_q.unit_code")}).drop("_q")
     stated = ["display", *RICHNESS]
 
     def richness(row: dict) -> int:
@@ -159,7 +159,7 @@ def deduplicate_metrics(metrics: DataFrame, names: Names) -> DataFrame:
         survivors: list[dict] = []
         for row in pdf.sort_values("metric_id").to_dict("records"):
             row = {k: (None if pd.isna(v) else v) for k, v in row.items()}
-            home = next((s for s in survivors if not (s["aggregation"] and row["aggregation"] and s["aggregation"] != row["aggregation"])), None)
+            home = next((s for s in survivors if all(s[k] is None or row[k] is None or s[k] == row[k] for k in ("aggregation", "nominal_level"))), None)
             if home is None:
                 survivors.append(row | {"primary_id": row["metric_id"], "members": 1})
                 continue

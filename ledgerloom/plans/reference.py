@@ -301,7 +301,7 @@ def metric_dedup_fold(spark: SparkSession, d: str) -> DataFrame:
         "bundle_id", "metric_id", "name", F.col("as_reported").alias("display"), numbers.aggregation(F.lower(F.concat_ws(" ", "name", "as_reported"))).alias("aggregation"), "unit", "interpretation",
         "context", "scope", F.col("scope_label").alias("target"), F.col("evaluation_support").alias("support"), F.col("evaluation_population").alias("population"),
     )
-    return ledger.deduplicate_metrics(rows, _names(spark, d))
+    return ledger.deduplicate_metrics(rows, _names(spark, d)).select("bundle_id", "identity", "metric_id", "aggregation", "nominal_level", "members", "rows")
 
 
 def caption_matches(spark: SparkSession, d: str) -> DataFrame:

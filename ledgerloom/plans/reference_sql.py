@@ -144,7 +144,23 @@ def _portable(path: str) -> str:
 
 _STEMS = "list_distinct(list_transform(list_filter(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+'), lambda w: length(w) >= 5), lambda w: substr(w, 1, 7)))"
 
+_KEY = "coalesce(regexp_replace(regexp_replace(cast(cast(cast({x} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '0+$', ''), '[.]$', ''), '')"
+_D1_KEY = f"""concat_ws('|', {_identity('name')}, coalesce(context, ''), coalesce(scope, ''), coalesce(evaluation_support, ''),
+    array_to_string(list_sort(list_filter({_tokens("coalesce(scope_label, '')")}, lambda t: t NOT IN ('the', 'a', 'an', 'of', 'for', 'in', 'on', 'at', 'to'))), ' '),
+    CASE WHEN q.kind <> 'text_summary' THEN concat_ws(';', q.kind, {', '.join(_KEY.format(x='q.' + c) for c in ('numeric_value', 'lower_bound', 'upper_bound', 'uncertainty'))}, coalesce(q.unit_code, '')) ELSE {_squeezed("coalesce(as_reported, '')")} END)"""
+_D1 = f"""WITH RECURSIVE k AS (SELECT bundle_id, metric_id, {_D1_KEY} AS identity, as_reported, {_aggregation("lower(concat_ws(' ', name, as_reported))")} AS agg, q.nominal_level AS lvl, q.unit_code, unit, evaluation_population, interpretation
+      FROM ledger_metric JOIN {_quantity('ledger_metric', 'metric_id', 'as_reported')} q USING (metric_id) WHERE name IS NOT NULL),
+    r AS (SELECT bundle_id, identity, agg, lvl, min(metric_id) AS id, count(*) AS n FROM k GROUP BY bundle_id, identity, as_reported, agg, lvl, unit_code, unit, evaluation_population, interpretation),
+    g AS (SELECT bundle_id, identity, cast(sum(n) AS BIGINT) AS rows, list(struct_pack(id := id, agg := agg, lvl := lvl) ORDER BY id) AS seen FROM r GROUP BY ALL),
+    f AS (SELECT bundle_id, identity, rows, seen, 1 AS i, list_slice([struct_pack(id := cast(0 AS BIGINT), agg := '', lvl := cast(0 AS DOUBLE), members := 0)], 1, 0) AS kept FROM g
+      UNION ALL SELECT bundle_id, identity, rows, seen, i + 1, CASE WHEN h IS NULL THEN list_append(kept, struct_pack(id := x.id, agg := x.agg, lvl := x.lvl, members := 1))
+        ELSE list_transform(kept, lambda s, j: CASE WHEN j = h THEN struct_pack(id := s.id, agg := coalesce(s.agg, x.agg), lvl := coalesce(s.lvl, x.lvl), members := s.members + 1) ELSE s END) END
+      FROM (SELECT *, list_filter(range(1, len(kept) + 1), lambda j: coalesce(kept[j].agg = x.agg, true) AND coalesce(kept[j].lvl = x.lvl, true))[1] AS h FROM (SELECT *, seen[i] AS x FROM f WHERE i <= len(seen)))),
+    o AS (SELECT bundle_id, identity, rows, unnest(kept) AS s FROM f WHERE i > len(seen))
+    SELECT bundle_id, identity, s.id AS metric_id, s.agg AS aggregation, s.lvl AS nominal_level, s.members AS members, rows FROM o"""
+
 SQL = {
+    "metric_dedup_fold": _D1,
     "parse_quantity": f"SELECT * FROM {_quantity('ledger_metric', 'metric_id', 'as_reported', 'name', 'unit')}",
     "quantity_conflict_issues": f"SELECT code, severity, count(*) AS issues FROM ({_QUANTITY_ISSUES}) GROUP BY ALL",
     "number_identity": "SELECT key, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM (SELECT regexp_replace(regexp_replace(cast(cast(cast(l_discount AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '0+$', ''), '[.]$', '') AS key, l_quantity FROM lineitem) GROUP BY ALL",
