@@ -8,25 +8,38 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.metrics import Names
 
+HEADING = r"^#+ "
+_BREAK, _LINE = "\x01", "\x02"
+
+
+def split_lines(text: Column) -> Column:
+    return F.split(text, r"\r?\n")
+
+
 def lines_of(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row a line with its number from 0; null texts have none."""
-    return df.select(*keys, F.posexplode(F.split(F.col(text), r"\r?\n")).alias("line_no", "line"))
+    return df.select(*keys, F.posexplode(split_lines(F.col(text))).alias("line_no", "line"))
 
 
-def with_heading(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Each line with the nearest heading strictly before it (W1); null before the first."""
-    title = F.when(F.col("line").rlike(r"^#+ "), F.trim(F.regexp_replace("line", r"^#+ ", "")))
-    before = W.partitionBy(*keys).orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
-    return lines.withColumn("heading", F.last(title, ignorenulls=True).over(before))
+def with_heading(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Each line of a text with the nearest heading strictly before it (W1); null before the
+    first.  ``(keys, line_no, line, heading)``; texts stay where they are, no shuffle."""
+    staged = df.select(*keys, split_lines(F.col(text)).alias("_lines"))
+    titles = F.transform("_lines", lambda x, i: F.when(x.rlike(HEADING), F.struct(i.alias("at"), F.trim(F.regexp_replace(x, HEADING, "")).alias("title"))))
+    staged = staged.withColumn("_heads", F.filter(titles, lambda h: h.isNotNull()))
+    lines = staged.select(*keys, "_heads", F.posexplode("_lines").alias("line_no", "line"))
+    before = F.filter("_heads", lambda h: h["at"] < F.col("line_no"))
+    return lines.withColumn("heading", F.get(before, F.size(before) - 1)["title"]).drop("_heads")
 
 
-def paragraphs_of(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs of lines that no blank line or heading parts (W3), with their text."""
-    breaks = F.when((F.trim("line") == "") | F.col("line").rlike(r"^#+ "), 1).otherwise(0)
-    run = F.sum(breaks).over(W.partitionBy(*keys).orderBy("line_no"))
-    body = lines.withColumn("par", run).where((F.trim("line") != "") & ~F.col("line").rlike(r"^#+ "))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ")
-    return body.groupBy(*keys, "par").agg(text.alias("text"), F.count(F.lit(1)).alias("lines"))
+def paragraphs_of(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Runs of lines of a text that no blank line or heading parts (W3): ``(keys, par, text,
+    lines)``.  ``par`` is the number of such lines before; no shuffle."""
+    breaks = F.transform("_lines", lambda x: F.when((F.trim(x) == "") | x.rlike(HEADING), _BREAK).otherwise(x))
+    staged = df.select(*keys, split_lines(F.translate(text, _BREAK + _LINE, "  ")).alias("_lines")).select(*keys, F.array_join(breaks, _LINE).alias("_marked"))
+    runs = staged.select(*keys, F.posexplode(F.split("_marked", _BREAK)).alias("par", "_run"))
+    body = runs.withColumn("_run", F.regexp_replace("_run", f"^{_LINE}|{_LINE}$", "")).where("_run <> ''")
+    return body.select(*keys, "par", F.replace("_run", F.lit(_LINE), F.lit(" ")).alias("text"), F.size(F.split("_run", _LINE)).cast("bigint").alias("lines"))
 
 
 def sentences_of(text: Column) -> Column:
@@ -52,11 +65,14 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.select(*keys, F.inline(cells)).where("value is not null")
 
 
-def caption_has_body(lines: DataFrame, keys: list[str], ahead: int = 13) -> DataFrame:
-    """Caption lines with how many of the next lines hold a table row."""
-    following = W.partitionBy(*keys).orderBy("line_no").rowsBetween(1, ahead)
-    body = F.count_if(F.col("line").rlike(r"^\s*\|.*\|\s*$")).over(following)
-    return lines.withColumn("body_lines", body).where(F.col("line").rlike(r"^(Table|Figure)\s+[0-9]+\."))
+def caption_has_body(df: DataFrame, keys: list[str], text: str, ahead: int = 13) -> DataFrame:
+    """Caption lines of a text with how many of the next lines hold a table row (W6):
+    ``(keys, line_no, line, body_lines)``; no shuffle."""
+    staged = df.select(*keys, split_lines(F.col(text)).alias("_lines"))
+    captions = staged.select(*keys, "_lines", F.posexplode("_lines").alias("line_no", "line")).where(F.col("line").rlike(r"^(Table|Figure)\s+[0-9]+\."))
+    following = F.slice("_lines", F.col("line_no") + 2, F.lit(ahead))
+    body = F.size(F.filter(following, lambda x: x.rlike(r"^\s*\|.*\|\s*$"))).cast("bigint")
+    return captions.withColumn("body_lines", body).drop("_lines")
 
 
 def compact_groups(hints: DataFrame, keys: list[str], name: str, order: str, least: int = 2) -> DataFrame:

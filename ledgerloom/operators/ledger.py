@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.metrics import Names
 from ledgerloom.functions.numbers import number_key, with_quantity
-from ledgerloom.functions.text import squeezed, token_key, tokens
+from ledgerloom.functions.text import section_anchor, squeezed, token_key, tokens
 
 #: Contexts whose metrics make up the producer's fitness view.
 PRODUCER_CONTEXTS = ("out_of_sample_validation", "cross_validated_interval", "spatial_uncertainty_summary")
@@ -184,6 +184,22 @@ def deduplicate_metrics(metrics: DataFrame, names: Names) -> DataFrame:
     return alone.select(*out, "rows").unionByName(merged.select(*out, "rows"))
 
 
+def related_pairs(sections: DataFrame, keys: list[str], section: str) -> DataFrame:
+    """Pairs ``(keys, a, b)`` with a < b of sections of one key that stand in one another
+    (J6, N9): equal anchors, or one dotted number a prefix of the other.
+
+    Each section is looked up by its anchor under its own anchor and the numbers above it,
+    so no key's sections meet all others.
+    """
+    anchor = section_anchor(F.col(section))
+    parts = F.split("anchor", r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    own = sections.select(*keys, F.col(section).alias("s"), anchor.alias("anchor")).distinct()
+    under = own.select(*keys, "s", F.explode(F.when(F.col("anchor").rlike("^[0-9]"), above).otherwise(F.array("anchor"))).alias("anchor"))
+    pairs = under.join(own.withColumnRenamed("s", "t"), [*keys, "anchor"]).where("s <> t")
+    return pairs.select(*keys, F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+
+
 def token_overlap_pairs(df: DataFrame, keys: list[str], id_col: str, token_col: str, least: float) -> DataFrame:
     """Pairs of rows of one key whose token sets have a Jaccard of at least ``least``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.numbers import with_shape
 from ledgerloom.functions.text import squeezed
 from ledgerloom.operators.ledger import unique_registry
+from ledgerloom.session import cut
 
 SEVERITIES = ("error", "warning", "info")
 #: Scopes that speak of one target, and words that speak of all.
@@ -77,7 +78,8 @@ def all_issues(ledger: DataFrame, evidence: DataFrame, registry: DataFrame) -> D
     """Every rule in one pass over each relation, or one info row if none fired."""
     rows, quantity = quantity_rules(ledger)
     placed, locators = locator_rules(evidence, registry)
-    found = issues(rows, "metric_id", quantity + scope_rules()).unionByName(issues(placed, "evidence_id", locators))
+    # what was found is kept, so that asking whether anything was doesn't find it again
+    found = cut(issues(rows, "metric_id", quantity + scope_rules()).unionByName(issues(placed, "evidence_id", locators)))
     none = found.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
     clean = none.select(F.lit(None).cast("bigint").alias("record"), F.lit("NO_DETERMINISTIC_ISSUES").alias("code"), F.lit("info").alias("severity"), F.lit(None).cast("string").alias("field"))
     return found.unionByName(clean)

@@ -148,13 +148,11 @@ def sentence_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def heading_context(spark: SparkSession, d: str) -> DataFrame:
-    lines = candidates.lines_of(table(spark, d, "source_bundle").select("bundle_id", "text_for_llm"), ["bundle_id"], "text_for_llm")
-    return candidates.with_heading(lines, ["bundle_id"]).groupBy("bundle_id", "heading").agg(F.count(F.lit(1)).alias("lines"))
+    return candidates.with_heading(table(spark, d, "source_bundle"), ["bundle_id"], "text_for_llm").groupBy("bundle_id", "heading").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    lines = candidates.lines_of(table(spark, d, "documents"), ["doc_id"], "text")
-    return candidates.paragraphs_of(lines, ["doc_id"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("paragraphs"), F.max(F.length("text")).cast("bigint").alias("longest"))
+    return candidates.paragraphs_of(table(spark, d, "documents"), ["doc_id"], "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("paragraphs"), F.max(F.length("text")).cast("bigint").alias("longest"))
 
 
 def candidate_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -250,7 +248,7 @@ def focus_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def distinct_locations(spark: SparkSession, d: str) -> DataFrame:
     """Distinct item ids and locations of a bundle's evidence, joined."""
-    rows = table(spark, d, "evidence")
+    rows = table(spark, d, "evidence").select("bundle_id", "source_item_id", "source_location").distinct()  # as few as the registry's items
     join = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "; ")
     return rows.groupBy("bundle_id").agg(join("source_item_id").alias("items"), join("source_location").alias("locations"))
 
@@ -285,13 +283,11 @@ def terminology(spark: SparkSession, d: str) -> DataFrame:
 def section_relations(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of sections of a bundle's evidence that stand in one another."""
     s = table(spark, d, "evidence").where("source_section is not null").select("bundle_id", "source_section").distinct()
-    a, b = s.withColumnRenamed("source_section", "a"), s.withColumnRenamed("source_section", "b")
-    return a.join(b, "bundle_id").where((F.col("a") < F.col("b")) & text.related_sections(F.col("a"), F.col("b")))
+    return ledger.related_pairs(s, ["bundle_id"], "source_section")
 
 
 def caption_bodies(spark: SparkSession, d: str) -> DataFrame:
-    lines = candidates.lines_of(table(spark, d, "documents"), ["doc_id"], "text")
-    return candidates.caption_has_body(lines, ["doc_id"]).select("doc_id", "line_no", "body_lines")
+    return candidates.caption_has_body(table(spark, d, "documents"), ["doc_id"], "text").select("doc_id", "line_no", "body_lines")
 
 
 def metric_dedup_fold(spark: SparkSession, d: str) -> DataFrame:
@@ -366,7 +362,7 @@ def stream_last_event(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
     counts = streams.windowed_counts(streams.stream_of(spark, d, "events"), "ts", "event_type")
-    return streams.run_once(counts, "complete").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+    return streams.run_once(counts, "update", ["start", "event_type"]).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
 def recovery_queue(spark: SparkSession, d: str) -> DataFrame:

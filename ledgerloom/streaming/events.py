@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerloom.session import shared_folder
 
@@ -21,16 +22,27 @@ def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def run_once(query: DataFrame, mode: str) -> DataFrame:
-    """Process all that is there and read the last result back."""
+def run_once(query: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
+    """Process all that is there and read the result back.
+
+    Every batch is a folder of its own, written over when a batch is done again.  The result
+    is the last batch of ``complete`` mode, the last row of each of ``keys`` in ``update``
+    mode and all rows in ``append`` mode.
+    """
     spark = query.sparkSession
     home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{home}/out")
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{home}/out/_batch={number}")
 
     query.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{home}/log").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(query.schema).parquet(f"{home}/out")
+    out = spark.read.schema(StructType([*query.schema.fields, StructField("_batch", LongType())])).option("basePath", f"{home}/out").parquet(f"{home}/out/*")
+    if mode == "append":
+        return out.drop("_batch")
+    if mode == "complete":
+        return out.join(F.broadcast(out.agg(F.max("_batch").alias("_batch"))), "_batch", "left_semi").drop("_batch")  # one row
+    rest = [c for c in query.columns if c not in keys]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_last")).select(*keys, "_last.*").select(*query.columns)
 
 
 def last_events(events: DataFrame, key: str, order: str, fields: list[str]) -> DataFrame:
@@ -40,15 +52,17 @@ def last_events(events: DataFrame, key: str, order: str, fields: list[str]) -> D
 
 
 def windowed_counts(events: DataFrame, order: str, key: str, width: str = "1 hour", late: str = "1 day") -> DataFrame:
-    """Counts by tumbling window and key; events later than ``late`` are left out."""
+    """Counts by tumbling window and key, for ``update`` mode: windows older than ``late``
+    leave the state, and events that late are left out."""
     timed = events.withColumn(order, F.col(order).cast("timestamp"))  # a watermark needs a zone
     counted = timed.withWatermark(order, late).groupBy(F.window(order, width).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("w.start").alias("start"), key, "n")
 
 
-def landed_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """New files of a landing folder with their hash; equal contents are taken once."""
+def landed_files(spark: SparkSession, folder: str, pattern: str, remembered: str = "30 days") -> DataFrame:
+    """New files of a landing folder with their hash; equal contents are taken once as long
+    as they are ``remembered``, which bounds the state."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern).load(folder)
-    hashed = files.select("path", "length", F.sha2("content", 256).alias("sha256"))
-    return hashed.groupBy("sha256").agg(F.min("path").alias("path"), F.min("length").alias("length"))
+    hashed = files.withWatermark("modificationTime", remembered).select("modificationTime", "path", "length", F.sha2("content", 256).alias("sha256"))
+    return hashed.dropDuplicatesWithinWatermark(["sha256"]).drop("modificationTime")

@@ -51,10 +51,18 @@ def test_stream_equals_batch(spark, data):
     assert rows(events.run_once(events.last_events(events.stream_of(spark, data, "events"), "user_id", "ts", ["event_id"]), "complete")) == rows(batch)
 
 
+def test_windowed_counts_are_those_of_the_table(spark, data):
+    from pyspark.sql import functions as F
+
+    got = events.run_once(events.windowed_counts(events.stream_of(spark, data, "events"), "ts", "event_type"), "update", ["start", "event_type"])
+    table_ = spark.read.parquet(f"{data}/events.parquet").groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(got) == rows(table_)
+
+
 def test_landing_takes_equal_contents_once(spark, tmp_path):
     for name in ("a", "b", "c"):
         write(tmp_path / f"{name}.pdf", "same" if name != "c" else "other")
-    assert events.run_once(events.landed_files(spark, str(tmp_path), "*.pdf"), "complete").count() == 2
+    assert events.run_once(events.landed_files(spark, str(tmp_path), "*.pdf"), "append").count() == 2
 
 
 def test_entry_points(spark):
@@ -63,3 +71,15 @@ def test_entry_points(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and entry.entry(spark).count() > 0
     assert {f"p{n}_found" for n in (1, 3, 4)} <= set(queries)
+
+
+def test_the_core_stands_without_a_dependency_of_the_optional_part(spark, monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [m for m in sys.modules if m.startswith("ledgerloom.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "ledgerloom.llm.queries", None)  # its import fails
+    queries = entry.queries()
+    assert "p1_found" in queries and "p2_found" not in queries and set(entry.oracle_sql()) <= set(queries)
