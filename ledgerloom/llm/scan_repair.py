@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.confusables import LookAlikes, canonical_text, look_alikes, readable
+from ledgerloom.llm.confusables import LookAlikes, canonical_text, look_alikes
 from ledgerloom.session import cut, spread
 
 DEFECTS = ("hyphenation", "misread", "header", "page_number")
@@ -139,12 +139,13 @@ _DIGIT = re.compile(r"\d")
 _OF = re.compile(r"\b(?:of|OF)\s\S+(?:\s\S+)?:")
 _GAP = re.compile(r"\s{2,}\d+$|^\d+\s{2,}")
 _ISSUE = re.compile(r"\b(?:no|vol|nr)\.\s*\d", re.I)
-_TOLD = ("stop", "lower", "few", "of", "caps", "number", "short")
-_MARKS = ("caps", "of", "dots", "gap", "no", "number", "repeats")
 _FIXED = ("Title:", "#", "===")
 _TOKEN = re.compile(r"[^\W_]+")
 _PART = re.compile(r"(?<![^\W_])([^\W\d_][^\W_]*)[-¬]\Z")
 _HEAD = re.compile(r"^[^\W_]+")
+_COMPOUND = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+_CUT = re.compile(r"[-¬][ \t]*[\r\n\f]")
+_PIECES = re.compile(r"(?<![^\W_])[^\W_]+[-¬][ \t]*[\r\n\f]\s*[^\W_]+")
 
 
 def masked(line: str) -> str:
@@ -162,49 +163,72 @@ def page_lines(text: str) -> list[str]:
 def may_be_furniture(line: str) -> bool:
     """Whether the classifier is asked: no blank line, heading mark or cut word."""
     x = line.strip()
-    return bool(x) and not x.startswith(_FIXED) and (x[-1] not in "-¬," or bool(_NUMBER.match(x)))
-
-
-def page_of(lines: list[str]) -> tuple[dict[str, int], int]:
-    """How often each line recurs, and the width of the page."""
-    return Counter(masked(x) for x in lines if may_be_furniture(x)), max((len(x) for x in lines), default=0)
-
-
-def line_features(lines: list[str], k: int, width: int, repeats: dict[str, int]) -> list[str]:
-    """Shape and page position of a line."""
-    x = lines[k].strip()
-    before = next((y.strip() for y in reversed(lines[:k]) if y.strip()), "")
-    after = next((y.strip() for y in lines[k + 1 :] if y.strip()), "")
-    letters, digits = bool(_LETTER.search(x)), bool(_DIGIT.search(x))
-    first, last = x[:1], x[-1:]
-    ends = "none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open"
-    words = x.count(" ") + 1
-    base = {
-        "number": digits and last != "." and bool(_NUMBER.match(x)),
-        "only0": not letters,
-        "caps": len(x) > 6 and x.isupper(),
-        "stop": last in ".!?" and not x.endswith("..."),
-        "dots": x.rstrip("0123456789 ").endswith("..."),
-        "of": ":" in x and bool(_OF.search(x)),
-        "num_end": last.isdigit() and letters,
-        "num_begin": first.isdigit(),
-        "gap": digits and bool(_GAP.search(x)),
-        "no": digits and bool(_ISSUE.search(x)),
-        "short": len(x) < 0.8 * width,
-        "few": words <= 8,
-        "alone": (k == 0 or not lines[k - 1].strip()) and (k + 1 >= len(lines) or not lines[k + 1].strip()),
-        "edge": k == 0 or k + 1 == len(lines),
-        "lower": first.islower(),
-        "after_lower": after[:1].islower(),
-        "repeats": len(x) > 8 and repeats.get(masked(x), 0) > 1,
-    }
-    on = [n for n, v in base.items() if v]
-    feats = ["bias", *on, *["!" + n for n in _TOLD if not base[n]], "ends=" + ends, f"words={min(words, 12)}", f"top={min(k, 4)}", f"bottom={min(len(lines) - 1 - k, 4)}"]
-    if len(x) < 14:
-        feats.append("shape=" + re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "0", x)))
-    # a heading is told by what goes together with its marks
-    marks = [n for n in on if n in _MARKS]
-    return feats + [f"{m}&{n}" for m in marks for n in on + ["ends=" + ends] if m != n] + (["unmarked"] if not marks else [])
+    return bool(x) and not x.startswith(_FIXED) and (x[-1] not in "-¬," or _NUMBER.match(x) is not None)
+
+
+class Page:
+    """The lines of a text, and what all of them say about each."""
+
+    def __init__(self, lines: list[str]):
+        self.lines = [x.strip() for x in lines]
+        self.asked = [may_be_furniture(x) for x in self.lines]
+        self.masks = [masked(x) if a else "" for x, a in zip(self.lines, self.asked)]
+        self.repeats = Counter(self.masks)
+        self.short = 0.8 * max((len(x) for x in lines), default=0)
+
+    def features(self, k: int) -> list[str]:
+        """Shape and page position of a line."""
+        lines = self.lines
+        x, size = lines[k], len(lines)
+        before = next((lines[j] for j in range(k - 1, -1, -1) if lines[j]), "")
+        after = next((lines[j] for j in range(k + 1, size) if lines[j]), "")
+        first, last, words = x[0], x[-1], x.count(" ") + 1
+        digits, letters = _DIGIT.search(x) is not None, _LETTER.search(x) is not None
+        ends = "ends=" + ("none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open")
+        on, off, marks = [], [], []
+        # marks of headings and numbers; what goes together with them tells one from the other
+        if digits and last != "." and _NUMBER.match(x):
+            marks.append("number")
+        else:
+            off.append("!number")
+        if len(x) > 6 and x.isupper():
+            marks.append("caps")
+        else:
+            off.append("!caps")
+        if ":" in x and _OF.search(x):
+            marks.append("of")
+        else:
+            off.append("!of")
+        if x.rstrip("0123456789 ").endswith("..."):
+            marks.append("dots")
+        if digits and _GAP.search(x):
+            marks.append("gap")
+        if digits and _ISSUE.search(x):
+            marks.append("no")
+        if len(x) > 8 and self.repeats[self.masks[k]] > 1:
+            marks.append("repeats")
+        for name, holds in (("stop", last in ".!?" and not x.endswith("...")), ("lower", first.islower()), ("few", words <= 8), ("short", len(x) < self.short)):
+            (on if holds else off).append(name if holds else "!" + name)
+        if not letters:
+            on.append("only0")
+        elif last.isdigit():
+            on.append("num_end")
+        if first.isdigit():
+            on.append("num_begin")
+        if (k == 0 or not lines[k - 1]) and (k + 1 >= size or not lines[k + 1]):
+            on.append("alone")
+        if k == 0 or k + 1 == size:
+            on.append("edge")
+        if after[:1].islower():
+            on.append("after_lower")
+        feats = ["bias", ends, f"words={min(words, 12)}", f"top={min(k, 4)}", f"bottom={min(size - 1 - k, 4)}", *on, *off, *marks]
+        if len(x) < 14:
+            feats.append("shape=" + re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "0", x)))
+        if not marks:
+            feats.append("unmarked")
+        for m in marks:
+            feats += [f"{m}&{n}" for n in (*on, *marks, ends) if m != n]
+        return feats
 
 
 # --- the editor and the classifier ------------------------------------------------------
@@ -310,11 +334,11 @@ class Model:
             if len(lines) < 2:
                 continue
             title = next((x[6:].strip().casefold() for x in lines if x.startswith("Title:")), "")
-            repeats, width = page_of(lines)
-            for k, x in enumerate(lines):
-                if not may_be_furniture(x):
+            page = Page(lines)
+            for k, x in enumerate(page.lines):
+                if not page.asked[k]:
                     continue
-                x, y = x.strip(), masked(x)
+                y = page.masks[k]
                 short = y.rstrip(". ")
                 if _NUMBER.match(x) and not x.endswith("."):
                     label = "page_number"
@@ -322,25 +346,21 @@ class Model:
                     label = "header"
                 elif common[y] >= often and len(y) > 8 and "0" in y and not x.endswith((".", "?", "!")):
                     label = "header"
-                elif x[:1].islower() or (k == 0 and lines[1].strip()[:1].islower()) or (not x.endswith("...") and (title or (x[-1:] in ".!?" and k + 1 == len(lines)))):
+                elif x[:1].islower() or (k == 0 and page.lines[1][:1].islower()) or (not x.endswith("...") and (title or (x[-1:] in ".!?" and k + 1 == len(lines)))):
                     label = "text"
                 else:
                     continue
-                rows.append((line_features(lines, k, width, repeats), label))
+                rows.append((page.features(k), label))
         self.liner.train(rows[: self.fit.lines], self.fit.epochs, self.fit.seed)
 
     def furniture(self, lines: list[str]) -> dict[int, str]:
         """Lines that are page furniture, by what they are."""
         out: dict[int, str] = {}
         if len(lines) > 1:
-            page = None
-            for k, x in enumerate(lines):
-                if may_be_furniture(x):
-                    page = page or page_of(lines)
-                    repeats, width = page
-                    label = self.liner.best(line_features(lines, k, width, repeats), "text")
-                    if label != "text":
-                        out[k] = label
+            page = Page(lines)
+            for k in range(len(lines)):
+                if page.asked[k] and (label := self.liner.best(page.features(k), "text")) != "text":
+                    out[k] = label
         return out
 
 
@@ -454,19 +474,36 @@ def _cased(before: str, after: str) -> str:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, n)`` over all texts: words, and compounds with their hyphens.
+    """``(word, n)`` over all texts: words, and compounds with their hyphens as a whole and
+    by their parts.
 
     What stands on both sides of a mark at a line's end may be pieces and is not counted.
+    Each task adds up its own texts, so what is shuffled are words, not their occurrences.
     """
-    low, tokens = F.col("low"), F.col("tokens")
-    whole = F.when(low.rlike(r"[-¬][ \t]*[\r\n\f]"), F.regexp_replace(low, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++[-¬][ \t]*[\r\n\f]\s*+[\p{L}\p{N}]++", " ")).otherwise(low)
-    # each step is a column of its own, so that no pattern is matched twice
-    read = texts.where("text is not null").select(F.lower(readable(texts.sparkSession, F.col("text"))).alias("low")).select(whole.alias("low"))
-    read = read.select(F.regexp_extract_all(low, F.lit(r"[a-z0-9\p{L}\p{N}]++(?:-[a-z0-9\p{L}\p{N}]++)*+"), F.lit(0)).alias("tokens"))
-    # a compound counts as a whole and by its parts
-    parts = F.split(F.array_join(tokens, "-"), "-")
-    words = read.select(F.explode(F.concat(parts, F.filter(tokens, lambda t: t.contains("-")))).alias("word")).where("word <> ''")
-    return words.where(~F.col("word").rlike("^[0-9]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    table = look_alikes(texts.sparkSession)
+
+    def packed(counts: Counter) -> pa.RecordBatch:
+        parts: Counter = Counter()
+        for word, n in counts.items():
+            if "-" in word:
+                for part in word.split("-"):
+                    parts[part] += n
+        words = [(w, n) for c in (counts, parts) for w, n in c.items() if not w.isdigit()]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in words], pa.string()), pa.array([n for _, n in words], pa.int64())], names=["word", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                low = canonical_text(text, table).lower()
+                counts.update(_COMPOUND.findall(_PIECES.sub(" ", low) if _CUT.search(low) else low))
+            if len(counts) > 200_000:
+                yield packed(counts)
+                counts = Counter()
+        yield packed(counts)
+
+    counted = texts.where("text is not null").select("text").mapInArrow(count, "word string, n bigint")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def holes(words: DataFrame) -> DataFrame:
