@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import ids, metrics, numbers, text
-from ledgerloom.operators import audit, candidates, discovery, ledger, rejects, rules
+from ledgerloom.operators import audit, candidates, consolidation, discovery, ledger, rejects, rules
 from ledgerloom.session import table
 from ledgerloom.sources import sinks
 from ledgerloom.streaming import events as streams
@@ -424,6 +424,63 @@ def prose_unrepresented(spark: SparkSession, d: str) -> DataFrame:
     return ledger.unrepresented(hints, rows, ["bundle_id"]).select("hint_id", "bundle_id", "identity")
 
 
+def structured_siblings(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics of a selected table row that a record left out."""
+    names = _names(spark, d)
+    return consolidation.missing_siblings(consolidation.table_rows(table(spark, d, "metric_hint"), names), consolidation.record_rows(table(spark, d, "matrix_record"), names))
+
+
+def structured_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a used table that a record left out."""
+    names = _names(spark, d)
+    return consolidation.missing_targets(consolidation.table_rows(table(spark, d, "metric_hint"), names), consolidation.record_rows(table(spark, d, "matrix_record"), names))
+
+
+def scope_harmony(spark: SparkSession, d: str) -> DataFrame:
+    """Fallback scopes replaced by the most special one of their target."""
+    rows = consolidation.harmonized_scopes(table(spark, d, "ledger_metric").select("metric_id", "bundle_id", "scope", "scope_label"), ["bundle_id"])
+    return rows.where("scope <> harmonized").select("metric_id", "scope", "harmonized")
+
+
+def ledger_sorting(spark: SparkSession, d: str) -> DataFrame:
+    """Where each row of the ledger belongs."""
+    return consolidation.sorted_out(table(spark, d, "ledger_metric"), _names(spark, d)).select("metric_id", "belongs")
+
+
+def ledger_full_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Hints and ledger of a bundle as one by all five parts of the key."""
+    names = _names(spark, d)
+    hints = table(spark, d, "metric_hint").where("metric_name is not null").select("bundle_id", "hint_id", "metric_name", F.lit("").alias("none"), "target", "value", "unit_hint")
+    mine = table(spark, d, "ledger_metric").where("name is not null").select("bundle_id", "metric_id", "name", "context", "scope_label", "evaluation_support", "as_reported", "unit")
+    keys = ["bundle_id", "k_metric", "k_context", "k_target", "k_support", "k_value"]
+    a = consolidation.merge_key(hints, "metric_name", "none", "target", "none", "value", names).select(*keys, F.col("unit_hint").alias("unit"), F.col("hint_id").alias("ord"))
+    b = consolidation.merge_key(mine, "name", "context", "scope_label", "evaluation_support", "as_reported", names).select(*keys, "unit", F.col("metric_id").alias("ord"))
+    merged = ledger.outer_merge(ledger.first_wins(a, keys, ["ord"]), ledger.first_wins(b, keys, ["ord"]), keys, ["unit", "ord"])
+    return merged.groupBy("origin").agg(F.count(F.lit(1)).alias("rows"), F.count("unit").alias("with_unit"), F.countDistinct("k_metric").alias("metrics"), F.sum("ord").alias("ords"))
+
+
+def structured_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """Evidence that stands on a structured item."""
+    items = ledger.unique_registry(table(spark, d, "registry_item")).select("bundle_id", "source_item_id", "item_type")
+    rows = table(spark, d, "evidence").join(items, ["bundle_id", "source_item_id"], "left")
+    return rows.select("evidence_id", consolidation.structured_evidence(F.col("item_type"), F.col("source_modality"), F.col("representation_method")).alias("structured"))
+
+
+def locator_counts(spark: SparkSession, d: str) -> DataFrame:
+    return consolidation.locator_counts(table(spark, d, "evidence"), ["bundle_id"])
+
+
+def record_summary(spark: SparkSession, d: str) -> DataFrame:
+    return consolidation.record_summaries(table(spark, d, "matrix_record"))
+
+
+def numbered_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered sentences of documents, each line made an item first."""
+    rows = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", r"(?m)^#+ ([0-9]+) ", "$1. ").alias("text"))
+    items = consolidation.numbered_items(rows, ["doc_id"], "text")
+    return items.groupBy("doc_id", "number").agg(F.count(F.lit(1)).alias("items"), F.max(F.length("item")).cast("bigint").alias("longest"))
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -432,5 +489,6 @@ NAMES = [
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
     recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
+    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

@@ -159,7 +159,51 @@ _D1 = f"""WITH RECURSIVE k AS (SELECT bundle_id, metric_id, {_D1_KEY} AS identit
     o AS (SELECT bundle_id, identity, rows, unnest(kept) AS s FROM f WHERE i > len(seen))
     SELECT bundle_id, identity, s.id AS metric_id, s.agg AS aggregation, s.lvl AS nominal_level, s.members AS members, rows FROM o"""
 
+def _target(x: str) -> str:
+    fields = f"regexp_split_to_array(lower({x}), '[;|,]|\\s/\\s')"
+    crop = f"coalesce(list_filter({fields}, lambda f: regexp_matches(f, '^\\W*crop\\W'))[1], {fields}[1])"
+    return f"nullif(trim(regexp_replace(regexp_replace({crop}, '^\\W*crop\\W', ' '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), '')"
+
+
+def _words(x: str) -> str:
+    return f"array_to_string(list_sort(list_filter({_tokens(f"coalesce({x}, '')")}, lambda t: t NOT IN ('the', 'a', 'an', 'of', 'for', 'in', 'on', 'at', 'to'))), ' ')"
+
+
+_ITEMS = problems._elements(f"(SELECT record_id, ord AS parent, x FROM {problems._METRIC})", "record_id, parent", "x->'$.evidence'")
+_TAKEN = f"""(SELECT DISTINCT m.record_id, r.bundle_id, e.x->>'$.source_item_id' AS item, {_target("m.x->>'$.scope_label'")} AS target, {_identity("m.x->>'$.name'")} AS key
+    FROM {problems._METRIC} m JOIN {_ITEMS} e ON e.record_id = m.record_id AND e.parent = m.ord JOIN matrix_record r ON r.record_id = m.record_id WHERE e.x->>'$.source_item_id' IS NOT NULL AND {_target("m.x->>'$.scope_label'")} IS NOT NULL)"""
+_OFFERED = f"""(SELECT DISTINCT bundle_id, source_item_id AS item, {_target('target')} AS target, {_identity('metric_name')} AS key, {_families('metric_name')}[1] AS family FROM metric_hint
+    WHERE kind = 'structured_table_metric' AND source_item_id IS NOT NULL AND metric_name IS NOT NULL AND {_target('target')} IS NOT NULL)"""
+_RANK = "CASE scope WHEN 'crop' THEN 1 WHEN 'crop_phase' THEN 2 WHEN 'phase_year' THEN 3 END"
+_SORTING = f"lower(trim(regexp_replace(concat_ws(' ', value_or_summary, interpretation), '[\\s\\p{{Z}}]+', ' ', 'g')))"
+_MERGED = f"""WITH a AS (SELECT bundle_id, {_identity('metric_name')} AS m, '' AS c, {_words('target')} AS t, '' AS s, {_squeezed("coalesce(value, '')")} AS v, arg_min(struct_pack(u := unit_hint, o := hint_id), hint_id) AS r FROM metric_hint WHERE metric_name IS NOT NULL GROUP BY ALL),
+    b AS (SELECT bundle_id, {_identity('name')} AS m, coalesce(context, '') AS c, {_words('scope_label')} AS t, coalesce(evaluation_support, '') AS s, {_squeezed("coalesce(as_reported, '')")} AS v, arg_min(struct_pack(u := unit, o := metric_id), metric_id) AS r FROM ledger_metric WHERE name IS NOT NULL GROUP BY ALL),
+    j AS (SELECT m, CASE WHEN a.r IS NULL THEN 'repair' WHEN b.r IS NULL THEN 'initial' ELSE 'both' END AS origin, coalesce(b.r.u, a.r.u) AS u, coalesce(b.r.o, a.r.o) AS o FROM a FULL JOIN b USING (bundle_id, m, c, t, s, v))
+    SELECT origin, count(*) AS rows, count(u) AS with_unit, count(DISTINCT m) AS metrics, cast(sum(o) AS BIGINT) AS ords FROM j GROUP BY origin"""
+
 SQL = {
+    "structured_siblings": f"""WITH t AS {_TAKEN}, o AS {_OFFERED} SELECT record_id, item, target, string_agg(key, ', ' ORDER BY key) AS missing FROM (
+        SELECT DISTINCT t.record_id, t.item, t.target, o.key FROM t JOIN o USING (bundle_id, item, target) WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.record_id = t.record_id AND u.item = t.item AND u.target = t.target AND u.key = o.key)) GROUP BY ALL""",
+    "structured_targets": f"""WITH t AS {_TAKEN}, o AS {_OFFERED}, w AS (SELECT bundle_id, item FROM o GROUP BY ALL HAVING count(DISTINCT target) >= 2 AND count(DISTINCT family) >= 2),
+        l AS (SELECT record_id, item, list(DISTINCT o.target ORDER BY o.target) AS a FROM (SELECT DISTINCT record_id, bundle_id, item FROM t) x JOIN w USING (bundle_id, item) JOIN o USING (bundle_id, item)
+          WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.record_id = x.record_id AND u.item = x.item AND u.target = o.target) GROUP BY ALL)
+        SELECT record_id, item, cast(len(a) AS INTEGER) AS missing, array_to_string(a[1:8], ', ') || CASE WHEN len(a) > 8 THEN ' and ' || (len(a) - 8) || ' more' ELSE '' END AS targets FROM l""",
+    "scope_harmony": f"""WITH r AS (SELECT *, {_words('scope_label')} AS w, {_RANK} AS k FROM ledger_metric), b AS (SELECT bundle_id, w, arg_max(scope, k) AS s FROM r WHERE k IS NOT NULL AND contains(w, ' ') GROUP BY ALL)
+        SELECT metric_id, scope, s AS harmonized FROM r JOIN b USING (bundle_id, w) WHERE scope IN ('unknown', 'subgroup', 'variable_or_layer')""",
+    "ledger_sorting": f"""SELECT metric_id, CASE WHEN context = 'selection_or_tuning' AND len({_families('name')}) = 0 AND regexp_matches({_SORTING}, '\\b(threshold|multiplier|hyperparameter|parameter|setting)s?\\b[^.;]{{0,100}}(candidate|tested|evaluated|grid|range|set of|values?|levels?|=)|\\b(candidate|tested|evaluated|grid|range|set of|values?|levels?|=)[^.;]{{0,80}}\\b(threshold|multiplier|hyperparameter|parameter|setting)s?\\b')
+        THEN 'parameters' WHEN regexp_matches({_SORTING}, '\\bno standalone numerical (summary|value|result)\\b|\\bnot an independently reported validation result\\b') THEN 'evidence' ELSE 'ledger' END AS belongs FROM ledger_metric""",
+    "ledger_full_merge": _MERGED,
+    "structured_evidence": f"""SELECT evidence_id, coalesce((item_type = 'table' AND source_modality = 'author_table') OR (item_type = 'figure' AND source_modality IN ('author_figure', 'author_caption')) OR (item_type = 'formula' AND source_modality = 'author_formula'), false)
+        OR (coalesce(source_modality, 'unknown') = 'unknown' AND coalesce(representation_method IN ('docling_structured', 'structured_visual_recovery'), false)) AS structured FROM evidence LEFT JOIN (SELECT bundle_id, source_item_id, item_type FROM {_REGISTRY}) USING (bundle_id, source_item_id)""",
+    "locator_counts": """SELECT bundle_id, count(*) FILTER (evidence_type = 'explicit' AND source_text IS NULL AND source_item_id IS NULL AND source_section IS NULL) AS weak_locators,
+        count(*) FILTER (representation_method = 'structured_visual_recovery' AND coalesce(source_modality, '') NOT IN ('author_table', 'author_figure', 'author_caption', 'author_formula')) AS odd_modalities FROM evidence GROUP BY ALL""",
+    "record_summary": f"""WITH c AS (SELECT record_id, count(*) FILTER (k = 'm') AS metrics, count(*) FILTER (k = 'p') AS parameters, count(*) FILTER (k = 'e') AS section_evidence FROM (SELECT record_id, 'm' AS k FROM {problems._METRIC} UNION ALL SELECT record_id, 'p' FROM {problems._PARAMETER}
+          UNION ALL SELECT record_id, 'e' FROM {problems._elements(problems._VD, 'record_id', "v->'$.evidence'")}) GROUP BY ALL)
+        SELECT record_id, j->>'$.document_metadata.title' AS title, j->>'$.document_metadata.document_status' AS status, j->>'$.extraction_provenance.schema_version' AS schema_version, coalesce(metrics, 0) AS metrics, coalesce(parameters, 0) AS parameters,
+        coalesce(section_evidence, 0) AS section_evidence FROM (SELECT record_id, cast(record_json AS JSON) AS j FROM matrix_record) LEFT JOIN c USING (record_id)""",
+    "numbered_sections": """WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace(text, '(?m)^#+ ([0-9]+) ', '\\1. ', 'g'), '(?m)^([0-9]+)\\.[ \\t]+', chr(1) || '\\1' || chr(2), 'g'), chr(1))) AS x FROM documents),
+        i AS (SELECT doc_id, try_cast(split_part(x, chr(2), 1) AS INTEGER) AS number, regexp_replace(split_part(x, chr(2), 2), '^\\s+|\\s+$', '', 'g') AS item FROM p WHERE contains(x, chr(2)))
+        SELECT doc_id, number, count(*) AS items, cast(max(length(item)) AS BIGINT) AS longest FROM i WHERE item <> '' GROUP BY ALL""",
     "metric_dedup_fold": _D1,
     "parse_quantity": f"SELECT * FROM {_quantity('ledger_metric', 'metric_id', 'as_reported', 'name', 'unit')}",
     "quantity_conflict_issues": f"SELECT code, severity, count(*) AS issues FROM ({_QUANTITY_ISSUES}) GROUP BY ALL",
