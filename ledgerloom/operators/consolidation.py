@@ -191,3 +191,82 @@ def numbered_items(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     items = df.select(*keys, F.explode(parts).alias("_part")).where(F.col("_part").contains("\x02"))
     cells = F.split("_part", "\x02")
     return items.select(*keys, F.get(cells, F.lit(0)).try_cast("int").alias("number"), F.trim(F.regexp_replace(F.get(cells, F.lit(1)), r"^\s+|\s+$", "")).alias("item")).where("item <> ''")
+
+
+# --- evidence, provenance, geometry, texts (J12, J23, J26, M3, M12, K9, H8, S11) ---------
+
+
+def suggested_siblings(records: DataFrame, names: Names) -> DataFrame:
+    """Metrics that a metric's own statements give a number for and that the record has no
+    row of under the same label (J26): ``(record_id, ord, sibling)``."""
+    below = cut(section_children(records).where("child_kind in ('metric', 'metric_evidence')"))
+    field = lambda c: F.col("body")[c]
+    label = F.coalesce(squeezed(field("scope_label")), F.lit(""))
+    metric = below.where("child_kind = 'metric'").select("record_id", F.col("child_ord").alias("ord"), names.family(field("name")).alias("key"), label.alias("label"))
+    said = below.where("child_kind = 'metric_evidence'").where(field("claim").rlike("[0-9]")).select("record_id", F.col("parent_ord").alias("ord"), F.explode(names.families(field("claim"))).alias("sibling")).distinct()
+    own = metric.select("record_id", "ord", F.col("key").alias("own"), "label")
+    asked = said.join(own, ["record_id", "ord"]).where("own is null or own <> sibling")
+    have = metric.where("key is not null").select("record_id", "label", F.col("key").alias("sibling")).distinct()
+    return asked.join(have, ["record_id", "label", "sibling"], "left_anti").select("record_id", "ord", "sibling")
+
+
+def with_provenance(records: DataFrame, bundles: DataFrame) -> DataFrame:
+    """Records with the identity of their package (M12); a hash counts only if it has 64
+    hexadecimal digits."""
+    hash_ = F.when(F.lower("source_sha256").rlike("^[0-9a-f]{64}$"), F.lower("source_sha256"))
+    known = bundles.select("bundle_id", F.col("source_filename").alias("injected_source"), hash_.alias("injected_sha256"))
+    return records.join(known, "bundle_id", "left")
+
+
+def novel_limitations(candidates: DataFrame, texts: DataFrame, keys: list[str], least: float = 0.55) -> DataFrame:
+    """The first statement of a key of which less than ``least`` of the longer words occur in
+    what its text already says (M3): ``(keys, limitation)``.
+
+    ``candidates`` has the keys, ``ord`` and ``statement``, ``texts`` the keys and ``text``.
+    """
+    long = F.array_distinct(F.filter(tokens(F.col("statement")), lambda t: F.length(t) >= 5))
+    rows = candidates.withColumn("_words", long).join(texts.select(*keys, F.lower("text").alias("_text")), keys, "left")
+    held = F.size(F.filter("_words", lambda w: F.coalesce(F.col("_text").contains(w), F.lit(False))))
+    novel = rows.where((F.size("_words") > 0) & (held < F.size("_words") * least))
+    return novel.groupBy(*keys).agg(F.min_by("statement", "ord").alias("limitation"))
+
+
+def with_page_geometry(items: DataFrame, pages: DataFrame) -> DataFrame:
+    """Items with the size of their page (J23); items of unknown pages keep null."""
+    return items.join(pages.select("doc_id", "page", "width", "height"), ["doc_id", "page"], "left")
+
+
+def caption_boxes(captions: DataFrame, blocks: DataFrame, similarity: Column, order: str) -> DataFrame:
+    """Captions with the box of the most similar block of their page and number, the first
+    of equals (J12).
+
+    Both sides have ``(doc_id, page, number)``; ``similarity`` is a column over the joined
+    rows, ``order`` the blocks' order.
+    """
+    keys = ["doc_id", "page", "number"]
+    joined = captions.join(blocks, keys).withColumn("_s", similarity)
+    best = joined.groupBy(*keys).agg(F.max_by("box", F.struct("_s", (-F.col(order)).alias("o"))).alias("box"))
+    return captions.join(best, keys, "left")
+
+
+def queue_lines(queue: DataFrame) -> DataFrame:
+    """Queue rows ready for a CSV sink: lists joined by semicolons (K9)."""
+    kinds = dict(queue.dtypes)
+    return queue.select(*[F.concat_ws(";", c).alias(c) if kinds[c].startswith("array") else F.col(c) for c in queue.columns])
+
+
+def reply_text(reply: Column) -> Column:
+    """The text of a model's reply in any of its known notations (H8); null if there is none."""
+    paths = ("$.output_text", "$.output[0].content[0].text", "$.choices[0].message.content", "$.content[0].text")
+    return F.coalesce(*[F.nullif(F.trim(F.get_json_object(reply, p)), F.lit("")) for p in paths])
+
+
+def expanded(name: str, templates: dict[str, str], above: tuple[str, ...] = ()) -> str:
+    """A template with the templates it includes put in (S11); a cycle is an error."""
+    import re
+
+    if name in above:
+        raise ValueError(f"templates include one another: {' > '.join((*above, name))}")
+    if name not in templates:
+        raise KeyError(f"no template {name!r}")
+    return re.sub(r"\{\{INCLUDE:\s*([^}\s]+)\s*\}\}", lambda m: expanded(m[1], templates, (*above, name)), templates[name])

@@ -481,6 +481,16 @@ def numbered_sections(spark: SparkSession, d: str) -> DataFrame:
     return items.groupBy("doc_id", "number").agg(F.count(F.lit(1)).alias("items"), F.max(F.length("item")).cast("bigint").alias("longest"))
 
 
+def evidence_siblings(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics that a metric's own evidence speaks of and the record lacks."""
+    return consolidation.suggested_siblings(table(spark, d, "matrix_record"), _names(spark, d))
+
+
+def record_provenance(spark: SparkSession, d: str) -> DataFrame:
+    """Records with the source and hash of their package."""
+    return consolidation.with_provenance(table(spark, d, "matrix_record").select("record_id", "bundle_id"), table(spark, d, "source_bundle"))
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -489,6 +499,6 @@ NAMES = [
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
     recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
-    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections,
+    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

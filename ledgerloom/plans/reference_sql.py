@@ -181,7 +181,13 @@ _MERGED = f"""WITH a AS (SELECT bundle_id, {_identity('metric_name')} AS m, '' A
     j AS (SELECT m, CASE WHEN a.r IS NULL THEN 'repair' WHEN b.r IS NULL THEN 'initial' ELSE 'both' END AS origin, coalesce(b.r.u, a.r.u) AS u, coalesce(b.r.o, a.r.o) AS o FROM a FULL JOIN b USING (bundle_id, m, c, t, s, v))
     SELECT origin, count(*) AS rows, count(u) AS with_unit, count(DISTINCT m) AS metrics, cast(sum(o) AS BIGINT) AS ords FROM j GROUP BY origin"""
 
+_LABEL = f"coalesce({_squeezed("x->>'$.scope_label'")}, '')"
 SQL = {
+    "evidence_siblings": f"""WITH m AS (SELECT record_id, ord, {_families("x->>'$.name'")}[1] AS own, {_LABEL} AS label FROM {problems._METRIC}),
+        e AS (SELECT DISTINCT record_id, parent AS ord, unnest({_families("x->>'$.claim'")}) AS sibling FROM {_ITEMS} WHERE regexp_matches(x->>'$.claim', '[0-9]'))
+        SELECT record_id, ord, sibling FROM e JOIN m USING (record_id, ord) WHERE own IS DISTINCT FROM sibling AND NOT EXISTS (SELECT 1 FROM m n WHERE n.record_id = m.record_id AND n.label = m.label AND n.own = e.sibling)""",
+    "record_provenance": """SELECT record_id, bundle_id, source_filename AS injected_source, CASE WHEN regexp_full_match(lower(source_sha256), '[0-9a-f]{64}') THEN lower(source_sha256) END AS injected_sha256
+        FROM matrix_record LEFT JOIN source_bundle USING (bundle_id)""",
     "structured_siblings": f"""WITH t AS {_TAKEN}, o AS {_OFFERED} SELECT record_id, item, target, string_agg(key, ', ' ORDER BY key) AS missing FROM (
         SELECT DISTINCT t.record_id, t.item, t.target, o.key FROM t JOIN o USING (bundle_id, item, target) WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.record_id = t.record_id AND u.item = t.item AND u.target = t.target AND u.key = o.key)) GROUP BY ALL""",
     "structured_targets": f"""WITH t AS {_TAKEN}, o AS {_OFFERED}, w AS (SELECT bundle_id, item FROM o GROUP BY ALL HAVING count(DISTINCT target) >= 2 AND count(DISTINCT family) >= 2),
