@@ -23,6 +23,7 @@ from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -48,11 +49,17 @@ def encoding(path: str):
 
 
 def count_tokens(df: DataFrame, text_col: str = "text", out: str = "tokens", vocabulary: str = VOCABULARY) -> DataFrame:
-    """Add the number of tokens of a text; null counts as empty."""
+    """Add the number of tokens of a text; null counts as empty.
+
+    The vocabulary is read by the driver and travels to the workers as a file of the
+    application, so executors need no copy of their own.
+    """
+    df.sparkSession.sparkContext.addFile(vocabulary)
+    name = Path(vocabulary).name
 
     @F.pandas_udf(LongType())
     def tokens(texts: pd.Series) -> pd.Series:
-        encode = encoding(vocabulary).encode_ordinary
+        encode = encoding(SparkFiles.get(name)).encode_ordinary
         return texts.map(lambda t: len(encode(t)) if t else 0)
 
     return df.withColumn(out, tokens(F.col(text_col)))
@@ -133,7 +140,7 @@ def _rounds(seed: int, level: int, last: bool):
         held: dict[str, tuple] = {}
         names = ["source", "doc_id", "tokens", "p", "copies", "part"]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-        base: dict[int, int] = {}
+        base: dict[int, tuple[int, int]] = {}  # copies and tokens of the documents at hand
         part, rng = 0, None
         for batch in batches:
             out = []
@@ -141,19 +148,21 @@ def _rounds(seed: int, level: int, last: bool):
                 if rng is None:  # the same whenever a lost partition is done again
                     part = r["part"]
                     rng = random.Random(f"{seed}/{level}/{part}/{r['doc_id']}")
-                base[r["doc_id"]] = r["copies"]
+                base[r["doc_id"]] = (r["copies"], r["tokens"])
                 pool = [x for x in (held.pop(r["source"], None), (r["doc_id"], r["tokens"], r["p"])) if x]
                 done, rest = pivot(pool, rng)
                 if rest:
                     held[r["source"]] = rest
-                out += [(r["source"], d, None, None, base.pop(d) + more, part) for d, more in done]
+                for d, more in done:
+                    copies, tokens = base.pop(d)
+                    out.append((r["source"], d, tokens, None, copies + more, part))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
         out = []
         for source, (d, size, p) in held.items():
             if last:
-                out.append((source, d, None, None, base[d] + int(rng.random() < p), part))
+                out.append((source, d, size, None, base[d][0] + int(rng.random() < p), part))
             else:
-                out.append((source, d, size, p, base[d], part))
+                out.append((source, d, size, p, base[d][0], part))
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
 
     return run
@@ -176,14 +185,15 @@ def draw_copies(docs: DataFrame, targets: DataFrame, total: float | None = None,
     wide = counted.join(F.broadcast(copies), "source").withColumn("copies", F.floor(F.col("x") + 1e-9).cast("bigint"))
     wide = wide.withColumn("p", F.greatest(F.col("x") - F.col("copies"), F.lit(0.0)))
     open_ = (F.col("p") > 1e-9) & (F.col("tokens") > 0)
-    whole = wide.where(~open_).select("source", "doc_id", "copies")
+    columns = ["source", "doc_id", "tokens", "copies"]
+    whole = wide.where(~open_).select(*columns)
     step = wide.where(open_).select("source", "doc_id", "tokens", "p", "copies", F.spark_partition_id().cast("bigint").alias("part"))
     width = max(1, counted.rdd.getNumPartitions())
     parts, level = [whole], 0
     while True:
         last = width == 1 and level > 0
         step = cut(step.mapInArrow(_rounds(seed, level, last), _STEP))  # random moves must not be drawn twice
-        parts.append(step.where("p is null").select("source", "doc_id", "copies"))
+        parts.append(step.where("p is null").select(*columns))
         if last:
             break
         width = -(-width // fan_in)
@@ -192,8 +202,7 @@ def draw_copies(docs: DataFrame, targets: DataFrame, total: float | None = None,
     decided = parts[0]
     for p in parts[1:]:
         decided = decided.unionByName(p)
-    result = counted.join(decided.withColumnRenamed("source", "_s"), "doc_id").select("source", "doc_id", "tokens", "copies")
-    return result, plan
+    return decided, plan
 
 
 def mixture_report(docs: DataFrame, targets: DataFrame, **options) -> DataFrame:
