@@ -270,3 +270,59 @@ def expanded(name: str, templates: dict[str, str], above: tuple[str, ...] = ())
     if name not in templates:
         raise KeyError(f"no template {name!r}")
     return re.sub(r"\{\{INCLUDE:\s*([^}\s]+)\s*\}\}", lambda m: expanded(m[1], templates, (*above, name)), templates[name])
+
+
+# --- rules over records and packages ----------------------------------------------------
+
+#: Wordings of interval calibration that are no longer used.
+DEPRECATED_TERMS = r"\binterval[- ]calibrat|\bcalibrated (prediction |confidence )?intervals?\b"
+
+
+def record_issues(records: DataFrame, bundles: DataFrame, hints: DataFrame, names: Names) -> DataFrame:
+    """Issues of records: ``(record, code, severity)``, a row for each finding.
+
+    The section's objects are found once; each rule then reads only its own part of them.
+    A record without provenance isn't asked for hashes, and a package's hash counts only if
+    it has 64 hexadecimal digits.
+    """
+    below = cut(section_children(records).where("child_kind in ('metric', 'metric_evidence')"))
+    field = lambda c: F.col("body")[c]
+    metric = below.where("child_kind = 'metric'").select("record_id", F.col("child_ord").alias("ord"), field("name").alias("name"), field("scope_label").alias("label"))
+    located = F.coalesce(field("source_item_id"), field("source_page"), field("source_section")).isNotNull()
+    proof = below.where("child_kind = 'metric_evidence'").groupBy("record_id", F.col("parent_ord").alias("ord")).agg(F.count_if(located).alias("located"))
+    asked = metric.join(proof, ["record_id", "ord"], "left")
+    taken, offered = record_rows(records, names), table_rows(hints, names)
+
+    def found(rows: DataFrame, code: str, severity: str) -> DataFrame:
+        return rows.select(F.col("record_id").alias("record"), F.lit(code).alias("code"), F.lit(severity).alias("severity"))
+
+    at = lambda p: F.get_json_object("record_json", f"$.extraction_provenance.{p}")
+    owned = records.select("record_id", "bundle_id", F.get_json_object("record_json", "$.extraction_provenance").isNotNull().alias("has"), at("source_bundle_sha256").alias("mine"), at("unresolved_source_items").alias("open"), F.lower("record_json").alias("text"))
+    expected = bundles.select("bundle_id", F.when(F.col("bundle_sha256").rlike("^[0-9a-f]{64}$"), F.col("bundle_sha256")).alias("expected"))
+    hashed = owned.where("has").join(expected, "bundle_id").where("expected is not null")
+    parts = [
+        found(asked.where("located is null"), "QUANTITATIVE_METRIC_EVIDENCE_MISSING", "error"),
+        found(asked.where("located = 0"), "QUANTITATIVE_METRIC_EVIDENCE_WEAK_LOCATOR", "warning"),
+        found(metric.where(F.size(names.families(F.col("name"))) > 1), "COMPOSITE_CANONICAL_METRIC_RECORD", "error"),
+        found(metric.where(F.col("label").rlike("[;|]")), "METRIC_SCOPE_LABEL_MULTIPLE_TARGETS", "error"),
+        found(suggested_siblings(records, names), "METRIC_EVIDENCE_SUGGESTS_MISSING_SIBLING", "warning"),
+        found(missing_siblings(offered, taken), "STRUCTURED_TABLE_METRIC_SIBLINGS_MISSING", "error"),
+        found(missing_targets(offered, taken), "STRUCTURED_TABLE_TARGET_ROWS_MISSING", "error"),
+        found(hashed.where("mine is null"), "SOURCE_BUNDLE_HASH_MISSING", "error"),
+        found(hashed.where("mine <> expected"), "SOURCE_BUNDLE_HASH_MISMATCH", "error"),
+        found(owned.where(F.col("open").rlike(r"^\[.*[^\s\[\]].*\]$")), "SOURCE_REPRESENTATION_INCOMPLETE", "warning"),
+        found(owned.where(F.col("text").rlike(DEPRECATED_TERMS)), "DEPRECATED_INTERVAL_CALIBRATION_TERMINOLOGY", "error"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def record_unknown_items(records: DataFrame, registry: DataFrame) -> DataFrame:
+    """Items that a record's evidence names and its package's registry lacks (J2):
+    ``(record_id, item)``; packages without a registry are not judged."""
+    named = section_children(records).select("record_id", F.col("body")["source_item_id"].alias("item")).where("item is not null").distinct()
+    known = registry.where("source_item_id is not null").select("bundle_id", F.col("source_item_id").alias("item")).distinct()
+    owner = records.select("record_id", "bundle_id").distinct().join(known.select("bundle_id").distinct(), "bundle_id", "left_semi")
+    return named.join(owner, "record_id").join(known, ["bundle_id", "item"], "left_anti").select("record_id", "item")

@@ -491,6 +491,17 @@ def record_provenance(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.with_provenance(table(spark, d, "matrix_record").select("record_id", "bundle_id"), table(spark, d, "source_bundle"))
 
 
+def record_issue_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """Issues of records by code (rules over evidence, siblings, tables and provenance)."""
+    found = consolidation.record_issues(table(spark, d, "matrix_record"), table(spark, d, "source_bundle"), table(spark, d, "metric_hint"), _names(spark, d))
+    return found.groupBy("code", "severity").agg(F.count(F.lit(1)).alias("issues"), F.countDistinct("record").alias("records"))
+
+
+def record_unknown_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items that records name and their package's registry lacks."""
+    return consolidation.record_unknown_items(table(spark, d, "matrix_record"), table(spark, d, "registry_item"))
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -499,6 +510,6 @@ NAMES = [
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
     recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
-    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance,
+    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance, record_issue_catalogue, record_unknown_items,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

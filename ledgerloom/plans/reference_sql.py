@@ -337,3 +337,26 @@ SQL = {
         r AS (SELECT bundle_id, {_identity('name')} AS identity, {_tokens("coalesce(scope_label, '')")} AS w FROM ledger_metric WHERE name IS NOT NULL)
         SELECT hint_id, bundle_id, identity FROM h WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.bundle_id = h.bundle_id AND r.identity = h.identity AND (len(h.w) = 0 OR list_has_any(r.w, h.w)))""",
 }
+
+_KIDS = " UNION ALL ".join(f"SELECT record_id, x FROM {e}" for e in (problems._METRIC, problems._PARAMETER, problems._elements(problems._VD, "record_id", "v->'$.evidence'"), _ITEMS,
+    problems._elements(f"(SELECT record_id, ord AS parent, x FROM {problems._PARAMETER})", "record_id, parent", "x->'$.evidence'")))
+SQL["record_unknown_items"] = f"""SELECT DISTINCT k.record_id, k.x->>'$.source_item_id' AS item FROM ({_KIDS}) k JOIN matrix_record r USING (record_id) WHERE k.x->>'$.source_item_id' IS NOT NULL
+    AND r.bundle_id IN (SELECT bundle_id FROM registry_item WHERE source_item_id IS NOT NULL) AND NOT EXISTS (SELECT 1 FROM registry_item i WHERE i.bundle_id = r.bundle_id AND i.source_item_id = k.x->>'$.source_item_id')"""
+_PROVENANCE = "(SELECT record_id, bundle_id, record_json, cast(record_json AS JSON)->'$.extraction_provenance' AS p FROM matrix_record)"
+_HASHED = f"(SELECT record_id, p->>'$.source_bundle_sha256' AS mine, bundle_sha256 AS expected FROM {_PROVENANCE} JOIN source_bundle USING (bundle_id) WHERE p IS NOT NULL AND json_type(p) <> 'NULL' AND regexp_full_match(bundle_sha256, '[0-9a-f]{{64}}'))"
+_PROVEN = f"""(SELECT m.record_id, m.ord, e.n FROM {problems._METRIC} m LEFT JOIN (SELECT record_id, parent AS ord, count(*) FILTER (coalesce(x->>'$.source_item_id', x->>'$.source_page', x->>'$.source_section') IS NOT NULL) AS n
+    FROM {_ITEMS} GROUP BY ALL) e USING (record_id, ord))"""
+_RULES = {
+    ("QUANTITATIVE_METRIC_EVIDENCE_MISSING", "error"): f"SELECT record_id FROM {_PROVEN} WHERE n IS NULL",
+    ("QUANTITATIVE_METRIC_EVIDENCE_WEAK_LOCATOR", "warning"): f"SELECT record_id FROM {_PROVEN} WHERE n = 0",
+    ("COMPOSITE_CANONICAL_METRIC_RECORD", "error"): f"""SELECT record_id FROM {problems._METRIC} WHERE len({_families("x->>'$.name'")}) > 1""",
+    ("METRIC_SCOPE_LABEL_MULTIPLE_TARGETS", "error"): f"SELECT record_id FROM {problems._METRIC} WHERE regexp_matches(x->>'$.scope_label', '[;|]')",
+    ("METRIC_EVIDENCE_SUGGESTS_MISSING_SIBLING", "warning"): f"SELECT record_id FROM ({SQL['evidence_siblings']})",
+    ("STRUCTURED_TABLE_METRIC_SIBLINGS_MISSING", "error"): f"SELECT record_id FROM ({SQL['structured_siblings']})",
+    ("STRUCTURED_TABLE_TARGET_ROWS_MISSING", "error"): f"SELECT record_id FROM ({SQL['structured_targets']})",
+    ("SOURCE_BUNDLE_HASH_MISSING", "error"): f"SELECT record_id FROM {_HASHED} WHERE mine IS NULL",
+    ("SOURCE_BUNDLE_HASH_MISMATCH", "error"): f"SELECT record_id FROM {_HASHED} WHERE mine <> expected",
+    ("SOURCE_REPRESENTATION_INCOMPLETE", "warning"): f"SELECT record_id FROM {_PROVENANCE} WHERE json_array_length(p->'$.unresolved_source_items') > 0",
+    ("DEPRECATED_INTERVAL_CALIBRATION_TERMINOLOGY", "error"): "SELECT record_id FROM matrix_record WHERE regexp_matches(lower(record_json), '\\binterval[- ]calibrat|\\bcalibrated (prediction |confidence )?intervals?\\b')",
+}
+SQL["record_issue_catalogue"] = "SELECT code, severity, count(*) AS issues, count(DISTINCT record_id) AS records FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS code, '{s}' AS severity, record_id FROM ({q})" for (c, s), q in _RULES.items()) + ") GROUP BY ALL"
