@@ -23,7 +23,8 @@ def issues(df: DataFrame, subject: str, rules: list[tuple[Column, str, str, str]
     """
     fired = F.array(*[F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit(field).alias("field"))) for when, code, severity, field in rules])
     found = df.select(F.col(subject).cast("bigint").alias("record"), F.filter(fired, lambda x: x.isNotNull()).alias("_fired"))
-    return found.where(F.size("_fired") > 0).select("record", F.inline("_fired"))
+    # an outer inline: a filter on the list would move below and find everything twice
+    return found.select("record", F.inline_outer("_fired")).where("code is not null")
 
 
 def quantity_rules(ledger: DataFrame) -> tuple[DataFrame, list[tuple]]:
