@@ -64,6 +64,7 @@ class Perceptron:
     def __init__(self) -> None:
         self.weights: dict[str, dict[str, float]] = {}
         self.classes: set[str] = set()
+        self.dense: tuple[list[str], dict[str, tuple[float, ...]]] | None = None  # of few classes, once trained
 
     def scores(self, feats: Iterable[str]) -> dict[str, float]:
         out: dict[str, float] = defaultdict(float)
@@ -73,6 +74,10 @@ class Perceptron:
         return out
 
     def best(self, feats: Iterable[str], default: str) -> str:
+        if self.dense:
+            order, weights = self.dense
+            rows = [w for f in feats if (w := weights.get(f))]
+            return max((total, c == default, c) for total, c in zip(map(sum, zip(*rows)), order))[2] if rows else default
         s = self.scores(feats)
         return max(s, key=lambda c: (s[c], c == default, c)) if s else default
 
@@ -80,7 +85,7 @@ class Perceptron:
         rng, step = random.Random(seed), 0
         totals: dict[tuple[str, str], float] = defaultdict(float)
         when: dict[tuple[str, str], int] = defaultdict(int)
-        self.classes = {c for _, c in rows}
+        self.classes, self.dense = {c for _, c in rows}, None
         default = Counter(c for _, c in rows).most_common(1)[0][0] if rows else ""
 
         def move(f: str, c: str, by: float) -> None:
@@ -101,6 +106,9 @@ class Perceptron:
         for (f, c), total in totals.items():
             w = self.weights[f]
             w[c] = (total + (step - when[f, c]) * w[c]) / max(1, step)
+        if len(self.classes) <= 4:
+            order = sorted(self.classes)
+            self.dense = (order, {f: tuple(w.get(c, 0.0) for c in order) for f, w in self.weights.items()})
 
 
 # --- the character editor -------------------------------------------------------------
