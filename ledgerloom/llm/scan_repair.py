@@ -147,6 +147,7 @@ _DIGIT = re.compile(r"\d")
 _OF = re.compile(r"\b(?:of|OF)\s\S+(?:\s\S+)?:")
 _GAP = re.compile(r"\s{2,}\d+$|^\d+\s{2,}")
 _ISSUE = re.compile(r"\b(?:no|vol|nr)\.\s*\d", re.I)
+_WORDS, _TOP, _BOTTOM = ([f"{n}={k}" for k in range(13)] for n in ("words", "top", "bottom"))
 _FIXED = ("Title:", "#", "===")
 _TOKEN = re.compile(r"[^\W_]+")
 _PART = re.compile(r"(?<![^\W_])([^\W\d_][^\W_]*)[-¬]\Z")
@@ -188,8 +189,12 @@ class Page:
         """Shape and page position of a line."""
         lines = self.lines
         x, size = lines[k], len(lines)
-        before = next((lines[j] for j in range(k - 1, -1, -1) if lines[j]), "")
-        after = next((lines[j] for j in range(k + 1, size) if lines[j]), "")
+        before = lines[k - 1] if k else ""
+        if k and not before:
+            before = next((lines[j] for j in range(k - 2, -1, -1) if lines[j]), "")
+        after = lines[k + 1] if k + 1 < size else ""
+        if k + 1 < size and not after:
+            after = next((lines[j] for j in range(k + 2, size) if lines[j]), "")
         first, last, words = x[0], x[-1], x.count(" ") + 1
         digits, letters = _DIGIT.search(x) is not None, _LETTER.search(x) is not None
         ends = "ends=" + ("none" if not before else "stop" if before[-1] in ".!?:\"”)" else "cut" if before[-1] in "-¬" else "open")
@@ -215,8 +220,10 @@ class Page:
             marks.append("no")
         if len(x) > 8 and self.repeats[self.masks[k]] > 1:
             marks.append("repeats")
-        for name, holds in (("stop", last in ".!?" and not x.endswith("...")), ("lower", first.islower()), ("few", words <= 8), ("short", len(x) < self.short)):
-            (on if holds else off).append(name if holds else "!" + name)
+        on.append("stop") if last in ".!?" and not x.endswith("...") else off.append("!stop")
+        on.append("lower") if first.islower() else off.append("!lower")
+        on.append("few") if words <= 8 else off.append("!few")
+        on.append("short") if len(x) < self.short else off.append("!short")
         if not letters:
             on.append("only0")
         elif last.isdigit():
@@ -229,7 +236,7 @@ class Page:
             on.append("edge")
         if after[:1].islower():
             on.append("after_lower")
-        feats = ["bias", ends, f"words={min(words, 12)}", f"top={min(k, 4)}", f"bottom={min(size - 1 - k, 4)}", *on, *off, *marks]
+        feats = ["bias", ends, _WORDS[min(words, 12)], _TOP[min(k, 4)], _BOTTOM[min(size - 1 - k, 4)], *on, *off, *marks]
         if len(x) < 14:
             feats.append("shape=" + re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "0", x)))
         if not marks:
