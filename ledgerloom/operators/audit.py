@@ -11,19 +11,41 @@ from pyspark.sql.types import DoubleType
 
 from ledgerloom.functions.numbers import box_iou
 
-#: Points of risk at which a table's recovery is required, recommended, reviewed.
+#: Share of blank leading cells that is suspect; points of risk at which a
+#: table's recovery is required, recommended, reviewed.
+LEADING_BLANK = 0.70
 LEVELS = ((4, "required"), (2, "recommended"), (1, "review"))
 
 
+def cell_metrics(judged: DataFrame) -> DataFrame:
+    """How full the cells of each table are (F18): ``(table_id, rows, parsed, non_empty,
+    leading_blank)``.
+
+    ``judged`` has each record's cells, null where it couldn't be split.  Cells of blanks
+    only are empty; the leading ones are the first two.  One row a table is shuffled by each
+    task.  Tables without a parsed record have null ratios.
+    """
+    empty = lambda cells: F.size(F.filter(cells, lambda c: F.trim(c) == ""))
+    lead = F.slice("cells", 1, 2)
+    sums = judged.groupBy("table_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("cells").alias("parsed"), F.sum(F.when(F.col("cells").isNotNull(), F.size("cells"))).alias("n"),
+        F.sum(empty(F.col("cells"))).alias("e"), F.sum(F.when(F.col("cells").isNotNull(), F.size(lead))).alias("ln"), F.sum(empty(lead)).alias("le"),
+    )
+    return sums.select("table_id", "rows", "parsed", ((F.col("n") - F.col("e")) / F.nullif("n", F.lit(0))).alias("non_empty"), (F.col("le") / F.nullif("ln", F.lit(0))).alias("leading_blank"))
+
+
 def table_quality(tables: DataFrame) -> DataFrame:
     """Risk points, their reasons and the recovery status of tables.
 
-    ``tables`` has rows, columns, non_empty (a ratio) and has_header.
+    ``tables`` has rows, columns, non_empty and leading_blank (ratios or null), has_header
+    and failed, whether nothing of a table could be read.
     """
     points = [
+        (F.when(F.col("failed"), 5), "export_failed"),
         (F.when((F.col("rows") < 2) | (F.col("columns") < 2), 4), "too_small"),
         (F.when(F.col("non_empty") < 0.35, 3).when(F.col("non_empty") < 0.55, 1), "sparse"),
         (F.when((F.col("columns") >= 4) & (F.col("rows") >= 4) & ~F.col("has_header"), 1), "no_header"),
+        (F.when((F.col("leading_blank") >= LEADING_BLANK) & (F.col("rows") >= 6), 2), "leading_blank"),
     ]
     risk = sum((F.coalesce(p, F.lit(0)) for p, _ in points), F.lit(0))
     reasons = F.filter(F.array(*[F.when(p.isNotNull(), r) for p, r in points]), lambda x: x.isNotNull())

@@ -182,9 +182,12 @@ def box_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_quality(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "recovered_row").groupBy("table_id").agg(F.count(F.lit(1)).alias("rows"), F.avg(F.when(F.trim("row_text") == "", 0.0).otherwise(1.0)).alias("filled"))
-    joined = table(spark, d, "recovered_table").select("table_id", F.size("column_types").alias("columns"), F.coalesce(F.trim("columns_text") != "", F.lit(False)).alias("has_header"), "confidence").join(rows, "table_id", "left")
-    full = joined.select("table_id", F.coalesce("rows", F.lit(0)).alias("rows"), "columns", (F.coalesce("filled", F.lit(0.0)) * F.coalesce("confidence", F.lit(0.5))).alias("non_empty"), "has_header")
+    """Recovery status of tables by their cells."""
+    tables, rows = table(spark, d, "recovered_table"), table(spark, d, "recovered_row")
+    cells = audit.cell_metrics(rejects.judge_rows(rows, tables))
+    heads = rejects.judge_headers(tables).select("table_id", F.col("reason").isNull().alias("has_header"))
+    known = tables.select("table_id", F.size("column_types").alias("columns")).join(heads, "table_id").join(cells, "table_id", "left")
+    full = known.withColumns({"rows": F.coalesce("rows", F.lit(0)), "failed": F.coalesce(F.col("rows") > 0, F.lit(False)) & (F.coalesce("parsed", F.lit(0)) == 0)})
     return audit.table_quality(full).select("table_id", F.col("risk_points").cast("bigint").alias("risk_points"), "reason_codes", "status")
 
 

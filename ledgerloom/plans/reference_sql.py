@@ -260,11 +260,14 @@ SQL = {
         p AS (SELECT greatest(least(a.r, b.r) - greatest(a.l, b.l), 0.0) * greatest(least(a.b, b.b) - greatest(a.t, b.t), 0.0) AS s, (a.r - a.l) * (a.b - a.t) + (b.r - b.l) * (b.b - b.t) AS u
         FROM r a JOIN r b ON a.o = b.o AND (a.l, a.r, a.t, a.b, a.l_partkey, a.l_suppkey, a.l_linenumber) < (b.l, b.r, b.t, b.b, b.l_partkey, b.l_suppkey, b.l_linenumber))
         SELECT iou, count(*) AS pairs FROM (SELECT round(s / (u - s), 6) AS iou FROM p) WHERE iou >= 0.45 GROUP BY ALL""",
-    "table_quality": """WITH c AS (SELECT table_id, count(*) AS rows, avg(CASE WHEN trim(row_text) = '' THEN 0.0 ELSE 1.0 END) AS filled FROM recovered_row GROUP BY ALL),
-        t AS (SELECT table_id, coalesce(rows, 0) AS rows, len(column_types) AS columns, coalesce(trim(columns_text) <> '', false) AS has_header, coalesce(filled, 0.0) * coalesce(confidence, 0.5) AS ne FROM recovered_table LEFT JOIN c USING (table_id)),
-        p AS (SELECT table_id, CASE WHEN rows < 2 OR columns < 2 THEN 4 ELSE 0 END AS a, CASE WHEN ne < 0.35 THEN 3 WHEN ne < 0.55 THEN 1 ELSE 0 END AS b, CASE WHEN columns >= 4 AND rows >= 4 AND NOT has_header THEN 1 ELSE 0 END AS c FROM t)
-        SELECT table_id, cast(a + b + c AS BIGINT) AS risk_points, concat_ws(';', CASE WHEN a > 0 THEN 'too_small' END, CASE WHEN b > 0 THEN 'sparse' END, CASE WHEN c > 0 THEN 'no_header' END) AS reason_codes,
-        CASE WHEN a + b + c >= 4 THEN 'required' WHEN a + b + c >= 2 THEN 'recommended' WHEN a + b + c >= 1 THEN 'review' ELSE 'not_needed' END AS status FROM p""",
+    "table_quality": f"""WITH j AS (SELECT table_id, u FROM recovered_row JOIN (SELECT row_id, CASE WHEN reason IS NULL OR reason = 'invalid_value' THEN u END AS u FROM {problems._ROWS}) USING (row_id)),
+        c AS (SELECT table_id, count(*) AS rows, count(u) AS parsed, sum(len(u)) AS n, sum(len(list_filter(u, lambda x: trim(x) = ''))) AS e, sum(len(u[1:2])) AS ln, sum(len(list_filter(u[1:2], lambda x: trim(x) = ''))) AS le FROM j GROUP BY ALL),
+        h AS (SELECT row_id AS table_id, reason IS NULL AND len(list_filter(u, lambda c: trim(c) = '')) = 0 AND len(list_distinct(list_transform(u, lambda c: trim(c)))) = len(u) AS has_header FROM {problems._HEADS}),
+        t AS (SELECT table_id, coalesce(rows, 0) AS rows, len(column_types) AS columns, coalesce(has_header, false) AS has_header, (n - e) / n AS ne, le / ln AS lb, coalesce(rows > 0, false) AND coalesce(parsed, 0) = 0 AS failed FROM recovered_table JOIN h USING (table_id) LEFT JOIN c USING (table_id)),
+        p AS (SELECT table_id, CASE WHEN failed THEN 5 ELSE 0 END AS f, CASE WHEN rows < 2 OR columns < 2 THEN 4 ELSE 0 END AS a, CASE WHEN ne < 0.35 THEN 3 WHEN ne < 0.55 THEN 1 ELSE 0 END AS b, CASE WHEN columns >= 4 AND rows >= 4 AND NOT has_header THEN 1 ELSE 0 END AS c,
+          CASE WHEN lb >= 0.70 AND rows >= 6 THEN 2 ELSE 0 END AS d FROM t)
+        SELECT table_id, cast(f + a + b + c + d AS BIGINT) AS risk_points, concat_ws(';', CASE WHEN f > 0 THEN 'export_failed' END, CASE WHEN a > 0 THEN 'too_small' END, CASE WHEN b > 0 THEN 'sparse' END, CASE WHEN c > 0 THEN 'no_header' END, CASE WHEN d > 0 THEN 'leading_blank' END) AS reason_codes,
+        CASE WHEN f + a + b + c + d >= 4 THEN 'required' WHEN f + a + b + c + d >= 2 THEN 'recommended' WHEN f + a + b + c + d >= 1 THEN 'review' ELSE 'not_needed' END AS status FROM p""",
     "queue_dedup": """SELECT event_id, user_id, event_type, day FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 1 ELSE 0 END DESC, event_id) AS k
         FROM (SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events)) WHERE k = 1""",
     "last_event": "SELECT user_id, arg_max(event_id, ts) AS event_id, arg_max(event_type, ts) AS event_type, count(*) AS events FROM events GROUP BY ALL",

@@ -168,8 +168,10 @@ def test_sections_within_one_another_are_compatible(spark):
 
 
 def test_quality_and_queue(spark):
-    t = spark.createDataFrame([(1, 1, 5, 1.0, True), (2, 5, 5, 0.3, False), (3, 5, 5, 0.5, True), (4, 5, 5, 1.0, True)], "id int, rows int, columns int, non_empty double, has_header boolean")
-    assert [r["status"] for r in audit.table_quality(t).orderBy("id").collect()] == ["required", "required", "review", "not_needed"]
+    t = spark.createDataFrame([(1, 1, 5, 1.0, 0.0, True, False), (2, 5, 5, 0.3, 0.0, False, False), (3, 5, 5, 0.5, 0.0, True, False), (4, 5, 5, 1.0, 0.9, True, False), (5, 6, 5, 1.0, 0.9, True, False), (6, 9, 5, None, None, True, True)], "id int, rows int, columns int, non_empty double, leading_blank double, has_header boolean, failed boolean")
+    assert [r["status"] for r in audit.table_quality(t).orderBy("id").collect()] == ["required", "required", "review", "not_needed", "recommended", "required"]
+    judged = spark.createDataFrame([(1, ["a", " ", "c"]), (1, ["", "", "x"]), (1, None), (2, None)], "table_id int, cells array<string>")
+    assert rows(audit.cell_metrics(judged)) == [(1, 3, 2, 0.5, 0.75), (2, 1, 0, None, None)]
 
 
 def test_no_issue_gives_one_info_row(spark):
