@@ -79,14 +79,14 @@ def candidate_target(text: Column) -> Column:
 
 
 def record_rows(records: DataFrame, names: Names) -> DataFrame:
-    """What the metrics of records stand on: ``(record_id, bundle_id, item, target, key)``,
-    a row for each item among a metric's evidence."""
+    """What the metrics of records stand on: ``(record_id, bundle_id, item, target, key, ord,
+    context)``, a row for each item among a metric's evidence."""
     below = cut(section_children(records).where("child_kind in ('metric', 'metric_evidence')"))
     field = lambda c: F.col("body")[c]
-    metric = below.where("child_kind = 'metric'").select("record_id", F.col("child_ord").alias("ord"), names.identity(field("name")).alias("key"), candidate_target(field("scope_label")).alias("target"))
+    metric = below.where("child_kind = 'metric'").select("record_id", F.col("child_ord").alias("ord"), names.identity(field("name")).alias("key"), candidate_target(field("scope_label")).alias("target"), field("context").alias("context"))
     items = below.where("child_kind = 'metric_evidence'").select("record_id", F.col("parent_ord").alias("ord"), field("source_item_id").alias("item")).where("item is not null").distinct()
     owner = records.select("record_id", "bundle_id").distinct()
-    return metric.where("target is not null").join(items, ["record_id", "ord"]).join(owner, "record_id").select("record_id", "bundle_id", "item", "target", "key").distinct()
+    return metric.where("target is not null").join(items, ["record_id", "ord"]).join(owner, "record_id").select("record_id", "bundle_id", "item", "target", "key", "ord", "context").distinct()
 
 
 def table_rows(hints: DataFrame, names: Names) -> DataFrame:
@@ -105,6 +105,24 @@ def missing_siblings(offered: DataFrame, taken: DataFrame) -> DataFrame:
     return left.groupBy("record_id", "item", "target").agg(F.array_join(F.array_sort(F.collect_set("key")), ", ").alias("missing"))
 
 
+def backfilled(hints: DataFrame, records: DataFrame, names: Names) -> DataFrame:
+    """Rows that fill the gaps of selected table rows (J19): ``(record_id, item, target, key,
+    hint_id, value, context)``.
+
+    A gap is filled from the first hint that offers the metric; its context is that of the
+    prototype, the record's first metric on the same item and target.  Added rows stand on
+    rows that were selected before, so none of them opens further gaps.
+    """
+    taken = cut(record_rows(records, names))
+    row = ["bundle_id", "item", "target"]
+    asked = hints.where("kind = 'structured_table_metric' and source_item_id is not null and metric_name is not null")
+    offers = asked.select("bundle_id", F.col("source_item_id").alias("item"), candidate_target(F.col("target")).alias("target"), names.identity(F.col("metric_name")).alias("key"), "hint_id", "value")
+    first = offers.where("target is not null").groupBy(*row, "key").agg(F.min("hint_id").alias("hint_id"), F.min_by("value", "hint_id").alias("value"))
+    proto = taken.groupBy("record_id", *row).agg(F.min_by("context", "ord").alias("context"))
+    gaps = proto.join(first, row).join(taken.select("record_id", *row, "key").distinct(), ["record_id", *row, "key"], "left_anti")
+    return gaps.select("record_id", "item", "target", "key", "hint_id", "value", "context")
+
+
 def missing_targets(offered: DataFrame, taken: DataFrame, preview: int = 8) -> DataFrame:
     """Rows of a table with several targets and metrics that a record using the table left
     out (J4), the first few named and the rest counted (T5): ``(record_id, item, missing,

@@ -505,6 +505,11 @@ def record_unknown_items(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.record_unknown_items(table(spark, d, "matrix_record"), table(spark, d, "registry_item"))
 
 
+def structured_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """Gaps of selected table rows filled from their hints."""
+    return consolidation.backfilled(table(spark, d, "metric_hint"), table(spark, d, "matrix_record"), _names(spark, d))
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -513,6 +518,6 @@ NAMES = [
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
     recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
-    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance, record_issue_catalogue, record_unknown_items,
+    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance, record_issue_catalogue, record_unknown_items, structured_backfill,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

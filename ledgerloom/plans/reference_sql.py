@@ -170,7 +170,7 @@ def _words(x: str) -> str:
 
 
 _ITEMS = problems._elements(f"(SELECT record_id, ord AS parent, x FROM {problems._METRIC})", "record_id, parent", "x->'$.evidence'")
-_TAKEN = f"""(SELECT DISTINCT m.record_id, r.bundle_id, e.x->>'$.source_item_id' AS item, {_target("m.x->>'$.scope_label'")} AS target, {_identity("m.x->>'$.name'")} AS key
+_TAKEN = f"""(SELECT DISTINCT m.record_id, r.bundle_id, m.ord, m.x->>'$.context' AS context, e.x->>'$.source_item_id' AS item, {_target("m.x->>'$.scope_label'")} AS target, {_identity("m.x->>'$.name'")} AS key
     FROM {problems._METRIC} m JOIN {_ITEMS} e ON e.record_id = m.record_id AND e.parent = m.ord JOIN matrix_record r ON r.record_id = m.record_id WHERE e.x->>'$.source_item_id' IS NOT NULL AND {_target("m.x->>'$.scope_label'")} IS NOT NULL)"""
 _OFFERED = f"""(SELECT DISTINCT bundle_id, source_item_id AS item, {_target('target')} AS target, {_identity('metric_name')} AS key, {_families('metric_name')}[1] AS family FROM metric_hint
     WHERE kind = 'structured_table_metric' AND source_item_id IS NOT NULL AND metric_name IS NOT NULL AND {_target('target')} IS NOT NULL)"""
@@ -363,3 +363,7 @@ _RULES = {
     ("DEPRECATED_INTERVAL_CALIBRATION_TERMINOLOGY", "error"): "SELECT record_id FROM matrix_record WHERE regexp_matches(lower(record_json), '\\binterval[- ]calibrat|\\bcalibrated (prediction |confidence )?intervals?\\b')",
 }
 SQL["record_issue_catalogue"] = "SELECT code, severity, count(*) AS issues, count(DISTINCT record_id) AS records FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS code, '{s}' AS severity, record_id FROM ({q})" for (c, s), q in _RULES.items()) + ") GROUP BY ALL"
+_OFFERS = f"(SELECT bundle_id, source_item_id AS item, {_target('target')} AS target, {_identity('metric_name')} AS key, hint_id, value FROM metric_hint WHERE kind = 'structured_table_metric' AND source_item_id IS NOT NULL AND metric_name IS NOT NULL)"
+SQL["structured_backfill"] = f"""WITH t AS {_TAKEN}, o AS (SELECT bundle_id, item, target, key, min(hint_id) AS hint_id FROM {_OFFERS} WHERE target IS NOT NULL GROUP BY ALL), p AS (SELECT record_id, bundle_id, item, target, arg_min(context, ord) AS context FROM t GROUP BY ALL)
+    SELECT record_id, item, target, key, hint_id, h.value, context FROM p JOIN o USING (bundle_id, item, target) JOIN (SELECT hint_id, value FROM metric_hint) h USING (hint_id)
+    WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.record_id = p.record_id AND u.item = p.item AND u.target = p.target AND u.key = o.key)"""

@@ -35,6 +35,16 @@ def test_rows_of_selected_tables(spark):
     assert c.missing_targets(offered.limit(0), taken).count() == 0
 
 
+def test_gaps_are_filled_once(spark):
+    import json
+
+    hints = spark.createDataFrame([(k, 1, "structured_table_metric", "t", n, x, v) for k, (n, x, v) in enumerate([("MAE", "crop: rye", "1"), ("RMSE", "crop: rye", "2"), ("rmse", "rye", "3"), ("RMSE", "crop: oat", "4"), (None, "rye", "5")])], "hint_id bigint, bundle_id bigint, kind string, source_item_id string, metric_name string, target string, value string")
+    record = {"validation_and_diagnostics": {"validation_metrics": [{"name": "mae", "scope_label": "rye", "context": "c", "evidence": [{"source_item_id": "t"}, {"source_item_id": "t"}]}, {"name": "MAE", "scope_label": "rye", "context": "d", "evidence": [{"source_item_id": "t"}]}]}}
+    records = spark.createDataFrame([(9, 1, json.dumps(record)), (8, 1, "{}")], "record_id bigint, bundle_id bigint, record_json string")
+    assert rows(c.backfilled(hints, records, NAMES)) == [(9, "t", "rye", "rmse", 1, "2", "c")]
+    assert c.backfilled(hints.limit(0), records, NAMES).count() == 0
+
+
 def test_scopes_give_way_to_special_ones(spark):
     df = spark.createDataFrame([(1, "unknown", "winter rye"), (1, "crop_phase", "rye, winter"), (1, "crop", "the winter rye"), (1, "unknown", "rye"), (1, "phase_year", "rye"), (2, "unknown", "winter rye"), (1, None, None)], "bundle_id int, scope string, scope_label string")
     got = [tuple(r) for r in c.harmonized_scopes(df, ["bundle_id"]).select("scope", "scope_label", "harmonized").collect()]
