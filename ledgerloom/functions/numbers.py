@@ -122,6 +122,32 @@ def with_quantity(df: DataFrame, display: str, out: str, name: str | None = None
     return wide.withColumn(out, F.when(F.col(display).isNotNull(), struct)).drop(*[f"_{k}" for k in ("code", "value", "low", "high", "spread", "tokens", "letters", "said")])
 
 
+def enriched(df: DataFrame, display: str, other: str, text: str, out: str) -> DataFrame:
+    """Add a quantity filled in from what else a row says (N5), as a struct of kind,
+    numeric_value, lower_bound and upper_bound.
+
+    Structured data is never overwritten, but for two cases: text gives way to what another
+    display parses to, and a range becomes an estimate with a range where one fragment of
+    the text repeats both of its bounds beside a median or mean.
+    """
+    wide = with_quantity(with_quantity(df, display, "_own"), other, "_other").withColumn("_parts", F.split(F.coalesce(F.col(text), F.lit("")), r"[;\n]|[.](?=\s|$)"))
+    own, extra = F.col("_own"), F.col("_other")
+    numbers_in = lambda part: F.transform(F.regexp_extract_all(part, F.lit(r"[0-9]+(?:[.,][0-9]+)?"), F.lit(0)), decimal_of)
+    central = r"(?i)\b(?:median|mean)\b[^0-9]{0,20}([0-9]+(?:[.,][0-9]+)?)"
+    both = lambda part: F.array_contains(numbers_in(part), F.abs(own["lower_bound"])) & F.array_contains(numbers_in(part), F.abs(own["upper_bound"])) & part.rlike(central)
+    hit = F.get(F.filter("_parts", lambda part: F.coalesce(both(part), F.lit(False))), F.lit(0))
+    wide = wide.withColumn("_value", F.when(own["kind"] == "range", decimal_of(F.nullif(F.regexp_extract(hit, central, 1), F.lit("")))))
+    weak = own.isNull() | (own["kind"] == "text_summary")
+    taken = weak & F.coalesce(extra["kind"] != "text_summary", F.lit(False))
+    pick = lambda c: F.when(taken, extra[c]).otherwise(own[c])
+    raised = F.col("_value").isNotNull()
+    struct = F.struct(
+        F.when(raised, "estimate_with_range").otherwise(pick("kind")).alias("kind"), F.when(raised, F.col("_value")).otherwise(pick("numeric_value")).alias("numeric_value"),
+        pick("lower_bound").alias("lower_bound"), pick("upper_bound").alias("upper_bound"),
+    )
+    return wide.withColumn(out, struct).drop("_own", "_other", "_parts", "_value")
+
+
 def aggregation(text: Column) -> Column:
     """The statistic a lower-case text names, the first of a fixed order; a percent speaks
     of a proportion."""

@@ -510,6 +510,12 @@ def structured_backfill(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.backfilled(table(spark, d, "metric_hint"), table(spark, d, "matrix_record"), _names(spark, d))
 
 
+def quantity_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """Quantities of the ledger filled in from the summary and the interpretation."""
+    rows = table(spark, d, "ledger_metric").select("metric_id", "as_reported", "value_or_summary", "interpretation")
+    return numbers.enriched(rows, "as_reported", "value_or_summary", "interpretation", "q").select("metric_id", "q.*")
+
+
 NAMES = [
     parse_quantity, quantity_conflict_issues, number_identity, metric_families, target_token_key, content_tokens, registry_locator_join, registry_unknown_item, issue_catalogue,
     scope_issues, table_unpivot, sibling_gaps, table_target_rows, context_consensus, scope_mode, fitness_views, ledger_outer_merge, composite_metrics, target_subsets, caption_overlap,
@@ -518,6 +524,6 @@ NAMES = [
     section_relations, caption_bodies, metric_dedup_fold, caption_matches,
     prose_pairs, table_cell_hints, ledger_backfill, evidence_merge, record_fields, provenance_issues, recovered_markdown, bundle_digest, stream_last_event, stream_hourly_counts,
     recovery_queue, guardrail_coverage, registry_build, prose_hints, guardrail_sections, scope_labels, unit_consensus, batch_summary, metric_headers, prose_unrepresented,
-    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance, record_issue_catalogue, record_unknown_items, structured_backfill,
+    structured_siblings, structured_targets, scope_harmony, ledger_sorting, ledger_full_merge, structured_evidence, locator_counts, record_summary, numbered_sections, evidence_siblings, record_provenance, record_issue_catalogue, record_unknown_items, structured_backfill, quantity_backfill,
 ]
 QUERIES = {f.__name__: f for f in NAMES}

@@ -367,3 +367,10 @@ _OFFERS = f"(SELECT bundle_id, source_item_id AS item, {_target('target')} AS ta
 SQL["structured_backfill"] = f"""WITH t AS {_TAKEN}, o AS (SELECT bundle_id, item, target, key, min(hint_id) AS hint_id FROM {_OFFERS} WHERE target IS NOT NULL GROUP BY ALL), p AS (SELECT record_id, bundle_id, item, target, arg_min(context, ord) AS context FROM t GROUP BY ALL)
     SELECT record_id, item, target, key, hint_id, h.value, context FROM p JOIN o USING (bundle_id, item, target) JOIN (SELECT hint_id, value FROM metric_hint) h USING (hint_id)
     WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.record_id = p.record_id AND u.item = p.item AND u.target = p.target AND u.key = o.key)"""
+_TAKE = "CASE WHEN coalesce(r.kind, 'text_summary') = 'text_summary' AND coalesce(s.kind, 'text_summary') <> 'text_summary' THEN s.{c} ELSE r.{c} END AS {c}"
+_PARTS = "regexp_split_to_array(coalesce(interpretation, ''), '[;\\n]|[.](\\s|$)')"
+_CENTRAL = "'(?i)\\b(?:median|mean)\\b[^0-9]{0,20}([0-9]+(?:[.,][0-9]+)?)'"
+_IN = f"list_transform(regexp_extract_all(p, '[0-9]+(?:[.,][0-9]+)?'), lambda x: {_decimal('x')})"
+SQL["quantity_backfill"] = f"""WITH j AS (SELECT metric_id, interpretation, {', '.join(_TAKE.format(c=c) for c in ('kind', 'numeric_value', 'lower_bound', 'upper_bound'))}, r.kind = 'range' AS own FROM {_R} r JOIN {_S} s USING (metric_id) JOIN (SELECT metric_id, interpretation FROM ledger_metric) USING (metric_id)),
+    v AS (SELECT *, CASE WHEN own THEN list_filter({_PARTS}, lambda p: list_contains({_IN}, abs(lower_bound)) AND list_contains({_IN}, abs(upper_bound)) AND regexp_matches(p, {_CENTRAL}))[1] END AS hit FROM j)
+    SELECT metric_id, CASE WHEN hit IS NOT NULL THEN 'estimate_with_range' ELSE kind END AS kind, CASE WHEN hit IS NOT NULL THEN {_decimal(f'regexp_extract(hit, {_CENTRAL}, 1)')} ELSE numeric_value END AS numeric_value, lower_bound, upper_bound FROM v"""

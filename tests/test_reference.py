@@ -66,6 +66,13 @@ def test_displays(spark):
     assert (got["about 95% CI"]["nominal_level"], got["mean: 3.9 d; range 2.8 to 5.1"]["aggregation"], got["0.7 to 1.3"]["range_basis"]) == (0.95, "mean", "reported range (basis not stated)")
 
 
+def test_quantities_are_filled_in_but_not_overwritten(spark):
+    said = [("about 5", "5.0", None), ("3-7", "9", "Values lay between 3 and 7; the median was 4.5."), ("3-7", None, "From 3 to 7 with a median of 5. Nothing else"), ("6", "7", "median 8 of 6"), (None, None, None), (None, "2 to 4", None), ("text", "more text", "mean 3")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(said)], "k int, a string, b string, t string")
+    got = [tuple(r["q"]) for r in numbers.enriched(df, "a", "b", "t", "q").orderBy("k").collect()]
+    assert got == [("scalar", 5, None, None), ("range", None, 3, 7), ("estimate_with_range", 5, 3, 7), ("scalar", 6, None, None), (None, None, None, None), ("range", None, 2, 4), ("text_summary", None, None, None)]
+
+
 def test_identities(spark):
     assert [one(spark, numbers.number_key(F.col("v")), v=v) for v in (0.9, 100.0, -0.0, 12.5, 1e-11)] == ["0.9", "100", "0", "12.5", "0.00000000001"]
     listed = [("rmse", "RMSE", "root mean squared error"), ("ubrmse", None, "unbiased root mean squared error"), ("mae", "MAE", "mean absolute error")]
