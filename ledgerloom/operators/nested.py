@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut
+
 _EDGES = "parent string, name string, many boolean, object boolean, scalar boolean"
 _ROWS = "element string, record_id bigint, row_key string, parent_element string, parent_key string, parent_field string, parent_ord int, child_ord int, path string, inlined array<string>, body map<string,string>"
 
@@ -235,6 +237,7 @@ def links(rows: DataFrame) -> DataFrame:
     ``lost`` rows name a parent that is no row of the parent's table, ``misplaced`` ones
     another position of it than it has; both are 0 in a right shredding.
     """
+    rows = cut(rows.select("element", "record_id", "row_key", "parent_element", "parent_key", "parent_ord", "child_ord"))  # shredded once for both sides
     above = rows.select(F.col("element").alias("_e"), F.col("record_id").alias("_r"), F.col("row_key").alias("_k"), F.col("child_ord").alias("_o"))
     here = (F.col("parent_element") == F.col("_e")) & (F.col("record_id") == F.col("_r")) & (F.col("parent_key") == F.col("_k"))
     joined = rows.where("parent_key is not null").join(above, here, "left")
